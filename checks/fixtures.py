@@ -8,7 +8,7 @@ antimeridian. Vertices stay off the cell centres.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
@@ -29,47 +29,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     suppliers = table(spark, sf_dir, "supplier")
-    placed = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("s_nationkey").cast("int").alias("src"),
-        ((F.col("l_partkey") * 37 + F.col("l_linenumber") * 11 + F.col("l_orderkey")) % 360)
-        .cast("int")
-        .alias("col"),
-        ((F.col("l_orderkey") * 13 + F.col("l_suppkey") * 7) % 180).cast("int").alias("row"),
+    placed = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).selectExpr(
+        "cast(s_nationkey as int) as src",
+        "cast((l_partkey * 37 + l_linenumber * 11 + l_orderkey) % 360 as int) as col",
+        "cast((l_orderkey * 13 + l_suppkey * 7) % 180 as int) as row",
         "l_quantity",
     )
     summed = placed.groupBy("src", "col", "row").agg(F.sum("l_quantity").alias("v"))
-    return summed.select(
-        "src", "col", "row", F.when((F.col("col") + F.col("row")) % 17 != 0, F.col("v")).alias("value")
-    )
+    return summed.selectExpr("src", "col", "row", "case when (col + row) % 17 <> 0 then v end as value")
 
 
-def _corner(key: Column) -> tuple[Column, Column]:
-    x = (
-        F.when(key % 25 == 24, F.lit(145.0))
-        .when(key % 25 == 12, F.lit(-180.0))
-        .otherwise(F.lit(-170.25) + (key * 17 % 61) * 5)
-    )
-    return x, F.lit(-80.25) + (key * 7 % 29) * 5
+def _ring(offsets: tuple[tuple[int, int], ...]) -> str:
+    corners = ", ".join(f"array({dx}D, {dy}D)" for dx, dy in offsets)
+    return f"transform(array({corners}), v -> array(x + v[0], y + v[1]))"
 
 
-def _ring(x: Column, y: Column, offsets: tuple[tuple[int, int], ...]) -> Column:
-    return F.array(*[F.array(x + F.lit(float(dx)), y + F.lit(float(dy))) for dx, dy in offsets])
+GEOMETRY = f"""filter(array(
+  case when k % 5 = 0 then array({_ring(L_SHELL)}, {_ring(L_HOLE)}) else array({_ring(L_SHELL)}) end,
+  case when k % 2 = 1 then array({_ring(TRIANGLE)}) end,
+  case when k % 7 = 0 then array({_ring(SQUARE)}) end), part -> part is not null)"""
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    x, y = _corner(key)
-    shell = _ring(x, y, L_SHELL)
-    first = F.when(key % 5 == 0, F.array(shell, _ring(x, y, L_HOLE))).otherwise(F.array(shell))
-    second = F.when(key % 2 == 1, F.array(_ring(x, y, TRIANGLE)))
-    third = F.when(key % 7 == 0, F.array(_ring(x, y, SQUARE)))
-    geom = F.filter(F.array(first, second, third), lambda part: part.isNotNull())
-    return table(spark, sf_dir, "supplier").select(
-        key.cast("int").alias("region_id"),
-        F.col("s_name").alias("location_name"),
-        F.concat(F.lit("A-"), key.cast("string")).alias("adm1_code"),
-        F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("adm0_a3"),
-        geom.alias("geom"),
+    placed = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as k",
+        "s_name",
+        "s_nationkey",
+        """case when s_suppkey % 25 = 24 then 145D when s_suppkey % 25 = 12 then -180D
+           else -170.25D + (s_suppkey * 17 % 61) * 5 end as x""",
+        "-80.25D + (s_suppkey * 7 % 29) * 5 as y",
+    )
+    return placed.selectExpr(
+        "cast(k as int) as region_id",
+        "s_name as location_name",
+        "concat('A-', k) as adm1_code",
+        "concat('N', s_nationkey) as adm0_a3",
+        f"{GEOMETRY} as geom",
     )
 
 

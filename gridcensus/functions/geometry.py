@@ -81,21 +81,3 @@ def polygon_moments(rings: Column) -> Column:
 
 def centroid(moments: Column) -> tuple[Column, Column]:
     return F.try_divide(moments["mx"], moments["a"]), F.try_divide(moments["my"], moments["a"])
-
-
-def edge_meets_box(
-    x1: Column, y1: Column, x2: Column, y2: Column,
-    xmin: Column, ymin: Column, xmax: Column, ymax: Column,
-) -> Column:
-    """Whether a segment meets a closed box (Liang and Barsky); touching counts.
-
-    A zero run gives NULL quotients, which ``least`` and ``greatest`` leave out.
-    """
-    dx, dy = x2 - x1, y2 - y1
-    run, rise = F.nullif(dx, F.lit(0.0)), F.nullif(dy, F.lit(0.0))
-    xa, xb = (xmin - x1) / run, (xmax - x1) / run
-    ya, yb = (ymin - y1) / rise, (ymax - y1) / rise
-    enter = F.greatest(F.lit(0.0), F.least(xa, xb), F.least(ya, yb))
-    leave = F.least(F.lit(1.0), F.greatest(xa, xb), F.greatest(ya, yb))
-    beside = ((dx == 0) & ((x1 < xmin) | (x1 > xmax))) | ((dy == 0) & ((y1 < ymin) | (y1 > ymax)))
-    return ~beside & (enter <= leave)

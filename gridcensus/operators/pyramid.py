@@ -6,46 +6,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = ["block_col", "block_row"]
+LEVELS_PER_SHUFFLE = 4
 
 
-def _place_in_blocks(level: DataFrame, span: int) -> DataFrame:
-    """Hash-partition a level by square blocks of ``span`` cells a side."""
+def block_span(tile_size: int, levels: int = LEVELS_PER_SHUFFLE) -> int:
+    """Side of a block, in cells, that holds whole tiles on each of ``levels`` levels."""
+    return tile_size << (levels - 1)
+
+
+def place_in_blocks(cells: DataFrame, span: int) -> DataFrame:
+    """Hash-partition cells by square blocks of ``span`` cells a side."""
     side = F.lit(span)
-    return level.select(
+    return cells.select(
         F.floor(F.col("col") / side).cast("int").alias("block_col"),
         F.floor(F.col("row") / side).cast("int").alias("block_row"),
-        "col", "row", "value",
+        *[c for c in cells.columns if c not in BLOCK],
     ).repartition(*BLOCK)
 
 
 def pyramid_levels(
-    base: DataFrame, base_zoom: int, min_zoom: int, tile_size: int, levels_per_shuffle: int = 4
+    base: DataFrame,
+    base_zoom: int,
+    min_zoom: int,
+    tile_size: int,
+    levels_per_shuffle: int = LEVELS_PER_SHUFFLE,
 ) -> list[tuple[int, DataFrame]]:
     """[(zoom, cells)] from the base zoom up; cells keep the block they were computed in.
 
-    One shuffle by block serves ``levels_per_shuffle`` levels: a block of tile_size * 2^(n-1)
-    cells a side holds whole tiles on each of them, so both the averaging and a later packing
-    of tiles group by (block, ...) and stay in place. The next shuffle moves 1/4^n of the cells.
+    One shuffle by block serves ``levels_per_shuffle`` levels: a block holds whole tiles on each
+    of them, so both the averaging and a later packing of tiles group by (block, ...) and stay
+    in place. The next shuffle moves 1/4^n of the cells. A base that comes placed in blocks of
+    that span is used as it is.
     """
+    span = block_span(tile_size, levels_per_shuffle)
     levels: list[tuple[int, DataFrame]] = []
     current = base
     for step, zoom in enumerate(range(base_zoom, min_zoom - 1, -1)):
-        if step % levels_per_shuffle == 0:
-            current = _place_in_blocks(current, tile_size << (levels_per_shuffle - 1))
+        placed = step == 0 and set(BLOCK) <= set(base.columns)
+        if step % levels_per_shuffle == 0 and not placed:
+            current = place_in_blocks(current.select("col", "row", "value"), span)
         levels.append((zoom, current))
-        current = (
-            current.groupBy(
-                *BLOCK,
-                F.floor(F.col("col") / 2).cast("int").alias("col"),
-                F.floor(F.col("row") / 2).cast("int").alias("row"),
-            )
-            .agg(F.avg("value").alias("value"))
-        )
+        current = current.groupBy(
+            *BLOCK,
+            F.floor(F.col("col") / 2).cast("int").alias("col"),
+            F.floor(F.col("row") / 2).cast("int").alias("row"),
+        ).agg(F.avg("value").alias("value"))
     return levels
 
 
 def pyramid(
-    base: DataFrame, base_zoom: int, min_zoom: int, tile_size: int, levels_per_shuffle: int = 4
+    base: DataFrame,
+    base_zoom: int,
+    min_zoom: int,
+    tile_size: int,
+    levels_per_shuffle: int = LEVELS_PER_SHUFFLE,
 ) -> DataFrame:
     """All levels in one table (zoom, col, row, value)."""
     levels = pyramid_levels(base, base_zoom, min_zoom, tile_size, levels_per_shuffle)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions import geometry
@@ -34,40 +34,41 @@ def part_edges(parts: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _clamped_sequence(first: Column, last: Column, size: int) -> Column:
-    low = F.greatest(first.cast("int"), F.lit(0))
-    high = F.least(last.cast("int"), F.lit(size - 1))
-    return F.when(low <= high, F.sequence(low, high))
+def _clamped_sequence(first: str, last: str, size: int) -> str:
+    low, high = f"greatest(0, int({first}))", f"least({size - 1}, int({last}))"
+    return f"case when {low} <= {high} then sequence({low}, {high}) end"
 
 
 def _edge_tiles(edges: DataFrame, grid: GridSpec) -> DataFrame:
-    """Tiles an edge meets, walked one tile row at a time along the edge."""
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    north = (F.lit(grid.ymax) - F.greatest(y1, y2)) / F.lit(grid.tile_height)
-    south = (F.lit(grid.ymax) - F.least(y1, y2)) / F.lit(grid.tile_height)
-    banded = edges.withColumn(
-        "tile_row",
-        F.explode(_clamped_sequence(F.ceil(north) - 1, F.floor(south), grid.layout_rows)),
+    """Tiles an edge meets, touching included, walked one tile row at a time along the edge.
+
+    Within a row of tiles an edge covers one interval of x, so long edges never enumerate the
+    tiles of their whole bounding box.
+    """
+    left, top = f"{grid.xmin!r}D", f"{grid.ymax!r}D"
+    width, height = f"{grid.tile_width!r}D", f"{grid.tile_height!r}D"
+    ordered = edges.selectExpr(
+        "region_id", "part", "x1", "y1",
+        "least(x1, x2) as west", "greatest(x1, x2) as east",
+        "least(y1, y2) as south", "greatest(y1, y2) as north",
+        "(x2 - x1) / nullif(y2 - y1, 0D) as slope",
+    )
+    rows = _clamped_sequence(
+        f"ceil(({top} - north) / {height}) - 1", f"floor(({top} - south) / {height})", grid.layout_rows
     )
-    band = grid.tile_extent(F.lit(0), F.col("tile_row"))
-    slope = (x2 - x1) / F.nullif(y2 - y1, F.lit(0.0))
-    upper = x1 + (F.least(F.greatest(y1, y2), band["ymax"]) - y1) * slope
-    lower = x1 + (F.greatest(F.least(y1, y2), band["ymin"]) - y1) * slope
-    west = F.coalesce(F.least(upper, lower), F.least(x1, x2))
-    east = F.coalesce(F.greatest(upper, lower), F.greatest(x1, x2))
-    # one tile of slack on both sides for rounding; the exact test follows
-    first = F.ceil((F.when(slope.isNull(), F.least(x1, x2)).otherwise(west) - F.lit(grid.xmin))
-                   / F.lit(grid.tile_width)) - 2
-    last = F.floor((F.when(slope.isNull(), F.greatest(x1, x2)).otherwise(east) - F.lit(grid.xmin))
-                   / F.lit(grid.tile_width)) + 1
-    walked = banded.withColumn(
-        "tile_col", F.explode(_clamped_sequence(first, last, grid.layout_cols))
+    banded = ordered.selectExpr("*", f"explode({rows}) as tile_row")
+    crossed = banded.selectExpr(
+        "region_id", "part", "tile_row", "west", "east",
+        f"x1 + (least(north, {top} - tile_row * {height}) - y1) * slope as xa",
+        f"x1 + (greatest(south, {top} - (tile_row + 1) * {height}) - y1) * slope as xb",
     )
-    box = grid.tile_extent(F.col("tile_col"), F.col("tile_row"))
-    hits = geometry.edge_meets_box(
-        x1, y1, x2, y2, box["xmin"], box["ymin"], box["xmax"], box["ymax"]
+    # a level edge has no slope: greatest and least leave the NULLs out and keep its own ends
+    cols = _clamped_sequence(
+        f"ceil((greatest(west, least(xa, xb)) - {left}) / {width}) - 1",
+        f"floor((least(east, greatest(xa, xb)) - {left}) / {width})",
+        grid.layout_cols,
     )
-    return walked.where(hits).select("region_id", "part", "tile_col", "tile_row")
+    return crossed.selectExpr("region_id", "part", f"explode({cols}) as tile_col", "tile_row")
 
 
 def _corner_tiles(edges: DataFrame, grid: GridSpec) -> DataFrame:

@@ -1,7 +1,9 @@
-"""Resampling and reprojection without joins.
+"""Resampling and reprojection by axis tables.
 
-A source cell works out which target cells read it and sends its value there. Nearest neighbour
-then needs no shuffle, and bilinear needs only the sum of its weighted contributions.
+A target grid reads its source separably: which source column a target column reads does not
+depend on the row. Each axis becomes a small table (source cell, target cell, weight), computed
+once, and cells pick up their targets in two broadcast joins on plain integers. Nearest neighbour
+then needs no shuffle, bilinear only that of its weighted sums.
 """
 
 from __future__ import annotations
@@ -9,153 +11,112 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus.functions import projections
 from gridcensus.functions.grid import MERCATOR_HALF, GridSpec, ZoomLevel
 from gridcensus.functions.values import is_data
 
+# An axis row is about 20 bytes, so a broadcast axis stays under some 100 MB.
+BROADCAST_AXIS_ROWS = 4_000_000
+
 
 @dataclass(frozen=True)
 class TargetAxis:
-    """One axis of a target grid in source coordinates.
-
-    ``coordinate`` gives the source coordinate of a target cell's centre, ``index`` the
-    fractional target cell number of a source coordinate (whole numbers at cell edges).
-    """
+    """One axis of a target grid: its cells, and their centres in source coordinates."""
 
     size: int
     coordinate: Callable[[Column], Column]
-    index: Callable[[Column], Column]
 
 
-def grid_axes(grid: GridSpec) -> tuple[TargetAxis, TargetAxis]:
-    """Axes of a target grid in the same coordinates as the source."""
-    cols = TargetAxis(
-        grid.cols,
-        grid.center_x,
-        lambda x: (x - F.lit(grid.xmin)) / F.lit(grid.cell_width),
-    )
-    rows = TargetAxis(
-        grid.rows,
-        grid.center_y,
-        lambda y: (F.lit(grid.ymax) - y) / F.lit(grid.cell_height),
-    )
-    return cols, rows
+Axes = tuple[TargetAxis, TargetAxis]
 
 
-# Fixed value: latitude at the top of the Web Mercator square.
-MERCATOR_MAX_LAT = 85.05112877980659
+def grid_axes(grid: GridSpec) -> Axes:
+    """Axes of a target grid in the same coordinates as the source."""
+    return TargetAxis(grid.cols, grid.center_x), TargetAxis(grid.rows, grid.center_y)
 
 
-def mercator_axes(level: ZoomLevel) -> tuple[TargetAxis, TargetAxis]:
+def mercator_axes(level: ZoomLevel) -> Axes:
     """Axes of a Web Mercator zoom level over a longitude and latitude source."""
     metres, half = F.lit(level.pixel_metres), F.lit(MERCATOR_HALF)
-
-    def lat_index(lat: Column) -> Column:
-        bound = F.lit(MERCATOR_MAX_LAT)
-        clipped = F.greatest(-bound, F.least(bound, lat))
-        return (half - projections.mercator_y(clipped)) / metres
-
-    cols = TargetAxis(
-        level.pixels,
-        lambda t: projections.mercator_lon((t + F.lit(0.5)) * metres - half),
-        lambda lon: (projections.mercator_x(lon) + half) / metres,
-    )
-    rows = TargetAxis(
-        level.pixels,
-        lambda t: projections.mercator_lat(half - (t + F.lit(0.5)) * metres),
-        lat_index,
+    return (
+        TargetAxis(
+            level.pixels,
+            lambda t: projections.mercator_lon((t + F.lit(0.5)) * metres - half),
+        ),
+        TargetAxis(
+            level.pixels,
+            lambda t: projections.mercator_lat(half - (t + F.lit(0.5)) * metres),
+        ),
     )
-    return cols, rows
 
 
-def _targets(axis: TargetAxis, low: Column, high: Column, reads: Callable[[Column], Column]) -> Column:
-    """Target cells from about ``low`` to about ``high`` that satisfy ``reads``, a run of them.
+def _positions(spark: SparkSession, axes: Axes, source: GridSpec) -> tuple[DataFrame, DataFrame]:
+    """Per axis, each target cell ``t`` and the fractional source cell ``f`` its centre lies at.
 
-    The bounds may be one off by rounding; the exact test settles both ends.
+    Whole numbers of ``f`` are source cell edges.
     """
-    a = F.greatest(low.cast("int"), F.lit(0))
-    b = F.least(high.cast("int"), F.lit(axis.size - 1))
-    first = F.when((a > 0) & reads(a - 1), a - 1).when(reads(a), a).otherwise(a + 1)
-    last = F.when((b < axis.size - 1) & reads(b + 1), b + 1).when(reads(b), b).otherwise(b - 1)
-    return F.explode(F.when(first <= last, F.sequence(first, last)))
-
+    cols, rows = axes
+    t = F.col("id").cast("int")
+    x = (cols.coordinate(t) - F.lit(source.xmin)) / F.lit(source.cell_width)
+    y = (F.lit(source.ymax) - rows.coordinate(t)) / F.lit(source.cell_height)
+    return (
+        spark.range(cols.size).select(t.alias("t"), x.alias("f")),
+        spark.range(rows.size).select(t.alias("t"), y.alias("f")),
+    )
 
-def _source_position(axis: str, source: GridSpec, coordinate: Column) -> Column:
-    """Fractional source cell number of a coordinate (whole numbers at cell edges)."""
-    if axis == "x":
-        return (coordinate - F.lit(source.xmin)) / F.lit(source.cell_width)
-    return (F.lit(source.ymax) - coordinate) / F.lit(source.cell_height)
 
+def _with_targets(cells: DataFrame, axes: Axes, x: DataFrame, y: DataFrame, reach: int) -> DataFrame:
+    """Cells joined to the targets that read them, by column and by row."""
 
-def _source_coordinate(axis: str, source: GridSpec, position: Column) -> Column:
-    if axis == "x":
-        return F.lit(source.xmin) + position * F.lit(source.cell_width)
-    return F.lit(source.ymax) - position * F.lit(source.cell_height)
+    def sized(table: DataFrame, axis: TargetAxis) -> DataFrame:
+        return F.broadcast(table) if axis.size * reach <= BROADCAST_AXIS_ROWS else table
 
+    return cells.join(sized(x, axes[0]), "col").join(sized(y, axes[1]), "row")
 
-def resample_nearest(
-    cells: DataFrame, source: GridSpec, axes: tuple[TargetAxis, TargetAxis]
-) -> DataFrame:
-    """Each target cell takes the source cell its centre falls in. No shuffle."""
 
-    def targets(axis: str, target: TargetAxis, cell: Column) -> Column:
-        def reads(t: Column) -> Column:
-            return F.floor(_source_position(axis, source, target.coordinate(t))) == cell
+def resample_nearest(cells: DataFrame, source: GridSpec, axes: Axes) -> DataFrame:
+    """Each target cell takes the source cell its centre falls in."""
+    x, y = _positions(cells.sparkSession, axes, source)
+    cell = F.floor("f").cast("int")
+    x = x.select(cell.alias("col"), F.col("t").alias("to_col"))
+    y = y.select(cell.alias("row"), F.col("t").alias("to_row"))
+    kept = [c for c in cells.columns if c not in ("col", "row")]
+    return _with_targets(cells, axes, x, y, reach=1).select(
+        *kept, F.col("to_col").alias("col"), F.col("to_row").alias("row")
+    )
 
-        low = target.index(_source_coordinate(axis, source, cell)) - F.lit(0.5)
-        high = target.index(_source_coordinate(axis, source, cell + 1)) - F.lit(0.5)
-        return _targets(target, F.ceil(low), F.ceil(high) - 1, reads)
 
-    keep = [c for c in cells.columns if c not in ("col", "row")]
-    wide = cells.withColumn("to_col", targets("x", axes[0], F.col("col")))
-    tall = wide.withColumn("to_row", targets("y", axes[1], F.col("row")))
-    return tall.drop("col", "row").select(
-        *keep, F.col("to_col").alias("col"), F.col("to_row").alias("row")
+def _neighbours(positions: DataFrame) -> DataFrame:
+    """The source cells around each target centre, with weights above zero: (s, t, w)."""
+    centred = positions.select("t", F.floor(F.col("f") - 0.5).cast("int").alias("s"), (F.col("f") - 0.5).alias("f"))
+    share = F.col("f") - F.floor("f")
+    pair = F.array(
+        F.struct(F.col("s").alias("s"), (F.lit(1.0) - share).alias("w")),
+        F.struct((F.col("s") + 1).alias("s"), share.alias("w")),
     )
+    return centred.select("t", F.inline(pair)).where(F.col("w") > 0)
 
 
 def resample_bilinear(
-    cells: DataFrame,
-    source: GridSpec,
-    axes: tuple[TargetAxis, TargetAxis],
-    keys: tuple[str, ...] = ("src",),
+    cells: DataFrame, source: GridSpec, axes: Axes, keys: tuple[str, ...] = ("src",)
 ) -> DataFrame:
     """Weighted mean of the up to four data cells around each target centre.
 
     Contributions combine within a task before the one shuffle, by (keys, col, row).
     """
-
-    def position(axis: str, target: TargetAxis, t: Column) -> Column:
-        return _source_position(axis, source, target.coordinate(t)) - F.lit(0.5)
-
-    def weight(axis: str, target: TargetAxis, cell: Column, t: Column) -> Column:
-        at = position(axis, target, t)
-        share = at - F.floor(at)
-        return F.when(F.floor(at) == cell, F.lit(1.0) - share).when(
-            F.floor(at) == cell - 1, share
-        ).otherwise(F.lit(0.0))
-
-    def targets(axis: str, target: TargetAxis, cell: Column) -> Column:
-        low = target.index(_source_coordinate(axis, source, cell - F.lit(0.5))) - F.lit(0.5)
-        high = target.index(_source_coordinate(axis, source, cell + F.lit(1.5))) - F.lit(0.5)
-        reads = lambda t: weight(axis, target, cell, t) > 0
-        return _targets(target, F.floor(low) + 1, F.ceil(high) - 1, reads)
-
-    data = cells.where(is_data(F.col("value")))
-    wide = data.withColumn("to_col", targets("x", axes[0], F.col("col")))
-    tall = wide.withColumn("to_row", targets("y", axes[1], F.col("row")))
-    w = weight("x", axes[0], F.col("col"), F.col("to_col")) * weight(
-        "y", axes[1], F.col("row"), F.col("to_row")
-    )
-    sent = tall.select(
+    x, y = _positions(cells.sparkSession, axes, source)
+    x = _neighbours(x).select(F.col("s").alias("col"), F.col("t").alias("to_col"), F.col("w").alias("wx"))
+    y = _neighbours(y).select(F.col("s").alias("row"), F.col("t").alias("to_row"), F.col("w").alias("wy"))
+    data = cells.where(is_data(F.col("value"))).select(*keys, "col", "row", "value")
+    sent = _with_targets(data, axes, x, y, reach=2).select(
         *keys,
         F.col("to_col").alias("col"),
         F.col("to_row").alias("row"),
         "value",
-        w.alias("w"),
+        (F.col("wx") * F.col("wy")).alias("w"),
     )
     return sent.groupBy(*keys, "col", "row").agg(
         (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def scanline_runs(
@@ -21,30 +20,23 @@ def scanline_runs(
     its right, so a point on a border shared by two polygons belongs to one of them. All rings
     under one key count together, which makes holes.
     """
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    first = F.floor((F.lit(y0) - F.greatest(y1, y2)) / F.lit(dy))
-    last = F.ceil((F.lit(y0) - F.least(y1, y2)) / F.lit(dy))
-    low = F.greatest(first, F.lit(0)).cast("int")
-    high = F.least(last, F.lit(n_rows - 1)).cast("int")
-    rows = edges.where(y1 != y2).select(
+    keyed = ", ".join(keys)
+    first = f"greatest(0, int(floor(({y0!r}D - greatest(y1, y2)) / {dy!r}D)))"
+    last = f"least({n_rows - 1}, int(ceil(({y0!r}D - least(y1, y2)) / {dy!r}D)))"
+    rows = edges.where("y1 <> y2").selectExpr(
         *keys, "x1", "y1", "x2", "y2",
-        F.explode(F.when(low <= high, F.sequence(low, high))).alias("row"),
+        f"explode(case when {first} <= {last} then sequence({first}, {last}) end) as row",
     )
-    y = F.lit(y0) - F.col("row") * F.lit(dy)
-    crossings = rows.where((y1 > y) != (y2 > y)).select(
-        *keys, "row", ((x2 - x1) * (y - y1) / (y2 - y1) + x1).alias("x")
+    lines = rows.selectExpr(*keys, "row", "x1", "y1", "x2", "y2", f"{y0!r}D - row * {dy!r}D as y")
+    crossings = lines.where("(y1 > y) <> (y2 > y)").selectExpr(
+        *keys, "row", "(x2 - x1) * (y - y1) / (y2 - y1) + x1 as x"
     )
-    line = Window.partitionBy(*keys, "row").orderBy("x")
-    pairs = crossings.select(
+    line = f"over (partition by {keyed}, row order by x)"
+    pairs = crossings.selectExpr(
+        *keys, "row", "x as xa", f"lead(x) {line} as xb", f"row_number() {line} as nth"
+    ).where("nth % 2 = 1 and xb is not null")
+    return pairs.selectExpr(
         *keys, "row",
-        F.col("x").alias("xa"),
-        F.lead("x").over(line).alias("xb"),
-        F.row_number().over(line).alias("nth"),
-    ).where((F.col("nth") % 2 == 1) & F.col("xb").isNotNull())
-    c0 = F.ceil((F.col("xa") - F.lit(x0)) / F.lit(dx))
-    c1 = F.ceil((F.col("xb") - F.lit(x0)) / F.lit(dx)) - 1
-    return pairs.select(
-        *keys, "row",
-        F.greatest(c0, F.lit(0)).cast("int").alias("c0"),
-        F.least(c1, F.lit(n_cols - 1)).cast("int").alias("c1"),
-    ).where(F.col("c0") <= F.col("c1"))
+        f"greatest(0, int(ceil((xa - {x0!r}D) / {dx!r}D))) as c0",
+        f"least({n_cols - 1}, int(ceil((xb - {x0!r}D) / {dx!r}D)) - 1) as c1",
+    ).where("c0 <= c1")

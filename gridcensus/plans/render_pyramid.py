@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridcensus.functions.colors import GLOBAL_BREAKS, MAP_COLORS, classify, stable
 from gridcensus.functions.grid import GridSpec, ZoomLevel
 from gridcensus.operators.mosaic import mosaic_cells
-from gridcensus.operators.pyramid import pyramid_levels
+from gridcensus.operators.pyramid import BLOCK, block_span, place_in_blocks, pyramid_levels
 from gridcensus.operators.resample import mercator_axes, resample_bilinear
 from gridcensus.operators.tiles import unpack_tiles
 from gridcensus.sinks.map_tiles import color_tiles
@@ -20,9 +20,14 @@ BASE_ZOOM = 12
 
 
 def mercator_layer(raster: DataFrame, grid: GridSpec, level: ZoomLevel) -> DataFrame:
-    """(col, row, value) at one zoom: every source warped bilinearly, then merged."""
+    """(block_col, block_row, col, row, value) at one zoom: sources warped bilinearly, then merged.
+
+    Warped cells are placed in the pyramid's blocks first, so merging and the levels above share
+    one shuffle.
+    """
     cells = unpack_tiles(raster, grid.tile_size) if "cells" in raster.columns else raster
-    return mosaic_cells(resample_bilinear(cells, grid, mercator_axes(level)))
+    warped = resample_bilinear(cells, grid, mercator_axes(level))
+    return mosaic_cells(place_in_blocks(warped, block_span(level.tile_size)), *BLOCK)
 
 
 def render_levels(
