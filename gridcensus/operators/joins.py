@@ -33,17 +33,20 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def hot_keys(raster: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame:
+def hot_keys(
+    raster: DataFrame, keys: Sequence[str], rows_per_slice: int, limit: int = BROADCAST_ROWS
+) -> DataFrame:
     """Keys with more rows than one slice, and the number of slices each one needs.
 
-    There are never more of them than rows / rows_per_slice.
+    There are at most rows / rows_per_slice of them; should that exceed ``limit``, slices grow
+    until the table fits a broadcast.
     """
-    return (
-        raster.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows_per_slice)
-        .select(*keys, F.ceil(F.col("n") / F.lit(rows_per_slice)).cast("int").alias("slices"))
-    )
+    counted = raster.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_lineage(counted.where(F.col("n") > rows_per_slice))
+    while not fits_broadcast(counted.where(F.col("n") > rows_per_slice), limit):
+        rows_per_slice *= 4
+    slices = F.ceil(F.col("n") / F.lit(rows_per_slice)).cast("int")
+    return counted.where(F.col("n") > rows_per_slice).select(*keys, slices.alias("slices"))
 
 
 def join_masks(
@@ -58,23 +61,28 @@ def join_masks(
     """Equi-join raster rows with mask rows on ``keys``.
 
     Masks within ``broadcast_rows`` are broadcast, so the raster is not moved. Larger ones meet
-    it in a shuffle in which each hot raster key is cut into slices by the ``spread`` columns
-    and only the masks of that key are repeated per slice. ``condition`` narrows the matches;
-    mask columns other than the keys must not share a name with raster columns.
+    it in a join on the keys alone, which a bucketed raster table answers in place. Only where
+    some keys are hot do these get cut into slices by the ``spread`` columns, with the masks of
+    just those keys repeated per slice. ``condition`` narrows the matches; mask columns other
+    than the keys must not share a name with raster columns.
     """
     if fits_broadcast(masks, broadcast_rows):
         joined = raster.join(F.broadcast(masks), list(keys))
         return joined if condition is None else joined.where(condition)
 
     hot = hot_keys(raster, keys, rows_per_slice)
+    if hot.isEmpty():
+        joined = raster.join(masks, list(keys))
+        return joined if condition is None else joined.where(condition)
+
     slices = F.coalesce(F.col("slices"), F.lit(1))
     sliced_raster = (
-        raster.join(hot, list(keys), "left")
+        raster.join(F.broadcast(hot), list(keys), "left")
         .withColumn("slice", F.pmod(F.xxhash64(*spread), slices).cast("int"))
         .drop("slices")
     )
     sliced_masks = (
-        masks.join(hot, list(keys), "left")
+        masks.join(F.broadcast(hot), list(keys), "left")
         .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("slices")
     )

@@ -122,20 +122,36 @@ def rebalance_tiles(tiles: DataFrame, partitions: int | None = None) -> DataFram
     return tiles.repartition(*keys) if partitions is None else tiles.repartition(partitions, *keys)
 
 
-def save_tiles(tiles: DataFrame, path: str) -> None:
-    """Tile table partitioned by source and ordered by tile key, for pruned window reads."""
+# Cells one Parquet row group may hold. The vectorised reader fills a batch from one group, and
+# tiles of mostly no data would otherwise crowd into groups that decode to many gigabytes.
+CELLS_PER_GROUP = 16 << 20
+GROUP_ROWS = "parquet.block.row.count.limit"
+
+
+def _group_rows(tile_size: int) -> int:
+    return max(1, CELLS_PER_GROUP // (tile_size * tile_size))
+
+
+def save_tiles(tiles: DataFrame, path: str, tile_size: int) -> None:
+    """Tile table partitioned by source and ordered by tile key, for pruned window reads.
+
+    Neighbouring tiles share a file; a large source spreads over many.
+    """
     (
         tiles.repartition("src", F.floor(F.col("tile_row") / 16), F.floor(F.col("tile_col") / 16))
         .sortWithinPartitions("src", "tile_row", "tile_col")
         .write.partitionBy("src")
+        .option(GROUP_ROWS, _group_rows(tile_size))
         .parquet(path)
     )
 
 
-def save_bucketed_tiles(tiles: DataFrame, table: str, buckets: int) -> None:
+def save_bucketed_tiles(tiles: DataFrame, table: str, tile_size: int, buckets: int) -> None:
     """Tile table bucketed by tile key: mask joins then move the masks only."""
     (
-        tiles.write.bucketBy(buckets, "tile_col", "tile_row")
+        tiles.repartition(buckets, "tile_col", "tile_row")
+        .write.bucketBy(buckets, "tile_col", "tile_row")
         .sortBy("tile_col", "tile_row")
+        .option(GROUP_ROWS, _group_rows(tile_size))
         .saveAsTable(table)
     )

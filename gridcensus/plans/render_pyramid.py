@@ -11,7 +11,11 @@ from gridcensus.functions.colors import GLOBAL_BREAKS, MAP_COLORS, classify, sta
 from gridcensus.functions.grid import GridSpec, ZoomLevel
 from gridcensus.operators.mosaic import mosaic_cells
 from gridcensus.operators.pyramid import BLOCK, block_span, place_in_blocks, pyramid_levels
-from gridcensus.operators.resample import mercator_axes, resample_bilinear
+from gridcensus.operators.resample import (
+    mercator_axes,
+    resample_bilinear,
+    resample_bilinear_in_blocks,
+)
 from gridcensus.operators.tiles import unpack_tiles
 from gridcensus.sinks.map_tiles import color_tiles
 from gridcensus.sources import catalog
@@ -22,12 +26,18 @@ BASE_ZOOM = 12
 def mercator_layer(raster: DataFrame, grid: GridSpec, level: ZoomLevel) -> DataFrame:
     """(block_col, block_row, col, row, value) at one zoom: sources warped bilinearly, then merged.
 
-    Warped cells are placed in the pyramid's blocks first, so merging and the levels above share
-    one shuffle.
+    Cells end up in the pyramid's blocks, so merging and the levels above need no shuffle of
+    their own. Pixels finer than the raster are warped inside the blocks; coarser ones are first
+    reduced to pixels and then placed.
     """
     cells = unpack_tiles(raster, grid.tile_size) if "cells" in raster.columns else raster
-    warped = resample_bilinear(cells, grid, mercator_axes(level))
-    return mosaic_cells(place_in_blocks(warped, block_span(level.tile_size)), *BLOCK)
+    axes, span = mercator_axes(level), block_span(level.tile_size)
+    pixel_degrees = 360.0 / level.pixels
+    if pixel_degrees <= grid.cell_width:
+        warped = resample_bilinear_in_blocks(cells, grid, axes, span)
+    else:
+        warped = place_in_blocks(resample_bilinear(cells, grid, axes), span)
+    return mosaic_cells(warped, *BLOCK)
 
 
 def render_levels(

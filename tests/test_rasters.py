@@ -123,14 +123,20 @@ def test_pyramid_levels_are_means_of_means(spark):
 
 def test_rendering_shuffles_once_per_four_levels(spark):
     cells = micro.cells(spark, block(0, 180, 80, 10, 10))
-    drawn = render_pyramid(cells, GRID, base_zoom=6, min_zoom=0, tile_size=16)
-    drawn.collect()
-    text = plan(drawn)
-    final = text.split("== Initial Plan ==")[0]
-    # warp, then blocks for levels 6..3 and 2..0; every other appearance reuses one of these
-    assert final.count("ReusedExchange") > 0
-    fresh = [line for line in final.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
-    assert len(fresh) == 3, "\n".join(fresh)
+    # zoom 4 is coarser than the raster: reduce, then blocks for levels 4..1 and 0
+    # zoom 6 is finer: blocks for levels 6..3 and 2..0 only, next to two tables of axis blocks
+    for zoom, data_shuffles, axis_shuffles in ((4, 3, 0), (6, 2, 2)):
+        drawn = render_pyramid(cells, GRID, base_zoom=zoom, min_zoom=0, tile_size=16)
+        drawn.collect()
+        final = plan(drawn).split("== Initial Plan ==")[0]
+        fresh = [
+            line
+            for line in final.splitlines()
+            if "Exchange hashpartitioning" in line and "Reused" not in line
+        ]
+        axis = [line for line in fresh if "hashpartitioning(col" in line or "hashpartitioning(row" in line]
+        assert len(axis) == axis_shuffles, "\n".join(fresh)
+        assert len(fresh) - len(axis) == data_shuffles, "\n".join(fresh)
 
 
 def test_tiles_carry_path_and_every_pixel(spark):
@@ -151,7 +157,7 @@ def test_zoom_level_size():
 def test_stored_tiles_prune_sources_and_push_windows(spark, tmp_path):
     path = str(tmp_path / "tiles")
     cells = micro.cells(spark, block(0, 0, 0, 40, 40) + block(1, 100, 100, 40, 40))
-    tiles.save_tiles(tiles.pack_tiles(cells, 16), path)
+    tiles.save_tiles(tiles.pack_tiles(cells, 16), path, 16)
     scan = rasters.read_tiles(spark, path, exclude=[0], window=(6, 6, 7, 7))
     text = plan(scan)
     assert "PartitionFilters: [isnotnull(src" in text or "PartitionFilters: [NOT" in text
@@ -163,12 +169,42 @@ def test_stored_tiles_prune_sources_and_push_windows(spark, tmp_path):
 
 def test_bucketed_tiles_stay_in_place(spark):
     cells = micro.cells(spark, block(0, 170, 70, 40, 40))
-    tiles.save_bucketed_tiles(tiles.pack_tiles(cells, 16), "bucketed_tiles", 4)
+    tiles.save_bucketed_tiles(tiles.pack_tiles(cells, 16), "bucketed_tiles", 16, buckets=4)
     stored = spark.table("bucketed_tiles")
     parts = region_ops.explode_parts(micro.regions(spark, {"a": [[square(-5, -5, 20)]]}))
     spans = mask.clip_spans(mask.part_spans(parts, GRID), GRID)
-    joined = stored.hint("merge").join(spans, ["tile_col", "tile_row"])
-    side = plan(joined).split("bucketed_tiles")[0].rsplit("SortMergeJoin", 1)[1]
-    assert "Exchange" not in side
-    masked = mask.mask_tiles(stored, joins.cut_lineage(spans), GRID)
-    assert masked.agg(F.sum("value")).head()[0] == 400.0
+    moved = mask.mask_tiles(stored, joins.cut_lineage(spans), GRID, broadcast_rows=1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = mask.mask_tiles(stored, joins.cut_lineage(spans), GRID, broadcast_rows=1)
+        side = plan(joined).split("bucketed_tiles")[0].rsplit("SortMergeJoin", 1)[1]
+        assert "Exchange" not in side
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moved.agg(F.sum("value")).head()[0] == 400.0
+
+
+def test_row_groups_of_tile_tables_are_bounded(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(tiles, "CELLS_PER_GROUP", 16 * 16 * 3)
+    path = tmp_path / "groups"
+    cells = micro.cells(spark, block(0, 0, 0, 128, 128, None))
+    tiles.save_tiles(tiles.pack_tiles(cells, 16), str(path), 16)
+    files = [pq.ParquetFile(f).metadata for f in path.rglob("*.parquet")]
+    sizes = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(sizes) == 64 and max(sizes) <= 3
+
+
+def test_warping_in_blocks_equals_warping_first(spark):
+    data = [(s, c, r, float((c * 7 + r * 5 + s) % 60 + 1)) for s in (0, 1) for c in range(150, 200, 1 + s) for r in range(40, 110)]
+    cells = micro.cells(spark, data)
+    axes = resample.mercator_axes(ZoomLevel(6, 16))
+    first = as_dict(resample.resample_bilinear(cells, GRID, axes))
+    inside = resample.resample_bilinear_in_blocks(cells, GRID, axes, 128)
+    assert plan(inside).count("Exchange hashpartitioning(block_col") == 1
+    got = as_dict(inside.drop("block_col", "block_row"))
+    assert set(got) == set(first) and inside.count() == len(got)
+    assert all(got[k] == pytest.approx(first[k]) for k in got)
+    placed = inside.where("block_col <> floor(col / 128) or block_row <> floor(row / 128)")
+    assert placed.count() == 0
