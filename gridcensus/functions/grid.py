@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: half the side of the Web Mercator square, in metres.
+# Half the side of the Web Mercator square in metres, and the latitude of its top.
 MERCATOR_HALF = 20037508.342789244
+MERCATOR_MAX_LAT = 85.05112877980659
 
 
 def tile_of(index: Column, tile_size: int) -> Column:

@@ -14,14 +14,15 @@ def block_span(tile_size: int, levels: int = LEVELS_PER_SHUFFLE) -> int:
     return tile_size << (levels - 1)
 
 
-def place_in_blocks(cells: DataFrame, span: int) -> DataFrame:
+def place_in_blocks(cells: DataFrame, span: int, partitions: int | None = None) -> DataFrame:
     """Hash-partition cells by square blocks of ``span`` cells a side."""
     side = F.lit(span)
+    keys = BLOCK if partitions is None else [partitions, *BLOCK]
     return cells.select(
         F.floor(F.col("col") / side).cast("int").alias("block_col"),
         F.floor(F.col("row") / side).cast("int").alias("block_row"),
         *[c for c in cells.columns if c not in BLOCK],
-    ).repartition(*BLOCK)
+    ).repartition(*keys)
 
 
 def pyramid_levels(

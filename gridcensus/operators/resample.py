@@ -101,57 +101,22 @@ def _neighbours(positions: DataFrame) -> DataFrame:
     return centred.select("t", F.inline(pair)).where(F.col("w") > 0)
 
 
-def _bilinear_axes(spark: SparkSession, source: GridSpec, axes: Axes) -> tuple[DataFrame, DataFrame]:
-    x, y = _positions(spark, axes, source)
-    return (
-        _neighbours(x).select(
-            F.col("s").alias("col"), F.col("t").alias("to_col"), F.col("w").alias("wx")
-        ),
-        _neighbours(y).select(
-            F.col("s").alias("row"), F.col("t").alias("to_row"), F.col("w").alias("wy")
-        ),
-    )
-
-
-def _weighted_mean(sent: DataFrame, *keys: str) -> DataFrame:
-    weight = F.col("wx") * F.col("wy")
-    return sent.groupBy(*keys, F.col("to_col").alias("col"), F.col("to_row").alias("row")).agg(
-        (F.sum(weight * F.col("value")) / F.sum(weight)).alias("value")
-    )
-
-
 def resample_bilinear(cells: DataFrame, source: GridSpec, axes: Axes) -> DataFrame:
     """Weighted mean of the up to four data cells around each target centre.
 
     Contributions combine within a task before the one shuffle, by (src, col, row).
     """
-    x, y = _bilinear_axes(cells.sparkSession, source, axes)
-    data = cells.where(is_data(F.col("value"))).select("src", "col", "row", "value")
-    return _weighted_mean(_with_targets(data, axes, x, y, reach=2), "src")
-
-
-def resample_bilinear_in_blocks(
-    cells: DataFrame, source: GridSpec, axes: Axes, span: int
-) -> DataFrame:
-    """The same, grouped in blocks of ``span`` target cells a side: block_col, block_row, ...
-
-    Source cells move to the blocks that read them, at a border to more than one, and all
-    weighting happens there. Where targets outnumber source cells this shuffles far fewer rows,
-    and a block never holds more cells of a source than it has targets. Where sources are finer
-    than the target, ``resample_bilinear`` reduces them before it shuffles.
-    """
-    x, y = _bilinear_axes(cells.sparkSession, source, axes)
-    x = x.withColumn("block_col", F.floor(F.col("to_col") / F.lit(span)).cast("int"))
-    y = y.withColumn("block_row", F.floor(F.col("to_row") / F.lit(span)).cast("int"))
+    x, y = _positions(cells.sparkSession, axes, source)
+    x = _neighbours(x).select(F.col("s").alias("col"), F.col("t").alias("to_col"), F.col("w").alias("wx"))
+    y = _neighbours(y).select(F.col("s").alias("row"), F.col("t").alias("to_row"), F.col("w").alias("wy"))
     data = cells.where(is_data(F.col("value"))).select("src", "col", "row", "value")
-    placed = _with_targets(
-        data,
-        axes,
-        x.select("col", "block_col").distinct(),
-        y.select("row", "block_row").distinct(),
-        reach=2,
-    ).repartition("block_col", "block_row")
-    sent = placed.join(_sized(x, axes[0], 2), ["col", "block_col"]).join(
-        _sized(y, axes[1], 2), ["row", "block_row"]
+    sent = _with_targets(data, axes, x, y, reach=2).select(
+        "src",
+        F.col("to_col").alias("col"),
+        F.col("to_row").alias("row"),
+        "value",
+        (F.col("wx") * F.col("wy")).alias("w"),
+    )
+    return sent.groupBy("src", "col", "row").agg(
+        (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value")
     )
-    return _weighted_mean(sent, "block_col", "block_row", "src")

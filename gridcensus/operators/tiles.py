@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
+from gridcensus.functions.values import is_data
 from gridcensus.operators.joins import join_masks
 
 
@@ -96,7 +97,7 @@ def unpack_tiles(tiles: DataFrame, tile_size: int, keep_nodata: bool = False) ->
     keys = [c for c in tiles.columns if c not in ("tile_col", "tile_row", "cells")]
     flat = tiles.select(*keys, "tile_col", "tile_row", F.posexplode("cells").alias("idx", "value"))
     if not keep_nodata:
-        flat = flat.where(F.col("value").isNotNull())
+        flat = flat.where(is_data(F.col("value")))
     return flat.select(
         *keys,
         (F.col("tile_col") * size + F.pmod(F.col("idx"), size)).cast("int").alias("col"),

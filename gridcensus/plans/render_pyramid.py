@@ -1,85 +1,137 @@
-"""Colour-classified Web Mercator pyramid of the merged population layer."""
+"""Colour-classified Web Mercator pyramid of the merged population layer.
+
+Two physical forms give the same pixels. Pixels finer than the raster are computed from packed
+tiles, block by block; coarser ones from cells, which reduce to pixels before they shuffle.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.functions.colors import GLOBAL_BREAKS, MAP_COLORS, classify, stable
+from gridcensus.functions.colors import GLOBAL_BREAKS, MAP_COLORS, classify, stable, tile_path
 from gridcensus.functions.grid import GridSpec, ZoomLevel
+from gridcensus.operators.block_tiles import coarser_levels, warp_levels
 from gridcensus.operators.mosaic import mosaic_cells
-from gridcensus.operators.pyramid import BLOCK, block_span, place_in_blocks, pyramid_levels
-from gridcensus.operators.resample import (
-    mercator_axes,
-    resample_bilinear,
-    resample_bilinear_in_blocks,
+from gridcensus.operators.pyramid import (
+    BLOCK,
+    LEVELS_PER_SHUFFLE,
+    block_span,
+    place_in_blocks,
+    pyramid_levels,
 )
-from gridcensus.operators.tiles import unpack_tiles
+from gridcensus.operators.resample import mercator_axes, resample_bilinear
+from gridcensus.operators.tiles import pack_tiles, unpack_tiles
 from gridcensus.sinks.map_tiles import color_tiles
 from gridcensus.sources import catalog
 
 BASE_ZOOM = 12
 
 
-def mercator_layer(raster: DataFrame, grid: GridSpec, level: ZoomLevel) -> DataFrame:
+def finer_than_raster(level: ZoomLevel, grid: GridSpec) -> bool:
+    return 360.0 / level.pixels <= grid.cell_width
+
+
+def mercator_layer(
+    raster: DataFrame, grid: GridSpec, level: ZoomLevel, partitions: int | None = None
+) -> DataFrame:
     """(block_col, block_row, col, row, value) at one zoom: sources warped bilinearly, then merged.
 
-    Cells end up in the pyramid's blocks, so merging and the levels above need no shuffle of
-    their own. Pixels finer than the raster are warped inside the blocks; coarser ones are first
-    reduced to pixels and then placed.
+    Warped cells are placed in the pyramid's blocks first, so merging and the levels above share
+    one shuffle.
     """
     cells = unpack_tiles(raster, grid.tile_size) if "cells" in raster.columns else raster
-    axes, span = mercator_axes(level), block_span(level.tile_size)
-    pixel_degrees = 360.0 / level.pixels
-    if pixel_degrees <= grid.cell_width:
-        warped = resample_bilinear_in_blocks(cells, grid, axes, span)
-    else:
-        warped = place_in_blocks(resample_bilinear(cells, grid, axes), span)
-    return mosaic_cells(warped, *BLOCK)
+    warped = resample_bilinear(cells, grid, mercator_axes(level))
+    return mosaic_cells(place_in_blocks(warped, block_span(level.tile_size), partitions), *BLOCK)
 
 
-def render_levels(
+def cell_levels(
     raster: DataFrame,
     grid: GridSpec,
-    *,
-    base_zoom: int = BASE_ZOOM,
-    min_zoom: int = 0,
-    tile_size: int = 256,
-    include: Sequence[int] | None = None,
-    exclude: Sequence[int] | None = None,
+    base_zoom: int,
+    min_zoom: int,
+    tile_size: int,
+    partitions: int | None = None,
 ) -> list[tuple[int, DataFrame]]:
-    raster = catalog.exclude(catalog.include(raster, include, "src"), exclude, "src")
-    base = mercator_layer(raster, grid, ZoomLevel(base_zoom, tile_size))
+    """[(zoom, pixels)] by way of cells."""
+    base = mercator_layer(raster, grid, ZoomLevel(base_zoom, tile_size), partitions)
     return pyramid_levels(base, base_zoom, min_zoom, tile_size)
 
 
+def tile_levels(
+    raster: DataFrame,
+    grid: GridSpec,
+    base_zoom: int,
+    min_zoom: int,
+    tile_size: int,
+    partitions: int | None = None,
+) -> DataFrame:
+    """(zoom, tile_col, tile_row, cells) of all levels by way of packed tiles."""
+    packed = raster if "cells" in raster.columns else pack_tiles(raster, grid.tile_size)
+    span = block_span(tile_size)
+
+    def count(zoom: int) -> int:
+        return min(LEVELS_PER_SHUFFLE, zoom - min_zoom + 1)
+
+    base = ZoomLevel(base_zoom, tile_size)
+    steps = [warp_levels(packed, grid, base, count(base_zoom), span, partitions)]
+    for zoom in range(base_zoom - LEVELS_PER_SHUFFLE, min_zoom - 1, -LEVELS_PER_SHUFFLE):
+        steps.append(coarser_levels(steps[-1], zoom, count(zoom), tile_size, span))
+    return reduce(DataFrame.unionByName, steps)
+
+
 def render_pyramid(
     raster: DataFrame,
     grid: GridSpec,
     *,
+    base_zoom: int = BASE_ZOOM,
+    min_zoom: int = 0,
+    tile_size: int = 256,
     colors: Sequence[int] = MAP_COLORS,
     breaks: Sequence[float] = GLOBAL_BREAKS,
-    **options,
+    include: Sequence[int] | None = None,
+    exclude: Sequence[int] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """(zoom, col, row, color) of every pixel with data on every level."""
-    tables = [
-        cells.select(
-            F.lit(zoom).alias("zoom"), "col", "row",
-            classify(stable(F.col("value")), colors, breaks).alias("color"),
+    raster = catalog.exclude(catalog.include(raster, include, "src"), exclude, "src")
+    span = (base_zoom, min_zoom, tile_size, partitions)
+    if finer_than_raster(ZoomLevel(base_zoom, tile_size), grid):
+        pixels = unpack_tiles(tile_levels(raster, grid, *span), tile_size)
+    else:
+        levels = cell_levels(raster, grid, *span)
+        pixels = reduce(
+            DataFrame.unionByName,
+            [cells.select(F.lit(zoom).alias("zoom"), "col", "row", "value") for zoom, cells in levels],
         )
-        for zoom, cells in render_levels(raster, grid, **options)
-    ]
-    union = tables[0]
-    for table in tables[1:]:
-        union = union.unionByName(table)
-    return union
+    color = classify(stable(F.col("value")), colors, breaks)
+    return pixels.select("zoom", "col", "row", color.alias("color"))
 
 
 def render_tiles(
-    raster: DataFrame, grid: GridSpec, output: str, *, tile_size: int = 256, **options
+    raster: DataFrame,
+    grid: GridSpec,
+    output: str,
+    *,
+    base_zoom: int = BASE_ZOOM,
+    min_zoom: int = 0,
+    tile_size: int = 256,
+    colors: Sequence[int] = MAP_COLORS,
+    breaks: Sequence[float] = GLOBAL_BREAKS,
+    include: Sequence[int] | None = None,
+    exclude: Sequence[int] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The same packed as tile rows with their object path and RGBA array."""
-    levels = render_levels(raster, grid, tile_size=tile_size, **options)
-    return color_tiles(levels, tile_size, output)
+    """The same packed as tile rows (zoom, tile_col, tile_row, path, rgba)."""
+    raster = catalog.exclude(catalog.include(raster, include, "src"), exclude, "src")
+    span = (base_zoom, min_zoom, tile_size, partitions)
+    if not finer_than_raster(ZoomLevel(base_zoom, tile_size), grid):
+        return color_tiles(cell_levels(raster, grid, *span), tile_size, output, colors, breaks)
+    shades = F.transform("cells", lambda v: classify(stable(v), colors, breaks))
+    path = tile_path(output, F.col("zoom"), F.col("tile_col"), F.col("tile_row"))
+    return tile_levels(raster, grid, *span).select(
+        "zoom", "tile_col", "tile_row", path.alias("path"), shades.alias("rgba")
+    )

@@ -68,6 +68,20 @@ def exclude(df: DataFrame, unwanted: Sequence[str] | DataFrame | None, code: str
     return df.where(~F.col(code).isin(list(unwanted)))
 
 
+def source_ids(sources: DataFrame, codes: Sequence[str]) -> list[int]:
+    """Source numbers of the given codes, from a table with src and code; unknown codes fail.
+
+    Brings back no more rows than there are codes.
+    """
+    wanted = [code.upper() for code in codes]
+    found = sources.where(F.col("code").isin(wanted)).groupBy("code").agg(F.min("src").alias("src"))
+    numbers = {row["code"]: row["src"] for row in found.collect()}
+    missing = sorted(set(wanted) - set(numbers))
+    if missing:
+        raise ValueError(f"unknown country codes {missing}")
+    return [numbers[code] for code in wanted]
+
+
 def source_url(base: str, code: Column, suffix: str = "_ppp_2020.tif") -> Column:
     """Location of a country's raster: base/{CODE}/{code in lower case}{suffix}."""
     upper = clean_code(code)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GLOBAL_100M, GridSpec, ZoomLevel
 from gridcensus.operators import joins, mask, mosaic, pyramid, regions as region_ops, resample, tiles
-from gridcensus.plans.render_pyramid import render_pyramid, render_tiles
+from gridcensus.plans.render_pyramid import cell_levels, render_pyramid, render_tiles, tile_levels
 from gridcensus.sources import rasters
 
 SMALL = GridSpec(0.0, 0.0, 12.0, 9.0, 1.0, 1.0, 4)
@@ -123,29 +123,27 @@ def test_pyramid_levels_are_means_of_means(spark):
 
 def test_rendering_shuffles_once_per_four_levels(spark):
     cells = micro.cells(spark, block(0, 180, 80, 10, 10))
-    # zoom 4 is coarser than the raster: reduce, then blocks for levels 4..1 and 0
-    # zoom 6 is finer: blocks for levels 6..3 and 2..0 only, next to two tables of axis blocks
-    for zoom, data_shuffles, axis_shuffles in ((4, 3, 0), (6, 2, 2)):
-        drawn = render_pyramid(cells, GRID, base_zoom=zoom, min_zoom=0, tile_size=16)
-        drawn.collect()
-        final = plan(drawn).split("== Initial Plan ==")[0]
-        fresh = [
-            line
-            for line in final.splitlines()
-            if "Exchange hashpartitioning" in line and "Reused" not in line
-        ]
-        axis = [line for line in fresh if "hashpartitioning(col" in line or "hashpartitioning(row" in line]
-        assert len(axis) == axis_shuffles, "\n".join(fresh)
-        assert len(fresh) - len(axis) == data_shuffles, "\n".join(fresh)
-
-
-def test_tiles_carry_path_and_every_pixel(spark):
+    # pixels are coarser than cells: reduce to pixels, then blocks for levels 4..1 and 0
+    drawn = render_pyramid(cells, GRID, base_zoom=4, min_zoom=0, tile_size=16)
+    drawn.collect()
+    final = plan(drawn).split("== Initial Plan ==")[0]
+    fresh = [
+        line
+        for line in final.splitlines()
+        if "Exchange hashpartitioning" in line and "Reused" not in line
+    ]
+    assert len(fresh) == 3, "\n".join(fresh)
+
+
+@pytest.mark.parametrize("zoom", [4, 6])
+def test_tiles_carry_path_and_every_pixel(spark, zoom):
     cells = micro.cells(spark, block(0, 180, 80, 10, 10, 3.0))
-    drawn = render_tiles(cells, GRID, "out", base_zoom=4, min_zoom=3, tile_size=16)
+    drawn = render_tiles(cells, GRID, "out", base_zoom=zoom, min_zoom=zoom - 1, tile_size=16)
     rows = drawn.collect()
     assert {len(r["rgba"]) for r in rows} == {256}
     assert all(r["path"] == f"out/{r['zoom']}/{r['tile_col']}/{r['tile_row']}.png" for r in rows)
-    pixels = render_pyramid(cells, GRID, base_zoom=4, min_zoom=3, tile_size=16).where("color <> 0").count()
+    pixels = render_pyramid(cells, GRID, base_zoom=zoom, min_zoom=zoom - 1, tile_size=16)
+    pixels = pixels.where("color <> 0").count()
     assert sum(sum(c != 0 for c in r["rgba"]) for r in rows) == pixels
 
 
@@ -196,15 +194,41 @@ def test_row_groups_of_tile_tables_are_bounded(spark, tmp_path, monkeypatch):
     assert sum(sizes) == 64 and max(sizes) <= 3
 
 
-def test_warping_in_blocks_equals_warping_first(spark):
-    data = [(s, c, r, float((c * 7 + r * 5 + s) % 60 + 1)) for s in (0, 1) for c in range(150, 200, 1 + s) for r in range(40, 110)]
+@pytest.mark.parametrize("zoom, tile_size", [(6, 16), (5, 64)])
+def test_tiles_and_cells_render_the_same_levels(spark, zoom, tile_size):
+    """Levels across two shuffles, sources that overlap, tiles on block borders and the map's edge."""
+    data = [
+        (s, c, r, float((c * 7 + r * 5 + s) % 60 + 1) if (c + r) % 11 else None)
+        for s in (0, 1)
+        for c in [*range(0, 9), *range(150, 200, 1 + s), *range(355, 360)]
+        for r in [*range(3, 20), *range(40, 110)]
+    ]
     cells = micro.cells(spark, data)
-    axes = resample.mercator_axes(ZoomLevel(6, 16))
-    first = as_dict(resample.resample_bilinear(cells, GRID, axes))
-    inside = resample.resample_bilinear_in_blocks(cells, GRID, axes, 128)
-    assert plan(inside).count("Exchange hashpartitioning(block_col") == 1
-    got = as_dict(inside.drop("block_col", "block_row"))
-    assert set(got) == set(first) and inside.count() == len(got)
-    assert all(got[k] == pytest.approx(first[k]) for k in got)
-    placed = inside.where("block_col <> floor(col / 128) or block_row <> floor(row / 128)")
-    assert placed.count() == 0
+    tiled = tile_levels(tiles.pack_tiles(cells, GRID.tile_size), GRID, zoom, 0, tile_size)
+    got = {
+        (r["zoom"], r["col"], r["row"]): r["value"]
+        for r in tiles.unpack_tiles(tiled, tile_size).collect()
+    }
+    expected = {
+        (z, r["col"], r["row"]): r["value"]
+        for z, level in cell_levels(cells, GRID, zoom, 0, tile_size)
+        for r in level.collect()
+    }
+    assert {k[0] for k in got} == set(range(zoom + 1))
+    assert set(got) == set(expected)
+    assert all(got[k] == pytest.approx(expected[k]) for k in got)
+    assert tiled.groupBy("zoom", "tile_col", "tile_row").count().where("count > 1").isEmpty()
+
+
+def test_packed_rendering_moves_tiles_once_per_four_levels(spark):
+    packed = tiles.pack_tiles(micro.cells(spark, block(0, 180, 80, 10, 10)), GRID.tile_size)
+    joins.cut_lineage(packed)
+    drawn = tile_levels(joins.cut_lineage(packed), GRID, 6, 0, 16)
+    drawn.collect()
+    final = plan(drawn).split("== Initial Plan ==")[0]
+    fresh = [
+        line
+        for line in final.splitlines()
+        if "Exchange hashpartitioning" in line and "Reused" not in line
+    ]
+    assert len(fresh) == 2, "\n".join(fresh)

@@ -77,6 +77,10 @@ def test_catalog(spark, tmp_path):
         catalog.resolve_codes(asked, codes).collect()
     assert [r["code"] for r in catalog.include(codes, ["AAA"]).collect()] == ["AAA"]
     assert [r["code"] for r in catalog.exclude(codes, ["AAA"]).collect()] == ["BBB"]
+    numbered = spark.createDataFrame([(3, "AAA"), (8, "BBB")], "src int, code string")
+    assert catalog.source_ids(numbered, ["bbb", "AAA"]) == [8, 3]
+    with pytest.raises(ValueError, match="ZZZ"):
+        catalog.source_ids(numbered, ["AAA", "zzz"])
     url = asked.select(catalog.source_url("base", F.col("code")).alias("u")).head()["u"]
     assert url == "base/AAA/aaa_ppp_2020.tif"
 
