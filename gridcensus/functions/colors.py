@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,8 +35,8 @@ MAP_COLORS = first_break_transparent(BLUE_RAMP)
 
 
 def stable(value: Column) -> Column:
-    """A mean rounded so that the order of its sum cannot move it over a class break."""
-    return F.round(value, 6)
+    """A mean to six digits, so that the order of its sum cannot move it over a class break."""
+    return F.floor(value * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
 def classify(
@@ -55,6 +57,26 @@ def classify(
     return color.otherwise(F.lit(last).cast("bigint"))
 
 
+def classify_arrays(
+    colors: Sequence[int] = MAP_COLORS,
+    breaks: Sequence[float] = GLOBAL_BREAKS,
+    nodata: int = TRANSPARENT,
+) -> Callable[[Column], Column]:
+    """``classify`` of ``stable`` values for a column of packed cells, an array at a time."""
+    limits = np.asarray(breaks, dtype=float)
+    shades = [colors[min(i, len(breaks) - 1, len(colors) - 1)] for i in range(len(breaks) + 1)]
+    palette = np.asarray(shades, dtype=np.int64)
+
+    def shade(cells: np.ndarray) -> np.ndarray:
+        values = np.floor(np.asarray(cells, dtype=float) * 1e6 + 0.5) / 1e6
+        return np.where(np.isnan(values), nodata, palette[np.searchsorted(limits, values)])
+
+    def shade_all(cells: pd.Series) -> pd.Series:
+        return cells.map(shade)
+
+    return F.pandas_udf(shade_all, "array<bigint>")
+
+
 def channels(rgba: Column) -> Column:
     """[red, green, blue, alpha] of a colour."""
     return F.array(

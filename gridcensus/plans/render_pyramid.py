@@ -12,7 +12,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.functions.colors import GLOBAL_BREAKS, MAP_COLORS, classify, stable, tile_path
+from gridcensus.functions.colors import (
+    GLOBAL_BREAKS,
+    MAP_COLORS,
+    classify,
+    classify_arrays,
+    stable,
+    tile_path,
+)
 from gridcensus.functions.grid import GridSpec, ZoomLevel
 from gridcensus.operators.block_tiles import coarser_levels, warp_levels
 from gridcensus.operators.mosaic import mosaic_cells
@@ -130,7 +137,7 @@ def render_tiles(
     span = (base_zoom, min_zoom, tile_size, partitions)
     if not finer_than_raster(ZoomLevel(base_zoom, tile_size), grid):
         return color_tiles(cell_levels(raster, grid, *span), tile_size, output, colors, breaks)
-    shades = F.transform("cells", lambda v: classify(stable(v), colors, breaks))
+    shades = classify_arrays(colors, breaks)(F.col("cells"))
     path = tile_path(output, F.col("zoom"), F.col("tile_col"), F.col("tile_row"))
     return tile_levels(raster, grid, *span).select(
         "zoom", "tile_col", "tile_row", path.alias("path"), shades.alias("rgba")

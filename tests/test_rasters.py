@@ -6,6 +6,7 @@ import pytest
 from micro import GRID, block, plan, square
 from pyspark.sql import functions as F
 
+from gridcensus.functions import colors
 from gridcensus.functions.grid import GLOBAL_100M, GridSpec, ZoomLevel
 from gridcensus.operators import joins, mask, mosaic, pyramid, regions as region_ops, resample, tiles
 from gridcensus.plans.render_pyramid import cell_levels, render_pyramid, render_tiles, tile_levels
@@ -147,6 +148,22 @@ def test_tiles_carry_path_and_every_pixel(spark, zoom):
     assert sum(sum(c != 0 for c in r["rgba"]) for r in rows) == pixels
 
 
+def test_array_colours_equal_cell_colours(spark):
+    values = [0.0, 0.5, 1.0, 1.0000001, 1.00001, 2.0, 5.0, 49.9, 50.0, 50.1, 1000.0, 1000.1, 9e4, None]
+    cells = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    for palette, breaks in (
+        (colors.MAP_COLORS, colors.GLOBAL_BREAKS),
+        (colors.ORANGE_NINE, colors.TWOFOLD_BREAKS),
+        (colors.MAP_COLORS, colors.GLOBAL_BREAKS[:4]),
+    ):
+        single = cells.select("i", colors.classify(colors.stable(F.col("v")), palette, breaks).alias("c"))
+        packed = cells.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda e: e["v"]).alias("a"))
+        shades = packed.select(colors.classify_arrays(palette, breaks)(F.col("a")).alias("c")).head()["c"]
+        assert shades == [r["c"] for r in single.orderBy("i").collect()]
+    red = cells.limit(1).select(colors.channels(F.lit(0xFF8001FE)).alias("c")).head()["c"]
+    assert red == [255, 128, 1, 254]
+
+
 def test_zoom_level_size():
     assert ZoomLevel(12).pixels == 1 << 20
     assert ZoomLevel(0).pixel_metres == pytest.approx(156543.03392804097)
