@@ -422,15 +422,17 @@ oracle(
 )
 
 
-def levels(base: str) -> str:
-    """Levels l4 to l0 from a base of (col, row, value)."""
-    chain = [f"l4 as (select col, row, value from {base})"]
-    for z in (3, 2, 1, 0):
+def levels(base: str, top: int = 4) -> str:
+    """Levels from ``top`` down to 0 from a base of (col, row, value)."""
+    chain = [f"l{top} as (select col, row, value from {base})"]
+    for z in reversed(range(top)):
         chain.append(
             f"l{z} as (select cast(col//2 as int) as col, cast(row//2 as int) as row,"
             f" avg(value) as value from l{z + 1} group by 1,2)"
         )
-    union = " union all ".join(f"select {z} as zoom, col, row, value from l{z}" for z in range(5))
+    union = " union all ".join(
+        f"select {z} as zoom, col, row, value from l{z}" for z in range(top + 1)
+    )
     chain.append(f"levels as ({union})")
     return ",\n".join(chain)
 
@@ -522,25 +524,32 @@ oracle("region_population", CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REG
 oracle("region_csv", CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
 
 H = "20037508.342789244e0"
-RENDER = (
-    CELLS,
-    axis("ax", f"((((range+0.5e0)*(2*{H}/256)-{H})*180/{H})+180)", 256),
-    axis("ay", f"(90-degrees(2*atan(exp(({H}-(range+0.5e0)*(2*{H}/256))/6378137e0))-pi()/2))", 256),
-    BILINEAR,
-    "warped as (select col, row, arg_min(value, src) as value from sampled group by 1,2)",
-    levels("warped"),
-    f"pixels as (select zoom, col, row, {color_case('round(value,6)', MAP, BREAKS)} as color from levels)",
-)
 
-oracle("render_pyramid", *RENDER, body="select zoom, col, row, color from pixels")
-oracle(
-    "render_tiles",
-    *RENDER,
-    body="""select t.zoom, t.tile_col, t.tile_row,
+
+def render(zoom: int) -> tuple[str, ...]:
+    """Pixels of all levels from a base zoom with 16-pixel tiles."""
+    n = 16 << zoom
+    lon = f"(((range+0.5e0)*(2*{H}/{n})-{H})*180/{H})"
+    lat = f"degrees(2*atan(exp(({H}-(range+0.5e0)*(2*{H}/{n}))/6378137e0))-pi()/2)"
+    return (
+        CELLS,
+        axis("ax", f"({lon}+180)", n),
+        axis("ay", f"(90-{lat})", n),
+        BILINEAR,
+        "warped as (select col, row, arg_min(value, src) as value from sampled group by 1,2)",
+        levels("warped", zoom),
+        f"pixels as (select zoom, col, row, {color_case('round(value,6)', MAP, BREAKS)} as color from levels)",
+    )
+
+
+RENDERED_TILES = """select t.zoom, t.tile_col, t.tile_row,
  'out/'||t.zoom||'/'||t.tile_col||'/'||t.tile_row||'.png' as path,
  string_agg(cast(coalesce(p.color,0) as varchar),' ' order by i.range) as rgba
  from (select distinct zoom, cast(col//16 as int) as tile_col, cast(row//16 as int) as tile_row from pixels) t
  cross join range(256) i
  left join pixels p on p.zoom=t.zoom and p.col=t.tile_col*16+i.range%16 and p.row=t.tile_row*16+i.range//16
- group by 1,2,3,4""",
-)
+ group by 1,2,3,4"""
+
+oracle("render_pyramid", *render(4), body="select zoom, col, row, color from pixels")
+oracle("render_tiles", *render(4), body=RENDERED_TILES)
+oracle("render_tiles_fine", *render(5), body=RENDERED_TILES)

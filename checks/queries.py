@@ -706,10 +706,21 @@ def render_pyramid(spark, sf):
     )
 
 
+def _tile_text(tiles: DataFrame) -> DataFrame:
+    shades = F.array_join(F.transform("rgba", lambda c: c.cast("string")), " ")
+    return tiles.select("zoom", "tile_col", "tile_row", "path", shades.alias("rgba"))
+
+
 @query
 def render_tiles(spark, sf):
-    tiles = render.render_tiles(
-        fx.cells(spark, sf), GRID, OUTPUT, base_zoom=BASE_ZOOM, tile_size=TILE
+    cells = fx.cells(spark, sf)
+    return _tile_text(render.render_tiles(cells, GRID, OUTPUT, base_zoom=BASE_ZOOM, tile_size=TILE))
+
+
+@query
+def render_tiles_fine(spark, sf):
+    """Pixels finer than the raster, by way of packed tiles."""
+    packed = fx.tiles(spark, sf)
+    return _tile_text(
+        render.render_tiles(packed, GRID, OUTPUT, base_zoom=BASE_ZOOM + 1, tile_size=TILE)
     )
-    shades = F.array_join(F.transform("rgba", lambda c: c.cast("string")), " ")
-    return tiles.select("zoom", "tile_col", "tile_row", "path", shades.alias("rgba"))
