@@ -622,7 +622,7 @@ def rebalance_tiles(spark, sf):
         "value",
     )
     work = keys.groupBy("src", "tile_col", "tile_row").agg(F.count("value").alias("n_data"))
-    return tile_ops.rebalance_tiles(work)
+    return tile_ops.rebalance(work)
 
 
 # --- jobs and their sinks --------------------------------------------------------------------

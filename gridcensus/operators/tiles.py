@@ -117,10 +117,11 @@ def scan_windows(tiles: DataFrame, wanted: DataFrame) -> DataFrame:
     return join_masks(tiles, wanted.select(*keys).distinct(), keys, spread=["src"])
 
 
-def rebalance_tiles(tiles: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Spread tile work evenly by tile and source, so a crowded tile key is not one task."""
-    keys = [F.col(c) for c in ("tile_col", "tile_row", "src")]
-    return tiles.repartition(*keys) if partitions is None else tiles.repartition(partitions, *keys)
+def rebalance(raster: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread work evenly by place and source, so a crowded tile key is not one task."""
+    place = ["tile_col", "tile_row"] if "tile_col" in raster.columns else ["col", "row"]
+    keys = [F.col(c) for c in (*place, "src")]
+    return raster.repartition(*keys) if partitions is None else raster.repartition(partitions, *keys)
 
 
 # Cells one Parquet row group may hold. The vectorised reader fills a batch from one group, and

@@ -11,8 +11,8 @@ from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import density, truncate_long
 from gridcensus.operators import area, mask, regions as region_ops, tiles as tile_ops, zonal
 from gridcensus.operators.joins import cut_lineage
+from gridcensus.plans.inputs import prepare
 from gridcensus.sinks import reports
-from gridcensus.sources import catalog
 
 KEYS = ["adm1_code", "adm0_a3"]
 STATS = ["zmin", "zmax", "mean", "median", "mode", "stddev"]
@@ -27,18 +27,20 @@ def admin1_population(
     drop_antimeridian: bool = True,
     keep_empty: bool = False,
     exact_mode: bool = True,
+    source_grid: GridSpec | None = None,
     include: Sequence[int] | None = None,
     exclude: Sequence[int] | None = None,
+    partitions: int | None = None,
     **limits,
 ) -> DataFrame:
     """One row per region that some source tile meets.
 
-    regions: region_id, adm1_code, adm0_a3, geom. raster: cells or packed tiles on ``grid``.
+    regions: region_id, adm1_code, adm0_a3, geom. raster: cells or packed tiles on ``grid``, or on
+    ``source_grid`` to be brought there by nearest neighbour.
     sources: src, xmin, ymin, xmax, ymax. Every part of a region counts its own cells.
     ``exact_mode`` off takes the mode from the 64-bin sketch and saves the second pass.
     """
-    raster = catalog.exclude(catalog.include(raster, include, "src"), exclude, "src")
-    sources = catalog.exclude(catalog.include(sources, include, "src"), exclude, "src")
+    raster, sources = prepare(raster, sources, grid, source_grid, include, exclude, partitions)
 
     parts = region_ops.explode_parts(regions)
     counted = region_ops.drop_antimeridian(parts) if drop_antimeridian else parts

@@ -11,7 +11,7 @@ from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import truncate_long
 from gridcensus.operators import mask, regions as region_ops, tiles as tile_ops, zonal
 from gridcensus.operators.joins import cut_lineage
-from gridcensus.sources import catalog
+from gridcensus.plans.inputs import prepare
 
 
 def region_population(
@@ -20,16 +20,17 @@ def region_population(
     sources: DataFrame,
     grid: GridSpec,
     *,
+    source_grid: GridSpec | None = None,
     include: Sequence[int] | None = None,
     exclude: Sequence[int] | None = None,
+    partitions: int | None = None,
     **limits,
 ) -> DataFrame:
     """(location_name, population) of the regions some source tile meets; equal names add up.
 
     A cell counts once in a region however many of its parts cover it.
     """
-    raster = catalog.exclude(catalog.include(raster, include, "src"), exclude, "src")
-    sources = catalog.exclude(catalog.include(sources, include, "src"), exclude, "src")
+    raster, sources = prepare(raster, sources, grid, source_grid, include, exclude, partitions)
 
     parts = region_ops.explode_parts(regions.select("region_id", "geom"))
     spans = cut_lineage(

@@ -218,3 +218,26 @@ def test_region_job_adds_equal_names(spark):
     )
     rows = region_population(renamed, cells, extents, GRID).collect()
     assert {r["location_name"]: r["population"] for r in rows}["same"] == 40 + 72
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_jobs_bring_rasters_on_another_grid_to_theirs(spark, packed):
+    """Half-degree cells, off by half a cell and a bit: each job cell reads the one at its centre."""
+    source = GridSpec(-180.0 + 0.25044, -90.0, 180.0, 90.0 - 0.1, 0.5, 0.5, 8)
+    data = [(0, c, r, float((c * 7 + r) % 23)) for c in range(330, 400) for r in range(150, 200)]
+    cells = micro.cells(spark, data)
+    raster = tile_ops.pack_tiles(cells, source.tile_size) if packed else cells
+    regions = micro.regions(spark, {"a": [[square(-5, 0, 11)]]})
+    extents = micro.sources(spark, (0, -15, -10, 20, 15))
+    known = {(c, r): v for _, c, r, v in data}
+    expected = 0.0
+    for x in range(-5, 6):
+        for y in range(0, 11):
+            c = int((x + 0.5 - source.xmin) // 0.5)
+            r = int((source.ymax - (y + 0.5)) // 0.5)
+            expected += known[(c, r)]
+    options = {"source_grid": source, "partitions": 3}
+    admin = admin1_population(regions, raster, extents, GRID, **options).head()
+    named = region_population(regions, raster, extents, GRID, **options).head()
+    assert admin["population"] == named["population"] == int(expected)
+    assert admin["n_cells"] == 121
