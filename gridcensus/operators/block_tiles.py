@@ -31,23 +31,27 @@ def _halve(block: np.ndarray) -> np.ndarray:
     return np.where(n > 0, total / np.maximum(n, 1), np.nan)
 
 
-def _cut(block: np.ndarray, col: int, row: int, zoom: int, levels: int, size: int) -> Iterator[pd.DataFrame]:
-    """Tiles with data on each level of a block at block position (col, row)."""
-    for level in range(levels):
+def _cut(
+    block: np.ndarray, col: int, row: int, zooms: range, wanted: range, size: int
+) -> Iterator[pd.DataFrame]:
+    """Tiles with data on the wanted levels of a block at block position (col, row)."""
+    for zoom in zooms:
+        if zoom != zooms[0]:
+            block = _halve(block)
+        if zoom not in wanted:
+            continue
         n = block.shape[0] // size
         tiles = block.reshape(n, size, n, size).swapaxes(1, 2)
         rows, cols = np.nonzero(np.isfinite(tiles).any(axis=(2, 3)))
         if len(rows):
             yield pd.DataFrame(
                 {
-                    "zoom": zoom - level,
+                    "zoom": zoom,
                     "tile_col": col * n + cols,
                     "tile_row": row * n + rows,
                     "cells": [tiles[r, c].ravel() for r, c in zip(rows, cols)],
                 }
             )
-        if level + 1 < levels:
-            block = _halve(block)
 
 
 class _Warp:
@@ -130,16 +134,19 @@ def warp_levels(
     tiles: DataFrame,
     grid: GridSpec,
     level: ZoomLevel,
-    levels: int,
+    zooms: range,
     span: int,
+    wanted: range | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """(zoom, tile_col, tile_row, cells) of the base level and those above it, in one shuffle.
 
-    Sources are warped bilinearly and the lowest with data wins a pixel. ``span`` is a block's
-    side in pixels and must hold whole tiles on every level.
+    Sources are warped bilinearly and the lowest with data wins a pixel. ``zooms`` counts down
+    from the base level; only ``wanted`` ones are handed on. ``span`` is a block's side in pixels
+    and must hold whole tiles on every level.
     """
     size = level.tile_size
+    wanted = zooms if wanted is None else wanted
     span = min(span, level.pixels)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,14 +161,14 @@ def warp_levels(
                     warp.clear()
                 if key != (bc, br):
                     if key is not None:
-                        yield from _cut(block, *key, level.zoom, levels, size)
+                        yield from _cut(block, *key, zooms, wanted, size)
                     warp = _Warp(grid, level, span, bc, br)
                     block = np.full((span, span), np.nan)
                 key, source = (bc, br), src
                 warp.add(tc, tr, cells)
         if key is not None:
             block = np.where(np.isnan(block), warp.pixels(), block)
-            yield from _cut(block, *key, level.zoom, levels, size)
+            yield from _cut(block, *key, zooms, wanted, size)
 
     placed = _to_blocks(tiles.select("src", "tile_col", "tile_row", "cells"), grid, level, span)
     keys = BLOCK if partitions is None else [partitions, *BLOCK]
@@ -169,10 +176,12 @@ def warp_levels(
     return ordered.mapInPandas(run, TILES)
 
 
-def coarser_levels(tiles: DataFrame, zoom: int, levels: int, size: int, span: int) -> DataFrame:
-    """Levels ``zoom`` and above from the tiles of level ``zoom`` + 1, in one shuffle."""
-    pixels = ZoomLevel(zoom, size).pixels
-    span = min(span, pixels)
+def coarser_levels(
+    tiles: DataFrame, zooms: range, size: int, span: int, wanted: range | None = None
+) -> DataFrame:
+    """Levels ``zooms``, counting down, from the tiles of the level below, in one shuffle."""
+    wanted = zooms if wanted is None else wanted
+    span = min(span, ZoomLevel(zooms[0], size).pixels)
     across = span // size
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,17 +194,16 @@ def coarser_levels(tiles: DataFrame, zoom: int, levels: int, size: int, span: in
             ):
                 if key != (bc, br):
                     if key is not None:
-                        yield from _cut(block, *key, zoom, levels, size)
+                        yield from _cut(block, *key, zooms, wanted, size)
                     key, block = (bc, br), np.full((span, span), np.nan)
                 y, x = tr * half - br * span, tc * half - bc * span
                 tile = np.asarray(cells, dtype=float).reshape(size, size)
                 block[y : y + half, x : x + half] = _halve(tile)
         if key is not None:
-            yield from _cut(block, *key, zoom, levels, size)
+            yield from _cut(block, *key, zooms, wanted, size)
 
-    finer = tiles.where(F.col("zoom") == zoom + 1)
     side = F.lit(2 * across)
-    placed = finer.select(
+    placed = tiles.where(F.col("zoom") == zooms[0] + 1).select(
         F.floor(F.col("tile_col") / side).cast("int").alias("block_col"),
         F.floor(F.col("tile_row") / side).cast("int").alias("block_row"),
         "tile_col", "tile_row", "cells",

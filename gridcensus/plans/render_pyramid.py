@@ -76,17 +76,25 @@ def tile_levels(
     tile_size: int,
     partitions: int | None = None,
 ) -> DataFrame:
-    """(zoom, tile_col, tile_row, cells) of all levels by way of packed tiles."""
+    """(zoom, tile_col, tile_row, cells) of all levels by way of packed tiles.
+
+    Each step reads its shuffle twice: once for its own levels, and once for just the last of
+    them, which the next step starts from.
+    """
     packed = raster if "cells" in raster.columns else pack_tiles(raster, grid.tile_size)
     span = block_span(tile_size)
+    base = ZoomLevel(base_zoom, tile_size)
+    steps, last = [], None
+    for top in range(base_zoom, min_zoom - 1, -LEVELS_PER_SHUFFLE):
+        zooms = range(top, max(top - LEVELS_PER_SHUFFLE, min_zoom - 1), -1)
 
-    def count(zoom: int) -> int:
-        return min(LEVELS_PER_SHUFFLE, zoom - min_zoom + 1)
+        def step(wanted: range, zooms: range = zooms, finer: DataFrame | None = last) -> DataFrame:
+            if finer is None:
+                return warp_levels(packed, grid, base, zooms, span, wanted, partitions)
+            return coarser_levels(finer, zooms, tile_size, span, wanted)
 
-    base = ZoomLevel(base_zoom, tile_size)
-    steps = [warp_levels(packed, grid, base, count(base_zoom), span, partitions)]
-    for zoom in range(base_zoom - LEVELS_PER_SHUFFLE, min_zoom - 1, -LEVELS_PER_SHUFFLE):
-        steps.append(coarser_levels(steps[-1], zoom, count(zoom), tile_size, span))
+        steps.append(step(zooms))
+        last = step(zooms[-1:])
     return reduce(DataFrame.unionByName, steps)
 
 
