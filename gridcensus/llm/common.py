@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a run of characters other than these, in every contract of this subpackage.
 SPACES = " \t\n\x0b\x0c\r"
@@ -38,6 +40,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few rows of the driver as a table, parsed from one literal, so that no Python runs for them."""
+    parsed = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(T.StructType.fromDDL(schema)))
+    return spark.range(1).select(F.inline(parsed))
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 

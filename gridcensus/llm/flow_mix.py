@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import materialize, running_total, unit_hash, word_count
+from gridcensus.llm.common import local_table, materialize, running_total, unit_hash, word_count
 
 ROWS_PER_PART = 256
 BROADCAST_PATTERNS = 100_000
@@ -173,12 +173,12 @@ def flow_mix(
         ends, upto = [], 0
         for s, f in given:
             upto += f
-            ends.append((plain[s], upto / total))
-        table.append((list(p), size, total // size if size else 0, total % size if size else 0, max(1, counts[p] // ROWS_PER_PART), ends))
-    schema = (
-        "pattern array<string>, held long, copies long, rest long, parts long, charges array<struct<source string, upto double>>"
-    )
-    plan = spark.createDataFrame(table, schema)
+            ends.append({"source": plain[s], "upto": upto / total})
+        copies, rest = divmod(total, size) if size else (0, 0)
+        parts = max(1, counts[p] // ROWS_PER_PART)
+        table.append({"pattern": p, "held": size, "copies": copies, "rest": rest, "parts": parts, "charges": ends})
+    schema = "pattern array<string>, held long, copies long, rest long, parts long"
+    plan = local_table(spark, table, f"{schema}, charges array<struct<source: string, upto: double>>")
     rows = rows.join(F.broadcast(plan) if len(table) <= BROADCAST_PATTERNS else plan, "pattern")
     rows = rows.withColumn("place", unit_hash(F.col("doc_id"), F.col("size"), seed=seed))
     rows = rows.withColumn("group", F.array_join("pattern", "\x01"))

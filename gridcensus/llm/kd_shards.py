@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import materialize, running_total, text_or_empty, unit_hash
+from gridcensus.llm.common import local_table, materialize, running_total, text_or_empty, unit_hash
 
 #: A median is found by two histograms of so many bins, each over all rows of the node.
 BINS = 2048
@@ -59,7 +59,8 @@ def _first_reaching_goal(rows: DataFrame) -> dict:
 
 
 def _join_nodes(rows: DataFrame, nodes: list[tuple], schema: str, how: str = "inner") -> DataFrame:
-    table = rows.sparkSession.createDataFrame(nodes, schema)
+    names = [column.split()[0] for column in schema.split(", ")]
+    table = local_table(rows.sparkSession, [dict(zip(names, n, strict=True)) for n in nodes], schema)
     return rows.join(F.broadcast(table) if len(nodes) <= BROADCAST_NODES else table, "base", how)
 
 
