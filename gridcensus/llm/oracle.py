@@ -38,6 +38,22 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from ruled join rated on ruled.source is not distinct from rated.source
 """
 
+OP9 = """
+with payloads as (
+  select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, '')))::bigint as n from pages
+), digested as (
+  select *, sha1(encode(html)) as h, max(page_id) over (partition by html) as original from payloads
+)
+select page_id, n as payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', d, 1) for d in
+    flatten([[x // 32768 + 1, x // 1024 % 32 + 1, x // 32 % 32 + 1, x % 32 + 1] for x in
+      [('0x' || substr(h, 1 + 5 * i, 5))::int for i in range(8)]])], '') as payload_digest,
+  case when page_id is distinct from original then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from original then original end as refers_to
+from digested
+"""
+
 ORACLE: dict[str, str] = {
     "op3_host_rules": OP3,
+    "op9_warc_revisits": OP9,
 }

@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcensus.llm.common import local_table
 from gridcensus.llm.flow_mix import flow_mix, water_fill
 from gridcensus.llm.host_rules import host_verdicts
 from gridcensus.llm.kd_shards import kd_shards
+from gridcensus.llm.kernel_language import kernel_language
+from gridcensus.llm.passage_quality import passage_quality
+from gridcensus.llm.prefix_bpe import DIGESTS, digests, prefix_bpe
+from gridcensus.llm.warc_revisits import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,9 +50,8 @@ def mixed(docs: DataFrame) -> tuple[DataFrame, dict, dict]:
 
 def op1_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix, held, targets = mixed(table(spark, sf_dir, "documents"))
-    per_source = spark.createDataFrame(
-        [(s, held[s], float(targets[s])) for s in held], "of string, source_size long, target double"
-    )
+    sources = [{"of": s, "source_size": held[s], "target": float(targets[s])} for s in held]
+    per_source = local_table(spark, sources, "of string, source_size long, target double")
     source = F.get("sources", F.lit(0))
     joined = mix.join(per_source, source.eqNullSafe(F.col("of")), "left")
     return joined.select("doc_id", "size", "source_size", "target", "taken", source.alias("source"))
@@ -72,8 +76,36 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe(table(spark, sf_dir, "documents"), tokenizer_path(), digests, DIGESTS)
+
+
+def op6_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = passage_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "held_out", "score", "predicted")
+
+
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kernel_language(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_flow_mix": op1_flow_mix,
     "op2_kd_shards": op2_kd_shards,
     "op3_host_rules": op3_host_rules,
+    "op5_prefix_bpe": op5_prefix_bpe,
+    "op6_passage_quality": op6_passage_quality,
+    "op9_warc_revisits": op9_warc_revisits,
+    "op10_kernel_language": op10_kernel_language,
 }
