@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from gridcensus.llm.common import local_table
 from gridcensus.llm.flow_mix import flow_mix, water_fill
+from gridcensus.llm.hilbert_neighbours import hilbert_neighbours
 from gridcensus.llm.host_rules import host_verdicts
+from gridcensus.llm.interpolated_lm import interpolated_lm
 from gridcensus.llm.kd_shards import kd_shards
 from gridcensus.llm.kernel_language import kernel_language
 from gridcensus.llm.passage_quality import passage_quality
@@ -91,6 +93,14 @@ def op6_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row.doc_id", "held_out", "score", "predicted")
 
 
+def op7_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm(table(spark, sf_dir, "documents"))
+
+
+def op8_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = round_trip(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -106,6 +116,8 @@ QUERIES: dict[str, Query] = {
     "op3_host_rules": op3_host_rules,
     "op5_prefix_bpe": op5_prefix_bpe,
     "op6_passage_quality": op6_passage_quality,
+    "op7_interpolated_lm": op7_interpolated_lm,
+    "op8_hilbert_neighbours": op8_hilbert_neighbours,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_kernel_language": op10_kernel_language,
 }
