@@ -109,11 +109,15 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
         of_lang.setdefault(lang, []).append(g)
     # landmarks in turn from each language, so that rare ones have some
     chosen = [gs[i] for i in range(landmarks) for gs in of_lang.values() if i < len(gs)][:landmarks]
-    marks = np.zeros((len(chosen), GRAMS), np.float32)
+    # only n-grams of a landmark can be in both texts
+    known = np.unique(np.concatenate(chosen))
+    column = np.full(GRAMS, len(known), np.int32)
+    column[known] = np.arange(len(known))
+    marks = np.zeros((len(chosen), len(known) + 1))
     for i, g in enumerate(chosen):
-        marks[i, g] = 1 / np.sqrt(len(g))
-    kernel = np.stack([marks[:, g].sum(1) / np.sqrt(len(g)) for g, _ in grams]).astype(float)
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
+        marks[i, column[g]] = 1 / np.sqrt(len(g))
+    kernel = np.stack([marks[:, column[g]].sum(1) / np.sqrt(len(g)) for g, _ in grams])
+    values, vectors = np.linalg.eigh(marks @ marks.T)
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
     x = kernel @ root
@@ -121,7 +125,9 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
     mean, centre = x.mean(0), y.mean(0)
     a = (x - mean).T @ (x - mean) + ridge * len(x) * np.eye(x.shape[1])
     w = np.linalg.solve(a, (x - mean).T @ (y - centre))
-    return Model(langs, table, (marks.T.astype(float) @ (root @ w)).astype(np.float32), centre - mean @ w)
+    weights = np.zeros((GRAMS, len(langs)), np.float32)
+    weights[known] = (marks.T @ (root @ w))[:-1]
+    return Model(langs, table, weights, centre - mean @ w)
 
 
 def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str, rows: int) -> list[tuple[str, str]]:
