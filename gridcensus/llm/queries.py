@@ -14,6 +14,7 @@ from gridcensus.llm.host_rules import host_verdicts
 from gridcensus.llm.interpolated_lm import interpolated_lm
 from gridcensus.llm.kd_shards import kd_shards
 from gridcensus.llm.kernel_language import kernel_language
+from gridcensus.llm.overlap_join import overlap_join
 from gridcensus.llm.passage_quality import passage_quality
 from gridcensus.llm.prefix_bpe import DIGESTS, digests, prefix_bpe
 from gridcensus.llm.warc_revisits import round_trip
@@ -78,6 +79,10 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op1_flow_mix": op1_flow_mix,
     "op2_kd_shards": op2_kd_shards,
     "op3_host_rules": op3_host_rules,
+    "op4_overlap_join": op4_overlap_join,
     "op5_prefix_bpe": op5_prefix_bpe,
     "op6_passage_quality": op6_passage_quality,
     "op7_interpolated_lm": op7_interpolated_lm,
