@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from gridcensus.llm.common import fold, materialize
 
 SLICE_BYTES = 12 << 20
-KEYS_PER_RANGE = 2_000_000
+#: Text for each range of keys, and the least number of ranges.
+BYTES_PER_RANGE = 16 << 20
 LEAST_RANGES = 48
 BUCKETS = 32
 #: Estimates are binned at this many steps for each factor of two.
@@ -38,11 +39,15 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return len(a.tobytes()).to_bytes(8, "little") + pa.compress(a.tobytes(), codec="zstd", asbytes=True)
+    """An array, compressed byte plane by byte plane: planes of small numbers' high bytes take no room."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def _unpack(b: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(pa.decompress(b[8:], int.from_bytes(b[:8], "little"), codec="zstd"), kind)
+    planes = pa.decompress(b[8:], int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
 
 
 def word_lists(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -65,144 +70,161 @@ def word_lists(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 class Slice:
     """The tokens of some documents as keys: a word per token, and the pair with the token before."""
 
-    def __init__(self, sizes: np.ndarray, folds: np.ndarray, index: np.ndarray, words: np.ndarray) -> None:
+    def __init__(self, sizes: np.ndarray, folds: np.ndarray, index: np.ndarray, hashes: np.ndarray) -> None:
         ends = np.cumsum(sizes + 1)
-        n = int(ends[-1]) if len(ends) else 0
+        n = int(ends[-1])
         is_end = np.zeros(n, bool)
         is_end[ends - 1] = True
-        self.ends, self.n = ends, n
-        tokens = np.full(n, END_KEY, np.uint64)
-        tokens[~is_end] = words[index]
-        before = np.concatenate(([START_KEY], tokens[:-1])) if n else tokens
-        self.first = np.concatenate(([True], is_end[:-1])) if n else is_end
-        before[self.first] = START_KEY
-        pairs = before * _MIX + tokens
-        pairs = (pairs ^ (pairs >> np.uint64(29))) * _MIX
-        # the lowest bit tells pairs from words
-        one = np.uint64(1)
-        self.keys, place = np.unique(np.concatenate((tokens & ~one, pairs | one)), return_inverse=True)
-        self.word, self.pair = place[:n], place[n:]
-        end_place = np.searchsorted(self.keys, END_KEY & ~one)
-        # the start is seen once for each end
-        self.context = np.where(self.first, end_place, np.concatenate(([0], self.word[:-1]))) if n else self.word
+        self.ends = ends
+        # local numbers: the end is 0, the start of a document is 1, words follow
+        local = np.zeros(n, np.int64)
+        local[~is_end] = index + 2
+        before = np.concatenate(([1], local[:-1]))
+        before[np.concatenate(([True], is_end[:-1]))] = 1
+        hashes = np.concatenate((np.array([END_KEY, START_KEY]), hashes))
+        couples, place = np.unique(before * len(hashes) + local, return_inverse=True)
+        pairs = hashes[couples // len(hashes)] * _MIX + hashes[couples % len(hashes)]
+        # the lowest bit tells pairs from words; pairs are told apart by 56 bits
+        pairs = (((pairs ^ (pairs >> np.uint64(29))) * _MIX) & ~np.uint64(255)) | np.uint64(1)
+        every = np.concatenate((hashes & ~np.uint64(1), pairs))
+        self.keys, at = np.unique(every, return_inverse=True)
+        self.word, self.pair = at[local], at[len(hashes) :][place]
         self.fold = np.repeat(folds, sizes + 1)
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Training counts of each key, and those of the part that the weights are learned on."""
-        found = []
-        for part in (self.fold != OUTSIDE, self.fold == LEARN_WEIGHTS):
-            found.append(np.bincount(np.concatenate((self.word[part], self.pair[part])), minlength=len(self.keys)).astype(np.int64))
-        return found[0], found[1]
-
-
-def _slices(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    kind = dict(docs.dtypes)[doc_id]
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), fold(F.col(doc_id)).alias("fold"))
+    def counts(self, part: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate((self.word[part], self.pair[part])), minlength=len(self.keys)).astype(np.int32)
+
+
+def _cut(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, list[np.ndarray]]]:
+    """Slices of a batch: a number (equal for equal slices), the ids, and what a Slice is made of."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+    at = 0
+    while at < batch.num_rows:
+        base = size[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(size, base + SLICE_BYTES, side="right")))
+        part = batch.slice(at, stop - at)
+        sizes, index, words = word_lists(part["text"])
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+        arrays = [sizes.astype(np.int64), part["fold"].to_numpy(zero_copy_only=False).astype(np.int8), index, hashes]
+        digest = xxhash.xxh64(repr(part["id"].to_pylist()).encode())
+        for a in arrays:
+            digest.update(np.ascontiguousarray(a).tobytes())
+        yield digest.intdigest() >> 1, part["id"], arrays
+        at = stop
+
+
+def _ask(rows: DataFrame, ranges: int) -> DataFrame:
+    """range, slice, keys and the slice's own counts: in training, and in the part for the weights."""
+    edges = (np.arange(1, ranges, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // ranges)).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
-            at = 0
-            while at < batch.num_rows:
-                base = size[at - 1] if at else 0
-                stop = max(at + 1, int(np.searchsorted(size, base + SLICE_BYTES, side="right")))
-                part = batch.slice(at, stop - at)
-                sizes, index, words = word_lists(part["text"])
-                hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-                folds = part["fold"].to_numpy(zero_copy_only=False)
+            for number, _, arrays in _cut(batch):
+                piece = Slice(*arrays)
+                total, part = piece.counts(piece.fold != OUTSIDE), piece.counts(piece.fold == LEARN_WEIGHTS)
+                cuts = np.concatenate(([0], np.searchsorted(piece.keys, edges), [len(piece.keys)]))
+                found = [(r, slice(cuts[r], cuts[r + 1])) for r in range(ranges) if cuts[r] < cuts[r + 1]]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([part["id"].to_pylist()], pa.list_(part["id"].type)),
-                        *[pa.array([_pack(a)], pa.binary()) for a in (sizes.astype(np.int32), folds.astype(np.int8), index, hashes)],
+                        pa.array([r for r, _ in found], pa.int32()),
+                        pa.array([number] * len(found), pa.int64()),
+                        pa.array([_pack(np.diff(piece.keys[s], prepend=np.uint64(0))) for _, s in found], pa.binary()),
+                        pa.array([_pack(total[s]) for _, s in found], pa.binary()),
+                        pa.array([_pack(part[s]) for _, s in found], pa.binary()),
                     ],
-                    ["ids", "sizes", "folds", "index", "words"],
+                    ["range", "slice", "keys", "total", "part"],
                 )
-                at = stop
 
-    packed = rows.mapInArrow(run, f"ids array<{kind}>, sizes binary, folds binary, index binary, words binary")
-    return materialize(packed.withColumn("slice", F.monotonically_increasing_id()), "slices")
+    return rows.mapInArrow(run, "range int, slice long, keys binary, total binary, part binary")
 
 
-def _open(row: dict) -> Slice:
-    return Slice(
-        _unpack(row["sizes"], np.int32).astype(np.int64), _unpack(row["folds"], np.int8), _unpack(row["index"], np.int32), _unpack(row["words"], np.uint64)
-    )
-
-
-def _counted(slices: DataFrame, ranges: int) -> DataFrame:
-    """slice, range and the corpus counts of the slice's keys in the range, in the order of the keys.
+def _sum_range(group: pa.Table) -> pa.Table:
+    """The corpus counts of each slice's keys of one range, in the order of the keys.
 
-    Slice -1 holds, for each range, the distinct words and the tokens seen in training (and in the
-    part kept for the weights).
+    Slice -1 holds the distinct words and the tokens seen in training, and those of the part for the
+    weights. Slices that are read twice are counted twice and answered once.
     """
-    edges = (np.arange(1, ranges, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // ranges)).astype(np.uint64)
+    keys = [np.cumsum(_unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = []
+    for name in ("total", "part"):
+        own = np.concatenate([_unpack(b, np.int32) for b in group[name].to_pylist()])
+        sums.append(np.bincount(place, own, len(distinct)).astype(np.int64))
+    total, part = sums
+    is_word = (distinct & np.uint64(1)) == 0
+    facts = np.array([(total[is_word] > 0).sum(), total[is_word].sum(), part[is_word].sum()], np.int64)
+    numbers, at, answers = group["slice"].to_pylist(), 0, {}
+    for number, own in zip(numbers, keys, strict=True):
+        answers[number] = place[at : at + len(own)]
+        at += len(own)
+    r = group["range"][0].as_py()
+    return pa.table(
+        {
+            "slice": pa.array([*answers, -1], pa.int64()),
+            "range": pa.array([r] * (len(answers) + 1), pa.int32()),
+            "total": pa.array([*[_pack(total[h]) for h in answers.values()], facts.tobytes()], pa.binary()),
+            "part": pa.array([*[_pack(part[h]) for h in answers.values()], b""], pa.binary()),
+        }
+    )
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                piece = _open(row)
-                total, part = piece.counts()
-                cuts = np.concatenate(([0], np.searchsorted(piece.keys, edges), [len(piece.keys)]))
-                full = [r for r in range(ranges) if cuts[r] < cuts[r + 1]]
-                blobs = []
-                for r in full:
-                    s = slice(cuts[r], cuts[r + 1])
-                    blobs.append((_pack(np.diff(piece.keys[s], prepend=np.uint64(0))), _pack(total[s].astype(np.int32)), _pack(part[s].astype(np.int32))))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(full, pa.int32()),
-                        pa.array([row["slice"]] * len(full), pa.int64()),
-                        *[pa.array([b[i] for b in blobs], pa.binary()) for i in range(3)],
-                    ],
-                    ["range", "slice", "keys", "total", "part"],
-                )
 
-    def sum_range(group: pa.Table) -> pa.Table:
-        keys = [np.cumsum(_unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = []
-        for name in ("total", "part"):
-            own = np.concatenate([_unpack(b, np.int32) for b in group[name].to_pylist()])
-            sums.append(np.bincount(place, own, len(distinct)).astype(np.int64))
-        total, part = sums
-        is_word = (distinct & np.uint64(1)) == 0
-        facts = np.array([(total[is_word] > 0).sum(), total[is_word].sum(), part[is_word].sum()], np.int64)
-        ends = np.cumsum([len(k) for k in keys])
-        here = [place[e - len(k) : e] for e, k in zip(ends, keys, strict=True)]
-        r = group["range"][0].as_py()
-        slices_of = [*group["slice"].to_pylist(), -1]
-        return pa.table(
-            {
-                "slice": pa.array(slices_of, pa.int64()),
-                "range": pa.array([r] * len(slices_of), pa.int32()),
-                "total": pa.array([*[_pack(total[h]) for h in here], facts.tobytes()], pa.binary()),
-                "part": pa.array([*[_pack(part[h]) for h in here], b""], pa.binary()),
-            }
-        )
-
-    asked = slices.select("slice", "sizes", "folds", "index", "words").mapInArrow(
-        ask, "range int, slice long, keys binary, total binary, part binary"
-    )
-    return asked.groupBy("range").applyInArrow(sum_range, "slice long, range int, total binary, part binary")
+#: Arrays of one slice, packed: for each token the corpus counts of its word and pair, and of both in
+#: the part for the weights (0 for tokens of other documents).
+PACKED = ("word", "pair", "word_part", "pair_part")
 
 
-def _join_counts(slices: DataFrame, counted: DataFrame) -> DataFrame:
-    """Slices with the corpus counts of their keys; slice -1 has the facts of the whole corpus."""
+def _own_rows(rows: DataFrame) -> DataFrame:
+    """slice, ids and the packed arrays that a Slice is made of."""
 
-    def gather(own: pa.Table, found: pa.Table) -> pa.Table:
-        rows = sorted(found.to_pylist(), key=lambda r: r["range"])
-        if own.num_rows:
-            total, part = (_pack(np.concatenate([_unpack(r[c], np.int64) for r in rows]).astype(np.int64)) for c in ("total", "part"))
-            return own.append_column("total", pa.array([total], pa.binary())).append_column("part", pa.array([part], pa.binary()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, ids, arrays in _cut(batch):
+                columns = [pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(ids.type))]
+                columns += [pa.array([_pack(a)], pa.binary()) for a in arrays]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "ids", "sizes", "folds", "index", "hashes"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"slice long, ids array<{kind}>, sizes binary, folds binary, index binary, hashes binary")
+
+
+def _gather(own: pa.Table, found: pa.Table) -> pa.Table:
+    answers = {r["range"]: r for r in found.to_pylist()} if not own.num_rows or found.num_rows else {}
+    schema = {"slice": pa.int64(), "ids": own.schema.field("ids").type, "folds": pa.binary(), "ends": pa.binary()}
+    schema |= {n: pa.binary() for n in PACKED}
+    if own.num_rows and not answers:
+        raise RuntimeError("the documents were not read in the same order twice; write them to a table first")
+    if not own.num_rows:
+        rows = found.to_pylist()
+        if rows[0]["slice"] != -1:
+            raise RuntimeError("the documents were not read in the same order twice; write them to a table first")
         facts = np.sum([np.frombuffer(r["total"], np.int64) for r in rows], axis=0)
-        columns = {n: pa.nulls(1, own.schema.field(n).type) for n in own.schema.names}
-        columns["slice"] = pa.array([-1], pa.int64())
-        return pa.table(columns | {"total": pa.array([facts.tobytes()], pa.binary()), "part": pa.array([b""], pa.binary())})
-
-    kind = slices.schema["ids"].dataType.simpleString()
-    schema = f"slice long, ids {kind}, sizes binary, folds binary, index binary, words binary, total binary, part binary"
-    own = slices.select("slice", "ids", "sizes", "folds", "index", "words")
-    return own.groupBy("slice").cogroup(counted.groupBy("slice")).applyInArrow(gather, schema)
+        columns = {"slice": [-1], "ids": [None], "folds": [facts.tobytes()], "ends": [None]} | {n: [None] for n in PACKED}
+        return pa.table({n: pa.array(columns[n], t) for n, t in schema.items()})
+    counts = [np.concatenate([_unpack(answers[r][c], np.int64) for r in sorted(answers)]) for c in ("total", "part")]
+    out = []
+    for row in own.to_pylist():
+        kinds = {"sizes": np.int64, "folds": np.int8, "index": np.int32, "hashes": np.uint64}
+        piece = Slice(*[_unpack(row[n], kind) for n, kind in kinds.items()])
+        learn, places = piece.fold == LEARN_WEIGHTS, (piece.word, piece.pair)
+        blobs = [_pack(counts[0][p]) for p in places] + [_pack(np.where(learn, counts[1][p], 0)) for p in places]
+        known = {"slice": row["slice"], "ids": row["ids"], "folds": row["folds"], "ends": _pack(piece.ends)}
+        out.append(known | dict(zip(PACKED, blobs, strict=True)))
+    return pa.table({n: pa.array([r[n] for r in out], t) for n, t in schema.items()})
+
+
+class _Counted:
+    """A slice's tokens with their corpus counts."""
+
+    def __init__(self, row: dict) -> None:
+        self.folds, self.ends = _unpack(row["folds"], np.int8), _unpack(row["ends"], np.int64)
+        self.starts = self.ends - np.diff(self.ends, prepend=0)
+        self.word, self.pair, self.word_part, self.pair_part = (_unpack(row[n], np.int64) for n in PACKED)
+
+    def context(self, counts: np.ndarray, end: int) -> np.ndarray:
+        """Of each token, how often the token before it was seen; the start as often as the end."""
+        before = np.concatenate(([end], counts[:-1]))
+        before[self.starts] = end
+        return before
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -248,27 +270,36 @@ def interpolated_lm(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Tokens are the words of the whole text in lower case and one end. Null and empty texts are their
     end alone; repeated rows count and are scored one by one; without any training document the model
     is uniform; an empty table gives none. Other columns are ignored.
+
+    Texts are read twice, to count and to fetch the counts, which saves writing all tokens to disk.
+    Both must yield the rows in the same order, as files do; if not, the job fails rather than
+    giving wrong counts.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[doc_id]
-    slices = _slices(docs, doc_id, text)
-    n_slices = slices.count()
-    ranges = max(LEAST_RANGES, n_slices * 1_500_000 // KEYS_PER_RANGE)
-    joined = materialize(_join_counts(slices, _counted(slices, ranges)), "counted")
-    facts = joined.where("slice = -1").select("total").first()
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), fold(F.col(doc_id)).alias("fold"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    counted = _ask(rows, max(LEAST_RANGES, size // BYTES_PER_RANGE)).groupBy("range")
+    counted = counted.applyInArrow(_sum_range, "slice long, range int, total binary, part binary")
+    schema = f"slice long, ids array<{kind}>, folds binary, ends binary, " + ", ".join(f"{n} binary" for n in PACKED)
+    joined = _own_rows(rows).groupBy("slice").cogroup(counted.groupBy("slice")).applyInArrow(_gather, schema)
+    joined = materialize(joined, "counted")
+    facts = joined.where("slice = -1").select("folds").first()
     n_words, n_tokens, n_part = (int(x) for x in np.frombuffer(bytes(facts[0]), np.int64)) if facts else (0, 0, 0)
     pieces = joined.where("slice >= 0")
 
     def grid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                piece = _open(row)
-                rest = _unpack(row["total"], np.int64) - _unpack(row["part"], np.int64)
-                learn = piece.fold == LEARN_WEIGHTS
-                context = rest[piece.context[learn]]
-                pair = _binned(_share(rest[piece.pair[learn]], context))
-                word = _binned(_share(rest[piece.word[learn]], float(n_tokens - n_part)))
-                found, n = np.unique(np.column_stack((_bucket(context), pair, word)), axis=0, return_counts=True)
+                piece = _Counted(row)
+                learn = np.repeat(piece.folds == LEARN_WEIGHTS, np.diff(piece.ends, prepend=0))
+                if not learn.any():
+                    continue
+                word, pair = piece.word - piece.word_part, piece.pair - piece.pair_part
+                last = piece.ends[np.flatnonzero(piece.folds == LEARN_WEIGHTS)[0]] - 1
+                context = piece.context(word, word[last])[learn]
+                p2, p1 = _binned(_share(pair[learn], context)), _binned(_share(word[learn], float(n_tokens - n_part)))
+                found, n = np.unique(np.column_stack((_bucket(context), p2, p1)), axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays([*[pa.array(found[:, i]) for i in range(3)], pa.array(n)], ["b", "p2", "p1", "n"])
 
     cells = pieces.mapInArrow(grid, "b long, p2 long, p1 long, n long").groupBy("b", "p2", "p1").agg(F.sum("n").alias("n"))
@@ -277,22 +308,20 @@ def interpolated_lm(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, row in enumerate(batch.to_pylist()):
-                piece, total = _open(row), _unpack(row["total"], np.int64)
-                context, word = total[piece.context], total[piece.word]
+                piece = _Counted(row)
+                context = piece.context(piece.word, piece.word[piece.ends[0] - 1])
                 w = weights[_bucket(context)]
-                p = w[:, 0] * _share(total[piece.pair], context) + w[:, 1] * _share(word, float(n_tokens)) + w[:, 2] / (n_words + 1)
-                base = np.log10((word + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-                starts = piece.ends - np.diff(piece.ends, prepend=0)
-                folds = _unpack(row["folds"], np.int8)
+                p = w[:, 0] * _share(piece.pair, context) + w[:, 1] * _share(piece.word, float(n_tokens)) + w[:, 2] / (n_words + 1)
+                base = np.log10((piece.word + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["ids"][i].values,
-                        pa.array(folds == OUTSIDE),
+                        pa.array(piece.folds == OUTSIDE),
                         pa.array(np.diff(piece.ends, prepend=0)),
-                        pa.array(np.add.reduceat((word > 0).astype(np.int64), starts)),
-                        pa.array(np.full(len(folds), n_tokens)),
-                        pa.array(np.add.reduceat(base, starts)),
-                        pa.array(np.add.reduceat(np.log10(p), starts)),
+                        pa.array(np.add.reduceat((piece.word > 0).astype(np.int64), piece.starts)),
+                        pa.array(np.full(len(piece.folds), n_tokens)),
+                        pa.array(np.add.reduceat(base, piece.starts)),
+                        pa.array(np.add.reduceat(np.log10(p), piece.starts)),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
