@@ -70,7 +70,7 @@ def passage_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         total = np.bincount(passage, minlength=n)
         some = np.maximum(1, total)
         with np.errstate(over="ignore"):
-            upto = np.concatenate(([0], np.cumsum((data + np.uint64(1)) * _powers(len(data), _R)))).astype(np.uint64)
+            upto = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * _powers(len(data), _R), dtype=np.uint64))
             hashes = (upto[stops] - upto[starts]) * _powers(len(data), _R_BACK)[starts]
         for k, lag in enumerate((1, 2)):
             same = (hashes[lag:] == hashes[:-lag]) & (passage[lag:] == passage[:-lag])
