@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from gridcensus.llm.common import fold, materialize
 
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 #: Text for each range of keys, and the least number of ranges.
-BYTES_PER_RANGE = 16 << 20
+BYTES_PER_RANGE = 8 << 20
 LEAST_RANGES = 48
 BUCKETS = 32
 #: Estimates are binned at this many steps for each factor of two.
