@@ -20,13 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     A local session without one gets a temporary folder; any other session must name one.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gridcensus-shared-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridcensus-shared-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
