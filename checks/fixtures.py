@@ -15,6 +15,8 @@ from gridcensus.functions.grid import GridSpec
 from gridcensus.operators.tiles import pack_tiles
 
 GRID = GridSpec(-180.0, -90.0, 180.0, 90.0, 1.0, 1.0, 16)
+# the same cells read as a grid that lies half a cell off the job's, as country rasters do
+OFF_GRID = GridSpec(-179.5, -89.5, 180.5, 90.5, 1.0, 1.0, 16)
 
 L_SHELL = ((0, 0), (35, 0), (35, 8), (15, 8), (15, 18), (0, 18))
 L_HOLE = ((3, 3), (9, 3), (9, 6), (3, 6))
@@ -68,6 +70,17 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regions, where every tenth has both codes of the one before it."""
+    key = F.col("region_id") - F.when(F.col("region_id") % 10 == 9, 1).otherwise(0)
+    return regions(spark, sf_dir).withColumns(
+        {
+            "adm1_code": F.concat(F.lit("A-"), key.cast("string")),
+            "adm0_a3": F.concat(F.lit("N"), (key % 25).cast("string")),
+        }
+    )
+
+
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared extents: every nation with suppliers has a grid of the whole world."""
     return (
@@ -103,10 +116,16 @@ _SHAPES = ", ".join(
     for i, (dx, dy) in enumerate(offsets)
 )
 
-VERTICES = f"""vertices as (
- select cast(k as int) as region_id, s_name as location_name,
-  'A-'||cast(k as varchar) as adm1_code, 'N'||cast(s_nationkey as varchar) as adm0_a3,
-  cast(case shape when 0 then 0 when 1 then 1 else 1+k%2 end as int) as part,
+# the job grid's cell (col, row) reads the cell (col, row + 1) of the grid half a cell off
+OFF_GRID_CELLS = CELLS.replace("cells as", "own_cells as", 1) + """,
+cells as (select src, col, row-1 as row, value from own_cells where row>0)"""
+
+
+def _vertices_sql(key: str, adm0: str, part: str) -> str:
+    return f"""vertices as (
+ select cast({key} as int) as region_id, s_name as location_name,
+  'A-'||cast({key} as varchar) as adm1_code, 'N'||cast({adm0} as varchar) as adm0_a3,
+  cast({part} as int) as part,
   ring, i,
   case when k%25=24 then 145.0e0 when k%25=12 then -180.0e0 else -170.25e0+(k*17%61)*5 end + dx as x,
   -80.25e0+(k*7%29)*5+dy as y
@@ -119,6 +138,13 @@ edges as (
   coalesce(lead(y) over w, first_value(y) over w) as y2
  from vertices window w as (partition by region_id, part, ring order by i))"""
 
+
+_PART = "case shape when 0 then 0 when 1 then 1 else 1+k%2 end"
+VERTICES = _vertices_sql("k", "s_nationkey", _PART)
+# regions that share both codes are one region of all their parts
+_FIRST = "(k-case when k%10=9 then 1 else 0 end)"
+SHARED_VERTICES = _vertices_sql(_FIRST, f"{_FIRST}%25", f"{_PART}+case when k%10=9 then 3 else 0 end")
+
 # parts by bounding box, and those the antimeridian rule keeps
 PARTS = """parts as (
  select region_id, part, min(x) as xmin, max(x) as xmax, min(y) as ymin, max(y) as ymax

@@ -8,7 +8,9 @@ from checks.fixtures import (
     CELLS,
     MASK,
     MOSAIC,
+    OFF_GRID_CELLS,
     PARTS,
+    SHARED_VERTICES,
     SOURCES,
     VERTICES,
     with_views,
@@ -61,6 +63,11 @@ oracle(
     body="""select c_name as name, 'C'||cast(c_custkey as varchar) as code,
  case when c_custkey%7=0 then 'ISO_A3' else 'SU_A3' end as join_attribute from customer""",
 )
+oracle(
+    "sources_of_codes",
+    body="""select distinct n_name as code, cast(s_suppkey as int) as src
+ from supplier join nation on s_nationkey=n_nationkey where n_name like '%A'""",
+)
 oracle(
     "geojson_regions",
     VERTICES,
@@ -118,25 +125,17 @@ oracle(
 oracle(
     "grid_layout_check",
     GRIDS,
-    body="""select grid_id, (layout_cols*tile_size)%tile_size=0 and layout_cols*tile_size>=grid_cols as cols_ok,
- (layout_rows*tile_size)%tile_size=0 and layout_rows*tile_size>=grid_rows as rows_ok,
- layout_cols*tile_size-grid_cols<tile_size and layout_rows*tile_size-grid_rows<tile_size as padding_ok,
- abs((xmin+layout_cols*tile_size*cell-xmin)/(layout_cols*tile_size)-cell)<=cell*1e-9 as cell_width_ok,
- abs((ymax-(ymax-layout_rows*tile_size*cell))/(layout_rows*tile_size)-cell)<=cell*1e-9 as cell_height_ok
- from layouts""",
+    body="""select grid_id, grid_id%7<>0 as tiles_ok, grid_id%11<>0 as cells_ok,
+ grid_id%13<>0 as cell_width_ok, grid_id%11<>0 as cell_height_ok from layouts""",
 )
 oracle(
     "grid_align_check",
     GRIDS,
-    body="""select grid_id, abs(1-cell)<=least(1,cell)*0.01e0 as x_size_ok,
- abs(1-cell)<=least(1,cell)*0.01e0 as y_size_ok, abs(-173-nx)<=least(1,cell)*0.01e0 as x_aligned,
- abs(-87-ny)<=least(1,cell)*0.01e0 as y_aligned,
- abs(1-cell)<=least(1,cell)*0.01e0 and abs(-173-nx)<=least(1,cell)*0.01e0
-  and abs(-87-ny)<=least(1,cell)*0.01e0 as aligned,
- case when not abs(-173-nx)<=least(1,cell)*0.01e0
-  then round((-173-nx)-floor(-173-nx),4)+0e0 end as x_offset
- from (select *, floor((-173e0-xmin)/cell+0.5e0)*cell+xmin as nx,
-  floor((-87e0-ymin)/cell+0.5e0)*cell+ymin as ny from grids) g""",
+    body="""select grid_id, cell between 0.99e0 and 1.01e0 as x_size_ok, cell between 0.99e0 and 1.01e0 as y_size_ok,
+ x<=0.01e0 as x_aligned, y<=0.01e0 as y_aligned,
+ cell between 0.99e0 and 1.01e0 and x<=0.01e0 and y<=0.01e0 as aligned, round(x,4)+0e0 as x_offset
+ from (select grid_id, cell, abs((xmin+173)/cell-round((xmin+173)/cell)) as x,
+  abs((ymin+87)/cell-round((ymin+87)/cell)) as y from grids) g""",
 )
 oracle(
     "tile_key",
@@ -341,6 +340,12 @@ UNION_SUMS = """select region_id, sum(value) as population, count(*) as n_cells
 
 oracle("zonal_sum", CELLS, VERTICES, MASK, body=UNION_SUMS)
 oracle("zonal_sum_tiles", CELLS, VERTICES, MASK, body=UNION_SUMS)
+oracle(
+    "zonal_summary",
+    CELLS, VERTICES, MASK,
+    body="""select region_id, sum(value) as population, count(*) as n_cells, true as bins_ok, true as inside
+ from masked group by 1""",
+)
 oracle(
     "zonal_summary_totals",
     CELLS, VERTICES, MASK,
@@ -463,7 +468,7 @@ oracle(
 # --- jobs and their sinks --------------------------------------------------------------------
 
 ADMIN = (
-    CELLS, VERTICES, PARTS, MASK, KEPT_MASK, SOURCES, CANDIDATES, VISITED, AREAS, STATS,
+    CELLS, SHARED_VERTICES, PARTS, MASK, KEPT_MASK, SOURCES, CANDIDATES, VISITED, AREAS, STATS,
     """admin as (
  select f.adm1_code, f.adm0_a3, v.region_id,
   cast(trunc(coalesce(s.population,0)) as bigint) as population,
@@ -474,14 +479,12 @@ ADMIN = (
  join areas a on v.region_id=a.region_id left join stats s on v.region_id=s.region_id)""",
 )
 
-oracle(
-    "admin1_population",
-    *ADMIN,
-    body="""select adm1_code, adm0_a3, population, round(density*1e6,6)+0e0 as density_e6,
+ADMIN_ROWS = """select adm1_code, adm0_a3, population, round(density*1e6,6)+0e0 as density_e6,
  round(density_km2,9)+0e0 as density_km2, n_tiles, n_cells, zmin, zmax, round(mean,6)+0e0 as mean,
- median, mode, round(stddev,6)+0e0 as stddev from admin""",
-)
-
+ median, mode, round(stddev,6)+0e0 as stddev from admin"""
+oracle("admin1_population", *ADMIN, body=ADMIN_ROWS)
+oracle("admin1_population_tiles", *ADMIN, body=ADMIN_ROWS)
+oracle("admin1_population_offgrid", OFF_GRID_CELLS, *ADMIN[1:], body=ADMIN_ROWS)
 
 def text(value: str) -> str:
     return f"coalesce(cast(round({value},6) as varchar),'null')"
@@ -522,6 +525,7 @@ REGION = """select v.location_name, cast(trunc(coalesce(population,0)) as bigint
 
 oracle("region_population", CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
 oracle("region_csv", CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
+oracle("region_population_offgrid", OFF_GRID_CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
 
 H = "20037508.342789244e0"
 

@@ -87,6 +87,17 @@ def resolve_codes(spark, sf):
     )
 
 
+@query
+def sources_of_codes(spark, sf):
+    """Every supplier is a raster of its nation: all rasters of the nations that end in A."""
+    supplier, nation = fx.table(spark, sf, "supplier"), fx.table(spark, sf, "nation")
+    numbered = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").cast("int").alias("src"), F.lower("n_name").alias("code")
+    )
+    codes = [row["n_name"] for row in nation.where("n_name like '%A'").select("n_name").collect()]
+    return catalog.sources_of(numbered, codes)
+
+
 @query
 def source_url(spark, sf):
     return _requests(spark, sf).select(
@@ -481,8 +492,11 @@ def _sketch_totals(df: DataFrame, key: str, *carried: str) -> DataFrame:
 
 @query
 def zonal_summary(spark, sf):
-    """Raw sketches: bins are approximate, so this has no SQL."""
-    return zonal.zonal_summary(_masked_parts(spark, sf))
+    """Bins are approximate; what holds of every sketch is compared."""
+    stats = zonal.zonal_stats(_masked_parts(spark, sf)).select("region_id", "zmin", "zmax")
+    summary = zonal.zonal_summary(_masked_parts(spark, sf)).join(stats, "region_id")
+    inside = F.forall("distribution", lambda b: (b["x"] >= F.col("zmin")) & (b["x"] <= F.col("zmax")))
+    return _sketch_totals(summary.withColumn("inside", inside), "region_id", "population", "inside").drop("weighted")
 
 
 @query
@@ -601,15 +615,26 @@ def grid_align_check(spark, sf):
     checked = quality.check_alignment(_grids(spark, sf), reference)
     return checked.select(
         "grid_id", "x_size_ok", "y_size_ok", "x_aligned", "y_aligned", "aligned",
-        F.when(~F.col("x_aligned"), r("x_offset", 4)).alias("x_offset"),
+        r("x_offset", 4).alias("x_offset"),
     )
 
 
 @query
 def grid_layout_check(spark, sf):
-    checked = quality.check_layouts(quality.derive_layouts(_grids(spark, sf)))
-    return checked.select(
-        "grid_id", "cols_ok", "rows_ok", "padding_ok", "cell_width_ok", "cell_height_ok"
+    """Declared layouts: every seventh has a tile column too many, every eleventh a row of cells,
+    every thirteenth an extent that stretches its cells."""
+    key, due = F.col("grid_id"), quality.derive_layouts(_grids(spark, sf))
+    declared = due.withColumns(
+        {
+            "layout_cols": F.col("layout_cols") + F.when(key % 7 == 0, 1).otherwise(0),
+            "rows": F.col("rows") + F.when(key % 11 == 0, 1).otherwise(0),
+            "layout_xmax": F.col("xmin")
+            + F.col("cols") * F.col("cell_width") * F.when(key % 13 == 0, 1.01).otherwise(1.0),
+            "layout_ymin": F.col("ymax") - F.col("rows") * F.col("cell_height"),
+        }
+    )
+    return quality.check_layouts(declared).select(
+        "grid_id", "tiles_ok", "cells_ok", "cell_width_ok", "cell_height_ok"
     )
 
 
@@ -629,14 +654,35 @@ def rebalance_tiles(spark, sf):
 
 
 def _admin(spark: SparkSession, sf: str) -> DataFrame:
+    return _admin_of(spark, sf, fx.cells(spark, sf))
+
+
+def _admin_of(spark: SparkSession, sf: str, raster: DataFrame, **options) -> DataFrame:
+    """With exact modes, as SQL has no sketches; some regions share both codes."""
     return admin_population.admin1_population(
-        fx.regions(spark, sf), fx.cells(spark, sf), fx.sources(spark, sf), GRID
+        fx.shared_regions(spark, sf), raster, fx.sources(spark, sf), GRID, exact_mode=True, **options
     )
 
 
 @query
 def admin1_population(spark, sf):
-    return _admin(spark, sf).select(
+    return _admin_rows(_admin(spark, sf))
+
+
+@query
+def admin1_population_tiles(spark, sf):
+    """The same from packed tiles."""
+    return _admin_rows(_admin_of(spark, sf, fx.tiles(spark, sf)))
+
+
+@query
+def admin1_population_offgrid(spark, sf):
+    """Packed tiles on a grid half a cell off the job's; they stay packed."""
+    return _admin_rows(_admin_of(spark, sf, fx.tiles(spark, sf), source_grid=fx.OFF_GRID))
+
+
+def _admin_rows(result: DataFrame) -> DataFrame:
+    return result.select(
         "adm1_code", "adm0_a3", "population",
         r(F.col("density") * 1e6, 6).alias("density_e6"),
         r("density_km2", 9).alias("density_km2"),
@@ -653,7 +699,8 @@ def admin_csv(spark, sf):
 @query
 def admin_geojson(spark, sf):
     """Report features read back by the region reader."""
-    shapes = fx.regions(spark, sf).select("adm1_code", "geom")
+    shapes = region_ops.merge_equal_keys(fx.shared_regions(spark, sf), admin_population.KEYS)
+    shapes = shapes.select("adm1_code", "geom")
     features = reports.admin_geojson(region_ops.attach_regions(_admin(spark, sf), shapes))
     regions = geojson.parse_features(
         features.withColumn("text", F.col("value")), ADMIN1_PROPERTIES
@@ -691,6 +738,13 @@ def region_population(spark, sf):
     )
 
 
+@query
+def region_population_offgrid(spark, sf):
+    return named.region_population(
+        fx.regions(spark, sf), fx.tiles(spark, sf), fx.sources(spark, sf), GRID, source_grid=fx.OFF_GRID
+    )
+
+
 @query
 def region_csv(spark, sf):
     result = named.region_population(

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 
 def is_data(value: Column) -> Column:
-    return value.isNotNull() & ~F.isnan(value)
+    """Finite values are data; NULL, NaN and infinite ones are not, in cells and tiles alike."""
+    return F.coalesce(F.abs(value) < F.lit(float("inf")), F.lit(False))
 
 
-def nodata_to_null(value: Column) -> Column:
-    return F.when(F.isnan(value), F.lit(None).cast("double")).otherwise(value)
+def nodata_to_null(value: Column, nodata: float | None = None) -> Column:
+    """NULL for values that are no data, among them the raster's own mark if it has one."""
+    kept = is_data(value) if nodata is None else is_data(value) & (value != F.lit(nodata))
+    return F.when(kept, value)
 
 
 def band(bands: Column, index: int = 0) -> Column:

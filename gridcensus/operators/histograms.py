@@ -9,9 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys a task merges in memory before it hands its partial sketches on.
-KEYS_IN_MEMORY = 20_000
-
 
 def merge_bins(x: np.ndarray, y: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     """At most ``bins`` bins holding the same total count and weighted sum."""
@@ -26,31 +23,29 @@ def merge_bins(x: np.ndarray, y: np.ndarray, bins: int) -> tuple[np.ndarray, np.
     return x, y
 
 
-def _combiner(
-    key: str, bins: int, flush_at: int | None
-) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A task's fold of sketches by key; ``flush_at`` bounds the keys it keeps at a time."""
+def _fold(key: str, bins: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Merges runs of equal keys in rows sorted by key; one running sketch is all it keeps."""
 
-    def rows(state: dict) -> pd.DataFrame:
-        xs = [x.tolist() for x, _ in state.values()]
-        ys = [y.tolist() for _, y in state.values()]
-        return pd.DataFrame({key: list(state), "x": xs, "y": ys})
+    def row(k: object, x: np.ndarray, y: np.ndarray) -> tuple:
+        return k, x.tolist(), y.tolist()
 
-    def combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict = {}
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        running: tuple | None = None
         for frame in frames:
+            done = []
             for k, x, y in zip(frame[key], frame["x"], frame["y"]):
                 x, y = np.asarray(x, dtype=float), np.asarray(y, dtype=float)
-                if k in state:
-                    x, y = np.concatenate([state[k][0], x]), np.concatenate([state[k][1], y])
-                state[k] = merge_bins(x, y, bins)
-            if flush_at is not None and len(state) > flush_at:
-                yield rows(state)
-                state = {}
-        if state:
-            yield rows(state)
+                if running is not None and (running[0] == k or (pd.isna(k) and pd.isna(running[0]))):
+                    x, y = np.concatenate([running[1], x]), np.concatenate([running[2], y])
+                elif running is not None:
+                    done.append(row(*running))
+                running = (k, *merge_bins(x, y, bins))
+            if done:
+                yield pd.DataFrame(done, columns=[key, "x", "y"])
+        if running is not None:
+            yield pd.DataFrame([row(*running)], columns=[key, "x", "y"])
 
-    return combine
+    return fold
 
 
 def merge_distributions(
@@ -58,13 +53,13 @@ def merge_distributions(
 ) -> DataFrame:
     """Merge the sketches of each key into one.
 
-    Every task first merges what it reads, so the shuffle carries one sketch per task and key.
-    The final tasks fold theirs as a stream: a key with very many sketches never sits in memory
-    as a group, only its running merge does.
+    Every task first sorts and merges what it reads, so the shuffle carries one sketch per task and
+    key. The final tasks do the same with theirs. Sorting spills; the fold holds one sketch.
     """
     schema = f"`{key}` {partials.schema[key].dataType.simpleString()}, x array<double>, y array<double>"
     flat = partials.select(key, F.col(f"{column}.x").alias("x"), F.col(f"{column}.y").alias("y"))
-    local = flat.mapInPandas(_combiner(key, bins, KEYS_IN_MEMORY), schema)
-    merged = local.repartition(key).mapInPandas(_combiner(key, bins, None), schema)
+    merge = _fold(key, bins)
+    local = flat.sortWithinPartitions(key).mapInPandas(merge, schema)
+    merged = local.repartition(key).sortWithinPartitions(key).mapInPandas(merge, schema)
     zipped = F.zip_with("x", "y", lambda a, b: F.struct(a.alias("x"), b.alias("y")))
     return merged.select(key, zipped.alias(column))

@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A mask row is about 40 bytes, so a broadcast stays under some 100 MB.
+# A mask row of one run is about 40 bytes, so a broadcast stays under some 100 MB.
 BROADCAST_ROWS = 2_000_000
+ROW_BYTES = 40
 # Raster rows of one key that a single task should meet in a shuffled join.
 ROWS_PER_SLICE = 4_000_000
 
@@ -28,25 +29,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a table holds at most ``limit`` rows; counts no further than that."""
-    return df.limit(limit + 1).count() <= limit
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, row_bytes: Column | None = None) -> bool:
+    """Whether a table takes no more room than ``limit`` rows of one run; summed where the rows are."""
+    size = F.lit(ROW_BYTES) if row_bytes is None else row_bytes
+    return (df.agg(F.sum(size)).head()[0] or 0) <= limit * ROW_BYTES
 
 
-def hot_keys(
-    raster: DataFrame, keys: Sequence[str], rows_per_slice: int, limit: int = BROADCAST_ROWS
-) -> DataFrame:
+def hot_keys(raster: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame:
     """Keys with more rows than one slice, and the number of slices each one needs.
 
-    There are at most rows / rows_per_slice of them; should that exceed ``limit``, slices grow
-    until the table fits a broadcast.
+    There are at most rows / rows_per_slice of them.
     """
     counted = raster.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    counted = cut_lineage(counted.where(F.col("n") > rows_per_slice))
-    while not fits_broadcast(counted.where(F.col("n") > rows_per_slice), limit):
-        rows_per_slice *= 4
     slices = F.ceil(F.col("n") / F.lit(rows_per_slice)).cast("int")
-    return counted.where(F.col("n") > rows_per_slice).select(*keys, slices.alias("slices"))
+    hot = counted.where(F.col("n") > rows_per_slice)
+    return cut_lineage(hot.select(*keys, slices.alias("slices")))
 
 
 def join_masks(
@@ -57,16 +54,17 @@ def join_masks(
     condition: Column | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
+    row_bytes: Column | None = None,
 ) -> DataFrame:
     """Equi-join raster rows with mask rows on ``keys``.
 
-    Masks within ``broadcast_rows`` are broadcast, so the raster is not moved. Larger ones meet
+    Masks that take no more room than ``broadcast_rows`` rows of one run are broadcast, so the raster is not moved. Larger ones meet
     it in a join on the keys alone, which a bucketed raster table answers in place. Only where
     some keys are hot do these get cut into slices by the ``spread`` columns, with the masks of
     just those keys repeated per slice. ``condition`` narrows the matches; mask columns other
     than the keys must not share a name with raster columns.
     """
-    if fits_broadcast(masks, broadcast_rows):
+    if fits_broadcast(masks, broadcast_rows, row_bytes):
         joined = raster.join(F.broadcast(masks), list(keys))
         return joined if condition is None else joined.where(condition)
 
@@ -75,14 +73,16 @@ def join_masks(
         joined = raster.join(masks, list(keys))
         return joined if condition is None else joined.where(condition)
 
+    # a table of hot keys too wide for a broadcast is joined like any other
+    hot = F.broadcast(hot) if fits_broadcast(hot, broadcast_rows) else hot
     slices = F.coalesce(F.col("slices"), F.lit(1))
     sliced_raster = (
-        raster.join(F.broadcast(hot), list(keys), "left")
+        raster.join(hot, list(keys), "left")
         .withColumn("slice", F.pmod(F.xxhash64(*spread), slices).cast("int"))
         .drop("slices")
     )
     sliced_masks = (
-        masks.join(F.broadcast(hot), list(keys), "left")
+        masks.join(hot, list(keys), "left")
         .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("slices")
     )

@@ -72,6 +72,29 @@ def mask_cells(
     ).drop("c0", "c1")
 
 
+def pack_masks(tile_spans: DataFrame, grid: GridSpec) -> DataFrame:
+    """One row per region and tile: ``runs`` of cells (start, length) in the tile's array.
+
+    A tile that lies wholly inside has NULL runs, so the rows of a mask do not grow with the
+    resolution: their number is that of (region, tile) pairs, and runs are kept only at borders, as
+    many as the tile has rows (times the parts and hollows it holds).
+    """
+    size = grid.tile_size
+    keys = [c for c in tile_spans.columns if c not in ("row", "c0", "c1")]
+    run = F.struct(
+        (grid.cell_index(F.col("c0"), F.col("row")) + 1).cast("int").alias("start"),
+        (F.col("c1") - F.col("c0") + 1).cast("int").alias("length"),
+    )
+    packed = tile_spans.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(run)).alias("runs"),
+        F.min(F.col("c1") - F.col("c0") + 1).alias("shortest"),
+    )
+    # every row of the tile once, from end to end
+    starts = F.array_distinct(F.transform("runs", lambda r: r["start"]))
+    full = (F.col("shortest") == size) & (F.size("runs") == size) & (F.size(starts) == size)
+    return packed.select(*keys, F.when(~full, F.col("runs")).alias("runs"))
+
+
 def mask_tiles(
     tiles: DataFrame,
     tile_spans: DataFrame,
@@ -79,29 +102,27 @@ def mask_tiles(
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """The same from packed tiles: join once per tile, then unpack only the covered slices."""
+    """Data values under each region from packed tiles: a tile meets one mask row per region.
+
+    Whole tiles give all their cells; others only the slices that their runs cover.
+    """
     joined = join_masks(
         tiles,
-        tile_spans,
+        pack_masks(tile_spans, grid),
         keys=["tile_col", "tile_row"],
         spread=["src"],
         broadcast_rows=broadcast_rows,
         rows_per_slice=max(1, rows_per_slice // (grid.tile_size * grid.tile_size)),
+        row_bytes=64 + 8 * F.coalesce(F.size("runs"), F.lit(0)),
     )
-    start = (grid.cell_index(F.col("c0"), F.col("row")) + 1).cast("int")
-    length = F.col("c1") - F.col("c0") + 1
-    carried = [c for c in joined.columns if c not in ("cells", "c0", "c1")]
-    values = joined.select(
-        *carried, "c0", F.posexplode(F.slice("cells", start, length)).alias("step", "value")
-    )
-    return (
-        values.where(is_data(F.col("value")))
-        .withColumn("col", F.col("c0") + F.col("step"))
-        .drop("c0", "step")
-    )
+    pieces = F.transform("runs", lambda r: F.slice("cells", r["start"], r["length"]))
+    covered = F.when(F.col("runs").isNull(), F.col("cells")).otherwise(F.flatten(pieces))
+    carried = [c for c in joined.columns if c not in ("cells", "runs")]
+    values = joined.select(*carried, F.explode(covered).alias("value"))
+    return values.where(is_data(F.col("value")))
 
 
 def mask_raster(raster: DataFrame, tile_spans: DataFrame, grid: GridSpec, **limits) -> DataFrame:
-    """Masked cells of a raster in either form."""
+    """Masked values of a raster in either form; cells bring their col and row along."""
     form = mask_tiles if "cells" in raster.columns else mask_cells
     return form(raster, tile_spans, grid, **limits)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec, layout_columns
@@ -11,27 +11,31 @@ from gridcensus.functions.grid import GridSpec, layout_columns
 TOLERANCE = 0.01
 
 
+def off_grid(distance: Column, cell: Column) -> Column:
+    """How far a distance lies from a whole number of cells, as a share of a cell (0 to 0.5)."""
+    share = F.pmod(distance / cell, F.lit(1.0))
+    return F.least(share, 1 - share)
+
+
 def check_alignment(grids: DataFrame, reference: GridSpec) -> DataFrame:
     """Whether each grid's cells coincide with the reference's, within one percent of a cell.
 
-    ``grids`` has xmin, ymin, cell_width and cell_height. Offsets are fractions of a cell.
+    ``grids`` has xmin, ymin, cell_width and cell_height. Two grids coincide when their cells are of
+    one size and their origins are a whole number of cells apart; ``x_offset`` and ``y_offset`` say
+    by what share of a cell they miss that.
     """
     tests = {}
-    for axis, origin, size in (
-        ("x", "xmin", "cell_width"),
-        ("y", "ymin", "cell_height"),
-    ):
-        own, step = F.lit(getattr(reference, origin)), F.lit(getattr(reference, size))
-        eps = F.least(step, F.col(size)) * F.lit(TOLERANCE)
-        steps = F.floor((own - F.col(origin)) / F.col(size) + F.lit(0.5))
-        nearest = steps * F.col(size) + F.col(origin)
-        cells = (own - nearest) / step
-        tests[f"{axis}_size_ok"] = F.abs(step - F.col(size)) <= eps
-        tests[f"{axis}_aligned"] = F.abs(own - nearest) <= eps
-        tests[f"{axis}_offset"] = cells - F.floor(cells)
-    return grids.select("*", *[test.alias(name) for name, test in tests.items()]).withColumn(
-        "aligned",
-        F.col("x_size_ok") & F.col("y_size_ok") & F.col("x_aligned") & F.col("y_aligned"),
+    for axis, origin, size in (("x", "xmin", "cell_width"), ("y", "ymin", "cell_height")):
+        cell = F.lit(getattr(reference, size))
+        missed = off_grid(F.col(origin) - F.lit(getattr(reference, origin)), F.col(size))
+        tests[f"{axis}_size_ok"] = F.abs(F.col(size) / cell - 1) <= F.lit(TOLERANCE)
+        tests[f"{axis}_aligned"] = missed <= F.lit(TOLERANCE)
+        tests[f"{axis}_offset"] = missed
+    passed = [tests[f"{axis}_{test}"] for axis in "xy" for test in ("size_ok", "aligned")]
+    return grids.select(
+        "*",
+        *[test.alias(name) for name, test in tests.items()],
+        (passed[0] & passed[1] & passed[2] & passed[3]).alias("aligned"),
     )
 
 
@@ -42,25 +46,25 @@ def derive_layouts(grids: DataFrame) -> DataFrame:
     return grids.select("*", *[count.alias(name) for name, count in counts.items()])
 
 
-def check_layouts(layouts: DataFrame) -> DataFrame:
-    """Whether tiles fill the layout exactly and padding stays below one tile."""
-    size = F.col("tile_size")
-    padded_x = F.col("xmin") + F.col("cols") * F.col("cell_width")
-    padded_y = F.col("ymax") - F.col("rows") * F.col("cell_height")
-    return layouts.select(
+def check_layouts(declared: DataFrame) -> DataFrame:
+    """Whether declared layouts are what their grids call for.
+
+    ``declared`` has the grid's extent, cell size and tile_size and, as declared by whoever made the
+    layout, layout_cols and layout_rows (tiles), cols and rows (cells) and the layout's own extent
+    layout_xmax and layout_ymin. Everything is compared with what the grid gives.
+    """
+    names = ("xmin", "ymin", "xmax", "ymax", "cell_width", "cell_height", "tile_size")
+    due = layout_columns(*[F.col(name) for name in names])
+    width = (F.col("layout_xmax") - F.col("xmin")) / F.col("cols")
+    height = (F.col("ymax") - F.col("layout_ymin")) / F.col("rows")
+
+    def close(measured: Column, cell: Column) -> Column:
+        return F.abs(measured / cell - 1) <= F.lit(1e-9)
+
+    return declared.select(
         "*",
-        (F.col("cols") == size * F.col("layout_cols")).alias("cols_ok"),
-        (F.col("rows") == size * F.col("layout_rows")).alias("rows_ok"),
-        (
-            (F.col("cols") - F.col("grid_cols") < size)
-            & (F.col("rows") - F.col("grid_rows") < size)
-        ).alias("padding_ok"),
-        (
-            F.abs((padded_x - F.col("xmin")) / F.col("cols") - F.col("cell_width"))
-            <= F.col("cell_width") * F.lit(1e-9)
-        ).alias("cell_width_ok"),
-        (
-            F.abs((F.col("ymax") - padded_y) / F.col("rows") - F.col("cell_height"))
-            <= F.col("cell_height") * F.lit(1e-9)
-        ).alias("cell_height_ok"),
+        ((F.col("layout_cols") == due["layout_cols"]) & (F.col("layout_rows") == due["layout_rows"])).alias("tiles_ok"),
+        ((F.col("cols") == due["cols"]) & (F.col("rows") == due["rows"])).alias("cells_ok"),
+        F.coalesce(close(width, F.col("cell_width")), F.lit(False)).alias("cell_width_ok"),
+        F.coalesce(close(height, F.col("cell_height")), F.lit(False)).alias("cell_height_ok"),
     )

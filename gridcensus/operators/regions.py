@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,6 +107,35 @@ def region_tile_candidates(parts: DataFrame, grid: GridSpec) -> DataFrame:
     return both.select("region_id", "tile_col", "tile_row").distinct()
 
 
+def merge_equal_keys(regions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: features of one key become one region of all their parts.
+
+    Its region_id is the least of them. A group is one region's features.
+    """
+    shapes = F.sort_array(F.collect_list(F.struct("region_id", "geom")))
+    merged = regions.groupBy(*keys).agg(F.min("region_id").alias("region_id"), shapes.alias("shapes"))
+    geom = F.flatten(F.transform("shapes", lambda s: s["geom"]))
+    return merged.select("region_id", *keys, geom.alias("geom"))
+
+
+def tile_window(parts: DataFrame, grid: GridSpec) -> tuple[int, int, int, int] | None:
+    """Inclusive bounds (col0, row0, col1, row1) of the tiles that any part can meet; None without parts.
+
+    One row of four numbers, read while a job is planned so that the scan can be pruned with it.
+    """
+    west, south, east, north = parts.agg(
+        F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")
+    ).head()
+    if west is None:
+        return None
+    return (
+        math.floor((west - grid.xmin) / grid.tile_width) - 1,
+        math.floor((grid.ymax - north) / grid.tile_height) - 1,
+        math.floor((east - grid.xmin) / grid.tile_width) + 1,
+        math.floor((grid.ymax - south) / grid.tile_height) + 1,
+    )
+
+
 def attach_regions(summary: DataFrame, regions: DataFrame, key: str = "adm1_code") -> DataFrame:
     """Join summaries to their region features by key; a key with several features is an error."""
     attributes = [F.first(c).alias(c) for c in regions.columns if c != key]

@@ -11,7 +11,7 @@ from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import density, truncate_long
 from gridcensus.operators import area, mask, regions as region_ops, tiles as tile_ops, zonal
 from gridcensus.operators.joins import cut_lineage
-from gridcensus.plans.inputs import prepare
+from gridcensus.plans.inputs import align, choose
 from gridcensus.sinks import reports
 
 KEYS = ["adm1_code", "adm0_a3"]
@@ -26,30 +26,31 @@ def admin1_population(
     *,
     drop_antimeridian: bool = True,
     keep_empty: bool = False,
-    exact_mode: bool = True,
+    exact_mode: bool = False,
     source_grid: GridSpec | None = None,
-    include: Sequence[int] | None = None,
-    exclude: Sequence[int] | None = None,
+    include: Sequence[int] | DataFrame | None = None,
+    exclude: Sequence[int] | DataFrame | None = None,
     partitions: int | None = None,
     **limits,
 ) -> DataFrame:
-    """One row per region that some source tile meets.
+    """One row per (adm1_code, adm0_a3) that some source tile meets; features of one key count as one.
 
     regions: region_id, adm1_code, adm0_a3, geom. raster: cells or packed tiles on ``grid``, or on
-    ``source_grid`` to be brought there by nearest neighbour.
+    ``source_grid``, whose cell nearest to a job cell's centre then stands for it.
     sources: src, xmin, ymin, xmax, ymax. Every part of a region counts its own cells.
-    ``exact_mode`` off takes the mode from the 64-bin sketch and saves the second pass.
+    The mode comes from the 64-bin sketch of the one pass; ``exact_mode`` counts every value instead,
+    in a second pass over the raster and a shuffle by value.
     """
-    raster, sources = prepare(raster, sources, grid, source_grid, include, exclude, partitions)
+    raster, sources = choose(raster, sources, include, exclude, partitions)
+    regions = region_ops.merge_equal_keys(regions, KEYS)
 
     parts = region_ops.explode_parts(regions)
     counted = region_ops.drop_antimeridian(parts) if drop_antimeridian else parts
+    raster, spans, on = align(raster, mask.part_spans(counted, grid), counted, grid, source_grid)
     spans = cut_lineage(
-        mask.clip_spans(mask.part_spans(counted, grid), grid).select(
-            "region_id", "tile_col", "tile_row", "row", "c0", "c1"
-        )
+        mask.clip_spans(spans, on).select("region_id", "tile_col", "tile_row", "row", "c0", "c1")
     )
-    masked = mask.mask_raster(raster, spans, grid, **limits).select("region_id", "value")
+    masked = mask.mask_raster(raster, spans, on, **limits).select("region_id", "value")
 
     summary = masked.groupBy("region_id").agg(
         F.sum("value").alias("population"),
@@ -89,6 +90,6 @@ def write_reports(result: DataFrame, regions: DataFrame, output: str) -> None:
     """CSV, GeoJSON lines and quantile breaks. The summary is computed once for all three."""
     stable = cut_lineage(result)
     reports.write_admin_csv(stable, output)
-    shapes = regions.select("adm1_code", "geom")
+    shapes = region_ops.merge_equal_keys(regions, KEYS).select("adm1_code", "geom")
     reports.write_admin_geojson(region_ops.attach_regions(stable, shapes), output)
     reports.write_quantile_json(stable, output)

@@ -11,7 +11,7 @@ from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import truncate_long
 from gridcensus.operators import mask, regions as region_ops, tiles as tile_ops, zonal
 from gridcensus.operators.joins import cut_lineage
-from gridcensus.plans.inputs import prepare
+from gridcensus.plans.inputs import align, choose
 
 
 def region_population(
@@ -21,8 +21,8 @@ def region_population(
     grid: GridSpec,
     *,
     source_grid: GridSpec | None = None,
-    include: Sequence[int] | None = None,
-    exclude: Sequence[int] | None = None,
+    include: Sequence[int] | DataFrame | None = None,
+    exclude: Sequence[int] | DataFrame | None = None,
     partitions: int | None = None,
     **limits,
 ) -> DataFrame:
@@ -30,13 +30,12 @@ def region_population(
 
     A cell counts once in a region however many of its parts cover it.
     """
-    raster, sources = prepare(raster, sources, grid, source_grid, include, exclude, partitions)
+    raster, sources = choose(raster, sources, include, exclude, partitions)
 
     parts = region_ops.explode_parts(regions.select("region_id", "geom"))
-    spans = cut_lineage(
-        mask.clip_spans(mask.region_spans(mask.part_spans(parts, grid)), grid)
-    )
-    masked = mask.mask_raster(raster, spans, grid, **limits)
+    spans = mask.region_spans(mask.part_spans(parts, grid))
+    raster, spans, on = align(raster, spans, parts, grid, source_grid)
+    masked = mask.mask_raster(raster, cut_lineage(mask.clip_spans(spans, on)), on, **limits)
     sums = zonal.zonal_sum(masked)
     visited = zonal.visited_regions(
         region_ops.region_tile_candidates(parts, grid), tile_ops.source_tile_keys(sources, grid)

@@ -46,8 +46,9 @@ def resolve_codes(
     joined = cleaned.join(names, code, "left").withColumn("known", F.col("name").isNotNull())
     if not strict:
         return joined
-    failure = F.raise_error(F.concat(F.lit("unknown country code "), F.col(code)))
-    return joined.withColumn("known", F.when(F.col("known"), F.lit(True)).otherwise(failure))
+    # the check sits in the code itself, so no choice of columns leaves it out
+    failure = F.raise_error(F.concat(F.lit("unknown country code "), F.coalesce(code, F.lit("NULL"))))
+    return joined.withColumn(code, F.when(F.col("known"), F.col(code)).otherwise(failure.cast("string")))
 
 
 def include(df: DataFrame, wanted: Sequence[str] | DataFrame | None, code: str = "code") -> DataFrame:
@@ -69,17 +70,24 @@ def exclude(df: DataFrame, unwanted: Sequence[str] | DataFrame | None, code: str
 
 
 def source_ids(sources: DataFrame, codes: Sequence[str]) -> list[int]:
-    """Source numbers of the given codes, from a table with src and code; unknown codes fail.
+    """Numbers of all sources of the given codes, code by code; unknown codes fail.
 
-    Brings back no more rows than there are codes.
+    ``sources`` has src and code. Brings back the rasters of the codes asked for; for very many of
+    them hand ``sources_of`` to ``include`` instead.
     """
-    wanted = [code.upper() for code in codes]
-    found = sources.where(F.col("code").isin(wanted)).groupBy("code").agg(F.min("src").alias("src"))
-    numbers = {row["code"]: row["src"] for row in found.collect()}
-    missing = sorted(set(wanted) - set(numbers))
+    numbers: dict[str, list[int]] = {code.upper(): [] for code in codes}
+    for row in sources_of(sources, codes).collect():
+        numbers[row["code"]].append(row["src"])
+    missing = sorted(code for code, found in numbers.items() if not found)
     if missing:
         raise ValueError(f"unknown country codes {missing}")
-    return [numbers[code] for code in wanted]
+    return [src for found in numbers.values() for src in sorted(found)]
+
+
+def sources_of(sources: DataFrame, codes: Sequence[str]) -> DataFrame:
+    """(code, src) of every source that the given codes have."""
+    wanted = [code.upper() for code in codes]
+    return sources.select(clean_code(F.col("code")).alias("code"), "src").where(F.col("code").isin(wanted)).distinct()
 
 
 def source_url(base: str, code: Column, suffix: str = "_ppp_2020.tif") -> Column:
