@@ -5,6 +5,11 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,6 +52,17 @@ def local_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame
     return spark.range(1).select(F.inline(parsed))
 
 
+def pieces(batch: pa.RecordBatch, most_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of so many bytes of text at most, or of one row; every row counts 64 more."""
+    size = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, at = np.cumsum(size + 64), 0
+    while at < batch.num_rows:
+        base = upto[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(upto, base + most_bytes, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 

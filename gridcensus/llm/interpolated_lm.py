@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import fold, materialize
+from gridcensus.llm.common import fold, materialize, pieces
 
 SLICE_BYTES = 8 << 20
 #: Text for each range of keys, and the least number of ranges.
@@ -97,12 +97,7 @@ class Slice:
 
 def _cut(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, list[np.ndarray]]]:
     """Slices of a batch: a number (equal for equal slices), the ids, and what a Slice is made of."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
-    at = 0
-    while at < batch.num_rows:
-        base = size[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(size, base + SLICE_BYTES, side="right")))
-        part = batch.slice(at, stop - at)
+    for part in pieces(batch, SLICE_BYTES):
         sizes, index, words = word_lists(part["text"])
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
         arrays = [sizes.astype(np.int64), part["fold"].to_numpy(zero_copy_only=False).astype(np.int8), index, hashes]
@@ -110,7 +105,6 @@ def _cut(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, list[np.ndarray
         for a in arrays:
             digest.update(np.ascontiguousarray(a).tobytes())
         yield digest.intdigest() >> 1, part["id"], arrays
-        at = stop
 
 
 def _ask(rows: DataFrame, ranges: int) -> DataFrame:

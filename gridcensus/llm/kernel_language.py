@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import fold
+from gridcensus.llm.common import fold, pieces
 
 #: Letter classes: 0 stands for everything that is no letter, then the most frequent letters of the
 #: training texts, and the last 15 classes are shared by all other letters.
@@ -32,6 +32,7 @@ LANDMARKS = 256
 #: Characters of a training text that are looked at; scored texts are always taken whole.
 TRAIN_CHARS = 4000
 RIDGE = 1e-3
+STEP_BYTES = 1 << 20
 SIZES = (CLASSES, CLASSES**2, CLASSES**3)
 GRAMS = sum(SIZES)
 
@@ -152,8 +153,7 @@ def kernel_language(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in pieces(batch, STEP_BYTES):
                 langs, scores = model.value.predict(part["text"].to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["held_out"], pa.array(langs, pa.string()), pa.array(scores)],

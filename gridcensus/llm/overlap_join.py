@@ -1,9 +1,9 @@
 """Jaccard self-join on word shingles by T-occurrence search.
 
 1. Equal shingle sets become one class. Heavy shingles (a bounded list) are found in the same pass.
-2. An inverted index over all classes, built in hash ranges, tells how many classes each shingle has;
-   only shingles of two or more classes matter further, and a class that shares fewer than 80 % of its
-   shingles can have no partner. Slices of documents ask ranges and get back what is shared.
+2. An inverted index over the classes of all slices, built in hash ranges, tells how often each
+   shingle occurs; one that occurs once has no partner, and a class that shares fewer than 80 % of its
+   shingles can have none. Slices of documents ask ranges and get back what is shared.
 3. Partners share a shingle among the rarest fifth of each (prefix filter), so components over those
    shingles hold all pairs. Small components are packed together; a component beyond a block is cut
    into blocks by set size and hash, and each pair of blocks whose sizes can match is one group.
@@ -21,19 +21,18 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import materialize
+from gridcensus.llm.common import materialize, pieces
 from gridcensus.llm.components import connected_components
 from gridcensus.llm.interpolated_lm import _pack, _unpack, word_lists
 
 WORDS = 5
-SLICE_BYTES = 6 << 20
-KEYS_PER_RANGE = 2_000_000
-LEAST_RANGES = 48
+SLICE_BYTES = 4 << 20
+KEYS_PER_RANGE = 1_000_000
+LEAST_RANGES = 64
 #: Shingles that the index leaves out because very many documents have them; this bounds a broadcast
 #: and decides only where a shingle stands in the order, never whether it counts.
 HEAVY = 65_536
@@ -76,16 +75,6 @@ def _classes(sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(keys[e - n : e].tobytes()) >> 1 if n else 0 for e, n in zip(ends, sizes, strict=True)], np.int64)
 
 
-def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
-    at = 0
-    while at < batch.num_rows:
-        base = size[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(size, base + SLICE_BYTES, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def _firsts(sizes: np.ndarray, keys: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct non-empty classes of a slice, their sizes, and the keys with the class each belongs to."""
     cids, first = np.unique(classes, return_index=True)
@@ -103,7 +92,7 @@ def document_classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _cut(batch):
+            for part in pieces(batch, SLICE_BYTES):
                 sizes, keys = shingle_sets(part["text"])
                 classes = _classes(sizes, keys)
                 cids, _, own, _ = _firsts(sizes, keys, classes)
@@ -136,7 +125,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _cut(batch):
+            for part in pieces(batch, SLICE_BYTES):
                 sizes, keys = shingle_sets(part["text"])
                 cids, ns, own, owner = _firsts(sizes, keys, _classes(sizes, keys))
                 if not len(cids):
@@ -152,7 +141,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
                 for r in range(ranges):
                     if cuts[r] < cuts[r + 1]:
                         s = slice(cuts[r], cuts[r + 1])
-                        rows.append((r, number, _pack(np.diff(own[s], prepend=np.uint64(0))), _pack(owner[s].astype(np.int32)), _pack(cids), None))
+                        rows.append((r, number, _pack(np.diff(own[s], prepend=np.uint64(0))), _pack(owner[s].astype(np.int32)), None, None))
                 kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -166,17 +155,9 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
             return pa.table({"slice": numbers, "keys": group["keys"], "owners": group["owners"], "df": pa.array(orders, pa.binary()), "cids": group["cids"], "ns": group["ns"]})
         keys = [np.cumsum(_unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
         owners = [_unpack(b, np.int32) for b in group["owners"].to_pylist()]
-        cids = [_unpack(b, np.int64)[o] for b, o in zip(group["cids"].to_pylist(), owners, strict=True)]
-        every, cid = np.concatenate(keys), np.concatenate(cids)
-        order = np.lexsort((cid, every))
-        k, c = every[order], cid[order]
-        new_key = np.ones(len(k), bool)
-        new_key[1:] = k[1:] != k[:-1]
-        new = new_key.copy()
-        new[1:] |= c[1:] != c[:-1]
-        which = np.cumsum(new_key) - 1
-        df = np.empty(len(k), np.int64)
-        df[order] = np.bincount(which[new], minlength=which[-1] + 1 if len(which) else 0)[which]
+        # a class that several slices hold counts for each: an order as good, and never 1 for a shared key
+        _, which, seen = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        df = seen[which]
         rows, at = [], 0
         for number, own, owner in zip(numbers, keys, owners, strict=True):
             mine = df[at : at + len(own)]

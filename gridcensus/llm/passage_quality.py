@@ -15,21 +15,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import fold
+from gridcensus.llm.common import fold, pieces
 
 PASSAGE_WORDS = 64
 #: Labelled rows, outside the held-out fold, that the network is fitted on.
 TRAIN_ROWS = 6000
 HIDDEN, ATTENTION = 16, 8
 EPOCHS, RATE, DECAY = 400, 0.02, 1e-4
-DOCS_PER_STEP = 256
+STEP_BYTES = 1 << 20
 THRESHOLD = 0.3
 
 #: Byte classes: space, line end, lower, upper, digit, then groups of marks; the last is any other byte.
 _GROUPS = [b" \t\x0b\x0c\r", b"\n", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"]
 _GROUPS += [b".,", b"!", b"?", b"|", b"#*$%&<>", b";:'\"-()", b"/@_=+~^\\[]{}`"]
 N_CLASSES = len(_GROUPS) + 1
-CLASS = np.full(256, N_CLASSES - 1, np.int64)
+CLASS = np.full(256, N_CLASSES - 1, np.uint8)
 for _i, _group in enumerate(_GROUPS):
     CLASS[list(_group)] = _i
 N_FEATURES = N_CLASSES + 7
@@ -168,8 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCS_PER_STEP):
-                part = batch.slice(at, DOCS_PER_STEP)
+            for part in pieces(batch, STEP_BYTES):
                 x, counts = passage_features([t or "" for t in part["text"].to_pylist()])
                 ends = np.cumsum(counts)
                 blobs = [x[a:b].tobytes() for a, b in zip(ends - counts, ends, strict=True)]
@@ -206,8 +205,7 @@ def passage_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCS_PER_STEP):
-                part = batch.slice(at, DOCS_PER_STEP)
+            for part in pieces(batch, STEP_BYTES):
                 scores = model.value.scores([t or "" for t in part["text"].to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part["row"], part["held_out"], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],

@@ -20,11 +20,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gridcensus.llm.common import pieces
+
 #: Words and trie nodes that a task keeps before it starts afresh.
-MAX_WORDS = 200_000
-MAX_NODES = 500_000
-MAX_PAIRS = 500_000
-DOCS_PER_STEP = 256
+MAX_WORDS = 150_000
+MAX_NODES = 300_000
+MAX_PAIRS = 300_000
+STEP_BYTES = 1 << 20
 
 END = "</w>"
 #: Texts of these characters alone are cut by a plain pattern; all others by the library's own rules.
@@ -158,9 +160,9 @@ class TrieTokenizer:
         self.letters = byte_letters()
         self.bytes_of: dict[str, bytes] = {}
         self.text_of: dict[str, str] = {}
-        self._start()
+        self.clear()
 
-    def _start(self) -> None:
+    def clear(self) -> None:
         self.bytes_of.clear()
         self.text_of.clear()
         self.trie.clear()
@@ -185,7 +187,7 @@ class TrieTokenizer:
     def encode_decode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text, of each text."""
         if len(self.bytes_of) > MAX_WORDS or self.trie.nodes > MAX_NODES:
-            self._start()
+            self.clear()
         per_text = [self.words(t) for t in texts]
         new = set().union(*per_text).difference(self.bytes_of)
         spelled = {
@@ -225,7 +227,7 @@ def prefix_bpe(
     ``outputs`` makes the columns of ``schema`` (besides the id, which comes first) from the ids in
     bytes and the decoded text. The tokenizer file is read by the driver and broadcast; it does not
     grow with the data. Empty texts have no ids; repeated rows give repeated results; other columns
-    are ignored. A step of a task holds 256 documents, whatever their length.
+    are ignored. A step of a task holds a megabyte of text, or one document.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -234,12 +236,13 @@ def prefix_bpe(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(definition.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCS_PER_STEP):
-                part = batch.slice(at, DOCS_PER_STEP)
+            for part in pieces(batch, STEP_BYTES):
                 made = [outputs(*x) for x in tokenizer.encode_decode([t or "" for t in part["text"].to_pylist()])]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], *[pa.array([m[k] for m in made]) for k in made[0]]], ["doc_id", *made[0]]
                 )
+        # workers live on; what the next task of another kind needs is memory
+        tokenizer.clear()
 
     rows = docs.selectExpr(f"`{doc_id}` as doc_id", f"cast(`{text}` as string) as text")
     return rows.mapInArrow(run, f"doc_id {kind}, {schema}")
