@@ -32,14 +32,12 @@ def _halve(block: np.ndarray) -> np.ndarray:
 
 
 def _cut(
-    block: np.ndarray, col: int, row: int, zooms: range, wanted: range, size: int
+    block: np.ndarray, col: int, row: int, zooms: range, size: int
 ) -> Iterator[pd.DataFrame]:
-    """Tiles with data on the wanted levels of a block at block position (col, row)."""
+    """Tiles with data on the levels of a block at block position (col, row)."""
     for zoom in zooms:
         if zoom != zooms[0]:
             block = _halve(block)
-        if zoom not in wanted:
-            continue
         n = block.shape[0] // size
         tiles = block.reshape(n, size, n, size).swapaxes(1, 2)
         rows, cols = np.nonzero(np.isfinite(tiles).any(axis=(2, 3)))
@@ -136,17 +134,15 @@ def warp_levels(
     level: ZoomLevel,
     zooms: range,
     span: int,
-    wanted: range | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """(zoom, tile_col, tile_row, cells) of the base level and those above it, in one shuffle.
 
     Sources are warped bilinearly and the lowest with data wins a pixel. ``zooms`` counts down
-    from the base level; only ``wanted`` ones are handed on. ``span`` is a block's side in pixels
+    from the base level. ``span`` is a block's side in pixels
     and must hold whole tiles on every level.
     """
     size = level.tile_size
-    wanted = zooms if wanted is None else wanted
     span = min(span, level.pixels)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,14 +157,14 @@ def warp_levels(
                     warp.clear()
                 if key != (bc, br):
                     if key is not None:
-                        yield from _cut(block, *key, zooms, wanted, size)
+                        yield from _cut(block, *key, zooms, size)
                     warp = _Warp(grid, level, span, bc, br)
                     block = np.full((span, span), np.nan)
                 key, source = (bc, br), src
                 warp.add(tc, tr, cells)
         if key is not None:
             block = np.where(np.isnan(block), warp.pixels(), block)
-            yield from _cut(block, *key, zooms, wanted, size)
+            yield from _cut(block, *key, zooms, size)
 
     placed = _to_blocks(tiles.select("src", "tile_col", "tile_row", "cells"), grid, level, span)
     keys = BLOCK if partitions is None else [partitions, *BLOCK]
@@ -177,10 +173,9 @@ def warp_levels(
 
 
 def coarser_levels(
-    tiles: DataFrame, zooms: range, size: int, span: int, wanted: range | None = None
+    tiles: DataFrame, zooms: range, size: int, span: int
 ) -> DataFrame:
     """Levels ``zooms``, counting down, from the tiles of the level below, in one shuffle."""
-    wanted = zooms if wanted is None else wanted
     span = min(span, ZoomLevel(zooms[0], size).pixels)
     across = span // size
 
@@ -194,13 +189,13 @@ def coarser_levels(
             ):
                 if key != (bc, br):
                     if key is not None:
-                        yield from _cut(block, *key, zooms, wanted, size)
+                        yield from _cut(block, *key, zooms, size)
                     key, block = (bc, br), np.full((span, span), np.nan)
                 y, x = tr * half - br * span, tc * half - bc * span
                 tile = np.asarray(cells, dtype=float).reshape(size, size)
                 block[y : y + half, x : x + half] = _halve(tile)
         if key is not None:
-            yield from _cut(block, *key, zooms, wanted, size)
+            yield from _cut(block, *key, zooms, size)
 
     side = F.lit(2 * across)
     placed = tiles.where(F.col("zoom") == zooms[0] + 1).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import is_data
-from gridcensus.operators.joins import join_masks
+from gridcensus.operators.joins import cut_lineage, fits_broadcast
 from gridcensus.operators.tiles import pack_tiles, unpack_tiles
 
 TILE_KEY = ["tile_col", "tile_row"]
@@ -28,13 +28,14 @@ def mosaic_tiles(tiles: DataFrame, grid: GridSpec) -> DataFrame:
     """(tile_col, tile_row, cells) from packed tiles.
 
     Only tiles that several sources share are unpacked and merged cell by cell; all others pass
-    through as they are. The sharing is found from the key columns alone.
+    through as they are. The shared keys are found once, from the key columns alone, and kept.
     """
-    sharing = tiles.groupBy(*TILE_KEY).agg(F.count(F.lit(1)).alias("n"))
-    counted = join_masks(tiles, sharing, TILE_KEY, spread=["src"])
-    alone = counted.where(F.col("n") == 1).select(*TILE_KEY, "cells")
-    shared = counted.where(F.col("n") > 1).drop("n")
-    overlapping = unpack_tiles(shared, grid.tile_size)
+    counted = tiles.groupBy(*TILE_KEY).agg(F.count(F.lit(1)).alias("n"))
+    shared = cut_lineage(counted.where(F.col("n") > 1).select(*TILE_KEY))
+    if fits_broadcast(shared):
+        shared = F.broadcast(shared)
+    alone = tiles.join(shared, TILE_KEY, "left_anti").select(*TILE_KEY, "cells")
+    overlapping = unpack_tiles(tiles.join(shared, TILE_KEY, "left_semi"), grid.tile_size)
     merged = pack_tiles(mosaic_cells(overlapping), grid.tile_size, keys=())
     return alone.unionByName(merged)
 

@@ -22,6 +22,7 @@ from gridcensus.functions.colors import (
 )
 from gridcensus.functions.grid import GridSpec, ZoomLevel
 from gridcensus.operators.block_tiles import coarser_levels, warp_levels
+from gridcensus.operators.joins import cut_lineage
 from gridcensus.operators.mosaic import mosaic_cells
 from gridcensus.operators.pyramid import (
     BLOCK,
@@ -78,23 +79,20 @@ def tile_levels(
 ) -> DataFrame:
     """(zoom, tile_col, tile_row, cells) of all levels by way of packed tiles.
 
-    Each step reads its shuffle twice: once for its own levels, and once for just the last of
-    them, which the next step starts from.
+    Each step is computed once: its levels go to the checkpoint folder, the next step starts from
+    the last of them there, and so do readers of the result.
     """
     packed = raster if "cells" in raster.columns else pack_tiles(raster, grid.tile_size)
     span = block_span(tile_size)
     base = ZoomLevel(base_zoom, tile_size)
-    steps, last = [], None
+    steps: list[DataFrame] = []
     for top in range(base_zoom, min_zoom - 1, -LEVELS_PER_SHUFFLE):
         zooms = range(top, max(top - LEVELS_PER_SHUFFLE, min_zoom - 1), -1)
-
-        def step(wanted: range, zooms: range = zooms, finer: DataFrame | None = last) -> DataFrame:
-            if finer is None:
-                return warp_levels(packed, grid, base, zooms, span, wanted, partitions)
-            return coarser_levels(finer, zooms, tile_size, span, wanted)
-
-        steps.append(step(zooms))
-        last = step(zooms[-1:])
+        if steps:
+            levels = coarser_levels(steps[-1], zooms, tile_size, span)
+        else:
+            levels = warp_levels(packed, grid, base, zooms, span, partitions)
+        steps.append(cut_lineage(levels) if zooms[-1] > min_zoom else levels)
     return reduce(DataFrame.unionByName, steps)
 
 
