@@ -26,11 +26,10 @@ from gridcensus.llm.common import fold, pieces
 #: training texts, and the last 15 classes are shared by all other letters.
 CLASSES = 64
 OWN_CLASSES = 48
-#: Labelled rows that the model is fitted on, and how many of them are landmarks.
-TRAIN_ROWS = 3000
+#: Labelled rows that the model is fitted on, the longest text of one, and how many are landmarks.
+TRAIN_ROWS = 2000
+TRAIN_BYTES = 1 << 16
 LANDMARKS = 256
-#: Characters of a training text that are looked at; scored texts are always taken whole.
-TRAIN_CHARS = 4000
 RIDGE = 1e-3
 STEP_BYTES = 1 << 20
 SIZES = (CLASSES, CLASSES**2, CLASSES**3)
@@ -132,11 +131,16 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
 
 
 def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str, rows: int) -> list[tuple[str, str]]:
-    """At most ``rows`` labelled texts outside fold 0, by the order of a hash of the id."""
-    usable = docs.where((fold(F.col(doc_id)) != 0) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    order = F.xxhash64(F.lit(10), F.col(doc_id))
-    some = usable.select(order.alias("o"), F.substring(text, 1, TRAIN_CHARS).alias("t"), F.col(lang).cast("string").alias("l"))
-    return [(r["t"], r["l"]) for r in some.orderBy("o", "t").limit(rows).collect()]
+    """At most ``rows`` labelled texts of moderate length outside fold 0, by the order of a hash of the id.
+
+    Ids are chosen first, so only the chosen texts travel. An id that is repeated gives one text.
+    """
+    usable = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l"))
+    usable = usable.where((fold(F.col("id")) != 0) & F.col("l").isNotNull() & (F.octet_length("t") <= TRAIN_BYTES))
+    chosen = usable.select("id").orderBy(F.xxhash64(F.lit(10), "id"), "id").limit(rows).distinct()
+    # at most ``rows`` ids
+    found = usable.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct("l", "t")).alias("x")).collect()
+    return [(r["x"]["t"], r["x"]["l"]) for r in sorted(found, key=lambda r: r["id"])]
 
 
 def kernel_language(

@@ -164,7 +164,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
     chosen = known.orderBy(F.xxhash64(F.lit(6), "labelled"), "labelled").limit(rows)
     texts = docs.select(F.col(doc_id).alias("of"), F.col(text).cast("string").alias("text"))
     # at most ``rows`` rows of two numbers
-    texts = texts.join(F.broadcast(chosen), F.col("of") == F.col("labelled")).select("of", "text", "y")
+    texts = texts.join(F.broadcast(chosen), F.col("of") == F.col("labelled"))
+    # an id that is repeated gives one text
+    texts = texts.groupBy("of").agg(F.min("text").alias("text"), F.min("y").alias("y"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
