@@ -16,12 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.llm.common import fold, materialize, pieces
+from gridcensus.llm.packing import pack, unpack, word_lists
 
 SLICE_BYTES = 8 << 20
 #: Text for each range of keys, and the least number of ranges.
@@ -38,35 +38,6 @@ END_KEY, START_KEY = np.uint64(0x5851F42D4C957F2C), np.uint64(0x14057B7EF767814E
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _pack(a: np.ndarray) -> bytes:
-    """An array, compressed byte plane by byte plane: planes of small numbers' high bytes take no room."""
-    planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def _unpack(b: bytes, kind: type) -> np.ndarray:
-    planes = pa.decompress(b[8:], int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
-
-
-def word_lists(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Words per text, an index for each word in turn, and the distinct words, most frequent first."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.combine_chunks()
-    flat, parent = lists.flatten(), pc.list_parent_indices(lists)
-    full = pc.not_equal(flat, "")
-    flat, parent = flat.filter(full), parent.filter(full)
-    sizes = np.bincount(parent.to_numpy(zero_copy_only=False), minlength=len(texts))
-    coded = flat.dictionary_encode()
-    index = coded.indices.to_numpy(zero_copy_only=False)
-    order = np.argsort(-np.bincount(index, minlength=len(coded.dictionary)), kind="stable")
-    place = np.empty(len(order), np.int32)
-    place[order] = np.arange(len(order), dtype=np.int32)
-    return sizes, place[index], coded.dictionary.take(pa.array(order)).to_pylist()
-
-
 class Slice:
     """The tokens of some documents as keys: a word per token, and the pair with the token before."""
 
@@ -122,9 +93,9 @@ def _ask(rows: DataFrame, ranges: int) -> DataFrame:
                     [
                         pa.array([r for r, _ in found], pa.int32()),
                         pa.array([number] * len(found), pa.int64()),
-                        pa.array([_pack(np.diff(piece.keys[s], prepend=np.uint64(0))) for _, s in found], pa.binary()),
-                        pa.array([_pack(total[s]) for _, s in found], pa.binary()),
-                        pa.array([_pack(part[s]) for _, s in found], pa.binary()),
+                        pa.array([pack(np.diff(piece.keys[s], prepend=np.uint64(0))) for _, s in found], pa.binary()),
+                        pa.array([pack(total[s]) for _, s in found], pa.binary()),
+                        pa.array([pack(part[s]) for _, s in found], pa.binary()),
                     ],
                     ["range", "slice", "keys", "total", "part"],
                 )
@@ -138,11 +109,11 @@ def _sum_range(group: pa.Table) -> pa.Table:
     Slice -1 holds the distinct words and the tokens seen in training, and those of the part for the
     weights. Slices that are read twice are counted twice and answered once.
     """
-    keys = [np.cumsum(_unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
+    keys = [np.cumsum(unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     sums = []
     for name in ("total", "part"):
-        own = np.concatenate([_unpack(b, np.int32) for b in group[name].to_pylist()])
+        own = np.concatenate([unpack(b, np.int32) for b in group[name].to_pylist()])
         sums.append(np.bincount(place, own, len(distinct)).astype(np.int64))
     total, part = sums
     is_word = (distinct & np.uint64(1)) == 0
@@ -156,8 +127,8 @@ def _sum_range(group: pa.Table) -> pa.Table:
         {
             "slice": pa.array([*answers, -1], pa.int64()),
             "range": pa.array([r] * (len(answers) + 1), pa.int32()),
-            "total": pa.array([*[_pack(total[h]) for h in answers.values()], facts.tobytes()], pa.binary()),
-            "part": pa.array([*[_pack(part[h]) for h in answers.values()], b""], pa.binary()),
+            "total": pa.array([*[pack(total[h]) for h in answers.values()], facts.tobytes()], pa.binary()),
+            "part": pa.array([*[pack(part[h]) for h in answers.values()], b""], pa.binary()),
         }
     )
 
@@ -174,7 +145,7 @@ def _own_rows(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for number, ids, arrays in _cut(batch):
                 columns = [pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(ids.type))]
-                columns += [pa.array([_pack(a)], pa.binary()) for a in arrays]
+                columns += [pa.array([pack(a)], pa.binary()) for a in arrays]
                 yield pa.RecordBatch.from_arrays(columns, ["slice", "ids", "sizes", "folds", "index", "hashes"])
 
     kind = rows.schema["id"].dataType.simpleString()
@@ -194,14 +165,14 @@ def _gather(own: pa.Table, found: pa.Table) -> pa.Table:
         facts = np.sum([np.frombuffer(r["total"], np.int64) for r in rows], axis=0)
         columns = {"slice": [-1], "ids": [None], "folds": [facts.tobytes()], "ends": [None]} | {n: [None] for n in PACKED}
         return pa.table({n: pa.array(columns[n], t) for n, t in schema.items()})
-    counts = [np.concatenate([_unpack(answers[r][c], np.int64) for r in sorted(answers)]) for c in ("total", "part")]
+    counts = [np.concatenate([unpack(answers[r][c], np.int64) for r in sorted(answers)]) for c in ("total", "part")]
     out = []
     for row in own.to_pylist():
         kinds = {"sizes": np.int64, "folds": np.int8, "index": np.int32, "hashes": np.uint64}
-        piece = Slice(*[_unpack(row[n], kind) for n, kind in kinds.items()])
+        piece = Slice(*[unpack(row[n], kind) for n, kind in kinds.items()])
         learn, places = piece.fold == LEARN_WEIGHTS, (piece.word, piece.pair)
-        blobs = [_pack(counts[0][p]) for p in places] + [_pack(np.where(learn, counts[1][p], 0)) for p in places]
-        known = {"slice": row["slice"], "ids": row["ids"], "folds": row["folds"], "ends": _pack(piece.ends)}
+        blobs = [pack(counts[0][p]) for p in places] + [pack(np.where(learn, counts[1][p], 0)) for p in places]
+        known = {"slice": row["slice"], "ids": row["ids"], "folds": row["folds"], "ends": pack(piece.ends)}
         out.append(known | dict(zip(PACKED, blobs, strict=True)))
     return pa.table({n: pa.array([r[n] for r in out], t) for n, t in schema.items()})
 
@@ -210,9 +181,9 @@ class _Counted:
     """A slice's tokens with their corpus counts."""
 
     def __init__(self, row: dict) -> None:
-        self.folds, self.ends = _unpack(row["folds"], np.int8), _unpack(row["ends"], np.int64)
+        self.folds, self.ends = unpack(row["folds"], np.int8), unpack(row["ends"], np.int64)
         self.starts = self.ends - np.diff(self.ends, prepend=0)
-        self.word, self.pair, self.word_part, self.pair_part = (_unpack(row[n], np.int64) for n in PACKED)
+        self.word, self.pair, self.word_part, self.pair_part = (unpack(row[n], np.int64) for n in PACKED)
 
     def context(self, counts: np.ndarray, end: int) -> np.ndarray:
         """Of each token, how often the token before it was seen; the start as often as the end."""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.llm.common import materialize, pieces
 from gridcensus.llm.components import connected_components
-from gridcensus.llm.interpolated_lm import _pack, _unpack, word_lists
+from gridcensus.llm.packing import pack, unpack, word_lists
 
 WORDS = 5
 SLICE_BYTES = 4 << 20
@@ -133,7 +133,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
                 # equal slices have equal numbers, and then equal classes
                 number = xxhash.xxh64_intdigest(cids.tobytes()) >> 1
                 is_heavy = np.isin(own, known.value)
-                rows = [(-1 - number % 64, number, _pack(own[is_heavy]), _pack(owner[is_heavy].astype(np.int32)), _pack(cids), _pack(ns.astype(np.int32)))]
+                rows = [(-1 - number % 64, number, pack(own[is_heavy]), pack(owner[is_heavy].astype(np.int32)), pack(cids), pack(ns.astype(np.int32)))]
                 own, owner = own[~is_heavy], owner[~is_heavy]
                 order = np.argsort(own, kind="stable")
                 own, owner = own[order], owner[order]
@@ -141,7 +141,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
                 for r in range(ranges):
                     if cuts[r] < cuts[r + 1]:
                         s = slice(cuts[r], cuts[r + 1])
-                        rows.append((r, number, _pack(np.diff(own[s], prepend=np.uint64(0))), _pack(owner[s].astype(np.int32)), None, None))
+                        rows.append((r, number, pack(np.diff(own[s], prepend=np.uint64(0))), pack(owner[s].astype(np.int32)), None, None))
                 kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -153,8 +153,8 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
         if group["range"][0].as_py() < 0:
             orders = [None] * len(numbers)
             return pa.table({"slice": numbers, "keys": group["keys"], "owners": group["owners"], "df": pa.array(orders, pa.binary()), "cids": group["cids"], "ns": group["ns"]})
-        keys = [np.cumsum(_unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
-        owners = [_unpack(b, np.int32) for b in group["owners"].to_pylist()]
+        keys = [np.cumsum(unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
+        owners = [unpack(b, np.int32) for b in group["owners"].to_pylist()]
         # a class that several slices hold counts for each: an order as good, and never 1 for a shared key
         _, which, seen = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         df = seen[which]
@@ -164,7 +164,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
             at += len(own)
             shared = mine > 1
             if shared.any():
-                rows.append((number, _pack(own[shared]), _pack(owner[shared]), _pack(mine[shared])))
+                rows.append((number, pack(own[shared]), pack(owner[shared]), pack(mine[shared])))
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
         blank = pa.nulls(len(rows), pa.binary())
         return pa.table(
@@ -176,10 +176,10 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
     def gather(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         head = next(r for r in rows if r["cids"] is not None)
-        cids, ns = _unpack(head["cids"], np.int64), _unpack(head["ns"], np.int32).astype(np.int64)
-        keys = np.concatenate([_unpack(r["keys"], np.uint64) for r in rows])
-        owner = np.concatenate([_unpack(r["owners"], np.int32) for r in rows])
-        df = np.concatenate([_unpack(r["df"], np.int64) if r["df"] is not None else np.full(len(_unpack(r["owners"], np.int32)), HEAVY_ORDER) for r in rows])
+        cids, ns = unpack(head["cids"], np.int64), unpack(head["ns"], np.int32).astype(np.int64)
+        keys = np.concatenate([unpack(r["keys"], np.uint64) for r in rows])
+        owner = np.concatenate([unpack(r["owners"], np.int32) for r in rows])
+        df = np.concatenate([unpack(r["df"], np.int64) if r["df"] is not None else np.full(len(unpack(r["owners"], np.int32)), HEAVY_ORDER) for r in rows])
         order = np.lexsort((keys, df, owner))
         keys, owner, df = keys[order], owner[order], df[order]
         new = np.ones(len(keys), bool)
