@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.fixtures import GRID
 from gridcensus.functions import colors, projections, values
-from gridcensus.functions.grid import GridSpec, ZoomLevel, zoom_tile
+from gridcensus.functions.grid import GridSpec, zoom_tile
 from gridcensus.operators import (
     area,
     histograms,
