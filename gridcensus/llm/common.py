@@ -52,9 +52,10 @@ def local_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame
     return spark.range(1).select(F.inline(parsed))
 
 
-def pieces(batch: pa.RecordBatch, most_bytes: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, most_bytes: int, texts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of so many bytes of text at most, or of one row; every row counts 64 more."""
-    size = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    texts = batch["text"] if texts is None else texts
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     upto, at = np.cumsum(size + 64), 0
     while at < batch.num_rows:
         base = upto[at - 1] if at else 0

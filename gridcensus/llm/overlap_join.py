@@ -1,9 +1,9 @@
 """Jaccard self-join on word shingles by T-occurrence search.
 
 1. Equal shingle sets become one class. Heavy shingles (a bounded list) are found in the same pass.
-2. An inverted index over the classes of all slices, built in hash ranges, tells how often each
-   shingle occurs; one that occurs once has no partner, and a class that shares fewer than 80 % of its
-   shingles can have none. Slices of documents ask ranges and get back what is shared.
+2. An inverted index over all classes, built in hash ranges, tells how many classes each shingle has;
+   one with a single class has no partner, and a class that shares fewer than 80 % of its shingles can
+   have none. Slices of documents ask ranges and get back what is shared.
 3. Partners share a shingle among the rarest fifth of each (prefix filter), so components over those
    shingles hold all pairs. Small components are packed together; a component beyond a block is cut
    into blocks by set size and hash, and each pair of blocks whose sizes can match is one group.
@@ -31,8 +31,8 @@ from gridcensus.llm.packing import pack, unpack, word_lists
 
 WORDS = 5
 SLICE_BYTES = 4 << 20
-KEYS_PER_RANGE = 1_000_000
-LEAST_RANGES = 64
+KEYS_PER_RANGE = 2_000_000
+LEAST_RANGES = 48
 #: Shingles that the index leaves out because very many documents have them; this bounds a broadcast
 #: and decides only where a shingle stands in the order, never whether it counts.
 HEAVY = 65_536
@@ -62,6 +62,8 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(counts) - counts
     for d in short:
         keys[first[d]] = xxhash.xxh64_intdigest(hashes[ends[d] - sizes[d] : ends[d]].tobytes(), seed=int(sizes[d]))
+    # the lowest byte is left out: 56 bits tell the shingles of any two texts apart, and travel lighter
+    keys &= ~np.uint64(255)
     order = np.lexsort((keys, doc))
     keys, doc = keys[order], doc[order]
     new = np.ones(len(keys), bool)
@@ -141,7 +143,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
                 for r in range(ranges):
                     if cuts[r] < cuts[r + 1]:
                         s = slice(cuts[r], cuts[r + 1])
-                        rows.append((r, number, pack(np.diff(own[s], prepend=np.uint64(0))), pack(owner[s].astype(np.int32)), None, None))
+                        rows.append((r, number, pack(np.diff(own[s], prepend=np.uint64(0))), pack(owner[s].astype(np.int32)), pack(cids), None))
                 kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -155,9 +157,15 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
             return pa.table({"slice": numbers, "keys": group["keys"], "owners": group["owners"], "df": pa.array(orders, pa.binary()), "cids": group["cids"], "ns": group["ns"]})
         keys = [np.cumsum(unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
         owners = [unpack(b, np.int32) for b in group["owners"].to_pylist()]
-        # a class that several slices hold counts for each: an order as good, and never 1 for a shared key
-        _, which, seen = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        df = seen[which]
+        cid = np.concatenate([unpack(b, np.int64)[o] for b, o in zip(group["cids"].to_pylist(), owners, strict=True)])
+        _, which = np.unique(np.concatenate(keys), return_inverse=True)
+        # a class that several slices hold counts once
+        order = np.lexsort((cid, which))
+        which_sorted, cid = which[order], cid[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (which_sorted[1:] != which_sorted[:-1]) | (cid[1:] != cid[:-1])
+        df = np.bincount(which_sorted[new])[which]
+        del cid, order, which, which_sorted, new
         rows, at = [], 0
         for number, own, owner in zip(numbers, keys, owners, strict=True):
             mine = df[at : at + len(own)]
@@ -324,7 +332,7 @@ def overlap_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Null texts and texts without words have an empty set and no links; a component is named by its
     least id. Repeated rows have equal sets and are linked; with null ids a component's least known
-    id counts. An empty table gives none; other columns are ignored. Sets are compared by 64-bit
+    id counts. An empty table gives none; other columns are ignored. Sets are compared by 56-bit
     hashes of their shingles, and equal sets are recognised by a 63-bit hash.
     """
     members, heavy = document_classes(docs, doc_id, text)
