@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,16 +200,20 @@ def passage_quality(
     rows get equal scores; without labels every score is 0.5; an empty table gives none.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, doc_id, text, label, train_rows))
-    rows = docs.select(
-        F.struct(*[F.col(c) for c in carry or [doc_id]]).alias("row"),
-        (fold(F.col(doc_id)) == 0).alias("held_out"),
-        F.col(text).cast("string").alias("text"),
-    )
+    carried = carry or [doc_id]
+    # a text that is carried along anyway travels once
+    apart = text not in carried
+    row = F.struct(*[F.col(c) for c in carried]).alias("row")
+    own = [F.col(text).cast("string").alias("text")] if apart else []
+    rows = docs.select(row, (fold(F.col(doc_id)) == 0).alias("held_out"), *own)
+
+    def texts(batch: pa.RecordBatch) -> pa.Array:
+        return batch["text"] if apart else pc.struct_field(batch["row"], text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, STEP_BYTES):
-                scores = model.value.scores([t or "" for t in part["text"].to_pylist()])
+            for part in pieces(batch, STEP_BYTES, texts(batch)):
+                scores = model.value.scores([t or "" for t in texts(part).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part["row"], part["held_out"], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],
                     ["row", "held_out", "score", "predicted"],
