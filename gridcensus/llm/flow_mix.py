@@ -179,7 +179,11 @@ def flow_mix(
         table.append({"pattern": p, "held": size, "copies": copies, "rest": rest, "parts": parts, "charges": ends})
     schema = "pattern array<string>, held long, copies long, rest long, parts long"
     plan = local_table(spark, table, f"{schema}, charges array<struct<source: string, upto: double>>")
-    rows = rows.join(F.broadcast(plan) if len(table) <= BROADCAST_PATTERNS else plan, "pattern")
+
+    def by_pattern(one_row_each: DataFrame) -> DataFrame:
+        return F.broadcast(one_row_each) if len(table) <= BROADCAST_PATTERNS else one_row_each
+
+    rows = rows.join(by_pattern(plan), "pattern")
     rows = rows.withColumn("place", unit_hash(F.col("doc_id"), F.col("size"), seed=seed))
     rows = rows.withColumn("group", F.array_join("pattern", "\x01"))
     ordered = running_total(rows, "group", "place", ["doc_id", "size"], F.col("size"), F.col("parts"), "before")
@@ -190,8 +194,8 @@ def flow_mix(
     )
     miss = F.abs(F.col("size") - F.col("gap"))
     best = F.min(F.when(~fits & (miss < F.col("gap")), F.struct(miss.alias("miss"), F.col("before").alias("at"))))
-    last = ordered.join(gaps, "group").groupBy("group").agg(best["at"].alias("last"))
-    ordered = ordered.join(last, "group")
+    last = ordered.join(by_pattern(gaps), "group").groupBy("group").agg(best["at"].alias("last"))
+    ordered = ordered.join(by_pattern(last), "group")
     extra = F.when(fits | (F.col("before") == F.col("last")), 1).otherwise(0)
     share = F.col("before") / F.col("held")
     charged = F.get(F.filter("charges", lambda c: share < c["upto"]), F.lit(0))["source"]
