@@ -1,9 +1,9 @@
-"""Resampling and reprojection by axis tables.
+"""Resampling and reprojection by arithmetic on each axis.
 
 A target grid reads its source separably: which source column a target column reads does not
-depend on the row. Each axis becomes a small table (source cell, target cell, weight), computed
-once, and cells pick up their targets in two broadcast joins on plain integers. Nearest neighbour
-then needs no shuffle, bilinear only that of its weighted sums.
+depend on the row. A source cell therefore knows its targets on each axis as a range, from the
+target grid's own formula, and is exploded by it; there is no table to join and none to broadcast.
+Nearest neighbour then needs no shuffle, bilinear only that of its weighted sums.
 """
 
 from __future__ import annotations
@@ -11,23 +11,27 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions import projections
-from gridcensus.functions.grid import MERCATOR_HALF, GridSpec, ZoomLevel
+from gridcensus.functions.grid import MERCATOR_HALF, MERCATOR_MAX_LAT, GridSpec, ZoomLevel
 from gridcensus.functions.values import is_data
 
-# An axis row is about 20 bytes, so a broadcast axis stays under some 100 MB.
-BROADCAST_AXIS_ROWS = 4_000_000
+# Target numbers carry rounding errors far below this; the exact test follows.
+SLACK = 1e-6
 
 
 @dataclass(frozen=True)
 class TargetAxis:
-    """One axis of a target grid: its cells, and their centres in source coordinates."""
+    """One axis of a target grid: its cells, their centres in source coordinates, and the way back.
+
+    ``index`` gives the (fractional) cell whose centre lies at a coordinate.
+    """
 
     size: int
     coordinate: Callable[[Column], Column]
+    index: Callable[[Column], Column]
 
 
 Axes = tuple[TargetAxis, TargetAxis]
@@ -35,70 +39,88 @@ Axes = tuple[TargetAxis, TargetAxis]
 
 def grid_axes(grid: GridSpec) -> Axes:
     """Axes of a target grid in the same coordinates as the source."""
-    return TargetAxis(grid.cols, grid.center_x), TargetAxis(grid.rows, grid.center_y)
+    return (
+        TargetAxis(
+            grid.cols,
+            grid.center_x,
+            lambda x: (x - F.lit(grid.xmin)) / F.lit(grid.cell_width) - F.lit(0.5),
+        ),
+        TargetAxis(
+            grid.rows,
+            grid.center_y,
+            lambda y: (F.lit(grid.ymax) - y) / F.lit(grid.cell_height) - F.lit(0.5),
+        ),
+    )
 
 
 def mercator_axes(level: ZoomLevel) -> Axes:
     """Axes of a Web Mercator zoom level over a longitude and latitude source."""
-    metres, half = F.lit(level.pixel_metres), F.lit(MERCATOR_HALF)
+    metres, half, limit = level.pixel_metres, MERCATOR_HALF, MERCATOR_MAX_LAT
+
+    def clamped(lat: Column) -> Column:
+        return F.greatest(F.lit(-limit), F.least(F.lit(limit), lat))
+
     return (
         TargetAxis(
             level.pixels,
-            lambda t: projections.mercator_lon((t + F.lit(0.5)) * metres - half),
+            lambda t: projections.mercator_lon((t + F.lit(0.5)) * F.lit(metres) - F.lit(half)),
+            lambda lon: (projections.mercator_x(lon) + F.lit(half)) / F.lit(metres) - F.lit(0.5),
         ),
         TargetAxis(
             level.pixels,
-            lambda t: projections.mercator_lat(half - (t + F.lit(0.5)) * metres),
+            lambda t: projections.mercator_lat(F.lit(half) - (t + F.lit(0.5)) * F.lit(metres)),
+            lambda lat: (F.lit(half) - projections.mercator_y(clamped(lat))) / F.lit(metres) - F.lit(0.5),
         ),
     )
 
 
-def _positions(spark: SparkSession, axes: Axes, source: GridSpec) -> tuple[DataFrame, DataFrame]:
-    """Per axis, each target cell ``t`` and the fractional source cell ``f`` its centre lies at.
+@dataclass(frozen=True)
+class _Read:
+    """How one target axis reads one source axis: source cell numbers grow with ``sign``."""
+
+    axis: TargetAxis
+    origin: float
+    step: float
+    sign: int
 
-    Whole numbers of ``f`` are source cell edges.
-    """
-    cols, rows = axes
-    t = F.col("id").cast("int")
-    x = (cols.coordinate(t) - F.lit(source.xmin)) / F.lit(source.cell_width)
-    y = (F.lit(source.ymax) - rows.coordinate(t)) / F.lit(source.cell_height)
-    return (
-        spark.range(cols.size).select(t.alias("t"), x.alias("f")),
-        spark.range(rows.size).select(t.alias("t"), y.alias("f")),
-    )
+    def position(self, t: Column) -> Column:
+        """The fractional source cell a target's centre lies at; whole numbers are cell edges."""
+        return F.lit(float(self.sign)) * (self.axis.coordinate(t) - F.lit(self.origin)) / F.lit(self.step)
 
+    def targets(self, cell: Column, reach: float) -> Column:
+        """Targets whose centres may lie within ``reach`` cells of a cell's centre, as an array."""
 
-def _sized(table: DataFrame, axis: TargetAxis, reach: int) -> DataFrame:
-    """An axis table of ``reach`` rows per target cell, to be broadcast if it is small enough."""
-    return F.broadcast(table) if axis.size * reach <= BROADCAST_AXIS_ROWS else table
+        def index(offset: float) -> Column:
+            return self.axis.index(F.lit(self.origin) + (cell + F.lit(offset)) * F.lit(self.sign * self.step))
 
+        low = F.greatest(F.ceil(index(0.5 - reach) - F.lit(SLACK)), F.lit(0)).cast("int")
+        high = F.least(F.floor(index(0.5 + reach) + F.lit(SLACK)), F.lit(self.axis.size - 1)).cast("int")
+        return F.when(low <= high, F.sequence(low, high))
 
-def _with_targets(cells: DataFrame, axes: Axes, x: DataFrame, y: DataFrame, reach: int) -> DataFrame:
-    """Cells joined to the targets that read them, by column and by row."""
-    return cells.join(_sized(x, axes[0], reach), "col").join(_sized(y, axes[1], reach), "row")
+
+def _reads(axes: Axes, source: GridSpec) -> tuple[_Read, _Read]:
+    cols, rows = axes
+    return (
+        _Read(cols, source.xmin, source.cell_width, 1),
+        _Read(rows, source.ymax, source.cell_height, -1),
+    )
 
 
 def resample_nearest(cells: DataFrame, source: GridSpec, axes: Axes) -> DataFrame:
     """Each target cell takes the source cell its centre falls in."""
-    x, y = _positions(cells.sparkSession, axes, source)
-    cell = F.floor("f").cast("int")
-    x = x.select(cell.alias("col"), F.col("t").alias("to_col"))
-    y = y.select(cell.alias("row"), F.col("t").alias("to_row"))
     kept = [c for c in cells.columns if c not in ("col", "row")]
-    return _with_targets(cells, axes, x, y, reach=1).select(
-        *kept, F.col("to_col").alias("col"), F.col("to_row").alias("row")
-    )
+    read = cells
+    for read_by, name in zip(_reads(axes, source), ("col", "row"), strict=True):
+        read = read.withColumn(f"to_{name}", F.explode(read_by.targets(F.col(name), 0.5)))
+        read = read.where(F.floor(read_by.position(F.col(f"to_{name}"))) == F.col(name))
+    return read.select(*kept, F.col("to_col").alias("col"), F.col("to_row").alias("row"))
 
 
-def _neighbours(positions: DataFrame) -> DataFrame:
-    """The source cells around each target centre, with weights above zero: (s, t, w)."""
-    centred = positions.select("t", F.floor(F.col("f") - 0.5).cast("int").alias("s"), (F.col("f") - 0.5).alias("f"))
-    share = F.col("f") - F.floor("f")
-    pair = F.array(
-        F.struct(F.col("s").alias("s"), (F.lit(1.0) - share).alias("w")),
-        F.struct((F.col("s") + 1).alias("s"), share.alias("w")),
-    )
-    return centred.select("t", F.inline(pair)).where(F.col("w") > 0)
+def _weight(position: Column, cell: Column) -> Column:
+    """Share that a cell has in the linear reading at a position, 0 where it is not read."""
+    first = F.floor(position - 0.5)
+    share = (position - 0.5) - first
+    return F.when(cell == first, F.lit(1.0) - share).when(cell == first + 1, share).otherwise(F.lit(0.0))
 
 
 def resample_bilinear(cells: DataFrame, source: GridSpec, axes: Axes) -> DataFrame:
@@ -106,16 +128,17 @@ def resample_bilinear(cells: DataFrame, source: GridSpec, axes: Axes) -> DataFra
 
     Contributions combine within a task before the one shuffle, by (src, col, row).
     """
-    x, y = _positions(cells.sparkSession, axes, source)
-    x = _neighbours(x).select(F.col("s").alias("col"), F.col("t").alias("to_col"), F.col("w").alias("wx"))
-    y = _neighbours(y).select(F.col("s").alias("row"), F.col("t").alias("to_row"), F.col("w").alias("wy"))
-    data = cells.where(is_data(F.col("value"))).select("src", "col", "row", "value")
-    sent = _with_targets(data, axes, x, y, reach=2).select(
+    read = cells.where(is_data(F.col("value"))).select("src", "col", "row", "value")
+    for read_by, name in zip(_reads(axes, source), ("col", "row"), strict=True):
+        read = read.withColumn(f"to_{name}", F.explode(read_by.targets(F.col(name), 1.0)))
+        weight = _weight(read_by.position(F.col(f"to_{name}")), F.col(name))
+        read = read.withColumn(f"w_{name}", weight).where(F.col(f"w_{name}") > 0)
+    sent = read.select(
         "src",
         F.col("to_col").alias("col"),
         F.col("to_row").alias("row"),
         "value",
-        (F.col("wx") * F.col("wy")).alias("w"),
+        (F.col("w_col") * F.col("w_row")).alias("w"),
     )
     return sent.groupBy("src", "col", "row").agg(
         (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value")
