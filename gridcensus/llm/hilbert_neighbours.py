@@ -133,7 +133,8 @@ def hilbert_neighbours(
     queries = rows.where("q").select("id", "v").distinct().join(classes.select("v", "c"), "v").select("id", "c")
     queries = materialize(queries, "queries")
     asked = queries.select("c").distinct()
-    marked = classes.join(asked.withColumn("asked", F.lit(True)), "c", "left").select("c", "v", F.col("asked").isNotNull().alias("asked"))
+    marked = classes.join(asked.withColumn("asked", F.lit(True)), "c", "left")
+    marked = marked.select("c", "v", F.col("asked").isNotNull().alias("asked"))
 
     dim = classes.agg(F.max(F.size("v"))).first()[0] or 0
     component = [F.coalesce(F.get("v", F.lit(i)), F.lit(0.0)) for i in range(dim)]

@@ -84,7 +84,9 @@ def text_counts(text: Column) -> Column:
 def document_rules(docs: DataFrame, text: str, host: str, carry: list[str]) -> DataFrame:
     """Counts of each document, ``base_failed`` and ``rule_failed`` (the base or a further rule)."""
     counted = docs.select(
-        F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(host).cast("string").alias("host"), text_counts(F.col(text)).alias("c")
+        F.struct(*[F.col(c) for c in carry]).alias("row"),
+        F.col(host).cast("string").alias("host"),
+        text_counts(F.col(text)).alias("c"),
     )
     flat = counted.select(
         "row",

@@ -22,7 +22,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.llm.common import materialize, pieces
@@ -42,6 +42,7 @@ HEAVY_ORDER = 1 << 40
 BLOCK = 512
 #: Weight of the list length in the number of long lists, as proposed with DivideSkip.
 MU = 0.0085
+ANSWER = ["slice", "keys", "owners", "df", "cids", "ns"]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,7 +75,8 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _classes(sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """A 63-bit hash of each set; 0 for empty sets."""
     ends = np.cumsum(sizes)
-    return np.array([xxhash.xxh64_intdigest(keys[e - n : e].tobytes()) >> 1 if n else 0 for e, n in zip(ends, sizes, strict=True)], np.int64)
+    sets = zip(ends, sizes, strict=True)
+    return np.array([xxhash.xxh64_intdigest(keys[e - n : e].tobytes()) >> 1 if n else 0 for e, n in sets], np.int64)
 
 
 def _firsts(sizes: np.ndarray, keys: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,7 +137,8 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
                 # equal slices have equal numbers, and then equal classes
                 number = xxhash.xxh64_intdigest(cids.tobytes()) >> 1
                 is_heavy = np.isin(own, known.value)
-                rows = [(-1 - number % 64, number, pack(own[is_heavy]), pack(owner[is_heavy].astype(np.int32)), pack(cids), pack(ns.astype(np.int32)))]
+                heads = (pack(own[is_heavy]), pack(owner[is_heavy].astype(np.int32)), pack(cids), pack(ns.astype(np.int32)))
+                rows = [(-1 - number % 64, number, *heads)]
                 own, owner = own[~is_heavy], owner[~is_heavy]
                 order = np.argsort(own, kind="stable")
                 own, owner = own[order], owner[order]
@@ -143,7 +146,8 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
                 for r in range(ranges):
                     if cuts[r] < cuts[r + 1]:
                         s = slice(cuts[r], cuts[r + 1])
-                        rows.append((r, number, pack(np.diff(own[s], prepend=np.uint64(0))), pack(owner[s].astype(np.int32)), pack(cids), None))
+                        steps = pack(np.diff(own[s], prepend=np.uint64(0)))
+                        rows.append((r, number, steps, pack(owner[s].astype(np.int32)), pack(cids), None))
                 kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -153,8 +157,8 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
     def index(group: pa.Table) -> pa.Table:
         numbers = group["slice"].to_pylist()
         if group["range"][0].as_py() < 0:
-            orders = [None] * len(numbers)
-            return pa.table({"slice": numbers, "keys": group["keys"], "owners": group["owners"], "df": pa.array(orders, pa.binary()), "cids": group["cids"], "ns": group["ns"]})
+            passed = {n: group[n] for n in ("slice", "keys", "owners", "cids", "ns")}
+            return pa.table(passed | {"df": pa.nulls(len(numbers), pa.binary())}).select(ANSWER)
         keys = [np.cumsum(unpack(b, np.uint64), dtype=np.uint64) for b in group["keys"].to_pylist()]
         owners = [unpack(b, np.int32) for b in group["owners"].to_pylist()]
         cid = np.concatenate([unpack(b, np.int64)[o] for b, o in zip(group["cids"].to_pylist(), owners, strict=True)])
@@ -179,7 +183,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
             {"slice": pa.array(columns[0], pa.int64())}
             | {n: pa.array(c, pa.binary()) for n, c in zip(("keys", "owners", "df"), columns[1:], strict=True)}
             | {"cids": blank, "ns": blank}
-        )
+        ).select(ANSWER)
 
     def gather(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -187,7 +191,11 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
         cids, ns = unpack(head["cids"], np.int64), unpack(head["ns"], np.int32).astype(np.int64)
         keys = np.concatenate([unpack(r["keys"], np.uint64) for r in rows])
         owner = np.concatenate([unpack(r["owners"], np.int32) for r in rows])
-        df = np.concatenate([unpack(r["df"], np.int64) if r["df"] is not None else np.full(len(unpack(r["owners"], np.int32)), HEAVY_ORDER) for r in rows])
+        orders = []
+        for r in rows:
+            heavy_ones = r["df"] is None
+            orders.append(np.full(len(unpack(r["owners"], np.int32)), HEAVY_ORDER) if heavy_ones else unpack(r["df"], np.int64))
+        df = np.concatenate(orders)
         order = np.lexsort((keys, df, owner))
         keys, owner, df = keys[order], owner[order], df[order]
         new = np.ones(len(keys), bool)
@@ -211,7 +219,9 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
     asked = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
         ask, "range int, slice long, keys binary, owners binary, cids binary, ns binary"
     )
-    answers = asked.groupBy("range").applyInArrow(index, "slice long, keys binary, owners binary, df binary, cids binary, ns binary")
+    answers = asked.groupBy("range").applyInArrow(
+        index, "slice long, keys binary, owners binary, df binary, cids binary, ns binary"
+    )
     found = answers.groupBy("slice").applyInArrow(gather, "cid long, n long, keys binary, prefix int")
     return materialize(found.dropDuplicates(["cid"]), "shared")
 
@@ -295,7 +305,8 @@ def _groups(sets: DataFrame, candidates: DataFrame) -> DataFrame:
     held = placed.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     packs = max(1, placed.count() // BLOCK)
     small = placed.join(held.where(F.col("members") <= BLOCK), "root")
-    small = small.select("cid", "n", "keys", "docs", F.concat(F.lit("p"), F.pmod(F.xxhash64("root"), F.lit(packs)).cast("string")).alias("group"), F.lit(0).alias("side"))
+    pack_of = F.concat(F.lit("p"), F.pmod(F.xxhash64("root"), F.lit(packs)).cast("string"))
+    small = small.select("cid", "n", "keys", "docs", pack_of.alias("group"), F.lit(0).alias("side"))
 
     large = placed.join(held.where(F.col("members") > BLOCK).select("root"), "root")
     counted = large.groupBy("root", "size_class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
@@ -303,14 +314,15 @@ def _groups(sets: DataFrame, candidates: DataFrame) -> DataFrame:
     above = counted.select(F.col("root").alias("r1"), (F.col("size_class") - 1).alias("c1"), F.col("blocks").alias("blocks_above"))
     below = counted.select(F.col("root").alias("r2"), (F.col("size_class") + 1).alias("c2"), F.col("blocks").alias("blocks_below"))
     counted = counted.join(above, (F.col("root") == F.col("r1")) & (F.col("size_class") == F.col("c1")), "left")
-    counted = counted.join(below, (F.col("root") == F.col("r2")) & (F.col("size_class") == F.col("c2")), "left").drop("r1", "c1", "r2", "c2")
-    large = large.join(counted, ["root", "size_class"]).withColumn("block", F.pmod(F.xxhash64(F.lit(4), "cid"), "blocks").cast("int"))
+    counted = counted.join(below, (F.col("root") == F.col("r2")) & (F.col("size_class") == F.col("c2")), "left")
+    large = large.join(counted.drop("r1", "c1", "r2", "c2"), ["root", "size_class"])
+    large = large.withColumn("block", F.pmod(F.xxhash64(F.lit(4), "cid"), "blocks").cast("int"))
 
-    def group(low_class, low, high_class, high):
-        parts = [F.col("root").cast("string"), low_class.cast("string"), low.cast("string"), high_class.cast("string"), high.cast("string")]
-        return F.concat(F.lit("b"), F.concat_ws("/", *parts))
+    def group(low_class: Column, low: Column, high_class: Column, high: Column) -> Column:
+        parts = [F.col("root"), low_class, low, high_class, high]
+        return F.concat(F.lit("b"), F.concat_ws("/", *[part.cast("string") for part in parts]))
 
-    def upto(n):
+    def upto(n: Column) -> Column:
         return F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
     c, b = F.col("size_class"), F.col("block")
@@ -321,8 +333,12 @@ def _groups(sets: DataFrame, candidates: DataFrame) -> DataFrame:
             F.when(o == b, 0).when(b < o, 1).otherwise(2).alias("side"),
         ),
     )
-    up = F.transform(upto(F.col("blocks_above")), lambda o: F.struct(group(c, b, c + 1, o).alias("group"), F.lit(1).alias("side")))
-    down = F.transform(upto(F.col("blocks_below")), lambda o: F.struct(group(c - 1, o, c, b).alias("group"), F.lit(2).alias("side")))
+    up = F.transform(
+        upto(F.col("blocks_above")), lambda o: F.struct(group(c, b, c + 1, o).alias("group"), F.lit(1).alias("side"))
+    )
+    down = F.transform(
+        upto(F.col("blocks_below")), lambda o: F.struct(group(c - 1, o, c, b).alias("group"), F.lit(2).alias("side"))
+    )
     spread = large.withColumn("to", F.explode(F.concat(same, up, down)))
     return small.union(spread.select("cid", "n", "keys", "docs", "to.group", "to.side"))
 
@@ -358,5 +374,8 @@ def overlap_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     joined = members.join(verdict, F.col("cid") == F.col("of"), "left")
     return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )

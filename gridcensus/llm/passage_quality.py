@@ -109,7 +109,8 @@ class AttentionModel:
         e = np.exp(s - np.maximum.reduceat(s, starts)[bag])
         alpha = e / np.add.reduceat(e, starts)[bag]
         z = np.add.reduceat(alpha[:, None] * h, starts, axis=0)
-        return {"x": x, "h": h, "v": v, "u": u, "alpha": alpha, "z": z, "y": _sigmoid(z @ p["c"] + p["d"]), "bag": bag, "starts": starts}
+        y = _sigmoid(z @ p["c"] + p["d"])
+        return {"x": x, "h": h, "v": v, "u": u, "alpha": alpha, "z": z, "y": y, "bag": bag, "starts": starts}
 
     def scores(self, texts: list[str]) -> np.ndarray:
         x, counts = passage_features(texts)
@@ -219,7 +220,8 @@ def passage_quality(
                     ["row", "held_out", "score", "predicted"],
                 )
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row {kind}, held_out boolean, score double, predicted int")
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

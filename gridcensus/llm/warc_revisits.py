@@ -150,7 +150,11 @@ def read_archives(spark, folder: str) -> DataFrame:
         import gzip
 
         names = [part.split()[0] for part in READ_SCHEMA.split(", ")]
-        types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+        types = [pa.string()] * 4 + [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+
+        def table_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 rows: list[tuple] = []
@@ -168,10 +172,10 @@ def read_archives(spark, folder: str) -> DataFrame:
                         )
                     )
                     if len(rows) == ROWS_READ_AT_ONCE:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                        yield table_of(rows)
                         rows = []
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                    yield table_of(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
     return files.mapInArrow(run, READ_SCHEMA)
