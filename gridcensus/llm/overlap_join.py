@@ -303,7 +303,8 @@ def _groups(sets: DataFrame, candidates: DataFrame) -> DataFrame:
     placed = placed.withColumn("size_class", F.floor(F.log("n") / F.log(F.lit(1.25)) + 1e-9).cast("int"))
     placed = materialize(placed, "placed")
     held = placed.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    packs = max(1, placed.count() // BLOCK)
+    # packs of a quarter block on average, so that chance rarely fills one with several large components
+    packs = max(1, 4 * placed.count() // BLOCK)
     small = placed.join(held.where(F.col("members") <= BLOCK), "root")
     pack_of = F.concat(F.lit("p"), F.pmod(F.xxhash64("root"), F.lit(packs)).cast("string"))
     small = small.select("cid", "n", "keys", "docs", pack_of.alias("group"), F.lit(0).alias("side"))
