@@ -31,7 +31,7 @@ from gridcensus.llm.packing import pack, unpack, word_lists
 
 WORDS = 5
 SLICE_BYTES = 4 << 20
-KEYS_PER_RANGE = 2_000_000
+KEYS_PER_RANGE = 1_200_000
 LEAST_RANGES = 48
 #: Shingles that the index leaves out because very many documents have them; this bounds a broadcast
 #: and decides only where a shingle stands in the order, never whether it counts.
