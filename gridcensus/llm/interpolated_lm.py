@@ -1,6 +1,6 @@
 """Language-model scores by deleted interpolation of bigrams, words and a uniform share.
 
-Documents are packed into slices of about two million tokens. A slice knows its own distinct words and
+Documents are packed into slices of about eight megabytes. A slice knows its own distinct words and
 word pairs; only those, with the slice's counts, travel to the hash range that sums them, and the sums
 travel back to the slices that asked. So a word that every document uses is one entry per slice, and
 nothing is looked up in a table that grows with the corpus.
