@@ -52,6 +52,16 @@ def local_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame
     return spark.range(1).select(F.inline(parsed))
 
 
+#: What tasks of one kind keep in their worker for the next of that kind.
+KEPT: list[dict] = []
+
+
+def release_kept() -> None:
+    """Give a worker's memory back before a task of another kind that needs much of it."""
+    for kept in KEPT:
+        kept.clear()
+
+
 def pieces(batch: pa.RecordBatch, most_bytes: int, texts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of so many bytes of text at most, or of one row; every row counts 64 more."""
     texts = batch["text"] if texts is None else texts

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import materialize, pieces
+from gridcensus.llm.common import materialize, pieces, release_kept
 from gridcensus.llm.components import connected_components
 from gridcensus.llm.packing import pack, unpack, word_lists
 
@@ -95,6 +95,7 @@ def document_classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             for part in pieces(batch, SLICE_BYTES):
                 sizes, keys = shingle_sets(part["text"])
@@ -128,6 +129,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
     known = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             for part in pieces(batch, SLICE_BYTES):
                 sizes, keys = shingle_sets(part["text"])
@@ -155,6 +157,7 @@ def shared_sets(docs: DataFrame, text: str, heavy: np.ndarray, ranges: int) -> D
                 )
 
     def index(group: pa.Table) -> pa.Table:
+        release_kept()
         numbers = group["slice"].to_pylist()
         if group["range"][0].as_py() < 0:
             passed = {n: group[n] for n in ("slice", "keys", "owners", "cids", "ns")}

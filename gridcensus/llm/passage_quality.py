@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcensus.llm.common import fold, pieces
+from gridcensus.llm.common import fold, pieces, release_kept
 
 PASSAGE_WORDS = 64
 #: Labelled rows, outside the held-out fold, that the network is fitted on.
@@ -171,6 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
     texts = texts.groupBy("of").agg(F.min("text").alias("text"), F.min("y").alias("y"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             for part in pieces(batch, STEP_BYTES):
                 x, counts = passage_features([t or "" for t in part["text"].to_pylist()])
@@ -212,6 +213,7 @@ def passage_quality(
         return batch["text"] if apart else pc.struct_field(batch["row"], text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             for part in pieces(batch, STEP_BYTES, texts(batch)):
                 scores = model.value.scores([t or "" for t in texts(part).to_pylist()])

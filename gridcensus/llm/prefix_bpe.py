@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gridcensus.llm.common import pieces
+from gridcensus.llm.common import KEPT, pieces
 
 #: Words and trie nodes that a task keeps before it starts afresh.
 MAX_WORDS = 150_000
@@ -203,6 +203,7 @@ class TrieTokenizer:
 
 
 _kept: dict[str, TrieTokenizer] = {}
+KEPT.append(_kept)
 
 
 def tokenizer_of(definition: str) -> TrieTokenizer:
