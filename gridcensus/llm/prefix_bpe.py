@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from gridcensus.llm.common import KEPT, pieces
 
 #: Words and trie nodes that a task keeps before it starts afresh.
-MAX_WORDS = 150_000
-MAX_NODES = 300_000
-MAX_PAIRS = 300_000
+MAX_WORDS = 200_000
+MAX_NODES = 500_000
+MAX_PAIRS = 500_000
 STEP_BYTES = 1 << 20
 
 END = "</w>"
@@ -242,8 +242,6 @@ def prefix_bpe(
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], *[pa.array([m[k] for m in made]) for k in made[0]]], ["doc_id", *made[0]]
                 )
-        # workers live on; what the next task of another kind needs is memory
-        tokenizer.clear()
 
     rows = docs.selectExpr(f"`{doc_id}` as doc_id", f"cast(`{text}` as string) as text")
     return rows.mapInArrow(run, f"doc_id {kind}, {schema}")
