@@ -1,9 +1,16 @@
-"""Approximate nearest neighbours along shifted Hilbert curves.
+"""Nearest neighbours along shifted Hilbert curves, completed by an exact scan under a bound.
 
 Vectors are projected by several seeded rotations, shifted, and ordered along a Hilbert curve each;
 Spark range-partitions the orderings. A query reads the windows around its place on every curve, and
 what the windows hold is ranked by the exact inner product.
 
+The windows are of fixed size, so their last score is only a floor for what a query still needs. All
+candidates are then read once more along the first curve, in chunks with a centre and a radius: the
+product with the centre plus the radius times the query's norm bounds every product of a chunk, and a
+query skips the chunks whose bound is below its floor. The rest is multiplied out, so no neighbour is
+missed. Where the vectors spread alike in all directions the bound skips little, and the scan then
+costs a product for each query and candidate.
+
 For inner products, candidates get one component more so that all have the largest norm, and queries
 are scaled to it: the largest inner product then is the least distance, which the curves follow.
 Equal vectors are one candidate that keeps its k + 1 smallest ids, so any number of copies takes one
@@ -16,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +33,9 @@ CURVES = 16
 DIMS, BITS = 10, 6
 #: Candidates of one block; a query reads the block of its place and those before and after it.
 BLOCK = 4096
+#: Candidates of one chunk of the scan, and the bytes of query vectors that are broadcast at a time.
+CHUNK = 1024
+ROUND_BYTES = 16 << 20
 SEED = 8
 
 
@@ -62,8 +73,9 @@ def _usable(vector: Column) -> Column:
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     """Vectors as rows; shorter ones are padded with zeros."""
     out = np.zeros((len(column), dim))
-    for i, v in enumerate(column.to_pylist()):
-        out[i, : len(v)] = v
+    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(column)), sizes)
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = column.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
@@ -105,6 +117,74 @@ def _best(queries: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int)
             yield at + i, ids[near][order], exact[order]
 
 
+class Floors:
+    """Queries of one round with the last (score, id) that the curves found for each; -inf where too few."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, scores: np.ndarray, last: np.ndarray, longest: float) -> None:
+        self.ids, self.x, self.scores, self.last = ids, x, scores, last
+        self.norms = np.linalg.norm(x, axis=1)
+        # more than any order of summation can differ by
+        self.slack = 4 * (x.shape[1] + 8) * np.finfo(float).eps * self.norms * longest
+
+
+def _scan(chunks: Iterator[tuple[np.ndarray, np.ndarray]], asks: Floors, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query the k best candidates of all chunks (ids, vectors) that are not below its floor."""
+    scores, last = asks.scores.copy(), asks.last.copy()
+    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for ids, x in chunks:
+        centre = x.mean(0)
+        radius = np.sqrt(((x - centre) ** 2).sum(1).max())
+        # written so that what is not a number is searched
+        open_ = np.flatnonzero(~(asks.x @ centre + asks.norms * radius < scores - asks.slack))
+        for at in range(0, len(open_), 256):
+            some = open_[at : at + 256]
+            hits = ~(asks.x[some] @ x.T < (scores[some] - asks.slack[some])[:, None])
+            for j in np.flatnonzero(hits.any(1)):
+                i, near = some[j], np.flatnonzero(hits[j])
+                exact = (asks.x[i] * x[near]).sum(1)
+                good = (exact > scores[i]) | ((exact == scores[i]) & (ids[near] <= last[i]))
+                if good.any():
+                    own, score = ids[near[good]], exact[good]
+                    if i in held:
+                        own, score = np.concatenate((held[i][0], own)), np.concatenate((held[i][1], score))
+                    order = np.lexsort((own, -score))[:k]
+                    held[i] = own[order], score[order]
+                    if len(order) == k:
+                        scores[i], last[i] = score[order[-1]], own[order[-1]]
+    for i, (own, score) in held.items():
+        yield i, own, score
+
+
+def _complete(candidates: DataFrame, queries: DataFrame, dim: int, longest: float, k: int) -> list[DataFrame]:
+    """q, c and score of all candidates (c, v) that are not below the floor of a query (q, v, score, last).
+
+    Queries are broadcast in rounds of bounded size; candidates are read where they lie.
+    """
+    spark = candidates.sparkSession
+    rounds = max(1, -(-queries.count() * 8 * dim // ROUND_BYTES))
+    queries = materialize(queries.withColumn("round", F.pmod(F.xxhash64("q"), F.lit(rounds)).cast("int")), "floors")
+    found = []
+    for n in range(rounds):
+        # about ROUND_BYTES, however many queries there are
+        rows = queries.where(F.col("round") == n).toArrow().combine_chunks()
+        if not rows.num_rows:
+            continue
+        columns = [rows[name].to_numpy() for name in ("q", "score", "last")]
+        x = _matrix(pa.concat_arrays(rows["v"].chunks), dim)
+        shared = spark.sparkContext.broadcast(Floors(columns[0], x, columns[1], columns[2], longest))
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            parts = (b.slice(at, CHUNK) for b in batches for at in range(0, b.num_rows, CHUNK))
+            chunks = ((p["c"].to_numpy(), _matrix(p["v"], dim)) for p in parts)
+            for i, near, score in _scan(chunks, shared.value, k):
+                q = np.full(len(near), shared.value.ids[i])
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(near), pa.array(score)], ["q", "c", "score"])
+
+        found.append(materialize(candidates.mapInArrow(scan, "q long, c long, score double"), "scanned"))
+        shared.destroy()
+    return found
+
+
 def hilbert_neighbours(
     vectors: DataFrame,
     is_query: Column,
@@ -114,11 +194,11 @@ def hilbert_neighbours(
     curves: int = CURVES,
     block: int = BLOCK,
 ) -> DataFrame:
-    """query_id, rank, vec_id and score: the k largest inner products found for each query row.
+    """query_id, rank, vec_id and score: the k largest inner products of each query row.
 
     Rows with a null id, and vectors that are null, zero or hold nulls or non-finite components, take
-    no part. Up to ``block`` distinct vectors the search is exact. A row that is repeated with its id
-    is one row. An empty table gives none; other columns are ignored.
+    no part. The search is exact; ``curves`` and ``block`` decide how much of it the curves do. A row
+    that is repeated with its id is one row. An empty table gives none; other columns are ignored.
     """
     rows = vectors.select(
         F.col(vec_id).cast("long").alias("id"),
@@ -142,7 +222,8 @@ def hilbert_neighbours(
     sums = classes.agg(F.max(norm2), F.avg(norm2), *[F.avg(x) for x in component]).first()
     mean = np.array([m or 0.0 for m in sums[2:]])
     spread = max((sums[1] or 0.0) - float(mean @ mean), 0.0) / max(1, dim)
-    shared = vectors.sparkSession.sparkContext.broadcast(Curves(mean, spread**0.5, (sums[0] or 0.0) ** 0.5, curves))
+    longest = (sums[0] or 0.0) ** 0.5
+    shared = vectors.sparkSession.sparkContext.broadcast(Curves(mean, spread**0.5, longest, curves))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,6 +277,19 @@ def hilbert_neighbours(
     near = members.groupBy("curve", "block").applyInArrow(search, "q long, c long, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     near = near.groupBy("q", "c").agg(F.max("score").alias("score"))
+    near = near.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
+    near = materialize(near, "near")
+
+    floors = near.where(F.col("nth") == k + 1).select("q", F.col("c").alias("last"), F.col("score"))
+    floors = asked.select(F.col("c").alias("q")).join(floors, "q", "left").join(classes.select(F.col("c").alias("q"), "v"), "q")
+    nothing = [F.coalesce("score", F.lit(float("-inf"))).alias("score"), F.coalesce("last", F.lit((1 << 63) - 1)).alias("last")]
+    # neighbours on the first curve share a chunk, which makes its radius small
+    first = ordered.where(~F.col("q") & (F.col("curve") == 0)).select("c", "at").join(classes.select("c", "v"), "c")
+    first = materialize(first.repartitionByRange(parts, "at").sortWithinPartitions("at").select("c", "v"), "first")
+    near = near.select("q", "c", "score")
+    for more in _complete(first, floors.select("q", "v", *nothing), dim, longest, k + 1):
+        near = near.unionByName(more)
+    near = near.groupBy("q", "c").agg(F.max("score").alias("score"))
     near = near.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).drop("nth")
     listed = near.join(classes.select("c", "ids"), "c").select("q", "score", F.explode("ids").alias("vec_id"))
     # copies of a query share its list; each leaves itself out

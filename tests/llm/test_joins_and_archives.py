@@ -138,6 +138,23 @@ def test_neighbours_recall_through_small_blocks(spark):
     assert hits >= 0.9 * 300
 
 
+@pytest.mark.parametrize("lengths", [1.0, 5.0])
+def test_neighbours_outside_all_windows_are_found(spark, monkeypatch, lengths):
+    monkeypatch.setattr(neighbours, "CHUNK", 100)
+    monkeypatch.setattr(neighbours, "ROUND_BYTES", 8 * 24 * 30)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 24)) * rng.uniform(1, lengths, size=(3000, 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # windows of twelve candidates are fewer than k
+    for block, curves in ((4, 1), (64, 2)):
+        found = neighbours.hilbert_neighbours(table, F.col("vec_id") % 50 == 0, k=20, curves=curves, block=block)
+        lists = {}
+        for r in found.orderBy("query_id", "rank").collect():
+            lists.setdefault(r.query_id, []).append(r.vec_id)
+        assert lists == {q: nearest(rows, q, 20) for q in range(0, 3000, 50)}
+
+
 def test_hilbert_curve_moves_one_step_at_a_time():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = neighbours.hilbert_key(cells, 3)
