@@ -133,11 +133,12 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
 def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str, rows: int) -> list[tuple[str, str]]:
     """At most ``rows`` labelled texts of moderate length outside fold 0, by the order of a hash of the id.
 
-    Ids are chosen first, so only the chosen texts travel. An id that is repeated gives one text.
+    Ids are chosen first, so only the chosen texts travel. An id that is repeated takes one place and
+    gives one text.
     """
     usable = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l"))
     usable = usable.where((fold(F.col("id")) != 0) & F.col("l").isNotNull() & (F.octet_length("t") <= TRAIN_BYTES))
-    chosen = usable.select("id").orderBy(F.xxhash64(F.lit(10), "id"), "id").limit(rows).distinct()
+    chosen = usable.select("id").distinct().orderBy(F.xxhash64(F.lit(10), "id"), "id").limit(rows)
     # at most ``rows`` ids
     found = usable.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct("l", "t")).alias("x")).collect()
     return [(r["x"]["t"], r["x"]["l"]) for r in sorted(found, key=lambda r: r["id"])]

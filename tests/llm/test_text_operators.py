@@ -266,6 +266,14 @@ def test_language_of_held_out_documents(spark, odd, none):
     assert language.kernel_language(none).count() == 0
 
 
+def test_a_repeated_id_takes_one_place_in_training(spark):
+    ids = spark.range(1, 60).select(F.col("id").alias("doc_id")).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    hot = ids.orderBy(F.xxhash64(F.lit(10), "doc_id"), "doc_id").first()[0]
+    table = ids.unionByName(spark.range(500).select(F.lit(hot).alias("doc_id")))
+    table = table.select("doc_id", F.concat(F.lit("text "), F.col("doc_id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    assert len(language.training_rows(table, "doc_id", "text", "lang", 20)) == 20
+
+
 def test_kernel_scores_equal_the_definition():
     texts = [("the cat and the hat", "x"), ("das ist ein haus", "y"), ("and then the end", "x"), ("ein und zwei", "y")]
     model = language.fit(texts, landmarks=3)
