@@ -6,13 +6,12 @@ text to its kernels with the landmarks times the inverse root of the landmarks'
 kernel ridge regression learns one language against the rest on those features.
 
 A text's features are linear in its n-gram presence, so landmarks, inverse root and ridge weights
-fold into one matrix (n-grams x languages), which a batch of texts is multiplied with.
+fold into one matrix (n-grams of the landmarks x languages), which a batch of texts is multiplied with.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +21,13 @@ from pyspark.sql import functions as F
 
 from gridcensus.llm.common import fold, pieces
 
-#: Letter classes: 0 stands for everything that is no letter, then the most frequent letters of the
-#: training texts, and the last 15 classes are shared by all other letters.
+#: Letters are their code points, 0 stands for everything that is no letter, and an n-gram is one number
+#: below 2 ** 63.
+LETTERS = 0x110000
+FIRST = (0, LETTERS, LETTERS + LETTERS**2)
+#: Texts with fewer distinct letters are counted in a scratch array, others by sorting so many letters at a time.
 CLASSES = 64
-OWN_CLASSES = 48
+SORT_LETTERS = 1 << 20
 #: Labelled rows that the model is fitted on, the longest text of one, and how many are landmarks.
 TRAIN_ROWS = 2000
 TRAIN_BYTES = 1 << 16
@@ -40,27 +42,39 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
 
 
-def letter_classes(texts: list[str]) -> np.ndarray:
-    """The class of each code point, learned from texts."""
-    counts = Counter()
-    for text in texts:
-        counts.update(text.lower())
-    own = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c.isalpha()][:OWN_CLASSES]
-    table = np.zeros(0x110000, np.uint8)
-    for low in range(0, 0x110000):
-        if unicodedata.category(chr(low))[0] == "L":
-            table[low] = OWN_CLASSES + 1 + (low * 2654435761 >> 8) % (CLASSES - OWN_CLASSES - 1)
-    for i, c in enumerate(own):
-        table[ord(c)] = i + 1
-    return table
+def letters() -> np.ndarray:
+    """The number of each code point: itself if it is a letter, else 0."""
+    return np.array([low if unicodedata.category(chr(low))[0] == "L" else 0 for low in range(LETTERS)], np.int32)
+
+
+def _sorted_grams(codes: np.ndarray) -> np.ndarray:
+    found = np.empty(0, np.int64)
+    for at in range(0, len(codes), SORT_LETTERS):
+        # two more, so that no n-gram is cut
+        part = codes[at : at + SORT_LETTERS + 2].astype(np.int64)
+        two = part[:-1] * LETTERS + part[1:]
+        three = two[:-1] * LETTERS + part[2:]
+        found = np.unique(np.concatenate((found, part, two + FIRST[1], three + FIRST[2])))
+    return found[found != 0]
 
 
 def presence(text: str, table: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """The distinct n-grams (of length 1 to 3) of a whole text; runs of non-letters count as one."""
-    classes = table[code_points(text)].astype(np.int32)
-    if not classes.any():
+    """The distinct n-grams (of length 1 to 3) of a whole text, sorted; runs of non-letters count as one.
+
+    ``seen`` is a scratch array of ``GRAMS`` places, false before and after.
+    """
+    codes = table[code_points(text)]
+    if not codes.any():
         return np.empty(0, np.int64)
-    classes = classes[np.concatenate(([True], (classes[1:] != 0) | (classes[:-1] != 0)))]
+    codes = codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
+    here = np.zeros(int(codes.max()) + 1, bool)
+    here[codes] = here[0] = True
+    own = np.flatnonzero(here)
+    if len(own) > CLASSES:
+        return _sorted_grams(codes)
+    number = np.zeros(len(here), np.int32)
+    number[own] = np.arange(len(own))
+    classes = number[codes]
     seen[classes] = True
     two = classes[:-1] * CLASSES + classes[1:]
     seen[two + SIZES[0]] = True
@@ -68,12 +82,25 @@ def presence(text: str, table: np.ndarray, seen: np.ndarray) -> np.ndarray:
     seen[0] = False
     found = np.flatnonzero(seen)
     seen[found] = False
-    return found
+    ends = np.searchsorted(found, (SIZES[0], SIZES[0] + SIZES[1]))
+    one, two, three = np.split(found, ends)
+    two, three = two - SIZES[0], three - SIZES[0] - SIZES[1]
+    pairs = own[two // CLASSES] * LETTERS + own[two % CLASSES]
+    head = own[three // SIZES[1]] * LETTERS + own[three // CLASSES % CLASSES]
+    return np.concatenate((own[one], pairs + FIRST[1], head * LETTERS + own[three % CLASSES] + FIRST[2]))
+
+
+def _places(known: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Where each n-gram is among the known ones; their number for the others."""
+    place = np.searchsorted(known, grams)
+    return np.where(known[np.minimum(place, len(known) - 1)] == grams, place, len(known))
 
 
 class Model:
-    def __init__(self, langs: list[str], table: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
-        self.langs, self.table, self.weights, self.bias = langs, table, weights, bias
+    """Weights of the ``known`` n-grams (sorted) and one row of zeros for all others."""
+
+    def __init__(self, langs: list[str], table: np.ndarray, known: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> None:
+        self.langs, self.table, self.known, self.weights, self.bias = langs, table, known, weights, bias
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text, from one product of the batch's presence with the weights."""
@@ -87,7 +114,7 @@ class Model:
         if len(full):
             starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
             # rows of a sparse 0/1 matrix times the weights: sums of the weights' rows
-            out[full] = np.add.reduceat(self.weights[np.concatenate([grams[i] for i in full])], starts, axis=0)
+            out[full] = np.add.reduceat(self.weights[_places(self.known, np.concatenate([grams[i] for i in full]))], starts, axis=0)
             out[full] /= np.sqrt(sizes[full])[:, None]
         out += self.bias
         best = out.argmax(1)
@@ -99,35 +126,47 @@ class Model:
 def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Fit on (text, language) rows; without any row the model answers ``und``."""
     langs = sorted({lang for _, lang in rows})
-    table = letter_classes([t for t, _ in rows])
+    table = letters()
     seen = np.zeros(GRAMS, bool)
-    grams = [(g, lang) for t, lang in rows if len(g := presence(t, table, seen))]
-    if not grams:
-        return Model([], table, np.zeros((0, 0)), np.zeros(0))
-    of_lang: dict[str, list[np.ndarray]] = {}
-    for g, lang in grams:
-        of_lang.setdefault(lang, []).append(g)
+    rows = [(t, lang) for t, lang in rows if table[code_points(t)].any()]
+    if not rows:
+        return Model([], table, np.empty(0, np.int64), np.zeros((0, 0)), np.zeros(0))
+    of_lang: dict[str, list[str]] = {}
+    for t, lang in rows:
+        of_lang.setdefault(lang, []).append(t)
     # landmarks in turn from each language, so that rare ones have some
-    chosen = [gs[i] for i in range(landmarks) for gs in of_lang.values() if i < len(gs)][:landmarks]
-    # only n-grams of a landmark can be in both texts
-    known = np.unique(np.concatenate(chosen))
-    column = np.full(GRAMS, len(known), np.int32)
-    column[known] = np.arange(len(known))
-    marks = np.zeros((len(chosen), len(known) + 1))
-    for i, g in enumerate(chosen):
-        marks[i, column[g]] = 1 / np.sqrt(len(g))
-    kernel = np.stack([marks[:, column[g]].sum(1) / np.sqrt(len(g)) for g, _ in grams])
-    values, vectors = np.linalg.eigh(marks @ marks.T)
+    chosen = [ts[i] for i in range(landmarks) for ts in of_lang.values() if i < len(ts)][:landmarks]
+    grams = [presence(t, table, seen) for t in chosen]
+    # only n-grams of a landmark can be in both texts; landmarks are listed by n-gram
+    known, column = np.unique(np.concatenate(grams), return_inverse=True)
+    sizes = np.array([len(g) for g in grams])
+    owner = np.repeat(np.arange(len(chosen), dtype=np.int32), sizes)[np.argsort(column, kind="stable")]
+    held = np.append(np.bincount(column), 0)
+    first = np.cumsum(held) - held
+    del grams
+
+    def kernels(text: str) -> np.ndarray:
+        own = presence(text, table, seen)
+        at = _places(known, own)
+        n = held[at]
+        place = np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(owner[place], minlength=len(chosen)) / np.sqrt(len(own) * sizes)
+
+    kernel = np.stack([kernels(t) for t, _ in rows])
+    values, vectors = np.linalg.eigh(np.stack([kernels(t) for t in chosen]))
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
     x = kernel @ root
-    y = np.array([[lang == one for one in langs] for _, lang in grams], float)
+    y = np.array([[lang == one for one in langs] for _, lang in rows], float)
     mean, centre = x.mean(0), y.mean(0)
     a = (x - mean).T @ (x - mean) + ridge * len(x) * np.eye(x.shape[1])
     w = np.linalg.solve(a, (x - mean).T @ (y - centre))
-    weights = np.zeros((GRAMS, len(langs)), np.float32)
-    weights[known] = (marks.T @ (root @ w))[:-1]
-    return Model(langs, table, weights, centre - mean @ w)
+    of_mark = (root @ w) / np.sqrt(sizes)[:, None]
+    weights = np.zeros((len(known) + 1, len(langs)), np.float32)
+    gram = np.repeat(np.arange(len(known)), held[:-1])
+    for i in range(len(langs)):
+        weights[:-1, i] = np.bincount(gram, of_mark[owner, i], len(known))
+    return Model(langs, table, known, weights, centre - mean @ w)
 
 
 def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str, rows: int) -> list[tuple[str, str]]:
@@ -149,8 +188,8 @@ def kernel_language(
 ) -> DataFrame:
     """doc_id, held_out (fold 0), lang_pred and score of every row.
 
-    The model is fitted on at most ``train_rows`` rows and broadcast: a fixed number of n-grams times
-    the languages. Texts that are null or have no letter get ``und`` and score 0. Repeated rows get
+    The model is fitted on at most ``train_rows`` rows and broadcast: the distinct n-grams of the
+    landmarks, whose number their bytes bound, times the languages. Texts that are null or have no letter get ``und`` and score 0. Repeated rows get
     equal results, an empty table none; other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, doc_id, text, lang, train_rows)))

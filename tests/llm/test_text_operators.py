@@ -266,6 +266,36 @@ def test_language_of_held_out_documents(spark, odd, none):
     assert language.kernel_language(none).count() == 0
 
 
+def test_rare_scripts_are_told_apart_beside_a_frequent_one():
+    rng = random.Random(12)
+    latin = "".join(c for c in map(chr, range(0x61, 0x180)) if c.isalpha() and c == c.lower())[:60]
+    scripts = {"en": latin, "ja": "".join(map(chr, range(0x4E00, 0x4F00))), "zh": "".join(map(chr, range(0x5E00, 0x5F00)))}
+
+    def text(lang):
+        return "".join(rng.choice(scripts[lang] + " ") for _ in range(6000))
+
+    rows = [(text(lang), lang) for lang, n in (("en", 40), ("ja", 6), ("zh", 6)) for _ in range(n)]
+    model = language.fit(rows)
+    held_out = [lang for lang in scripts for _ in range(10)]
+    assert model.predict([text(lang) for lang in held_out])[0] == held_out
+
+
+def test_ngrams_are_the_same_by_scratch_array_and_by_sorting(monkeypatch):
+    table, seen = language.letters(), np.zeros(language.GRAMS, bool)
+    for text in ("Ab, c ab1 漢字かな x", "a", "😀 b𠀀", "  ö?! ö"):
+        grams = language.presence(text, table, seen)
+        codes = [ord(c) if c.isalpha() else 0 for c in text.lower()]
+        codes = [c for i, c in enumerate(codes) if c or not i or codes[i - 1]]
+        expected = {c for c in codes if c}
+        expected |= {language.FIRST[1] + a * language.LETTERS + b for a, b in zip(codes, codes[1:])}
+        expected |= {language.FIRST[2] + (a * language.LETTERS + b) * language.LETTERS + c for a, b, c in zip(codes, codes[1:], codes[2:])}
+        assert grams.tolist() == sorted(expected) and not seen.any()
+        with monkeypatch.context() as patch:
+            patch.setattr(language, "CLASSES", 0)
+            patch.setattr(language, "SORT_LETTERS", 4)
+            assert language.presence(text, table, seen).tolist() == grams.tolist()
+
+
 def test_a_repeated_id_takes_one_place_in_training(spark):
     ids = spark.range(1, 60).select(F.col("id").alias("doc_id")).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     hot = ids.orderBy(F.xxhash64(F.lit(10), "doc_id"), "doc_id").first()[0]
