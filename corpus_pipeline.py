@@ -31,11 +31,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each component; whole repeats of it go as well."""
-    found = overlap_join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id").alias("_kept_id")).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return left.dropDuplicates(["doc_id", "text"])
+    """One row of each component, of the least id and then text hash; whole repeats of it go as well.
+
+    The key of a row is its id with a hash of its text, known ids first, so rows that share an id, or
+    have none, are told apart. The join names a component by the least key of its rows.
+    """
+    # the hash only separates rows of one id; should two agree, both stay
+    parts = [F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")]
+    keyed = docs.select(F.struct(*parts).alias("key"), "text")
+    found = overlap_join(keyed, "key").where(F.col("doc_id") == F.col("component_id"))
+    kept = found.select(F.col("doc_id.id").alias("_kept_id"), F.col("doc_id.hash").alias("_kept_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_hash"))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -228,3 +228,17 @@ def test_pipeline_runs_on_odd_and_empty_tables(spark):
             assert out.columns == docs.columns
             docs = out
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+
+
+def test_one_row_of_each_group_stays_without_ids_and_with_repeated_ones(spark):
+    one, two, three, four = (" ".join(f"{w}{i}" for i in range(90)) for w in "abcd")
+    rows = [(None, one), (None, one + " x"), (None, one + " y")]
+    # a group with a known id, its null-id copies, and a group whose least id is repeated
+    rows += [(5, two), (None, two + " x"), (None, two)]
+    rows += [(7, three), (7, three + " x"), (7, three), (8, three + " y"), (7, four), (9, four)]
+    rows += [(None, None), (11, None), (12, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, table, SF).collect()
+    groups = sorted((r.text or "-")[:1] for r in kept)
+    assert groups == ["-", "-", "-", "a", "b", "c", "d"]
+    assert {r.text[:1]: r.doc_id for r in kept if r.text} == {"a": None, "b": 5, "c": 7, "d": 7}
