@@ -157,12 +157,15 @@ def fit(x: np.ndarray, counts: np.ndarray, y: np.ndarray) -> AttentionModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int) -> AttentionModel:
-    """Fit on at most ``rows`` labelled documents outside fold 0, chosen by a hash of the id.
+    """Fit on at most ``rows`` labelled documents of ``docs`` outside fold 0, chosen by a hash of the id.
 
     Only their passages' features come to the driver. A document with several labels has the least.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & (fold(F.col(doc_id)) != 0))
     known = known.groupBy(F.col(doc_id).alias("labelled")).agg(F.min(F.col(label)).cast("double").alias("y"))
+    # labels of other documents take no place
+    present = docs.select(F.col(doc_id).alias("of")).distinct()
+    known = known.join(present, F.col("labelled") == F.col("of"), "left_semi")
     chosen = known.orderBy(F.xxhash64(F.lit(6), "labelled"), "labelled").limit(rows)
     texts = docs.select(F.col(doc_id).alias("of"), F.col(text).cast("string").alias("text"))
     # at most ``rows`` rows of two numbers

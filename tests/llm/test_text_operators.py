@@ -223,6 +223,14 @@ def test_quality_scores_held_out_documents(spark, odd, none):
     assert quality.passage_quality(none, labels).count() == 0
 
 
+def test_labels_of_absent_documents_take_no_training_place(spark):
+    docs = spark.range(1, 40).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(1, 20_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    scores = [r.score for r in quality.passage_quality(docs, labels, train_rows=10).collect()]
+    # fitted on ten good documents, not on none
+    assert len(scores) == 39 and all(s > 0.9 for s in scores)
+
+
 def test_attention_gradients_are_right():
     rng = np.random.default_rng(1)
     x, counts, y = rng.normal(size=(12, quality.N_FEATURES)), np.array([1, 4, 7]), np.array([1.0, 0.0, 1.0])
