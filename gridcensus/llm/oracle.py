@@ -53,7 +53,46 @@ select page_id, n as payload_bytes,
 from digested
 """
 
+OP13 = """
+with given as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
+    xor(4294967295, list_reduce(list_concat([4294967295::bigint],
+      list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)), lambda crc, byte:
+        list_reduce(list_concat([xor(crc, byte)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) as h
+  from documents
+), cut as (
+  select *, len(w) as n, case when len(w) > 0 then h // 10 % len(w) end as a, h // 10 % 8 as e from given
+), ordered as (
+  select rid, doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i:
+    case when i < a then w[i + 1] else w[a + (i - a) % (1 + (n - a) // (3 + e)) + 1] end) else w end as w from cut
+), placed as (
+  select rid, n, i, w[i + 1] as word from (select *, unnest(range(n)) as i from ordered)
+), equal as (
+  select x.rid, x.i, y.i - x.i as q, x.i - row_number() over (partition by x.rid, y.i - x.i order by x.i) as island
+  from placed x join placed y on x.rid = y.rid and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n
+), stretches as (
+  select rid, q, min(i) as s, count(*) + q as l from equal group by rid, q, island
+  having count(*) + q >= greatest(6, 4 * q)
+), runs as (
+  select * from stretches r where not exists (
+    select 1 from stretches o where o.rid = r.rid and o.q < r.q and o.s <= r.s and o.s + o.l >= r.s + r.l)
+), listed as (
+  select rid, count(*) as n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' order by s, q) as lines from runs group by rid
+), longest as (
+  select * from (select *, row_number() over (partition by rid order by l desc, s, q) as nth from runs) where nth = 1
+), dropped as (
+  select distinct rid, unnest(range(s + q, s + l)) as i from runs
+), left_over as (
+  select p.rid, string_agg(word, ' ' order by p.i) as t from placed p anti join dropped d on p.rid = d.rid and p.i = d.i group by p.rid
+)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, s::bigint as start, l::bigint as length, q::bigint as period,
+  (1000 * l // q)::bigint as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
+  sha256(coalesce(t, '')) as collapsed_sha256
+from ordered o left join listed using (rid) left join longest using (rid) left join left_over using (rid)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_host_rules": OP3,
     "op9_warc_revisits": OP9,
+    "op13_periodic_runs": OP13,
 }

@@ -16,6 +16,7 @@ from gridcensus.llm.kd_shards import kd_shards
 from gridcensus.llm.kernel_language import kernel_language
 from gridcensus.llm.overlap_join import overlap_join
 from gridcensus.llm.passage_quality import passage_quality
+from gridcensus.llm.periodic_runs import LONGEST, longest_and_digests, periodic_runs, repeat_tails
 from gridcensus.llm.prefix_bpe import DIGESTS, digests, prefix_bpe
 from gridcensus.llm.warc_revisits import round_trip
 
@@ -115,6 +116,10 @@ def op10_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kernel_language(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), longest_and_digests, LONGEST, repeat_tails)
+
+
 QUERIES: dict[str, Query] = {
     "op1_flow_mix": op1_flow_mix,
     "op2_kd_shards": op2_kd_shards,
@@ -126,4 +131,5 @@ QUERIES: dict[str, Query] = {
     "op8_hilbert_neighbours": op8_hilbert_neighbours,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_kernel_language": op10_kernel_language,
+    "op13_periodic_runs": op13_periodic_runs,
 }
