@@ -53,6 +53,39 @@ select page_id, n as payload_bytes,
 from digested
 """
 
+OP11 = """
+with given as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents
+), occurring as (select rid, lang, source, unnest(w) as term from given
+), kept as (select lang, term, count(*) as n from occurring group by lang, term having count(distinct rid) >= 3
+), langs as (select lang, count(*) as v, sum(n) as held from kept group by lang
+), groups as (select distinct lang, source from given
+), counted as (
+  select lang, source, term, count(*) as n from occurring semi join kept using (lang, term) group by lang, source, term
+), held as (select lang, source, sum(n) as held from counted group by lang, source
+), shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    (1 + 1000000000::hugeint * (coalesce(c.n, 0) + 1) // (coalesce(h.held, 0) + l.v))::hugeint as p,
+    (1 + 1000000000::hugeint * (k.n + 1) // (l.held + l.v))::hugeint as q
+  from groups g join langs l using (lang) join kept k using (lang) left join held h using (lang, source)
+    left join counted c using (lang, source, term)
+), distances as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), rows as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(d.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join distances d on d.lang = a.lang and d.source = a.source and d.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from shares where n > 0 and p > q
+), ranked as (
+  select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from rows
+)
+select * from ranked where part = 'pair' or rank <= 200
+"""
+
 OP13 = """
 with given as (
   select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
@@ -94,5 +127,6 @@ from ordered o left join listed using (rid) left join longest using (rid) left j
 ORACLE: dict[str, str] = {
     "op3_host_rules": OP3,
     "op9_warc_revisits": OP9,
+    "op11_source_divergence": OP11,
     "op13_periodic_runs": OP13,
 }

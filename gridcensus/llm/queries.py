@@ -18,6 +18,7 @@ from gridcensus.llm.overlap_join import overlap_join
 from gridcensus.llm.passage_quality import passage_quality
 from gridcensus.llm.periodic_runs import LONGEST, longest_and_digests, periodic_runs, repeat_tails
 from gridcensus.llm.prefix_bpe import DIGESTS, digests, prefix_bpe
+from gridcensus.llm.source_divergence import source_divergence
 from gridcensus.llm.warc_revisits import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,10 @@ def op10_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kernel_language(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), longest_and_digests, LONGEST, repeat_tails)
 
@@ -131,5 +136,6 @@ QUERIES: dict[str, Query] = {
     "op8_hilbert_neighbours": op8_hilbert_neighbours,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_kernel_language": op10_kernel_language,
+    "op11_source_divergence": op11_source_divergence,
     "op13_periodic_runs": op13_periodic_runs,
 }
