@@ -17,6 +17,7 @@ from gridcensus.llm.kernel_language import kernel_language
 from gridcensus.llm.overlap_join import overlap_join
 from gridcensus.llm.passage_quality import passage_quality
 from gridcensus.llm.periodic_runs import LONGEST, longest_and_digests, periodic_runs, repeat_tails
+from gridcensus.llm.personal_spans import personal_spans, span_digests
 from gridcensus.llm.prefix_bpe import DIGESTS, digests, prefix_bpe
 from gridcensus.llm.source_divergence import source_divergence
 from gridcensus.llm.warc_revisits import round_trip
@@ -121,6 +122,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(personal_spans(table(spark, sf_dir, "documents")))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), longest_and_digests, LONGEST, repeat_tails)
 
@@ -137,5 +142,6 @@ QUERIES: dict[str, Query] = {
     "op9_warc_revisits": op9_warc_revisits,
     "op10_kernel_language": op10_kernel_language,
     "op11_source_divergence": op11_source_divergence,
+    "op12_personal_spans": op12_personal_spans,
     "op13_periodic_runs": op13_periodic_runs,
 }
