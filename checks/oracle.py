@@ -311,6 +311,20 @@ oracle(
   and (-180+p.col+0.5e0) < (e.x2-e.x1)*((90-p.row-0.5e0)-e.y1)/nullif(e.y2-e.y1,0)+e.x1
  group by 1,2,3,4 having count(*)%2=1""",
 )
+oracle(
+    "mask_hierarchy",
+    VERTICES, SOURCES, CANDIDATES,
+    body="""select c.region_id, c.part, c.tile_col, c.tile_row, w.part is not null as whole,
+ cast(count(*) as int) as n_covered
+ from (select e.region_id, e.part, cast(p.col//16 as int) as tile_col, cast(p.row//16 as int) as tile_row
+  from (select a.range as col, b.range as row from range(360) a cross join range(180) b) p
+  join edges e on ((e.y1 > 90-p.row-0.5e0) <> (e.y2 > 90-p.row-0.5e0))
+   and (-180+p.col+0.5e0) < (e.x2-e.x1)*((90-p.row-0.5e0)-e.y1)/nullif(e.y2-e.y1,0)+e.x1
+  group by e.region_id, e.part, p.col, p.row having count(*)%2=1) c
+ left join (select * from corner_tiles except select * from edge_tiles) w
+  on c.region_id=w.region_id and c.part=w.part and c.tile_col=w.tile_col and c.tile_row=w.tile_row
+ group by 1,2,3,4,5""",
+)
 oracle(
     "cell_in_region",
     CELLS, VERTICES, MASK,
@@ -340,6 +354,33 @@ UNION_SUMS = """select region_id, sum(value) as population, count(*) as n_cells
 
 oracle("zonal_sum", CELLS, VERTICES, MASK, body=UNION_SUMS)
 oracle("zonal_sum_tiles", CELLS, VERTICES, MASK, body=UNION_SUMS)
+oracle("zonal_sum_prefix", CELLS, VERTICES, MASK, body=UNION_SUMS)
+
+# the area of a cell to the right of each edge, from the integral of its width; shells for, holes against
+COVERED = """sided as (
+ select e.*, case when ring=0 then 1e0 else -1e0 end
+  *sign(sum(x1*y2-x2*y1) over (partition by region_id, part, ring)) as side from edges e),
+banded as (
+ select *, greatest(least(90-y1,90-y2), row) as top, least(greatest(90-y1,90-y2), row+1) as bottom
+ from (select *, unnest(range(cast(floor(least(90-y1,90-y2)) as int), cast(ceil(greatest(90-y1,90-y2)) as int))) as row
+  from sided where y1<>y2) s),
+widths as (
+ select region_id, part, col, row, side*sign(y1-y2)*(bottom-top) as h,
+  col+1-(x1+180+(top-(90-y1))*(x2-x1)/(y1-y2)) as ua, col+1-(x1+180+(bottom-(90-y1))*(x2-x1)/(y1-y2)) as ub
+ from banded cross join (select range as col from range(360)) c where col+1 > least(x1,x2)+180),
+integrals as (
+ select *, case when ua<=0 then 0 when ua<1 then ua*ua/2 else ua-0.5e0 end as ia,
+  case when ub<=0 then 0 when ub<1 then ub*ub/2 else ub-0.5e0 end as ib from widths),
+covered as (
+ select region_id, part, col, row,
+  sum(h*case when abs(ub-ua)<1e-12 then greatest(0e0, least(1e0, ua)) else (ib-ia)/(ub-ua) end) as share
+ from integrals group by 1,2,3,4)"""
+oracle(
+    "zonal_sum_shares",
+    CELLS, VERTICES, COVERED,
+    body="""select region_id, part, round(sum(value*share),6)+0e0 as population, round(sum(share),6)+0e0 as covered
+ from covered a join cells c on a.col=c.col and a.row=c.row where value is not null and share>1e-9 group by 1,2""",
+)
 oracle(
     "zonal_summary",
     CELLS, VERTICES, MASK,

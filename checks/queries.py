@@ -13,13 +13,16 @@ from gridcensus.functions import colors, projections, values
 from gridcensus.functions.grid import GridSpec, zoom_tile
 from gridcensus.operators import (
     area,
+    hierarchy,
     histograms,
     mask,
     mosaic as mosaic_ops,
+    prefix,
     pyramid as pyramid_ops,
     quality,
     regions as region_ops,
     resample,
+    shares,
     tiles as tile_ops,
     zonal,
 )
@@ -429,6 +432,13 @@ def mask_spans(spark, sf):
     )
 
 
+@query
+def mask_hierarchy(spark, sf):
+    """Whole tiles, and the covered cells of border tiles, by part."""
+    packed = hierarchy.mask_hierarchy(_parts(spark, sf), GRID)
+    return hierarchy.covered_cells(packed, GRID).drop("runs")
+
+
 @query
 def cell_in_region(spark, sf):
     """Cells each source shares with each part."""
@@ -478,6 +488,21 @@ def zonal_sum_tiles(spark, sf):
     return zonal.zonal_sum(masked)
 
 
+@query
+def zonal_sum_prefix(spark, sf):
+    """The same from tiles of running sums, under masks with whole tiles."""
+    packed = hierarchy.mask_hierarchy(_parts(spark, sf), GRID, merge_parts=True)
+    return prefix.zonal_sum_prefix(prefix.prefix_tiles(fx.tiles(spark, sf), GRID.tile_size), packed, GRID)
+
+
+@query
+def zonal_sum_shares(spark, sf):
+    """Border cells count by the share of their area that a part covers."""
+    running = prefix.prefix_tiles(fx.tiles(spark, sf), GRID.tile_size)
+    sums = shares.zonal_sum_shares(running, shares.mask_shares(_parts(spark, sf), GRID), GRID, ["region_id", "part"])
+    return sums.select("region_id", "part", r("population", 6).alias("population"), r("covered", 6).alias("covered"))
+
+
 def _sketch_totals(df: DataFrame, key: str, *carried: str) -> DataFrame:
     """What a sketch keeps exactly: counts and weighted sums, within its number of bins."""
     bins = F.col("distribution")

@@ -81,3 +81,8 @@ def polygon_moments(rings: Column) -> Column:
 
 def centroid(moments: Column) -> tuple[Column, Column]:
     return F.try_divide(moments["mx"], moments["a"]), F.try_divide(moments["my"], moments["a"])
+
+
+def ring_turn(ring: Column) -> Column:
+    """1 for a ring that turns to the left, -1 for one that turns to the right, 0 without area."""
+    return F.signum(_ring_moments(ring)["a"])

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcensus.functions.grid import GridSpec
+
 # A mask row of one run is about 40 bytes, so a broadcast stays under some 100 MB.
 BROADCAST_ROWS = 2_000_000
 ROW_BYTES = 40
@@ -88,3 +90,22 @@ def join_masks(
     )
     joined = sliced_raster.join(sliced_masks, [*keys, "slice"]).drop("slice")
     return joined if condition is None else joined.where(condition)
+
+
+def join_packed(
+    tiles: DataFrame,
+    packed: DataFrame,
+    grid: GridSpec,
+    broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Tiles next to the packed masks (``runs``, NULL for a whole tile) of their keys."""
+    return join_masks(
+        tiles,
+        packed,
+        keys=["tile_col", "tile_row"],
+        spread=["src"],
+        broadcast_rows=broadcast_rows,
+        rows_per_slice=max(1, rows_per_slice // (grid.tile_size * grid.tile_size)),
+        row_bytes=64 + 8 * F.coalesce(F.size("runs"), F.lit(0)),
+    )

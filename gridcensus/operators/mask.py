@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import is_data
-from gridcensus.operators.joins import BROADCAST_ROWS, ROWS_PER_SLICE, join_masks
+from gridcensus.operators.joins import BROADCAST_ROWS, ROWS_PER_SLICE, join_masks, join_packed
 from gridcensus.operators.regions import part_edges
 from gridcensus.operators.scanline import scanline_runs
 
@@ -95,26 +95,12 @@ def pack_masks(tile_spans: DataFrame, grid: GridSpec) -> DataFrame:
     return packed.select(*keys, F.when(~full, F.col("runs")).alias("runs"))
 
 
-def mask_tiles(
-    tiles: DataFrame,
-    tile_spans: DataFrame,
-    grid: GridSpec,
-    broadcast_rows: int = BROADCAST_ROWS,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def mask_packed(tiles: DataFrame, packed: DataFrame, grid: GridSpec, **limits) -> DataFrame:
     """Data values under each region from packed tiles: a tile meets one mask row per region.
 
     Whole tiles give all their cells; others only the slices that their runs cover.
     """
-    joined = join_masks(
-        tiles,
-        pack_masks(tile_spans, grid),
-        keys=["tile_col", "tile_row"],
-        spread=["src"],
-        broadcast_rows=broadcast_rows,
-        rows_per_slice=max(1, rows_per_slice // (grid.tile_size * grid.tile_size)),
-        row_bytes=64 + 8 * F.coalesce(F.size("runs"), F.lit(0)),
-    )
+    joined = join_packed(tiles, packed, grid, **limits)
     pieces = F.transform("runs", lambda r: F.slice("cells", r["start"], r["length"]))
     covered = F.when(F.col("runs").isNull(), F.col("cells")).otherwise(F.flatten(pieces))
     carried = [c for c in joined.columns if c not in ("cells", "runs")]
@@ -122,6 +108,11 @@ def mask_tiles(
     return values.where(is_data(F.col("value")))
 
 
+def mask_tiles(tiles: DataFrame, tile_spans: DataFrame, grid: GridSpec, **limits) -> DataFrame:
+    """The same from runs of cells cut at tile borders."""
+    return mask_packed(tiles, pack_masks(tile_spans, grid), grid, **limits)
+
+
 def mask_raster(raster: DataFrame, tile_spans: DataFrame, grid: GridSpec, **limits) -> DataFrame:
     """Masked values of a raster in either form; cells bring their col and row along."""
     form = mask_tiles if "cells" in raster.columns else mask_cells

@@ -42,7 +42,7 @@ def _clamped_sequence(first: str, last: str, size: int) -> str:
     return f"case when {low} <= {high} then sequence({low}, {high}) end"
 
 
-def _edge_tiles(edges: DataFrame, grid: GridSpec) -> DataFrame:
+def edge_tiles(edges: DataFrame, grid: GridSpec) -> DataFrame:
     """Tiles an edge meets, touching included, walked one tile row at a time along the edge.
 
     Within a row of tiles an edge covers one interval of x, so long edges never enumerate the
@@ -74,7 +74,7 @@ def _edge_tiles(edges: DataFrame, grid: GridSpec) -> DataFrame:
     return crossed.selectExpr("region_id", "part", f"explode({cols}) as tile_col", "tile_row")
 
 
-def _corner_tiles(edges: DataFrame, grid: GridSpec) -> DataFrame:
+def corner_tiles(edges: DataFrame, grid: GridSpec) -> DataFrame:
     """Tiles whose lower left corner lies inside a part."""
     runs = scanline_runs(
         edges,
@@ -97,13 +97,13 @@ def tile_candidates(parts: DataFrame, grid: GridSpec) -> DataFrame:
     come from the edges alone, without comparing all parts with all tiles.
     """
     edges = part_edges(parts)
-    return _edge_tiles(edges, grid).unionByName(_corner_tiles(edges, grid)).distinct()
+    return edge_tiles(edges, grid).unionByName(corner_tiles(edges, grid)).distinct()
 
 
 def region_tile_candidates(parts: DataFrame, grid: GridSpec) -> DataFrame:
     """The same for whole regions: (region_id, tile_col, tile_row)."""
     edges = part_edges(parts)
-    both = _edge_tiles(edges, grid).unionByName(_corner_tiles(edges, grid))
+    both = edge_tiles(edges, grid).unionByName(corner_tiles(edges, grid))
     return both.select("region_id", "tile_col", "tile_row").distinct()
 
 
