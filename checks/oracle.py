@@ -420,6 +420,19 @@ oracle(
     body="""select region_id, population, n_cells, zmin, zmax, round(mean,6)+0e0 as mean, median, mode,
  round(stddev,6)+0e0 as stddev from stats""",
 )
+oracle(
+    "sketch_stats",
+    CELLS, VERTICES, MASK,
+    body="""select region_id, count(*) as n_cells, min(value) as zmin, max(value) as zmax,
+ round(avg(value),6)+0e0 as mean, true as mean_ok, true as stddev_ok, true as ranks_ok, true as mode_ok,
+ true as ends_ok from masked group by 1""",
+)
+oracle(
+    "zonal_refresh",
+    CELLS, VERTICES, MASK,
+    body="""select region_id, count(*) as n_cells, sum(value) as population, round(sum(value),3) as weighted,
+ min(value) as zmin, max(value) as zmax, round(stddev_pop(value),6)+0e0 as stddev from masked group by 1""",
+)
 oracle(
     "zonal_combine",
     CELLS, VERTICES, MASK,

@@ -23,6 +23,8 @@ from gridcensus.operators import (
     regions as region_ops,
     resample,
     shares,
+    sketches,
+    states,
     tiles as tile_ops,
     zonal,
 )
@@ -556,6 +558,63 @@ def zonal_stats(spark, sf):
     )
 
 
+SKETCH_BREAKS = 8
+
+
+@query
+def sketch_stats(spark, sf):
+    """Statistics and breaks from sketches of tiles, stored apart and merged, held against the values.
+
+    A quantile's rank may be off by half the values of the two bins around it, so by the share of the
+    fullest bin at most; the sketch's deviation is at most the exact one.
+    """
+    packed = hierarchy.mask_hierarchy(_parts(spark, sf), GRID)
+    merged = states.merge_states(states.tile_states(fx.tiles(spark, sf), packed, GRID))
+    read = sketches.sketch_statistics(merged.select("region_id", "n_cells", "zmin", "zmax", "distribution"), SKETCH_BREAKS)
+    points = F.concat(F.array("median"), "breaks")
+    read = read.select("*", points.alias("points"))
+    ranks = [(below, i) for i in range(SKETCH_BREAKS + 1) for below in (True, False)]
+    value = F.col("value")
+    counts = [
+        F.count(F.when(value < F.get("points", F.lit(i)) if below else value <= F.get("points", F.lit(i)), 1)).alias(f"{'lt' if below else 'le'}{i}")
+        for below, i in ranks
+    ]
+    masked = _masked_parts(spark, sf).join(read.select("region_id", "points"), "region_id")
+    exact = masked.groupBy("region_id").agg(F.avg(value).alias("avg"), F.stddev_pop(value).alias("dev"), *counts)
+    tolerance = F.array_max(F.transform("distribution", lambda b: b["y"])) + 1e-6
+    wanted = [0.5, *[(i + 1) / SKETCH_BREAKS for i in range(SKETCH_BREAKS)]]
+    near = F.lit(True)
+    for i, share in enumerate(wanted):
+        rank = F.col("n_cells") * share
+        near = near & (F.col(f"lt{i}") - tolerance <= rank) & (rank <= F.col(f"le{i}") + tolerance)
+    fullest = F.exists("distribution", lambda b: b["x"] == F.col("mode"))
+    ends = (F.col("median") >= F.col("zmin")) & (F.element_at("breaks", -1) <= F.col("zmax"))
+    return read.join(exact, "region_id").select(
+        "region_id", "n_cells", "zmin", "zmax", r("mean", 6).alias("mean"),
+        (F.abs(F.col("mean") - F.col("avg")) <= 1e-6).alias("mean_ok"),
+        (F.col("stddev") <= F.col("dev") + 1e-6).alias("stddev_ok"),
+        near.alias("ranks_ok"), fullest.alias("mode_ok"), ends.alias("ends_ok"),
+    )
+
+
+def _older(tiles: DataFrame) -> DataFrame:
+    """The tiles as they were: a third of the sources had fewer people, in some places no data at all."""
+    was = F.transform("cells", lambda v: F.when(v % 7 != 0, v - 1))
+    return tiles.withColumn("cells", F.when(F.col("src") % 3 == 0, was).otherwise(F.col("cells")))
+
+
+@query
+def zonal_refresh(spark, sf):
+    """States of older tiles brought up to date by the tiles of the changed sources alone."""
+    packed = hierarchy.mask_hierarchy(_parts(spark, sf), GRID)
+    tiles = fx.tiles(spark, sf)
+    stored = states.stored_states(_older(tiles), packed, GRID)
+    fresh = states.refresh_states(stored, tiles.where("src % 3 = 0"), packed, GRID)
+    merged = states.merge_states(fresh)
+    exact = merged.select("region_id", "population", "zmin", "zmax", r("stddev", 6).alias("stddev"))
+    return _sketch_totals(merged, "region_id").drop("bins_ok").join(exact, "region_id")
+
+
 @query
 def zonal_combine(spark, sf):
     masked = _masked_parts(spark, sf).withColumn("tile_row", GRID.tile_of(F.col("row")))
