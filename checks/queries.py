@@ -570,7 +570,7 @@ def sketch_stats(spark, sf):
     """
     packed = hierarchy.mask_hierarchy(_parts(spark, sf), GRID)
     merged = states.merge_states(states.tile_states(fx.tiles(spark, sf), packed, GRID))
-    read = sketches.sketch_statistics(merged.select("region_id", "n_cells", "zmin", "zmax", "distribution"), SKETCH_BREAKS)
+    read = sketches.sketch_statistics(merged.drop("mean", "stddev"), SKETCH_BREAKS)
     points = F.concat(F.array("median"), "breaks")
     read = read.select("*", points.alias("points"))
     ranks = [(below, i) for i in range(SKETCH_BREAKS + 1) for below in (True, False)]

@@ -118,21 +118,25 @@ def merge_equal_keys(regions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return merged.select("region_id", *keys, geom.alias("geom"))
 
 
-def tile_window(parts: DataFrame, grid: GridSpec) -> tuple[int, int, int, int] | None:
-    """Inclusive bounds (col0, row0, col1, row1) of the tiles that any part can meet; None without parts.
+def part_bounds(parts: DataFrame) -> tuple[float, float, float, float] | None:
+    """(west, south, east, north) of all parts; None without any.
 
     One row of four numbers, read while a job is planned so that the scan can be pruned with it.
     """
-    west, south, east, north = parts.agg(
-        F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")
-    ).head()
-    if west is None:
-        return None
+    bounds = parts.agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).head()
+    return None if bounds[0] is None else tuple(bounds)
+
+
+def tile_window(
+    bounds: tuple[float, float, float, float], grid: GridSpec, margin: int = 1
+) -> tuple[int, int, int, int]:
+    """Inclusive bounds (col0, row0, col1, row1) of the tiles that shapes within bounds can meet."""
+    west, south, east, north = bounds
     return (
-        math.floor((west - grid.xmin) / grid.tile_width) - 1,
-        math.floor((grid.ymax - north) / grid.tile_height) - 1,
-        math.floor((east - grid.xmin) / grid.tile_width) + 1,
-        math.floor((grid.ymax - south) / grid.tile_height) + 1,
+        math.floor((west - grid.xmin) / grid.tile_width) - margin,
+        math.floor((grid.ymax - north) / grid.tile_height) - margin,
+        math.floor((east - grid.xmin) / grid.tile_width) + margin,
+        math.floor((grid.ymax - south) / grid.tile_height) + margin,
     )
 
 

@@ -70,16 +70,19 @@ def sketch_quantiles(distribution: Column, zmin: Column, zmax: Column, shares: S
     return F.when(F.size(distribution) > 0, found)
 
 
+STATISTICS = ("mean", "median", "mode", "stddev")
+
+
 def sketch_statistics(
-    summary: DataFrame, breaks: int = 0, distribution: str = "distribution", zmin: str = "zmin", zmax: str = "zmax"
+    summary: DataFrame, breaks: int = 0, wanted: Sequence[str] = STATISTICS, distribution: str = "distribution"
 ) -> DataFrame:
-    """Adds mean, median, mode and stddev, and ``breaks`` quantile breaks if wanted, from the sketch alone.
+    """Adds the wanted statistics, and ``breaks`` quantile breaks, from the sketch, zmin and zmax alone.
 
     The mean is exact up to rounding, as bins keep weighted sums. A quantile lies between the two bins
     around its rank, so its rank is off by at most half the values of those two. The deviation takes
     every value at the centre of its bin, so it is at most the exact one.
     """
-    bins, low, high = F.col(distribution), F.col(zmin), F.col(zmax)
+    bins, low, high = F.col(distribution), F.col("zmin"), F.col("zmax")
     total = bin_total(bins)
     mean = F.try_divide(F.aggregate(bins, F.lit(0.0), lambda a, b: a + b["x"] * b["y"]), total)
     # distances from the least value, so large values close together do not cancel
@@ -94,6 +97,7 @@ def sketch_statistics(
         "mode": distribution_mode(bins),
         "stddev": F.sqrt(F.greatest(spread, F.lit(0.0))),
     }
+    added = {name: added[name] for name in wanted}
     if breaks:
         added["breaks"] = F.slice("_quantiles", 2, breaks)
     return read.withColumns(added).drop("_quantiles")

@@ -7,15 +7,16 @@ digest is another one are read again; the states of all others stay.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
-from gridcensus.operators.histograms import merge_bins, merge_distributions
+from gridcensus.operators.histograms import merge_bins
 from gridcensus.operators.joins import join_packed
 
 TILE_OF_SOURCE = ["src", "tile_col", "tile_row"]
@@ -23,6 +24,7 @@ STATE = (
     "population double, n_cells long, zmin double, zmax double, centre double, squares double,"
     " distribution array<struct<x double, y double>>"
 )
+NUMBERS = ["population", "n_cells", "zmin", "zmax", "centre", "squares"]
 # Values a sketch starts from; more distinct ones are first brought together in groups of one size.
 FINE_BINS = 1024
 
@@ -72,7 +74,7 @@ def tile_states(tiles: DataFrame, packed: DataFrame, grid: GridSpec, bins: int =
             float(np.square(values - mean).sum()), [{"x": float(a), "y": float(b)} for a, b in zip(x, y, strict=True)],
         )
 
-    names = ["population", "n_cells", "zmin", "zmax", "centre", "squares", "distribution"]
+    names = [*NUMBERS, "distribution"]
     types = [pa.float64(), pa.int64(), *[pa.float64()] * 4, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,9 +128,61 @@ def merge_moments(states: DataFrame, keys: Sequence[str] = ("region_id",)) -> Da
     return moments.withColumns(added).drop("_inside", "_first", "_second")
 
 
+def _merged(a: tuple, b: tuple, bins: int) -> tuple:
+    """Two states as one: (population, n, zmin, zmax, centre, squares, x, y)."""
+    n = a[1] + b[1]
+    apart = b[4] - a[4]
+    x, y = np.concatenate([a[6], b[6]]), np.concatenate([a[7], b[7]])
+    return (
+        a[0] + b[0], n, min(a[2], b[2]), max(a[3], b[3]), a[4] + apart * b[1] / n,
+        a[5] + b[5] + apart * apart * a[1] * b[1] / n, *merge_bins(x, y, bins),
+    )
+
+
+def _fold(key: str, bins: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Merges runs of equal keys in rows sorted by key; one running state is all it keeps."""
+    names = [key, *NUMBERS, "x", "y"]
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        running: tuple | None = None
+        for frame in frames:
+            done = []
+            for k, *numbers, x, y in zip(*[frame[c] for c in names], strict=True):
+                state = (*numbers, np.asarray(x, dtype=float), np.asarray(y, dtype=float))
+                if running is not None and (running[0] == k or (pd.isna(k) and pd.isna(running[0]))):
+                    running = (k, _merged(running[1], state, bins))
+                    continue
+                if running is not None:
+                    done.append((running[0], *running[1]))
+                running = (k, (*state[:6], *merge_bins(state[6], state[7], bins)))
+            if done:
+                yield pd.DataFrame(done, columns=names)
+        if running is not None:
+            yield pd.DataFrame([(running[0], *running[1])], columns=names)
+
+    return fold
+
+
 def merge_states(states: DataFrame, key: str = "region_id", bins: int = 64) -> DataFrame:
-    """Moments and the merged sketch of each key."""
-    return merge_moments(states, [key]).join(merge_distributions(states, key, bins=bins), key)
+    """(key, population, n_cells, zmin, zmax, mean, stddev, distribution) of each key, in one pass.
+
+    Every task first merges the states that it made, so the shuffle carries one state per task and key,
+    however many states a key has. The final tasks do the same with theirs, a state at a time.
+    """
+    kind = states.schema[key].dataType.simpleString()
+    numbers = ", ".join(f"{name} {'long' if name == 'n_cells' else 'double'}" for name in NUMBERS)
+    schema = f"`{key}` {kind}, {numbers}, x array<double>, y array<double>"
+    flat = states.select(key, *NUMBERS, F.col("distribution.x").alias("x"), F.col("distribution.y").alias("y"))
+    merge = _fold(key, bins)
+    local = flat.sortWithinPartitions(key).mapInPandas(merge, schema)
+    merged = local.repartition(key).sortWithinPartitions(key).mapInPandas(merge, schema)
+    distribution = F.zip_with("x", "y", lambda a, b: F.struct(a.alias("x"), b.alias("y")))
+    return merged.select(
+        key, "population", "n_cells", "zmin", "zmax",
+        (F.col("population") / F.col("n_cells")).alias("mean"),
+        F.sqrt(F.col("squares") / F.col("n_cells")).alias("stddev"),
+        distribution.alias("distribution"),
+    )
 
 
 def refresh_states(

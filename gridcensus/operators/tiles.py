@@ -130,7 +130,7 @@ CELLS_PER_GROUP = 16 << 20
 GROUP_ROWS = "parquet.block.row.count.limit"
 
 
-def _group_rows(tile_size: int) -> int:
+def group_rows(tile_size: int) -> int:
     return max(1, CELLS_PER_GROUP // (tile_size * tile_size))
 
 
@@ -143,7 +143,7 @@ def save_tiles(tiles: DataFrame, path: str, tile_size: int) -> None:
         tiles.repartition("src", F.floor(F.col("tile_row") / 16), F.floor(F.col("tile_col") / 16))
         .sortWithinPartitions("src", "tile_row", "tile_col")
         .write.partitionBy("src")
-        .option(GROUP_ROWS, _group_rows(tile_size))
+        .option(GROUP_ROWS, group_rows(tile_size))
         .parquet(path)
     )
 
@@ -154,6 +154,6 @@ def save_bucketed_tiles(tiles: DataFrame, table: str, tile_size: int, buckets: i
         tiles.repartition(buckets, "tile_col", "tile_row")
         .write.bucketBy(buckets, "tile_col", "tile_row")
         .sortBy("tile_col", "tile_row")
-        .option(GROUP_ROWS, _group_rows(tile_size))
+        .option(GROUP_ROWS, group_rows(tile_size))
         .saveAsTable(table)
     )

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import density, truncate_long
-from gridcensus.operators import area, mask, regions as region_ops, tiles as tile_ops, zonal
+from gridcensus.operators import area, mask, regions as region_ops, sketches, states, tiles as tile_ops, zonal
 from gridcensus.operators.joins import cut_lineage
-from gridcensus.plans.inputs import align, choose
+from gridcensus.plans.inputs import cell_spans, choose, is_packed, packed_masks
 from gridcensus.sinks import reports
 
 KEYS = ["adm1_code", "adm0_a3"]
@@ -38,30 +38,16 @@ def admin1_population(
     regions: region_id, adm1_code, adm0_a3, geom. raster: cells or packed tiles on ``grid``, or on
     ``source_grid``, whose cell nearest to a job cell's centre then stands for it.
     sources: src, xmin, ymin, xmax, ymax. Every part of a region counts its own cells.
-    The mode comes from the 64-bin sketch of the one pass; ``exact_mode`` counts every value instead,
-    in a second pass over the raster and a shuffle by value.
+    Median and mode are read from the 64-bin sketch, and packed tiles are summed up as states per region
+    and tile, without a row per cell. ``exact_mode`` takes both from the values instead, with a row per
+    cell, a second pass over the raster and a shuffle by value.
     """
     raster, sources = choose(raster, sources, include, exclude, partitions)
     regions = region_ops.merge_equal_keys(regions, KEYS)
 
     parts = region_ops.explode_parts(regions)
     counted = region_ops.drop_antimeridian(parts) if drop_antimeridian else parts
-    raster, spans, on = align(raster, mask.part_spans(counted, grid), counted, grid, source_grid)
-    spans = cut_lineage(
-        mask.clip_spans(spans, on).select("region_id", "tile_col", "tile_row", "row", "c0", "c1")
-    )
-    masked = mask.mask_raster(raster, spans, on, **limits).select("region_id", "value")
-
-    summary = masked.groupBy("region_id").agg(
-        F.sum("value").alias("population"),
-        F.count("value").alias("n_cells"),
-        *zonal.statistics(),
-        F.histogram_numeric("value", F.lit(zonal.DISTRIBUTION_BINS)).alias("distribution"),
-    )
-    if exact_mode:
-        summary = summary.join(zonal.zonal_mode(masked), "region_id", "left")
-    else:
-        summary = summary.withColumn("mode", zonal.distribution_mode(F.col("distribution")))
+    summary = _summary(raster, counted, grid, source_grid or grid, exact_mode, limits)
 
     visited = zonal.visited_regions(
         region_ops.region_tile_candidates(counted, grid), tile_ops.source_tile_keys(sources, grid)
@@ -86,6 +72,35 @@ def admin1_population(
     )
 
 
+def _summary(
+    raster: DataFrame, parts: DataFrame, grid: GridSpec, on: GridSpec, exact: bool, limits: dict
+) -> DataFrame:
+    """(region_id, population, n_cells, statistics, distribution) of the parts' cells."""
+    packed = is_packed(raster)
+    if packed:
+        raster, masks = packed_masks(raster, parts, grid, on, merge_parts=False)
+        masks = masks.drop("part")
+    if packed and not exact:
+        merged = states.merge_states(states.tile_states(raster, masks, on, zonal.DISTRIBUTION_BINS, **limits))
+        return sketches.sketch_statistics(merged, wanted=("median", "mode"))
+    if packed:
+        masked = mask.mask_packed(raster, masks, on, **limits)
+    else:
+        spans = cell_spans(parts, grid, on, merge_parts=False)
+        spans = cut_lineage(spans.select("region_id", "tile_col", "tile_row", "row", "c0", "c1"))
+        masked = mask.mask_cells(raster, spans, on, **limits)
+    masked = masked.select("region_id", "value")
+    summary = masked.groupBy("region_id").agg(
+        F.sum("value").alias("population"),
+        F.count("value").alias("n_cells"),
+        *zonal.statistics(),
+        F.histogram_numeric("value", F.lit(zonal.DISTRIBUTION_BINS)).alias("distribution"),
+    )
+    if exact:
+        return summary.join(zonal.zonal_mode(masked), "region_id", "left")
+    return sketches.sketch_statistics(summary, wanted=("median", "mode"))
+
+
 def write_reports(result: DataFrame, regions: DataFrame, output: str) -> None:
     """CSV, GeoJSON lines and quantile breaks. The summary is computed once for all three."""
     stable = cut_lineage(result)

@@ -2,55 +2,21 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
-from gridcensus.operators.regions import tile_window
-from gridcensus.operators.resample import grid_axes, resample_nearest
-from gridcensus.operators.tiles import rebalance, unpack_tiles
+from gridcensus.operators import mask
+from gridcensus.operators.hierarchy import mask_hierarchy
+from gridcensus.operators.joins import cut_lineage
+from gridcensus.operators.reading import read_spans, shifted_grid
+from gridcensus.operators.regions import part_bounds, tile_window
+from gridcensus.operators.tiles import rebalance
 from gridcensus.sources import catalog
 from gridcensus.sources.rasters import within
 
-# Cell sizes that differ by less than this share of a cell over the whole grid are one size.
-SAME_SIZE = 1e-3
-# A centre this close to a border between two source cells counts as on it, and takes the right one.
-ON_BORDER = 1e-6
-
-
-def shift_between(grid: GridSpec, source: GridSpec) -> tuple[int, int] | None:
-    """Columns and rows from a cell of ``grid`` to the cell of ``source`` its centre falls in.
-
-    None where cell sizes differ, as the distance then changes across the grid.
-    """
-    across = abs(grid.cell_width / source.cell_width - 1) * grid.cols
-    down = abs(grid.cell_height / source.cell_height - 1) * grid.rows
-    if max(across, down) > SAME_SIZE:
-        return None
-    x = (grid.xmin - source.xmin) / source.cell_width + 0.5
-    y = (source.ymax - grid.ymax) / source.cell_height + 0.5
-    return math.floor(x + ON_BORDER), math.floor(y + ON_BORDER)
-
-
-def shift_spans(spans: DataFrame, shift: tuple[int, int], source: GridSpec) -> DataFrame:
-    """Runs of job cells as runs of the source cells they read, within the source grid.
-
-    Nearest neighbour between grids of one cell size is a shift, so the few runs move and the raster
-    stays as it is, packed or not.
-    """
-    across, down = shift
-    moved = spans.withColumns(
-        {
-            "row": F.col("row") + down,
-            "c0": F.greatest(F.col("c0") + across, F.lit(0)),
-            "c1": F.least(F.col("c1") + across, F.lit(source.cols - 1)),
-        }
-    )
-    return moved.where((F.col("c0") <= F.col("c1")) & F.col("row").between(0, source.rows - 1))
-
 
 def choose(
     raster: DataFrame,
@@ -68,24 +34,33 @@ def choose(
     return (raster if partitions is None else rebalance(raster, partitions)), sources
 
 
-def align(
-    raster: DataFrame, spans: DataFrame, parts: DataFrame, grid: GridSpec, source_grid: GridSpec | None
-) -> tuple[DataFrame, DataFrame, GridSpec]:
-    """Raster, runs and the grid that both lie on.
+def is_packed(raster: DataFrame) -> bool:
+    return bool({"cells", "sums"} & set(raster.columns))
+
+
+def cell_spans(parts: DataFrame, grid: GridSpec, source: GridSpec, merge_parts: bool) -> DataFrame:
+    """Runs of source cells under each part, or under each region once, cut at tile borders."""
+    spans = mask.part_spans(parts, grid)
+    spans = mask.region_spans(spans) if merge_parts else spans
+    return mask.clip_spans(spans if source == grid else read_spans(spans, grid, source), source)
+
+
+def packed_masks(
+    raster: DataFrame, parts: DataFrame, grid: GridSpec, source: GridSpec, merge_parts: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Packed tiles that a region can meet, and the packed masks of their grid, checkpointed.
 
-    A raster of the job's cell size keeps its own grid and the runs move; one of another cell size is
-    brought to the job's grid cell by cell. Tiles that no region can meet are left out of the scan.
+    Masks are made coarse to fine where the source's cells are the job's cells under other numbers;
+    where distances change between the regions, runs are cut at those places. Either way the raster
+    keeps its own grid and stays packed. Only packed rows are stored.
     """
-    if source_grid is None or source_grid == grid:
-        shift, on = (0, 0), grid
+    bounds = part_bounds(parts)
+    if bounds is None:
+        return raster.where("false"), mask_hierarchy(parts, source, merge_parts)
+    same = grid if source == grid else shifted_grid(grid, source, bounds)
+    if same is not None:
+        packed = mask_hierarchy(parts, same, merge_parts)
     else:
-        shift, on = shift_between(grid, source_grid), source_grid
-    if shift is None:
-        cells = unpack_tiles(raster, source_grid.tile_size) if "cells" in raster.columns else raster
-        return resample_nearest(cells, source_grid, grid_axes(grid)), spans, grid
-    if on is not grid:
-        spans = shift_spans(spans, shift, on)
-    if "cells" in raster.columns:
-        window = tile_window(parts, on)
-        raster = raster.where("false") if window is None else within(raster, window)
-    return raster, spans, on
+        packed = mask.pack_masks(cell_spans(parts, grid, source, merge_parts), source)
+    window = tile_window(bounds, source if same is None else same, margin=2 if same is None else 1)
+    return within(raster, window), cut_lineage(packed)

@@ -8,11 +8,11 @@ import pytest
 from micro import GRID, block, square
 from pyspark.sql import functions as F
 
-from gridcensus.functions.grid import GridSpec
+from gridcensus.functions.grid import GLOBAL_100M, GridSpec
 from gridcensus.functions.values import nodata_to_null
 from gridcensus.operators import histograms, joins, mask, quality, regions as region_ops, tiles as tile_ops, zonal
 from gridcensus.plans.admin_population import admin1_population, write_reports
-from gridcensus.plans.inputs import shift_between
+from gridcensus.operators.reading import read_axes, shifted_grid
 from gridcensus.plans.region_population import region_population
 from gridcensus.schemas import ADMIN1_PROPERTIES
 from gridcensus.sources import catalog, geojson, rasters
@@ -136,8 +136,19 @@ def test_shifted_runs_equal_resampling_cell_by_cell(spark, off):
 
 
 def test_grids_of_another_cell_size_do_not_shift():
-    assert shift_between(GRID, GridSpec(-180.0, -90.0, 180.0, 90.0, 0.5, 0.5, 16)) is None
-    assert shift_between(GRID, GRID) == (0, 0)
+    everywhere = (-180.0, -90.0, 180.0, 90.0)
+    assert shifted_grid(GRID, GridSpec(*everywhere, 0.5, 0.5, 16), everywhere) is None
+    assert shifted_grid(GRID, GRID, everywhere) == GRID
+
+
+def test_three_arc_second_cells_shift_as_one_piece():
+    """A cell of exactly 1/1200 degree drifts by a thousandth of a cell over the globe, which moves no centre."""
+    source = GridSpec(28.0, -3.0, 31.0, -1.0, 1 / 1200, 1 / 1200, 512)
+    same = shifted_grid(GLOBAL_100M, source, (28.1, -2.9, 30.9, -1.1))
+    assert same is not None and same.cols == source.cols
+    across, _ = read_axes(GLOBAL_100M, source)
+    west, east = (int((x + 180) / GLOBAL_100M.cell_width) for x in (28.1, 30.9))
+    assert across.shift_over(west, east) == across.source_of(west) - west
 
 
 def test_features_of_one_key_are_one_row(spark, tmp_path):
