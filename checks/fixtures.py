@@ -17,6 +17,8 @@ from gridcensus.operators.tiles import pack_tiles
 GRID = GridSpec(-180.0, -90.0, 180.0, 90.0, 1.0, 1.0, 16)
 # the same cells read as a grid that lies half a cell off the job's, as country rasters do
 OFF_GRID = GridSpec(-179.5, -89.5, 180.5, 90.5, 1.0, 1.0, 16)
+# the same cells read as a grid of smaller cells that covers a part of the world
+RESIZED = GridSpec(-160.0, -80.0, 164.0, 82.0, 0.9, 0.9, 16)
 
 L_SHELL = ((0, 0), (35, 0), (35, 8), (15, 8), (15, 18), (0, 18))
 L_HOLE = ((3, 3), (9, 3), (9, 6), (3, 6))
@@ -120,6 +122,15 @@ _SHAPES = ", ".join(
 OFF_GRID_CELLS = CELLS.replace("cells as", "own_cells as", 1) + """,
 cells as (select src, col, row-1 as row, value from own_cells where row>0)"""
 
+# the job's columns and rows read the cells that their centres lie in
+RESIZED_CELLS = CELLS.replace("cells as", "own_cells as", 1) + """,
+cells as (
+ select c.src, x.t as col, y.t as row, c.value from own_cells c
+ join (select cast(range as int) as t, cast(floor((-180+range+0.5e0+160)/0.9e0+1e-6) as int) as s from range(360)) x
+  on c.col=x.s
+ join (select cast(range as int) as t, cast(floor((82-(90-range-0.5e0))/0.9e0+1e-6) as int) as s from range(180)) y
+  on c.row=y.s)"""
+
 
 def _vertices_sql(key: str, adm0: str, part: str) -> str:
     return f"""vertices as (

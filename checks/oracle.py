@@ -10,6 +10,7 @@ from checks.fixtures import (
     MOSAIC,
     OFF_GRID_CELLS,
     PARTS,
+    RESIZED_CELLS,
     SHARED_VERTICES,
     SOURCES,
     VERTICES,
@@ -85,6 +86,14 @@ oracle(
  on c.col//16=w.tile_col and c.row//16=w.tile_row group by 1,2,3""",
 )
 
+ORACLE["raster_scan_ranges"] = ORACLE["raster_scan"]
+oracle(
+    "admin0_regions",
+    VERTICES,
+    body="""select adm0_a3, cast(count(distinct region_id*10+part) as int) as n_parts, cast(count(*) as int) as n_vertices,
+ round(sum(x),6)+0e0 as sum_x, cast(1 as bigint) as n_regions from vertices group by 1""",
+)
+
 # --- projections and scalar functions --------------------------------------------------------
 
 oracle(
@@ -128,6 +137,23 @@ oracle(
     body="""select grid_id, grid_id%7<>0 as tiles_ok, grid_id%11<>0 as cells_ok,
  grid_id%13<>0 as cell_width_ok, grid_id%11<>0 as cell_height_ok from layouts""",
 )
+oracle(
+    "grid_families",
+    body="""with recursive grids as (
+ select p_partkey as grid_id, cell, (p_partkey%40*7+p_partkey%3*0.004e0-0.004e0+case when p_partkey%6=0 then 0.3e0 else 0e0 end)*cell as xmin,
+  (p_partkey%9*3+0.25e0)*cell as ymin
+ from (select p_partkey, 1e0/(p_partkey%12+1)*(1e0+p_partkey%5*0.004e0) as cell from part) p),
+phased as (select *, xmin/cell-floor(xmin/cell) as px, ymin/cell-floor(ymin/cell) as py from grids),
+shapes as (select cell, px, py, min(grid_id) as id, count(*) as n from phased group by 1,2,3),
+near as (
+ select a.id as a, b.id as b from shapes a join shapes b on abs(ln(a.cell)-ln(b.cell))<=0.01e0
+  and least(abs(a.px-b.px), 1-abs(a.px-b.px))<=0.01e0 and least(abs(a.py-b.py), 1-abs(a.py-b.py))<=0.01e0),
+reached as (select a, b from near union select r.a, n.b from reached r join near n on r.b=n.a),
+named as (select a, min(b) as family from reached group by 1),
+sizes as (select family, sum(n) as n_grids from named join shapes on a=id group by 1)
+select g.grid_id, f.family, cast(s.n_grids as bigint) as n_grids from phased g
+ join shapes h on g.cell=h.cell and g.px=h.px and g.py=h.py join named f on h.id=f.a join sizes s on f.family=s.family""",
+)
 oracle(
     "grid_align_check",
     GRIDS,
@@ -539,6 +565,15 @@ ADMIN_ROWS = """select adm1_code, adm0_a3, population, round(density*1e6,6)+0e0
 oracle("admin1_population", *ADMIN, body=ADMIN_ROWS)
 oracle("admin1_population_tiles", *ADMIN, body=ADMIN_ROWS)
 oracle("admin1_population_offgrid", OFF_GRID_CELLS, *ADMIN[1:], body=ADMIN_ROWS)
+oracle(
+    "admin1_population_sketch",
+    *ADMIN,
+    body="""select adm1_code, adm0_a3, population, round(density*1e6,6)+0e0 as density_e6,
+ round(density_km2,9)+0e0 as density_km2, n_tiles, n_cells, zmin, zmax, round(mean,6)+0e0 as mean,
+ round(stddev,6)+0e0 as stddev, case when n_cells>0 then true end as median_ok,
+ case when n_cells>0 then true end as mode_ok, case when n_cells>0 then n_cells end as n_in_sketch from admin""",
+)
+
 
 def text(value: str) -> str:
     return f"coalesce(cast(round({value},6) as varchar),'null')"
@@ -581,6 +616,9 @@ oracle("region_population", CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REG
 oracle("region_csv", CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
 oracle("region_population_offgrid", OFF_GRID_CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
 
+oracle("region_population_prefix", CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
+oracle("region_population_resized", RESIZED_CELLS, VERTICES, MASK, SOURCES, CANDIDATES, body=REGION)
+
 H = "20037508.342789244e0"
 
 
@@ -611,3 +649,4 @@ RENDERED_TILES = """select t.zoom, t.tile_col, t.tile_row,
 oracle("render_pyramid", *render(4), body="select zoom, col, row, color from pixels")
 oracle("render_tiles", *render(4), body=RENDERED_TILES)
 oracle("render_tiles_fine", *render(5), body=RENDERED_TILES)
+oracle("render_refresh", *render(5), body=RENDERED_TILES)

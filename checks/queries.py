@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,8 @@ from gridcensus.functions import colors, projections, values
 from gridcensus.functions.grid import GridSpec, zoom_tile
 from gridcensus.operators import (
     area,
+    curve,
+    families,
     hierarchy,
     histograms,
     mask,
@@ -28,8 +31,10 @@ from gridcensus.operators import (
     tiles as tile_ops,
     zonal,
 )
-from gridcensus.plans import admin_population, region_population as named, render_pyramid as render
+from gridcensus.operators.joins import cut_lineage, shared_folder
+from gridcensus.plans import admin_population, region_population as named, render_pyramid as render, render_refresh as again
 from gridcensus.schemas import ADMIN1_PROPERTIES
+from gridcensus.sinks.map_tiles import shade_tiles
 from gridcensus.sinks import reports
 from gridcensus.sources import catalog, geojson, rasters
 
@@ -124,6 +129,23 @@ def raster_scan(spark, sf):
     )
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def raster_scan_ranges(spark, sf):
+    """The same from a table stored along the curve, of which only the regions' key ranges are read."""
+    wanted = region_ops.region_tile_candidates(_parts(spark, sf), GRID)
+    path = _new_folder(spark, "curve")
+    curve.save_curve_tiles(fx.tiles(spark, sf), path, GRID.tile_size)
+    stored = curve.read_curve_tiles(spark, path, curve.key_ranges(wanted))
+    scanned = tile_ops.scan_windows(stored, wanted)
+    data = F.filter("cells", lambda v: v.isNotNull())
+    total = F.aggregate(data, F.lit(0.0), lambda a, v: a + v)
+    return scanned.select("src", "tile_col", "tile_row", F.size(data).alias("n_data"), r(total, 3).alias("total"))
+
+
 @query
 def country_include(spark, sf):
     wanted = _catalog(spark, sf).where(F.col("code").endswith("1"))
@@ -183,6 +205,21 @@ def geojson_regions(spark, sf):
     )
 
 
+@query
+def admin0_regions(spark, sf):
+    """Countries written as lines of features and read again, one multipolygon each."""
+    regions = region_ops.merge_equal_keys(fx.regions(spark, sf), ["adm0_a3"])
+    shape = F.struct(F.lit("MultiPolygon").alias("type"), F.col("geom").alias("coordinates")).alias("geometry")
+    feature = F.struct(F.lit("Feature").alias("type"), shape, F.struct("adm0_a3").alias("properties"))
+    path = _new_folder(spark, "admin0")
+    regions.select(F.to_json(feature).alias("value")).write.text(path)
+    read = geojson.read_admin0(spark, path, strict=True, lines=True)
+    vertices = F.flatten(F.flatten("geom"))
+    xs = F.aggregate(vertices, F.lit(0.0), lambda a, v: a + F.element_at(v, 1))
+    counted = read.select("region_id", "adm0_a3", F.size("geom").alias("n_parts"), F.size(vertices).alias("n_vertices"), r(xs, 6).alias("sum_x"))
+    return counted.groupBy("adm0_a3", "n_parts", "n_vertices", "sum_x").agg(F.count_distinct("region_id").alias("n_regions"))
+
+
 # --- projections and scalar functions --------------------------------------------------------
 
 
@@ -703,6 +740,23 @@ def grid_align_check(spark, sf):
     )
 
 
+def _swept_grids(spark: SparkSession, sf: str) -> DataFrame:
+    """A grid per part; sizes and origins creep by less than the tolerance, over the borders of buckets."""
+    key = F.col("p_partkey")
+    cell = F.lit(1.0) / (key % 12 + 1) * (F.lit(1.0) + (key % 5) * F.lit(0.004))
+    x = key % 40 * 7 + (key % 3) * F.lit(0.004) - F.lit(0.004) + F.when(key % 6 == 0, F.lit(0.3)).otherwise(F.lit(0.0))
+    return fx.table(spark, sf, "part").select(
+        key.alias("grid_id"), (x * cell).alias("xmin"), ((key % 9 * 3 + F.lit(0.25)) * cell).alias("ymin"),
+        cell.alias("cell_width"), cell.alias("cell_height"),
+    )
+
+
+@query
+def grid_families(spark, sf):
+    """Families of all grids, none compared with all others."""
+    return families.grid_families(_swept_grids(spark, sf), "grid_id").select("grid_id", "family", "n_grids")
+
+
 @query
 def grid_layout_check(spark, sf):
     """Declared layouts: every seventh has a tile column too many, every eleventh a row of cells,
@@ -775,6 +829,22 @@ def _admin_rows(result: DataFrame) -> DataFrame:
     )
 
 
+@query
+def admin1_population_sketch(spark, sf):
+    """The default mode on packed tiles: sums and moments are exact, median and mode lie within the values."""
+    result = admin_population.admin1_population(
+        fx.shared_regions(spark, sf), fx.tiles(spark, sf), fx.sources(spark, sf), GRID
+    )
+    inside = lambda c: F.col(c).between(F.col("zmin"), F.col("zmax"))
+    count = F.aggregate("distribution", F.lit(0.0), lambda n, b: n + b["y"]).cast("bigint")
+    return result.select(
+        "adm1_code", "adm0_a3", "population", r(F.col("density") * 1e6, 6).alias("density_e6"),
+        r("density_km2", 9).alias("density_km2"), "n_tiles", "n_cells", "zmin", "zmax", r("mean", 6).alias("mean"),
+        r("stddev", 6).alias("stddev"), inside("median").alias("median_ok"), inside("mode").alias("mode_ok"),
+        count.alias("n_in_sketch"),
+    )
+
+
 @query
 def admin_csv(spark, sf):
     return reports.admin_csv(_admin(spark, sf), digits=6)
@@ -829,6 +899,21 @@ def region_population_offgrid(spark, sf):
     )
 
 
+@query
+def region_population_prefix(spark, sf):
+    """From tiles of running sums."""
+    running = prefix.prefix_tiles(fx.tiles(spark, sf), GRID.tile_size)
+    return named.region_population(fx.regions(spark, sf), running, fx.sources(spark, sf), GRID)
+
+
+@query
+def region_population_resized(spark, sf):
+    """Packed tiles of smaller cells; they stay packed, the regions' runs are cut and moved."""
+    return named.region_population(
+        fx.regions(spark, sf), fx.tiles(spark, sf), fx.sources(spark, sf), GRID, source_grid=fx.RESIZED
+    )
+
+
 @query
 def region_csv(spark, sf):
     result = named.region_population(
@@ -862,3 +947,15 @@ def render_tiles_fine(spark, sf):
     return _tile_text(
         render.render_tiles(packed, GRID, OUTPUT, base_zoom=BASE_ZOOM + 1, tile_size=TILE)
     )
+
+
+@query
+def render_refresh(spark, sf):
+    """Levels rendered from older tiles and brought up to date where tiles of the west changed."""
+    tiles, zoom = fx.tiles(spark, sf), BASE_ZOOM + 1
+    west = F.col("tile_col") < 8
+    before = _older(tiles.where(west)).unionByName(tiles.where(~west))
+    stored = cut_lineage(render.tile_levels(before, GRID, zoom, 0, TILE))
+    changed = tiles.where(west & (F.col("src") % 3 == 0))
+    fresh = again.refresh_levels(stored, tiles, changed, GRID, base_zoom=zoom, tile_size=TILE)
+    return _tile_text(shade_tiles(fresh, OUTPUT))

@@ -99,7 +99,7 @@ def _block_range(low: Column, high: Column, pixel_metres: float, span: int, bloc
     return F.explode(F.sequence(F.greatest(first, F.lit(0)), F.least(last, F.lit(blocks - 1))))
 
 
-def _to_blocks(tiles: DataFrame, grid: GridSpec, level: ZoomLevel, span: int) -> DataFrame:
+def read_blocks(tiles: DataFrame, grid: GridSpec, level: ZoomLevel, span: int) -> DataFrame:
     """Source tiles next to every block that reads them, their rims of half a cell included."""
     half, blocks = F.lit(MERCATOR_HALF), max(1, level.pixels // span)
     extent = grid.tile_extent(F.col("tile_col"), F.col("tile_row"))
@@ -135,12 +135,13 @@ def warp_levels(
     zooms: range,
     span: int,
     partitions: int | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """(zoom, tile_col, tile_row, cells) of the base level and those above it, in one shuffle.
 
     Sources are warped bilinearly and the lowest with data wins a pixel. ``zooms`` counts down
     from the base level. ``span`` is a block's side in pixels
-    and must hold whole tiles on every level.
+    and must hold whole tiles on every level. ``only`` names the blocks to make, by block_col and block_row.
     """
     size = level.tile_size
     span = min(span, level.pixels)
@@ -166,7 +167,9 @@ def warp_levels(
             block = np.where(np.isnan(block), warp.pixels(), block)
             yield from _cut(block, *key, zooms, size)
 
-    placed = _to_blocks(tiles.select("src", "tile_col", "tile_row", "cells"), grid, level, span)
+    placed = read_blocks(tiles.select("src", "tile_col", "tile_row", "cells"), grid, level, span)
+    if only is not None:
+        placed = placed.join(only, BLOCK, "left_semi")
     keys = BLOCK if partitions is None else [partitions, *BLOCK]
     ordered = placed.repartition(*keys).sortWithinPartitions(*BLOCK, "src")
     return ordered.mapInPandas(run, TILES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
@@ -17,17 +17,25 @@ ROW_BYTES = 40
 ROWS_PER_SLICE = 4_000_000
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder the session names in spark.checkpoint.dir."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the session names it in spark.checkpoint.dir.
+
+    A session in one process without one gets a temporary folder; any other session must name one.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="gridcensus-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -37,6 +45,11 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, row_bytes: Column
     return (df.agg(F.sum(size)).head()[0] or 0) <= limit * ROW_BYTES
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Marked for a broadcast where its measured size allows one."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def hot_keys(raster: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame:
     """Keys with more rows than one slice, and the number of slices each one needs.
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import is_data
-from gridcensus.operators.joins import cut_lineage, fits_broadcast
-from gridcensus.operators.tiles import pack_tiles, unpack_tiles
+from gridcensus.operators.joins import broadcast_if_small, cut_lineage
 
 TILE_KEY = ["tile_col", "tile_row"]
 # Fixed value: bytes of one cell in a packed tile.
@@ -24,20 +27,47 @@ def mosaic_cells(cells: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def _fold_sources(tiles: DataFrame) -> DataFrame:
+    """Tiles of several sources merged as arrays: a key's tiles come by source and fill what is still empty.
+
+    A task sorts its tiles and keeps one merged tile, however many sources meet on a key.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, merged = None, None
+
+        def done() -> pa.RecordBatch:
+            cells = pa.array(merged, from_pandas=True)
+            packed = pa.ListArray.from_arrays(pa.array([0, len(cells)], pa.int32()), cells)
+            return pa.RecordBatch.from_arrays([*[pa.array([k], pa.int32()) for k in key], packed], [*TILE_KEY, "cells"])
+
+        for batch in batches:
+            places = zip(*[batch[k].to_pylist() for k in TILE_KEY], strict=True)
+            for i, place in enumerate(places):
+                cells = batch["cells"][i].values.to_numpy(zero_copy_only=False).astype(float)
+                if place != key:
+                    if key is not None:
+                        yield done()
+                    key, merged = place, np.where(np.isfinite(cells), cells, np.nan)
+                else:
+                    merged = np.where(np.isnan(merged) & np.isfinite(cells), cells, merged)
+        if key is not None:
+            yield done()
+
+    ordered = tiles.select(*TILE_KEY, "src", "cells").repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY, "src")
+    return ordered.mapInArrow(run, "tile_col int, tile_row int, cells array<double>")
+
+
 def mosaic_tiles(tiles: DataFrame, grid: GridSpec) -> DataFrame:
     """(tile_col, tile_row, cells) from packed tiles.
 
-    Only tiles that several sources share are unpacked and merged cell by cell; all others pass
-    through as they are. The shared keys are found once, from the key columns alone, and kept.
+    Only tiles that several sources share are moved and merged, as arrays; all others pass through as
+    they are. The shared keys are found once, from the key columns alone, and kept.
     """
     counted = tiles.groupBy(*TILE_KEY).agg(F.count(F.lit(1)).alias("n"))
-    shared = cut_lineage(counted.where(F.col("n") > 1).select(*TILE_KEY))
-    if fits_broadcast(shared):
-        shared = F.broadcast(shared)
+    shared = broadcast_if_small(cut_lineage(counted.where(F.col("n") > 1).select(*TILE_KEY)))
     alone = tiles.join(shared, TILE_KEY, "left_anti").select(*TILE_KEY, "cells")
-    overlapping = unpack_tiles(tiles.join(shared, TILE_KEY, "left_semi"), grid.tile_size)
-    merged = pack_tiles(mosaic_cells(overlapping), grid.tile_size, keys=())
-    return alone.unionByName(merged)
+    return alone.unionByName(_fold_sources(tiles.join(shared, TILE_KEY, "left_semi")))
 
 
 def layer_summary(cells: DataFrame, grid: GridSpec, partition_bytes: int = 128 << 20) -> DataFrame:

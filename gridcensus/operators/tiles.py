@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import is_data
-from gridcensus.operators.joins import join_masks
+from gridcensus.operators.joins import broadcast_if_small, join_masks
 
 
 def source_tile_keys(sources: DataFrame, grid: GridSpec) -> DataFrame:
@@ -107,8 +107,11 @@ def unpack_tiles(tiles: DataFrame, tile_size: int, keep_nodata: bool = False) ->
 
 
 def pair_tiles(source_keys: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Tiles of the sources by enumerated key; both sides are unique on the join key."""
-    return source_keys.join(tiles, ["src", "tile_col", "tile_row"])
+    """Tiles of the sources by enumerated key; both sides are unique on the join key.
+
+    A table of keys that is small enough, as measured, is broadcast, so the tiles are not moved.
+    """
+    return tiles.join(broadcast_if_small(source_keys), ["src", "tile_col", "tile_row"])
 
 
 def scan_windows(tiles: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -16,9 +16,7 @@ from gridcensus.functions.colors import (
     GLOBAL_BREAKS,
     MAP_COLORS,
     classify,
-    classify_arrays,
     stable,
-    tile_path,
 )
 from gridcensus.functions.grid import GridSpec, ZoomLevel
 from gridcensus.operators.block_tiles import coarser_levels, warp_levels
@@ -33,7 +31,7 @@ from gridcensus.operators.pyramid import (
 )
 from gridcensus.operators.resample import mercator_axes, resample_bilinear
 from gridcensus.operators.tiles import pack_tiles, unpack_tiles
-from gridcensus.sinks.map_tiles import color_tiles
+from gridcensus.sinks.map_tiles import color_tiles, shade_tiles
 from gridcensus.sources import catalog
 
 BASE_ZOOM = 12
@@ -143,8 +141,4 @@ def render_tiles(
     span = (base_zoom, min_zoom, tile_size, partitions)
     if not finer_than_raster(ZoomLevel(base_zoom, tile_size), grid):
         return color_tiles(cell_levels(raster, grid, *span), tile_size, output, colors, breaks)
-    shades = classify_arrays(colors, breaks)(F.col("cells"))
-    path = tile_path(output, F.col("zoom"), F.col("tile_col"), F.col("tile_row"))
-    return tile_levels(raster, grid, *span).select(
-        "zoom", "tile_col", "tile_row", path.alias("path"), shades.alias("rgba")
-    )
+    return shade_tiles(tile_levels(raster, grid, *span), output, colors, breaks)

@@ -12,6 +12,7 @@ from gridcensus.functions.colors import (
     MAP_COLORS,
     TRANSPARENT,
     classify,
+    classify_arrays,
     stable,
     tile_path,
 )
@@ -49,5 +50,14 @@ def color_tiles(
     return union.select("zoom", "tile_col", "tile_row", path.alias("path"), "rgba")
 
 
+def shade_tiles(
+    tiles: DataFrame, output: str, colors: Sequence[int] = MAP_COLORS, breaks: Sequence[float] = GLOBAL_BREAKS
+) -> DataFrame:
+    """The same of packed tiles (zoom, tile_col, tile_row, cells), which stay packed."""
+    shades = classify_arrays(colors, breaks)(F.col("cells"))
+    path = tile_path(output, F.col("zoom"), F.col("tile_col"), F.col("tile_row"))
+    return tiles.select("zoom", "tile_col", "tile_row", path.alias("path"), shades.alias("rgba"))
+
+
 def write_map_tiles(tiles: DataFrame, output: str) -> None:
     tiles.write.partitionBy("zoom").parquet(output)

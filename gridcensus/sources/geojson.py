@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcensus.operators.joins import cut_lineage
 from gridcensus.schemas import ADMIN0_PROPERTIES, ADMIN1_PROPERTIES, GEOMETRY, REGION_PROPERTIES
 
 POLYGON = GEOMETRY.elementType
@@ -91,8 +90,13 @@ def _regions(features: DataFrame, properties: T.StructType, strict: bool) -> Dat
 
 
 def number_regions(regions: DataFrame) -> DataFrame:
-    """Adds a unique region_id, checkpointed so that a recomputed task cannot renumber regions."""
-    return cut_lineage(regions.withColumn("region_id", F.monotonically_increasing_id()))
+    """Adds region_id, a hash of the region's content and of its number among equal regions.
+
+    Equal regions are alike, so a recomputed task that takes them in another order gives the same rows.
+    """
+    stamped = regions.withColumn("_content", F.xxhash64(*regions.columns))
+    nth = F.row_number().over(Window.partitionBy("_content").orderBy("_content"))
+    return stamped.withColumn("region_id", F.xxhash64("_content", nth)).drop("_content")
 
 
 def _features(lines: DataFrame, properties: T.StructType, column: str) -> DataFrame:
