@@ -39,7 +39,7 @@ def _crossed_cells(parts: DataFrame, grid: GridSpec) -> DataFrame:
     """(region_id, part, row, col, height, area) of every cell that an edge crosses, summed."""
     rows = _signed_edges(parts, grid).selectExpr(
         "*",
-        f"greatest(0, int(floor(least(y1, y2)))) as r0",
+        "greatest(0, int(floor(least(y1, y2)))) as r0",
         f"least({grid.rows - 1}, int(ceil(greatest(y1, y2))) - 1) as r1",
     )
     cut = rows.where("r0 <= r1").selectExpr("*", "explode(sequence(r0, r1)) as row")
@@ -58,12 +58,12 @@ def _crossed_cells(parts: DataFrame, grid: GridSpec) -> DataFrame:
     )
     # all that lies left of the grid is one piece, which covers the first cell and those after it
     pieces = spanned.where(f"xa < {grid.cols}").selectExpr(
-        "*", f"explode(sequence(greatest(-1, int(floor(xa))), least({grid.cols - 1}, int(floor(xb))))) as k"
+        "*", f"explode(sequence(greatest(-1, int(floor(xa))), greatest(-1, least({grid.cols - 1}, int(floor(xb)))))) as k"
     )
     shared = pieces.selectExpr(
         "region_id", "part", "row", "k",
         "case when k < 0 then xa else greatest(xa, double(k)) end as a",
-        "least(xb, double(k + 1)) as b",
+        "case when k < 0 then least(xb, 0D) else least(xb, double(k + 1)) end as b",
         "height", "xb - xa as across",
     )
     entries = shared.selectExpr(
