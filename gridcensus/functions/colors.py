@@ -24,14 +24,7 @@ BLUE_NINE = (
 )
 
 TRANSPARENT = 0
-
-
-def first_break_transparent(ramp: Sequence[int]) -> tuple[int, ...]:
-    """A palette whose lowest class is see-through."""
-    return (TRANSPARENT, *ramp)
-
-
-MAP_COLORS = first_break_transparent(BLUE_RAMP)
+MAP_COLORS = (TRANSPARENT, *BLUE_RAMP)
 
 
 def stable(value: Column) -> Column:

@@ -175,6 +175,35 @@ def warp_levels(
     return ordered.mapInPandas(run, TILES)
 
 
+def cell_blocks(cells: DataFrame, zooms: range, size: int, span: int) -> DataFrame:
+    """(zoom, tile_col, tile_row, cells) of the base level ``zooms[0]`` and those above it, from its cells.
+
+    ``cells`` come placed in blocks of ``span`` cells a side, by block_col and block_row, each cell once.
+    A task fills one block after the other and averages it level by level, so each level is made once
+    and no row is made for a cell of the levels above.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = block = None
+        for frame in frames:
+            places = frame[BLOCK].to_numpy()
+            changes = np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1
+            for first, last in zip([0, *changes], [*changes, len(frame)], strict=True):
+                if first == last:
+                    continue
+                place = tuple(int(p) for p in places[first])
+                if place != key:
+                    if key is not None:
+                        yield from _cut(block, *key, zooms, size)
+                    key, block = place, np.full((span, span), np.nan)
+                part = frame.iloc[first:last]
+                block[part["row"].to_numpy() - key[1] * span, part["col"].to_numpy() - key[0] * span] = part["value"].to_numpy()
+        if key is not None:
+            yield from _cut(block, *key, zooms, size)
+
+    return cells.select(*BLOCK, "col", "row", "value").sortWithinPartitions(*BLOCK).mapInPandas(run, TILES)
+
+
 def coarser_levels(
     tiles: DataFrame, zooms: range, size: int, span: int
 ) -> DataFrame:

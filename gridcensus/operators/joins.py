@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
@@ -39,6 +39,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def measured_checkpoint(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Checkpoint to the shared folder, with aggregates that are taken on the way."""
+    shared_folder(df.sparkSession)
+    seen = Observation()
+    stored = df.observe(seen, *[column.alias(name) for name, column in metrics.items()]).checkpoint(eager=True)
+    return stored, seen.get
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, row_bytes: Column | None = None) -> bool:
     """Whether a table takes no more room than ``limit`` rows of one run; summed where the rows are."""
     size = F.lit(ROW_BYTES) if row_bytes is None else row_bytes
@@ -70,16 +78,21 @@ def join_masks(
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
     row_bytes: Column | None = None,
+    mask_bytes: int | None = None,
 ) -> DataFrame:
     """Equi-join raster rows with mask rows on ``keys``.
 
-    Masks that take no more room than ``broadcast_rows`` rows of one run are broadcast, so the raster is not moved. Larger ones meet
-    it in a join on the keys alone, which a bucketed raster table answers in place. Only where
-    some keys are hot do these get cut into slices by the ``spread`` columns, with the masks of
-    just those keys repeated per slice. ``condition`` narrows the matches; mask columns other
+    Masks that take no more room than ``broadcast_rows`` rows of one run, as measured here or given as
+    ``mask_bytes``, are broadcast, so the raster is not moved. Larger ones meet it in a join on the keys
+    alone, which a bucketed raster table answers in place. Only where some keys are hot do these get
+    cut into slices by the ``spread`` columns, with the masks of just those keys repeated per slice. ``condition`` narrows the matches; mask columns other
     than the keys must not share a name with raster columns.
     """
-    if fits_broadcast(masks, broadcast_rows, row_bytes):
+    if mask_bytes is None:
+        small = fits_broadcast(masks, broadcast_rows, row_bytes)
+    else:
+        small = mask_bytes <= broadcast_rows * ROW_BYTES
+    if small:
         joined = raster.join(F.broadcast(masks), list(keys))
         return joined if condition is None else joined.where(condition)
 
@@ -105,12 +118,18 @@ def join_masks(
     return joined if condition is None else joined.where(condition)
 
 
+def packed_bytes() -> Column:
+    """Room that a row of packed masks takes in a broadcast."""
+    return 64 + 8 * F.coalesce(F.size("runs"), F.lit(0))
+
+
 def join_packed(
     tiles: DataFrame,
     packed: DataFrame,
     grid: GridSpec,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
+    mask_bytes: int | None = None,
 ) -> DataFrame:
     """Tiles next to the packed masks (``runs``, NULL for a whole tile) of their keys."""
     return join_masks(
@@ -120,5 +139,6 @@ def join_packed(
         spread=["src"],
         broadcast_rows=broadcast_rows,
         rows_per_slice=max(1, rows_per_slice // (grid.tile_size * grid.tile_size)),
-        row_bytes=64 + 8 * F.coalesce(F.size("runs"), F.lit(0)),
+        row_bytes=packed_bytes(),
+        mask_bytes=mask_bytes,
     )

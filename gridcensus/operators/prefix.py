@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
-from gridcensus.operators.joins import BROADCAST_ROWS, ROWS_PER_SLICE, join_packed
+from gridcensus.operators.joins import join_packed
 
 PREFIX = "sums array<double>, counts array<int>, total double, n_data int"
 
@@ -67,18 +67,12 @@ def _over_runs(running: str, zero: Column, tile_size: int) -> Column:
     return F.aggregate("runs", zero, add)
 
 
-def tile_sums(
-    prefix: DataFrame,
-    packed: DataFrame,
-    grid: GridSpec,
-    broadcast_rows: int = BROADCAST_ROWS,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def tile_sums(prefix: DataFrame, packed: DataFrame, grid: GridSpec, **limits) -> DataFrame:
     """(mask and tile keys, population, n_cells) of every tile of a source under every mask.
 
     A run takes two lookups, a whole tile none, so no row is made for a cell.
     """
-    joined = join_packed(prefix, packed, grid, broadcast_rows, rows_per_slice)
+    joined = join_packed(prefix, packed, grid, **limits)
     whole = F.col("runs").isNull()
     size = grid.tile_size
     people = F.when(whole, F.col("total")).otherwise(_over_runs("sums", F.lit(0.0), size))

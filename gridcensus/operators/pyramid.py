@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = ["block_col", "block_row"]
+from gridcensus.operators.block_tiles import BLOCK, cell_blocks, coarser_levels
+from gridcensus.operators.joins import cut_lineage
+from gridcensus.operators.tiles import unpack_tiles
+
 LEVELS_PER_SHUFFLE = 4
 
 
@@ -25,47 +30,37 @@ def place_in_blocks(cells: DataFrame, span: int, partitions: int | None = None)
     ).repartition(*keys)
 
 
-def pyramid_levels(
-    base: DataFrame,
-    base_zoom: int,
-    min_zoom: int,
-    tile_size: int,
-    levels_per_shuffle: int = LEVELS_PER_SHUFFLE,
-) -> list[tuple[int, DataFrame]]:
-    """[(zoom, cells)] from the base zoom up; cells keep the block they were computed in.
+def level_steps(base_zoom: int, min_zoom: int) -> list[range]:
+    """The zooms, from the base down to the least, in steps that share a shuffle."""
+    tops = range(base_zoom, min_zoom - 1, -LEVELS_PER_SHUFFLE)
+    return [range(top, max(top - LEVELS_PER_SHUFFLE, min_zoom - 1), -1) for top in tops]
+
+
+def climb(first: DataFrame, steps: list[range], tile_size: int) -> DataFrame:
+    """All levels from the tiles of the first step.
+
+    A block holds whole tiles on each level of a step, so one shuffle serves the step, and the next
+    one moves a 256th of the cells. Each step is computed once: its levels go to the checkpoint folder,
+    the next step starts from the last of them there, and so do readers of the result.
+    """
+    span = block_span(tile_size)
+    made: list[DataFrame] = []
+    for step in steps:
+        levels = coarser_levels(made[-1], step, tile_size, span) if made else first
+        made.append(cut_lineage(levels) if step != steps[-1] else levels)
+    return reduce(DataFrame.unionByName, made)
+
+
+def pyramid_tiles(cells: DataFrame, base_zoom: int, min_zoom: int, tile_size: int) -> DataFrame:
+    """(zoom, tile_col, tile_row, cells) of all levels from the merged cells of the base level.
 
-    One shuffle by block serves ``levels_per_shuffle`` levels: a block holds whole tiles on each
-    of them, so both the averaging and a later packing of tiles group by (block, ...) and stay
-    in place. The next shuffle moves 1/4^n of the cells. A base that comes placed in blocks of
-    that span is used as it is.
+    Cells that come placed in blocks of ``block_span(tile_size)`` stay there.
     """
-    span = block_span(tile_size, levels_per_shuffle)
-    levels: list[tuple[int, DataFrame]] = []
-    current = base
-    for step, zoom in enumerate(range(base_zoom, min_zoom - 1, -1)):
-        placed = step == 0 and set(BLOCK) <= set(base.columns)
-        if step % levels_per_shuffle == 0 and not placed:
-            current = place_in_blocks(current.select("col", "row", "value"), span)
-        levels.append((zoom, current))
-        current = current.groupBy(
-            *BLOCK,
-            F.floor(F.col("col") / 2).cast("int").alias("col"),
-            F.floor(F.col("row") / 2).cast("int").alias("row"),
-        ).agg(F.avg("value").alias("value"))
-    return levels
-
-
-def pyramid(
-    base: DataFrame,
-    base_zoom: int,
-    min_zoom: int,
-    tile_size: int,
-    levels_per_shuffle: int = LEVELS_PER_SHUFFLE,
-) -> DataFrame:
-    """All levels in one table (zoom, col, row, value)."""
-    levels = pyramid_levels(base, base_zoom, min_zoom, tile_size, levels_per_shuffle)
-    tables = [cells.select(F.lit(z).alias("zoom"), "col", "row", "value") for z, cells in levels]
-    union = tables[0]
-    for table in tables[1:]:
-        union = union.unionByName(table)
-    return union
+    span, steps = block_span(tile_size), level_steps(base_zoom, min_zoom)
+    placed = cells if set(BLOCK) <= set(cells.columns) else place_in_blocks(cells.select("col", "row", "value"), span)
+    return climb(cell_blocks(placed, steps[0], tile_size, span), steps, tile_size)
+
+
+def pyramid(base: DataFrame, base_zoom: int, min_zoom: int, tile_size: int) -> DataFrame:
+    """All levels as cells (zoom, col, row, value)."""
+    return unpack_tiles(pyramid_tiles(base, base_zoom, min_zoom, tile_size), tile_size)

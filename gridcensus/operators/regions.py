@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -121,25 +120,12 @@ def merge_equal_keys(regions: DataFrame, keys: Sequence[str]) -> DataFrame:
 def part_bounds(parts: DataFrame) -> tuple[float, float, float, float] | None:
     """(west, south, east, north) of all parts; None without any.
 
-    One row of four numbers, read while a job is planned so that the scan can be pruned with it.
+    One row of four numbers, read while a job is planned.
     """
     bounds = parts.agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).head()
     return None if bounds[0] is None else tuple(bounds)
 
 
-def tile_window(
-    bounds: tuple[float, float, float, float], grid: GridSpec, margin: int = 1
-) -> tuple[int, int, int, int]:
-    """Inclusive bounds (col0, row0, col1, row1) of the tiles that shapes within bounds can meet."""
-    west, south, east, north = bounds
-    return (
-        math.floor((west - grid.xmin) / grid.tile_width) - margin,
-        math.floor((grid.ymax - north) / grid.tile_height) - margin,
-        math.floor((east - grid.xmin) / grid.tile_width) + margin,
-        math.floor((grid.ymax - south) / grid.tile_height) + margin,
-    )
-
-
 def attach_regions(summary: DataFrame, regions: DataFrame, key: str = "adm1_code") -> DataFrame:
     """Join summaries to their region features by key; a key with several features is an error."""
     attributes = [F.first(c).alias(c) for c in regions.columns if c != key]

@@ -78,8 +78,8 @@ def _summary(
     """(region_id, population, n_cells, statistics, distribution) of the parts' cells."""
     packed = is_packed(raster)
     if packed:
-        raster, masks = packed_masks(raster, parts, grid, on, merge_parts=False)
-        masks = masks.drop("part")
+        raster, masks, n_bytes = packed_masks(raster, parts, grid, on, merge_parts=False)
+        masks, limits = masks.drop("part"), {**limits, "mask_bytes": n_bytes}
     if packed and not exact:
         merged = states.merge_states(states.tile_states(raster, masks, on, zonal.DISTRIBUTION_BINS, **limits))
         return sketches.sketch_statistics(merged, wanted=("median", "mode"))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from gridcensus.functions.grid import GridSpec
 from gridcensus.operators import mask
 from gridcensus.operators.hierarchy import mask_hierarchy
-from gridcensus.operators.joins import cut_lineage
+from gridcensus.operators.joins import measured_checkpoint, packed_bytes
 from gridcensus.operators.reading import read_spans, shifted_grid
-from gridcensus.operators.regions import part_bounds, tile_window
+from gridcensus.operators.regions import part_bounds
 from gridcensus.operators.tiles import rebalance
 from gridcensus.sources import catalog
 from gridcensus.sources.rasters import within
@@ -47,20 +47,26 @@ def cell_spans(parts: DataFrame, grid: GridSpec, source: GridSpec, merge_parts:
 
 def packed_masks(
     raster: DataFrame, parts: DataFrame, grid: GridSpec, source: GridSpec, merge_parts: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Packed tiles that a region can meet, and the packed masks of their grid, checkpointed.
+) -> tuple[DataFrame, DataFrame, int]:
+    """Packed tiles that a region can meet, the packed masks of their grid, checkpointed, and their bytes.
 
     Masks are made coarse to fine where the source's cells are the job's cells under other numbers;
     where distances change between the regions, runs are cut at those places. Either way the raster
-    keeps its own grid and stays packed. Only packed rows are stored.
+    keeps its own grid and stays packed. Only packed rows are stored. Their size and the tiles they
+    reach are measured while they are written, so that is the one job of a plan, besides the regions'
+    bounds for a raster of another grid.
     """
-    bounds = part_bounds(parts)
-    if bounds is None:
-        return raster.where("false"), mask_hierarchy(parts, source, merge_parts)
-    same = grid if source == grid else shifted_grid(grid, source, bounds)
+    same = grid
+    if source != grid:
+        bounds = part_bounds(parts)
+        same = source if bounds is None else shifted_grid(grid, source, bounds)
     if same is not None:
         packed = mask_hierarchy(parts, same, merge_parts)
     else:
         packed = mask.pack_masks(cell_spans(parts, grid, source, merge_parts), source)
-    window = tile_window(bounds, source if same is None else same, margin=2 if same is None else 1)
-    return within(raster, window), cut_lineage(packed)
+    ends = {f"{end.__name__}_{c}": end(f"tile_{c}") for c in ("col", "row") for end in (F.min, F.max)}
+    stored, seen = measured_checkpoint(packed, n_bytes=F.sum(packed_bytes()), **ends)
+    if seen["n_bytes"] is None:
+        return raster.where("false"), stored, 0
+    window = (seen["min_col"], seen["min_row"], seen["max_col"], seen["max_row"])
+    return within(raster, window), stored, seen["n_bytes"]

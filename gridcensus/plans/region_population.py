@@ -36,7 +36,7 @@ def region_population(
     parts = region_ops.explode_parts(regions.select("region_id", "geom"))
     on = source_grid or grid
     if is_packed(raster):
-        raster, packed = packed_masks(raster, parts, grid, on, merge_parts=True)
+        raster, packed, limits["mask_bytes"] = packed_masks(raster, parts, grid, on, merge_parts=True)
         if "sums" in raster.columns:
             sums = prefix.zonal_sum_prefix(raster, packed, on, **limits)
         else:

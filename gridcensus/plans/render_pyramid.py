@@ -1,13 +1,13 @@
 """Colour-classified Web Mercator pyramid of the merged population layer.
 
-Two physical forms give the same pixels. Pixels finer than the raster are computed from packed
-tiles, block by block; coarser ones from cells, which reduce to pixels before they shuffle.
+Two physical forms give the same base level. Pixels finer than the raster are computed from packed
+tiles, block by block; coarser ones from cells, which reduce to pixels before they shuffle. The levels
+above are averaged block by block in either case.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,19 +19,19 @@ from gridcensus.functions.colors import (
     stable,
 )
 from gridcensus.functions.grid import GridSpec, ZoomLevel
-from gridcensus.operators.block_tiles import coarser_levels, warp_levels
-from gridcensus.operators.joins import cut_lineage
+from gridcensus.operators.block_tiles import warp_levels
 from gridcensus.operators.mosaic import mosaic_cells
 from gridcensus.operators.pyramid import (
     BLOCK,
-    LEVELS_PER_SHUFFLE,
     block_span,
+    climb,
+    level_steps,
     place_in_blocks,
-    pyramid_levels,
+    pyramid_tiles,
 )
 from gridcensus.operators.resample import mercator_axes, resample_bilinear
 from gridcensus.operators.tiles import pack_tiles, unpack_tiles
-from gridcensus.sinks.map_tiles import color_tiles, shade_tiles
+from gridcensus.sinks.map_tiles import shade_tiles
 from gridcensus.sources import catalog
 
 BASE_ZOOM = 12
@@ -54,19 +54,6 @@ def mercator_layer(
     return mosaic_cells(place_in_blocks(warped, block_span(level.tile_size), partitions), *BLOCK)
 
 
-def cell_levels(
-    raster: DataFrame,
-    grid: GridSpec,
-    base_zoom: int,
-    min_zoom: int,
-    tile_size: int,
-    partitions: int | None = None,
-) -> list[tuple[int, DataFrame]]:
-    """[(zoom, pixels)] by way of cells."""
-    base = mercator_layer(raster, grid, ZoomLevel(base_zoom, tile_size), partitions)
-    return pyramid_levels(base, base_zoom, min_zoom, tile_size)
-
-
 def tile_levels(
     raster: DataFrame,
     grid: GridSpec,
@@ -75,23 +62,18 @@ def tile_levels(
     tile_size: int,
     partitions: int | None = None,
 ) -> DataFrame:
-    """(zoom, tile_col, tile_row, cells) of all levels by way of packed tiles.
+    """(zoom, tile_col, tile_row, cells) of all levels.
 
-    Each step is computed once: its levels go to the checkpoint folder, the next step starts from
-    the last of them there, and so do readers of the result.
+    The base level comes from packed tiles where its pixels are finer than the raster, else from cells,
+    which reduce to pixels before they shuffle; from there on both are tiles in the same blocks.
     """
-    packed = raster if "cells" in raster.columns else pack_tiles(raster, grid.tile_size)
-    span = block_span(tile_size)
     base = ZoomLevel(base_zoom, tile_size)
-    steps: list[DataFrame] = []
-    for top in range(base_zoom, min_zoom - 1, -LEVELS_PER_SHUFFLE):
-        zooms = range(top, max(top - LEVELS_PER_SHUFFLE, min_zoom - 1), -1)
-        if steps:
-            levels = coarser_levels(steps[-1], zooms, tile_size, span)
-        else:
-            levels = warp_levels(packed, grid, base, zooms, span, partitions)
-        steps.append(cut_lineage(levels) if zooms[-1] > min_zoom else levels)
-    return reduce(DataFrame.unionByName, steps)
+    if not finer_than_raster(base, grid):
+        return pyramid_tiles(mercator_layer(raster, grid, base, partitions), base_zoom, min_zoom, tile_size)
+    packed = raster if "cells" in raster.columns else pack_tiles(raster, grid.tile_size)
+    steps = level_steps(base_zoom, min_zoom)
+    first = warp_levels(packed, grid, base, steps[0], block_span(tile_size), partitions)
+    return climb(first, steps, tile_size)
 
 
 def render_pyramid(
@@ -110,14 +92,7 @@ def render_pyramid(
     """(zoom, col, row, color) of every pixel with data on every level."""
     raster = catalog.exclude(catalog.include(raster, include, "src"), exclude, "src")
     span = (base_zoom, min_zoom, tile_size, partitions)
-    if finer_than_raster(ZoomLevel(base_zoom, tile_size), grid):
-        pixels = unpack_tiles(tile_levels(raster, grid, *span), tile_size)
-    else:
-        levels = cell_levels(raster, grid, *span)
-        pixels = reduce(
-            DataFrame.unionByName,
-            [cells.select(F.lit(zoom).alias("zoom"), "col", "row", "value") for zoom, cells in levels],
-        )
+    pixels = unpack_tiles(tile_levels(raster, grid, *span), tile_size)
     color = classify(stable(F.col("value")), colors, breaks)
     return pixels.select("zoom", "col", "row", color.alias("color"))
 
@@ -139,6 +114,4 @@ def render_tiles(
     """The same packed as tile rows (zoom, tile_col, tile_row, path, rgba)."""
     raster = catalog.exclude(catalog.include(raster, include, "src"), exclude, "src")
     span = (base_zoom, min_zoom, tile_size, partitions)
-    if not finer_than_raster(ZoomLevel(base_zoom, tile_size), grid):
-        return color_tiles(cell_levels(raster, grid, *span), tile_size, output, colors, breaks)
     return shade_tiles(tile_levels(raster, grid, *span), output, colors, breaks)

@@ -10,50 +10,15 @@ from pyspark.sql import functions as F
 from gridcensus.functions.colors import (
     GLOBAL_BREAKS,
     MAP_COLORS,
-    TRANSPARENT,
-    classify,
     classify_arrays,
-    stable,
     tile_path,
 )
-from gridcensus.operators.pyramid import BLOCK
-from gridcensus.operators.tiles import pack_tiles
-
-
-def color_tiles(
-    levels: list[tuple[int, DataFrame]],
-    tile_size: int,
-    output: str,
-    colors: Sequence[int] = MAP_COLORS,
-    breaks: Sequence[float] = GLOBAL_BREAKS,
-) -> DataFrame:
-    """(zoom, tile_col, tile_row, path, rgba) of pyramid levels.
-
-    Tiles are packed inside the blocks of the pyramid, so packing adds no shuffle.
-    """
-    tables = []
-    for zoom, cells in levels:
-        colored = cells.withColumn("color", classify(stable(F.col("value")), colors, breaks))
-        packed = pack_tiles(
-            colored,
-            tile_size,
-            keys=BLOCK,
-            value="color",
-            empty=F.lit(TRANSPARENT).cast("bigint"),
-            into="rgba",
-        )
-        tables.append(packed.select(F.lit(zoom).alias("zoom"), "tile_col", "tile_row", "rgba"))
-    union = tables[0]
-    for table in tables[1:]:
-        union = union.unionByName(table)
-    path = tile_path(output, F.col("zoom"), F.col("tile_col"), F.col("tile_row"))
-    return union.select("zoom", "tile_col", "tile_row", path.alias("path"), "rgba")
 
 
 def shade_tiles(
     tiles: DataFrame, output: str, colors: Sequence[int] = MAP_COLORS, breaks: Sequence[float] = GLOBAL_BREAKS
 ) -> DataFrame:
-    """The same of packed tiles (zoom, tile_col, tile_row, cells), which stay packed."""
+    """(zoom, tile_col, tile_row, path, rgba) of packed tiles (zoom, tile_col, tile_row, cells)."""
     shades = classify_arrays(colors, breaks)(F.col("cells"))
     path = tile_path(output, F.col("zoom"), F.col("tile_col"), F.col("tile_row"))
     return tiles.select("zoom", "tile_col", "tile_row", path.alias("path"), shades.alias("rgba"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridcensus.functions import colors
 from gridcensus.functions.grid import GLOBAL_100M, GridSpec, ZoomLevel
 from gridcensus.operators import joins, mask, mosaic, pyramid, regions as region_ops, resample, tiles
-from gridcensus.plans.render_pyramid import cell_levels, render_pyramid, render_tiles, tile_levels
+from gridcensus.plans.render_pyramid import mercator_layer, render_pyramid, render_tiles, tile_levels
 from gridcensus.sources import rasters
 
 SMALL = GridSpec(0.0, 0.0, 12.0, 9.0, 1.0, 1.0, 4)
@@ -114,17 +114,46 @@ def test_pyramid_levels_are_means_of_means(spark):
     base = spark.createDataFrame(
         [(0, 0, 1.0), (1, 0, 3.0), (2, 0, 10.0), (7, 7, 4.0)], "col int, row int, value double"
     )
-    for per_shuffle in (1, 2, 4):
-        levels = pyramid.pyramid(base, 3, 0, 2, per_shuffle).collect()
-        got = {(r["zoom"], r["col"], r["row"]): r["value"] for r in levels}
-        assert got[(2, 0, 0)] == 2.0 and got[(2, 1, 0)] == 10.0
-        assert got[(1, 0, 0)] == 6.0 and got[(1, 1, 1)] == 4.0
-        assert got[(0, 0, 0)] == 5.0 and len(got) == 4 + 3 + 2 + 1
+    levels = pyramid.pyramid(base, 3, 0, 2).collect()
+    got = {(r["zoom"], r["col"], r["row"]): r["value"] for r in levels}
+    assert got[(2, 0, 0)] == 2.0 and got[(2, 1, 0)] == 10.0
+    assert got[(1, 0, 0)] == 6.0 and got[(1, 1, 1)] == 4.0
+    assert got[(0, 0, 0)] == 5.0 and len(got) == 4 + 3 + 2 + 1
+
+
+def test_each_level_of_a_pyramid_is_computed_once(spark):
+    """Also where a pyramid of several steps starts from cells outside the blocks of its top levels."""
+    rng = np.random.default_rng(5)
+    cells = {(int(c), int(r)): float(v) for c, r, v in zip(rng.integers(0, 700, 3000), rng.integers(0, 700, 3000), rng.random(3000))}
+    base = spark.createDataFrame([(*k, v) for k, v in cells.items()], "col int, row int, value double")
+    drawn = pyramid.pyramid(base, 6, 0, 4)
+    got = {}
+    for r in drawn.collect():
+        assert (r["zoom"], r["col"], r["row"]) not in got
+        got[r["zoom"], r["col"], r["row"]] = r["value"]
+    want = means_upwards(cells, 6)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    final = plan(drawn).split("== Initial Plan ==")[0].splitlines()
+    assert len([line for line in final if "MapInPandas" in line]) == 1
+
+
+def means_upwards(cells, zoom):
+    """{(zoom, col, row): value} of all levels above cells {(col, row): value}."""
+    found = {}
+    while True:
+        found |= {(zoom, *k): v for k, v in cells.items()}
+        if zoom == 0:
+            return found
+        above = {}
+        for (c, r), v in cells.items():
+            above.setdefault((c // 2, r // 2), []).append(v)
+        cells, zoom = {k: sum(v) / len(v) for k, v in above.items()}, zoom - 1
 
 
 def test_rendering_shuffles_once_per_four_levels(spark):
     cells = micro.cells(spark, block(0, 180, 80, 10, 10))
-    # pixels are coarser than cells: reduce to pixels, then blocks for levels 4..1 and 0
+    # pixels are coarser than cells: they reduce to pixels and go to blocks for levels 4..1, which are
+    # kept; what is left moves the last of them once for level 0
     drawn = render_pyramid(cells, GRID, base_zoom=4, min_zoom=0, tile_size=16)
     drawn.collect()
     final = plan(drawn).split("== Initial Plan ==")[0]
@@ -133,7 +162,7 @@ def test_rendering_shuffles_once_per_four_levels(spark):
         for line in final.splitlines()
         if "Exchange hashpartitioning" in line and "Reused" not in line
     ]
-    assert len(fresh) == 3, "\n".join(fresh)
+    assert len(fresh) == 1, "\n".join(fresh)
 
 
 @pytest.mark.parametrize("zoom", [4, 6])
@@ -226,11 +255,8 @@ def test_tiles_and_cells_render_the_same_levels(spark, zoom, tile_size):
         (r["zoom"], r["col"], r["row"]): r["value"]
         for r in tiles.unpack_tiles(tiled, tile_size).collect()
     }
-    expected = {
-        (z, r["col"], r["row"]): r["value"]
-        for z, level in cell_levels(cells, GRID, zoom, 0, tile_size)
-        for r in level.collect()
-    }
+    base = mercator_layer(cells, GRID, ZoomLevel(zoom, tile_size)).collect()
+    expected = means_upwards({(r["col"], r["row"]): r["value"] for r in base}, zoom)
     assert {k[0] for k in got} == set(range(zoom + 1))
     assert set(got) == set(expected)
     assert all(got[k] == pytest.approx(expected[k]) for k in got)

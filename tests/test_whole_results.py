@@ -179,7 +179,7 @@ def test_the_job_reads_a_stored_raster_once_and_only_near_its_regions(spark, tmp
         scans = [i for i, line in enumerate(plan) if "FileScan" in line and "cells#" in line]
         assert len(scans) == 1
         scan = plan[scans[0]]
-        assert "GreaterThanOrEqual(tile_col,9)" in scan and "tile_col#" in scan
+        assert "GreaterThanOrEqual(tile_col,10)" in scan and "tile_col#" in scan
         # tiles meet their masks where they are read
         assert any("BroadcastHashJoin" in line for line in plan[scans[0] - 4 : scans[0]])
 
