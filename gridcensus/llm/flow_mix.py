@@ -141,7 +141,7 @@ def flow_mix(
     ``sources`` is an array column: the sources that a document belongs to, where null is a source of
     its own and an empty array belongs to none. ``quotas`` turns {source: words} into {source: words
     wanted}; a source gets its quota as far as ``max_repeats`` copies of its documents go. A pattern's
-    documents are ordered by a seeded hash of id and size: all take the whole copies that the flow
+    documents are ordered by a seeded hash of id, size and the number of the row, given once: all take the whole copies that the flow
     asks for, the first ones that fit into the rest one copy more, and then the one document
     whose size is nearest to the words still missing. ``charged_to`` is the source whose quota the document's first words fill.
     Repeated rows are taken one by one; texts without words take 0; an empty table gives none.
@@ -152,6 +152,7 @@ def flow_mix(
         F.col(doc_id).alias("doc_id"),
         word_count(F.col(text)).alias("size"),
         F.coalesce(keyed, F.array().cast("array<string>")).alias("pattern"),
+        F.monotonically_increasing_id().alias("row"),
     )
     rows = materialize(rows, "sizes")
     found = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
@@ -184,9 +185,9 @@ def flow_mix(
         return F.broadcast(one_row_each) if len(table) <= BROADCAST_PATTERNS else one_row_each
 
     rows = rows.join(by_pattern(plan), "pattern")
-    rows = rows.withColumn("place", unit_hash(F.col("doc_id"), F.col("size"), seed=seed))
+    rows = rows.withColumn("place", unit_hash(F.col("doc_id"), F.col("size"), F.col("row"), seed=seed))
     rows = rows.withColumn("group", F.array_join("pattern", "\x01"))
-    ordered = running_total(rows, "group", "place", ["doc_id", "size"], F.col("size"), F.col("parts"), "before")
+    ordered = running_total(rows, "group", "place", ["row"], F.col("size"), F.col("parts"), "before")
     ordered = materialize(ordered, "ordered")
     fits = F.col("before") + F.col("size") <= F.col("rest")
     gaps = ordered.groupBy("group").agg(
