@@ -43,7 +43,7 @@ def _positions(rows: DataFrame, column: str, seed: int, in_order: bool) -> DataF
 
 def _with_position(rows: DataFrame, column: str, seed: int, total: int, in_order: bool = False) -> DataFrame:
     at = materialize(_positions(rows, column, seed, in_order), "positions").toDF("_value", "_start", "_w")
-    within = unit_hash(F.col("doc_id"), F.col("text_crc32"), seed=seed)
+    within = unit_hash(F.col("doc_id"), F.col("text_crc32"), F.col("row"), seed=seed)
     position = (F.col("_start") + within * F.col("_w")) / F.lit(float(max(total, 1)))
     joined = rows.join(at, F.col(column).eqNullSafe(F.col("_value")))
     return joined.withColumn("at", F.concat("at", F.array(position))).drop("_value", "_start", "_w")
@@ -130,8 +130,9 @@ def kd_shards(
 
     Size is the UTF-8 bytes of the text plus 16 (a null text has none). Dimensions are the
     ``metadata`` columns and the size. Shards have near equal bytes: a cut misses its goal by one
-    document where hashes differ. Nulls are a value like any other; repeated rows share their place
-    and so mostly their shard; an empty table gives an empty result. Slots count from 0 in each shard
+    document. Rows are numbered once, when their metadata are stored, and hashed with their number, so
+    repeated rows spread like others. Nulls are a value like any other; an empty table gives an empty
+    result. Slots count from 0 in each shard
     without gaps, in hash order. Other columns are ignored.
     """
     body = text_or_empty(F.col(text)).cast("binary")
@@ -141,7 +142,8 @@ def kd_shards(
         F.crc32(body).cast("long").alias("text_crc32"),
         *[F.col(c).cast("string").alias(f"m{i}") for i, c in enumerate(metadata)],
     )
-    rows = materialize(rows.withColumn("size_class", F.floor(F.log2("size") * 64).cast("int")), "metadata")
+    rows = rows.withColumn("size_class", F.floor(F.log2("size") * 64).cast("int"))
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "metadata")
     count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     if shards is None:
         shards = max(1, math.ceil(total / (target_bytes or 256 << 20)))
@@ -150,15 +152,15 @@ def kd_shards(
     for i in range(len(metadata)):
         placed = _with_position(placed, f"m{i}", seed + 1 + i, total)
     placed = _with_position(placed, "size_class", seed + 1 + len(metadata), total, in_order=True)
-    placed = placed.select("doc_id", "size", "text_crc32", "at", F.lit(0).alias("base"))
+    placed = placed.select("doc_id", "size", "text_crc32", "row", "at", F.lit(0).alias("base"))
     placed = materialize(placed, "placed")
 
     nodes = [{"base": 0, "k": shards, "bytes": total, "box": [(0.0, 1.0)] * (len(metadata) + 1)}]
     while total and any(n["k"] > 1 for n in nodes):
         placed, nodes = _split(placed, nodes)
-    placed = placed.withColumn("place", unit_hash(F.col("doc_id"), F.col("text_crc32"), seed=seed))
+    placed = placed.withColumn("place", unit_hash(F.col("doc_id"), F.col("text_crc32"), F.col("row"), seed=seed))
     parts = max(1, count // shards // ROWS_PER_PART)
-    slotted = running_total(placed, "base", "place", ["doc_id", "text_crc32"], F.lit(1), F.lit(parts), "slot")
+    slotted = running_total(placed, "base", "place", ["row"], F.lit(1), F.lit(parts), "slot")
     return slotted.select(
         "doc_id", "size", "text_crc32", F.col("base").alias("shard"), F.col("slot").cast("long").alias("slot")
     )
