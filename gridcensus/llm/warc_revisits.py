@@ -25,6 +25,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ROWS_READ_AT_ONCE = 256
+#: The number of a page's row, in a column of this name.
+ROW = "_warc_row"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -35,31 +37,36 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def resolve_revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html", min_bytes: int = 0) -> DataFrame:
-    """page_id, digest and refers_to, once for each page id and payload.
+    """page_id, digest, refers_to and first_row, once for each page id and payload.
 
-    ``refers_to`` is null for responses. Of equal payloads of at least ``min_bytes`` the row with the
+    ``refers_to`` is null for responses, ``first_row`` the least number of the pages' rows, taken from
+    the column that ``ROW`` names if there is one. Of equal payloads of at least ``min_bytes`` the row with the
     largest id is the response (a null id is smaller than any other), and so are its exact repeats.
     """
     payload = text_or_empty(F.col(html)).cast("binary")
+    number = F.col(ROW) if ROW in pages.columns else F.lit(0).cast("long")
     heads = pages.select(
         F.col(page_id).cast("long").alias("page_id"),
         base32_sha1(payload).alias("digest"),
         F.octet_length(payload).cast("long").alias("n"),
-    ).distinct()
-    heads = materialize(heads, "headers")
+        number.alias(ROW),
+    )
+    rows = heads.groupBy("page_id", "digest", "n").agg(F.min(ROW).alias("first_row"))
+    heads = materialize(rows, "headers")
     originals = heads.where(F.col("n") >= min_bytes).groupBy("digest").agg(
         F.max("page_id").alias("original"), F.count(F.lit(1)).alias("copies")
     )
     repeated = originals.where(F.col("copies") > 1).select("digest", "original")
     revisit = F.coalesce(F.col("page_id") != F.col("original"), F.col("original").isNotNull())
     return heads.join(repeated, "digest", "left").select(
-        "page_id", "digest", F.when(revisit, F.col("original")).alias("refers_to")
+        "page_id", "digest", F.when(revisit, F.col("original")).alias("refers_to"), "first_row"
     )
 
 
-def _record_id(page_id: Column) -> Column:
-    """A record id that depends on the page id alone, so reruns agree."""
-    h = F.md5(F.concat(F.lit("page "), F.coalesce(page_id.cast("string"), F.lit("-"))))
+def _record_id(page_id: Column, digest: Column, repeat: Column) -> Column:
+    """A record id from the page id, the payload's digest and, for an exact repeat, the number of its row."""
+    parts = [F.coalesce(part.cast("string"), F.lit("-")) for part in (page_id, digest, repeat)]
+    h = F.md5(F.concat_ws(" ", F.lit("page"), *parts))
     cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts]), F.lit(">"))
 
@@ -68,9 +75,16 @@ def warc_records(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0,
     date: str = "2000-01-01T00:00:00Z",
 ) -> DataFrame:
-    """A column ``record``: the text of one WARC record for each page, without the closing blank lines."""
+    """A column ``record``: the text of one WARC record for each page, without the closing blank lines.
+
+    Records of one page id with several payloads, or of pages without an id, have ids of their own, and
+    a revisit refers to the one record of its original. Rows are numbered to tell exact repeats apart,
+    of which the first has the id that revisits refer to; for that the pages must come in the same
+    order in two reads, as files give.
+    """
+    pages = pages.withColumn(ROW, F.monotonically_increasing_id())
     verdicts = resolve_revisits(pages, page_id, html, min_bytes)
-    verdicts = verdicts.select(F.col("page_id").alias("of"), F.col("digest").alias("of_digest"), "refers_to")
+    verdicts = verdicts.select(F.col("page_id").alias("of"), F.col("digest").alias("of_digest"), "refers_to", "first_row")
     body = text_or_empty(F.col(html))
     # control characters would break a header line
     target = F.regexp_replace(text_or_empty(F.col(url)), r"[\x00-\x20\x7f]", "%20")
@@ -79,11 +93,14 @@ def warc_records(
         target.alias("url"),
         body.alias("body"),
         base32_sha1(body.cast("binary")).alias("digest"),
+        ROW,
     )
     joined = rows.join(
         verdicts, F.col("page_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")), "left"
     )
     revisit = F.col("refers_to").isNotNull()
+    first = F.lit(None).cast("long")
+    repeat = F.when(F.col(ROW) != F.col("first_row"), F.col(ROW))
     block = F.concat(F.lit(HTTP_HEAD), F.when(revisit, F.lit("")).otherwise(F.col("body")))
 
     def line(name: str, value: Column) -> Column:
@@ -95,13 +112,13 @@ def warc_records(
     record = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", _record_id(F.col("page_id"))),
+        line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("digest"), repeat)),
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", F.col("url")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         known("X-Page-Id", F.col("page_id").cast("string")),
         line("X-Payload-Length", F.octet_length("body").cast("string")),
-        known("WARC-Refers-To", F.when(revisit, _record_id(F.col("refers_to")))),
+        known("WARC-Refers-To", F.when(revisit, _record_id(F.col("refers_to"), F.col("digest"), first))),
         known("X-Refers-To-Page", F.col("refers_to").cast("string")),
         F.when(revisit, line("WARC-Profile", F.lit(REVISIT_PROFILE))).otherwise(F.lit("")),
         line("Content-Type", F.lit("application/http;msgtype=response")),
