@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcensus.llm.common import fold, pieces
@@ -28,9 +28,9 @@ FIRST = (0, LETTERS, LETTERS + LETTERS**2)
 #: Texts with fewer distinct letters are counted in a scratch array, others by sorting so many letters at a time.
 CLASSES = 64
 SORT_LETTERS = 1 << 20
-#: Labelled rows that the model is fitted on, the longest text of one, and how many are landmarks.
+#: Labelled rows that the model is fitted on, how many n-grams of one it sees, and how many are landmarks.
 TRAIN_ROWS = 2000
-TRAIN_BYTES = 1 << 16
+TRAIN_GRAMS = 1 << 14
 LANDMARKS = 256
 RIDGE = 1e-3
 STEP_BYTES = 1 << 20
@@ -123,37 +123,34 @@ class Model:
         return [self.langs[b] if ok else "und" for b, ok in zip(best, letters, strict=True)], np.where(letters, score, 0.0)
 
 
-def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Fit on (text, language) rows; without any row the model answers ``und``."""
+def fit(rows: list[tuple[np.ndarray, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Fit on rows of (n-grams of a text, language); without any row the model answers ``und``."""
     langs = sorted({lang for _, lang in rows})
     table = letters()
-    seen = np.zeros(GRAMS, bool)
-    rows = [(t, lang) for t, lang in rows if table[code_points(t)].any()]
+    rows = [(g, lang) for g, lang in rows if len(g)]
     if not rows:
         return Model([], table, np.empty(0, np.int64), np.zeros((0, 0)), np.zeros(0))
-    of_lang: dict[str, list[str]] = {}
-    for t, lang in rows:
-        of_lang.setdefault(lang, []).append(t)
+    of_lang: dict[str, list[np.ndarray]] = {}
+    for g, lang in rows:
+        of_lang.setdefault(lang, []).append(g)
     # landmarks in turn from each language, so that rare ones have some
-    chosen = [ts[i] for i in range(landmarks) for ts in of_lang.values() if i < len(ts)][:landmarks]
-    grams = [presence(t, table, seen) for t in chosen]
+    grams = [gs[i] for i in range(landmarks) for gs in of_lang.values() if i < len(gs)][:landmarks]
+    chosen = grams
     # only n-grams of a landmark can be in both texts; landmarks are listed by n-gram
     known, column = np.unique(np.concatenate(grams), return_inverse=True)
     sizes = np.array([len(g) for g in grams])
     owner = np.repeat(np.arange(len(chosen), dtype=np.int32), sizes)[np.argsort(column, kind="stable")]
     held = np.append(np.bincount(column), 0)
     first = np.cumsum(held) - held
-    del grams
 
-    def kernels(text: str) -> np.ndarray:
-        own = presence(text, table, seen)
+    def kernels(own: np.ndarray) -> np.ndarray:
         at = _places(known, own)
         n = held[at]
         place = np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
         return np.bincount(owner[place], minlength=len(chosen)) / np.sqrt(len(own) * sizes)
 
-    kernel = np.stack([kernels(t) for t, _ in rows])
-    values, vectors = np.linalg.eigh(np.stack([kernels(t) for t in chosen]))
+    kernel = np.stack([kernels(g) for g, _ in rows])
+    values, vectors = np.linalg.eigh(np.stack([kernels(g) for g in chosen]))
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
     x = kernel @ root
@@ -169,18 +166,44 @@ def fit(rows: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float =
     return Model(langs, table, known, weights, centre - mean @ w)
 
 
-def training_rows(docs: DataFrame, doc_id: str, text: str, lang: str, rows: int) -> list[tuple[str, str]]:
-    """At most ``rows`` labelled texts of moderate length outside fold 0, by the order of a hash of the id.
+def thinned(grams: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` of a text's n-grams, sorted: those of the least hash, so texts keep the same ones."""
+    if len(grams) <= most:
+        return grams
+    hashed = grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return grams[np.sort(np.argpartition(hashed, most - 1)[:most])]
 
-    Ids are chosen first, so only the chosen texts travel. An id that is repeated takes one place and
-    gives one text.
+
+def training_rows(
+    docs: DataFrame, doc_id: str, text: str, lang: str, rows: int, most_grams: int = TRAIN_GRAMS
+) -> list[tuple[np.ndarray, str]]:
+    """n-grams and language of at most ``rows`` labelled texts outside fold 0, whatever their length.
+
+    Ids are chosen first: languages take turns, each in the order of a hash of the id, so rare languages
+    have as many as they can. An id that is repeated takes one place and gives one text. Whole texts are
+    read in the tasks; the driver gets ``most_grams`` numbers of each at most.
     """
     usable = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l"))
-    usable = usable.where((fold(F.col("id")) != 0) & F.col("l").isNotNull() & (F.octet_length("t") <= TRAIN_BYTES))
-    chosen = usable.select("id").distinct().orderBy(F.xxhash64(F.lit(10), "id"), "id").limit(rows)
+    usable = usable.where((fold(F.col("id")) != 0) & F.col("l").isNotNull() & F.col("t").isNotNull())
+    hashed = F.xxhash64(F.lit(10), "id")
+    turn = F.row_number().over(Window.partitionBy("l").orderBy(hashed, "id")).alias("turn")
+    of_id = usable.groupBy("id").agg(F.min("l").alias("l")).select("id", turn).where(F.col("turn") <= rows)
     # at most ``rows`` ids
-    found = usable.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct("l", "t")).alias("x")).collect()
-    return [(r["x"]["t"], r["x"]["l"]) for r in sorted(found, key=lambda r: r["id"])]
+    chosen = F.broadcast(of_id.orderBy("turn", hashed, "id").limit(rows).select("id"))
+    kind = dict(usable.dtypes)["id"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = letters(), np.zeros(GRAMS, bool)
+        for batch in batches:
+            for part in pieces(batch, STEP_BYTES, batch["t"]):
+                grams = [thinned(presence(t, table, seen), most_grams).tolist() for t in part["t"].to_pylist()]
+                arrays = [part["id"], part["l"], part["hash"], pa.array(grams, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "l", "hash", "grams"])
+
+    texts = usable.join(chosen, "id").select("id", "l", "t", F.xxhash64("t").alias("hash"))
+    found = texts.mapInArrow(read, f"id {kind}, l string, hash long, grams array<long>")
+    of_id = found.groupBy("id").agg(F.min(F.struct("l", "hash", "grams")).alias("x")).collect()
+    return [(np.array(r["x"]["grams"], np.int64), r["x"]["l"]) for r in sorted(of_id, key=lambda r: r["id"])]
 
 
 def kernel_language(
@@ -188,8 +211,8 @@ def kernel_language(
 ) -> DataFrame:
     """doc_id, held_out (fold 0), lang_pred and score of every row.
 
-    The model is fitted on at most ``train_rows`` rows and broadcast: the distinct n-grams of the
-    landmarks, whose number their bytes bound, times the languages. Texts that are null or have no letter get ``und`` and score 0. Repeated rows get
+    The model is fitted on at most ``train_rows`` rows of any length and broadcast: the distinct n-grams
+    of the landmarks, of which each has ``TRAIN_GRAMS`` at most, times the languages. Texts that are null or have no letter get ``und`` and score 0. Repeated rows get
     equal results, an empty table none; other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, doc_id, text, lang, train_rows)))

@@ -274,6 +274,11 @@ def test_language_of_held_out_documents(spark, odd, none):
     assert language.kernel_language(none).count() == 0
 
 
+def language_rows(texts):
+    table, seen = language.letters(), np.zeros(language.GRAMS, bool)
+    return [(language.presence(t, table, seen), lang) for t, lang in texts]
+
+
 def test_rare_scripts_are_told_apart_beside_a_frequent_one():
     rng = random.Random(12)
     latin = "".join(c for c in map(chr, range(0x61, 0x180)) if c.isalpha() and c == c.lower())[:60]
@@ -283,7 +288,7 @@ def test_rare_scripts_are_told_apart_beside_a_frequent_one():
         return "".join(rng.choice(scripts[lang] + " ") for _ in range(6000))
 
     rows = [(text(lang), lang) for lang, n in (("en", 40), ("ja", 6), ("zh", 6)) for _ in range(n)]
-    model = language.fit(rows)
+    model = language.fit(language_rows(rows))
     held_out = [lang for lang in scripts for _ in range(10)]
     assert model.predict([text(lang) for lang in held_out])[0] == held_out
 
@@ -314,7 +319,7 @@ def test_a_repeated_id_takes_one_place_in_training(spark):
 
 def test_kernel_scores_equal_the_definition():
     texts = [("the cat and the hat", "x"), ("das ist ein haus", "y"), ("and then the end", "x"), ("ein und zwei", "y")]
-    model = language.fit(texts, landmarks=3)
+    model = language.fit(language_rows(texts), landmarks=3)
     seen = np.zeros(language.GRAMS, bool)
     grams = [set(language.presence(t, model.table, seen).tolist()) for t, _ in texts]
 
