@@ -46,11 +46,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: rows that it takes twice are there twice."""
-    mix, _, _ = mixed(docs)
-    copies = mix.where("taken > 0").groupBy(F.col("doc_id").alias("_of"))
-    copies = copies.agg(F.max(F.expr("int(taken div size)")).alias("_copies"))
-    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_of")))
+    """Documents as often as the mix takes them: rows that it takes twice are there twice.
+
+    Rows are numbered once and mixed by number, so rows that share an id or have none are told apart.
+    """
+    numbered = materialize(docs.withColumn("_number", F.monotonically_increasing_id()), "numbered")
+    mix, _, _ = mixed(numbered.drop("doc_id").withColumnRenamed("_number", "doc_id"))
+    copies = mix.where("taken > 0").select(F.col("doc_id").alias("_number"), F.expr("int(taken div size)").alias("_copies"))
+    taken = numbered.join(copies, "_number")
     each = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
     return taken.select(*docs.columns, each).select(docs.columns)
 
