@@ -38,6 +38,26 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from ruled join rated on ruled.source is not distinct from rated.source
 """
 
+OP4 = """
+with recursive worded as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), sets as (
+  select rid, doc_id, case when len(w) = 0 then [] when len(w) < 5 then [w]
+    else list_distinct(list_transform(range(len(w) - 4), lambda i: w[i + 1 : i + 5])) end as s from worded
+), shingles as (select rid, len(s) as n, unnest(s) as g from sets
+), shared as (
+  select a.rid as a, b.rid as b, a.n + b.n - count(*) as joint, count(*) as common
+  from shingles a join shingles b on a.g = b.g and a.rid <> b.rid group by a.rid, b.rid, a.n, b.n
+), links as (select a, b from shared where 100 * common >= 80 * joint
+), reached as (select rid as a, rid as b from sets union select r.a, l.b from reached r join links l on r.b = l.a
+), least as (select a, min(doc_id) as component_id from reached join sets on b = rid group by a
+), counted as (select a, count(*) as n from links group by a)
+select doc_id, len(s)::bigint as n_shingles, component_id, coalesce(c.n, 0)::bigint as n_links
+from sets s join least l on s.rid = l.a left join counted c on s.rid = c.a
+"""
+
 OP9 = """
 with payloads as (
   select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, '')))::bigint as n from pages
@@ -126,6 +146,7 @@ from ordered o left join listed using (rid) left join longest using (rid) left j
 
 ORACLE: dict[str, str] = {
     "op3_host_rules": OP3,
+    "op4_overlap_join": OP4,
     "op9_warc_revisits": OP9,
     "op11_source_divergence": OP11,
     "op13_periodic_runs": OP13,
