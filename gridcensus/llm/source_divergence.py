@@ -28,7 +28,9 @@ MOST_TERMS = 2**31 - 1
 TOP_TERMS = 200
 #: Distinct terms, frequent or not, that the ranges are cut for; a vocabulary is held by the driver
 #: and by every executor, and a kept term takes some 200 bytes there.
-RANGE_TERMS = 1_000_000
+RANGE_TERMS = 1_500_000
+#: Distinct terms are counted in one of so many hash slices.
+SLICES = 16
 STEP_BYTES = 4 << 20
 STEP_CELLS = 1 << 20
 
@@ -44,105 +46,109 @@ def _terms(part: pa.RecordBatch) -> Iterator[list[bytes]]:
         yield raw.translate(LETTERS).split()
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, term), once for every few megabytes of text."""
+def _some_distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, term), once for every few megabytes of text, of a sixteenth of all terms."""
     for batch in batches:
         for part in pieces(batch, STEP_BYTES):
-            seen: dict[str, set[bytes]] = {}
-            for lang, terms in zip(part["lang"].to_pylist(), _terms(part), strict=True):
-                seen.setdefault(lang, set()).update(terms)
-            for lang, terms in seen.items():
-                words = pa.array(list(terms), pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), words], ["lang", "term"])
+            seen: dict[int, set[bytes]] = {}
+            for number, terms in zip(part["number"].to_pylist(), _terms(part), strict=True):
+                seen.setdefault(number, set()).update(terms)
+            for number, terms in seen.items():
+                some = [t for t in terms if zlib.crc32(t) % SLICES == 0]
+                words = pa.array(some, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(words), pa.int32()), words], ["number", "term"])
 
 
 def _ranged(ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(lang, source, range, terms joined by blanks) of each document and range that it has terms in."""
+    """(gid, range, terms joined by blanks) of each document and range that it has terms in.
+
+    Every term ends in the number of its language, after a character that no term holds.
+    """
+
+    class RangeOf(dict):
+        def __missing__(self, term: bytes) -> int:
+            self[term] = found = zlib.crc32(term) % ranges
+            return found
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        range_of = RangeOf()
         for batch in batches:
             for part in pieces(batch, STEP_BYTES):
-                row, number, joined = [], [], []
-                for i, terms in enumerate(_terms(part)):
-                    by_range: dict[int, list[bytes]] = {}
-                    if ranges == 1:
-                        by_range = {0: terms} if terms else {}
-                    else:
-                        for term in terms:
-                            by_range.setdefault(zlib.crc32(term) % ranges, []).append(term)
-                    for at, some in by_range.items():
-                        row.append(i)
-                        number.append(at)
-                        joined.append(b" ".join(some))
+                if len(range_of) > RANGE_TERMS:
+                    range_of.clear()
+                row, at_range, joined = [], [], []
+                for i, (number, terms) in enumerate(zip(part["number"].to_pylist(), _terms(part), strict=True)):
+                    tag = b"\0%d" % number
+                    by_range: list[list[bytes]] = [[] for _ in range(ranges)]
+                    for term in terms:
+                        by_range[range_of[term]].append(term)
+                    for at, some in enumerate(by_range):
+                        if some:
+                            row.append(i)
+                            at_range.append(at)
+                            joined.append((tag + b" ").join(some) + tag)
                 places = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part["lang"].take(places),
-                        part["source"].take(places),
-                        pa.array(number, pa.int32()),
-                        pa.array(joined, pa.binary()).cast(pa.string()),
-                    ],
-                    ["lang", "source", "range", "terms"],
+                    [part["gid"].take(places), pa.array(at_range, pa.int32()), pa.array(joined, pa.binary()).cast(pa.string())],
+                    ["gid", "range", "terms"],
                 )
 
     return split
 
 
-def _tagged(terms: Column, lang: Column) -> Column:
-    """Terms with their language; no term holds the character between the two."""
-    return F.transform(F.split(terms, " "), lambda t: F.concat(t, F.lit("\0"), lang))
-
-
-def _range_sums(words: DataFrame, groups: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, term, total, sums by group) of the kept terms of one range."""
+def _range_sums(words: DataFrame, min_docs: int) -> DataFrame:
+    """(number, term, total, sums by group) of the kept terms of one range."""
     spark = words.sparkSession
-    docs = words.select("lang", "source", _tagged(F.col("terms"), F.col("lang")).alias("terms"))
+    docs = words.select("gid", F.split("terms", " ").alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MOST_TERMS).fit(docs)
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/vocabulary-{uuid.uuid4().hex}"
     model.write().save(path)
     vocabulary = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("at", "tag"))
     vector = F.unwrap_udt("vector")
     entry = F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("e")
-    counted = model.transform(docs).join(F.broadcast(groups), ["lang", "source"]).select("gid", entry)
+    counted = model.transform(docs).select("gid", entry)
     sums = counted.groupBy(F.col("e.at").alias("at"), "gid").agg(F.sum(F.col("e.n").cast("long")).alias("n"))
     by_term = sums.groupBy("at").agg(
         F.sum("n").alias("total"), F.collect_list(F.struct("gid", "n")).alias("counts")
     )
     # the vocabulary is a row of an array: spread it over the tasks that hold the sums
-    term = F.substring_index("tag", "\0", 1)
-    lang = F.substring(F.col("tag"), F.length(term) + 2, F.length("tag"))
-    return by_term.join(vocabulary, "at").select(lang.alias("lang"), term.alias("term"), "total", "counts")
+    number = F.substring_index("tag", "\0", -1).cast("int")
+    return by_term.join(vocabulary, "at").select(
+        number.alias("number"), F.substring_index("tag", "\0", 1).alias("term"), "total", "counts"
+    )
 
 
 def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, range_terms: int = RANGE_TERMS) -> tuple[DataFrame, DataFrame]:
-    """The groups (gid, lang, source) and, by kept term, (lang, term, total, counts of groups), stored.
+    """The groups (gid, number, lang, source) and, by kept term, (lang, term, total, counts of groups), stored.
 
-    A group's sums come from partial sums of the tasks, spread by term, so a hot group is many tasks'
-    work. A term's row has an entry per source that uses it. Groups are broadcast: the report holds a
-    row for each pair of sources of a language, which bounds their number far below.
+    ``number`` numbers the languages. A group's sums come from partial sums of the tasks, spread by term,
+    so a hot group is many tasks' work. A term's row has an entry per source that uses it. Groups are
+    broadcast: the report holds a row for each pair of sources of a language, so they are far fewer.
     """
+    spark = docs.sparkSession
     groups = docs.select("lang", "source").distinct()
-    groups = materialize(groups.select(F.monotonically_increasing_id().alias("gid"), "lang", "source"), "groups")
-    texts = docs.where("text <> ''").select("lang", "source", "text")
-    distinct = texts.mapInArrow(_distinct, "lang string, term string")
-    found = distinct.agg(F.approx_count_distinct(F.concat("term", F.lit("\0"), "lang"), 0.02)).head()[0]
-    ranges = 1 + int(found) // range_terms
+    langs = materialize(groups.select("lang").distinct().select("lang", F.monotonically_increasing_id().alias("at")), "langs")
+    langs = langs.select("lang", F.row_number().over(Window.orderBy("at")).alias("number"))
+    groups = groups.join(F.broadcast(langs), "lang")
+    groups = materialize(groups.select(F.monotonically_increasing_id().alias("gid"), "number", "lang", "source"), "groups")
+    texts = docs.where("text <> ''").join(F.broadcast(groups), ["lang", "source"]).select("gid", "number", "text")
+    some = texts.select("number", "text").mapInArrow(_some_distinct, "number int, term string")
+    found = SLICES * some.distinct().count()
+    ranges = 1 + found // range_terms
 
-    spark = docs.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/terms-{uuid.uuid4().hex}"
-    schema = "lang string, source string, range int, terms string"
+    schema = "gid long, range int, terms string"
     ranged = texts.mapInArrow(_ranged(ranges), schema)
     ranged.write.partitionBy("range").option("compression", "zstd").parquet(path)
-    kept = []
-    if found:
-        stored = spark.read.schema(schema).parquet(path)
-        kept = [
-            materialize(_range_sums(stored.where(F.col("range") == i), groups, min_docs), "term-sums")
-            for i in range(ranges)
-        ]
-    else:
-        kept = [spark.range(0).selectExpr("'' lang", "'' term", "id total", "array(struct(id as gid, id as n)) counts")]
-    return groups, reduce(DataFrame.unionByName, kept)
+    stored = spark.read.schema(schema).parquet(path)
+    kept = [
+        materialize(_range_sums(stored.where(F.col("range") == i), min_docs), "term-sums")
+        for i in range(ranges)
+        if not stored.where(F.col("range") == i).isEmpty()
+    ]
+    none = spark.range(0).selectExpr("int(id) number", "'' term", "id total", "array(struct(id as gid, id as n)) counts")
+    sums = reduce(DataFrame.unionByName, kept) if kept else none
+    return groups, sums.join(F.broadcast(langs), "number").drop("number")
 
 
 def _share(count: Column, held: Column, kept: Column) -> Column:
@@ -247,7 +253,7 @@ def source_divergence(
     by_lang = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("total").alias("lang_held"))
     entries = terms.select("lang", "term", "total", F.inline("counts"))
     held = entries.groupBy("gid").agg(F.sum("n").alias("held"))
-    sized = groups.join(held, "gid", "left").join(by_lang, "lang", "left").na.fill(0, ["held", "kept", "lang_held"])
+    sized = groups.drop("number").join(held, "gid", "left").join(by_lang, "lang", "left").na.fill(0, ["held", "kept", "lang_held"])
     sized = materialize(sized, "groups-sized")
 
     # a row per group, as in the report's own pairs
