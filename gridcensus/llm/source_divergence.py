@@ -1,13 +1,14 @@
 """How far the sources of a language differ in their words: an exact audit of term shares.
 
 CountVectorizer (minDF, the greatest possible vocabSize) makes sparse vectors of the documents. A term
-carries its language, so one model counts document frequencies within each language. Terms are cut by
-hash into ranges that one vocabulary holds; a range is fitted and read on its own. Vectors are summed
+carries its language, so one model counts document frequencies within each language. Terms are stored
+in buckets by hash, and as many buckets as one vocabulary may hold are fitted and read together. Vectors are summed
 by (lang, source), and pairs of sources are evaluated on the terms that either of them has.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -31,6 +32,8 @@ TOP_TERMS = 200
 RANGE_TERMS = 1_500_000
 #: Distinct terms are counted in one of so many hash slices.
 SLICES = 16
+#: Buckets that terms are stored in: at least so many, and one for this many bytes of text to the power of 0.6.
+LEAST_BUCKETS, BUCKET_BYTES = 6, 50_000_000
 STEP_BYTES = 4 << 20
 STEP_CELLS = 1 << 20
 
@@ -46,60 +49,90 @@ def _terms(part: pa.RecordBatch) -> Iterator[list[bytes]]:
         yield raw.translate(LETTERS).split()
 
 
-def _some_distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(number, term), once for every few megabytes of text, of a sixteenth of all terms."""
-    for batch in batches:
-        for part in pieces(batch, STEP_BYTES):
-            seen: dict[int, set[bytes]] = {}
-            for number, terms in zip(part["number"].to_pylist(), _terms(part), strict=True):
-                seen.setdefault(number, set()).update(terms)
-            for number, terms in seen.items():
-                some = [t for t in terms if zlib.crc32(t) % SLICES == 0]
-                words = pa.array(some, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(words), pa.int32()), words], ["number", "term"])
+class _Places(dict):
+    """The bucket of each term; ``fresh`` collects, by bucket, what is new to it in one hash slice."""
 
+    def __init__(self, buckets: int) -> None:
+        self.buckets, self.fresh = buckets, [[] for _ in range(buckets)]
 
-def _ranged(ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(gid, range, terms joined by blanks) of each document and range that it has terms in.
+    def __missing__(self, term: bytes) -> int:
+        hashed = zlib.crc32(term)
+        self[term] = bucket = hashed % self.buckets
+        if hashed // self.buckets % SLICES == 0:
+            self.fresh[bucket].append(term)
+        return bucket
 
-    Every term ends in the number of its language, after a character that no term holds.
-    """
 
-    class RangeOf(dict):
-        def __missing__(self, term: bytes) -> int:
-            self[term] = found = zlib.crc32(term) % ranges
-            return found
+def _bucketed(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(gid, bucket, terms joined by blanks) of each document and bucket that it has terms in.
+
+    Every term ends in the number of its language, after a character that no term holds. Rows of bucket
+    -1 hold, with a bucket in place of gid, the distinct terms of a hash slice that a task has seen, to
+    count distinct terms by.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        range_of = RangeOf()
+        places: dict[int, _Places] = {}
+
+        def batch_of(gid: list, bucket: list, joined: list) -> pa.RecordBatch:
+            terms = pa.array(joined, pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(gid, pa.int64()), pa.array(bucket, pa.int32()), terms], ["gid", "bucket", "terms"])
+
+        def seen() -> pa.RecordBatch:
+            rows = [(at, b"\0%d" % n, fresh) for n, place in places.items() for at, fresh in enumerate(place.fresh) if fresh]
+            places.clear()
+            return batch_of([at for at, *_ in rows], [-1] * len(rows), [(tag + b" ").join(fresh) + tag for _, tag, fresh in rows])
+
         for batch in batches:
             for part in pieces(batch, STEP_BYTES):
-                if len(range_of) > RANGE_TERMS:
-                    range_of.clear()
-                row, at_range, joined = [], [], []
-                for i, (number, terms) in enumerate(zip(part["number"].to_pylist(), _terms(part), strict=True)):
+                gid, bucket, joined = [], [], []
+                for group, number, terms in zip(part["gid"].to_pylist(), part["number"].to_pylist(), _terms(part), strict=True):
+                    place = places.get(number)
+                    if place is None:
+                        place = places[number] = _Places(buckets)
                     tag = b"\0%d" % number
-                    by_range: list[list[bytes]] = [[] for _ in range(ranges)]
+                    of_bucket: list[list[bytes]] = [[] for _ in range(buckets)]
                     for term in terms:
-                        by_range[range_of[term]].append(term)
-                    for at, some in enumerate(by_range):
+                        of_bucket[place[term]].append(term)
+                    for at, some in enumerate(of_bucket):
                         if some:
-                            row.append(i)
-                            at_range.append(at)
+                            gid.append(group)
+                            bucket.append(at)
                             joined.append((tag + b" ").join(some) + tag)
-                places = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part["gid"].take(places), pa.array(at_range, pa.int32()), pa.array(joined, pa.binary()).cast(pa.string())],
-                    ["gid", "range", "terms"],
-                )
+                yield batch_of(gid, bucket, joined)
+                if sum(map(len, places.values())) > RANGE_TERMS:
+                    yield seen()
+        yield seen()
 
     return split
 
 
-def _range_sums(words: DataFrame, min_docs: int) -> DataFrame:
+def _ranges(found: dict[int, int], range_terms: int) -> list[tuple[list[int], int, int]]:
+    """(buckets, part, parts): neighbouring buckets while they fit, parts of a bucket that does not."""
+    ranges: list[tuple[list[int], int, int]] = []
+    held = 0
+    for bucket, n in sorted(found.items()):
+        parts = -(-n // range_terms)
+        if parts > 1:
+            ranges += [([bucket], part, parts) for part in range(parts)]
+            held = range_terms
+        elif ranges and held + n <= range_terms:
+            ranges[-1][0].append(bucket)
+            held += n
+        else:
+            ranges.append(([bucket], 0, 1))
+            held = n
+    return ranges
+
+
+def _range_sums(stored: DataFrame, buckets: list[int], part: int, parts: int, min_docs: int) -> DataFrame:
     """(number, term, total, sums by group) of the kept terms of one range."""
-    spark = words.sparkSession
-    docs = words.select("gid", F.split("terms", " ").alias("terms"))
+    spark = stored.sparkSession
+    terms = F.split("terms", " ")
+    if parts > 1:
+        terms = F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part)
+    # a range is one stretch of buckets; a document is a row for each bucket, and a term is in one of them
+    docs = stored.where(F.col("bucket").between(buckets[0], buckets[-1])).select("gid", terms.alias("terms"))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MOST_TERMS).fit(docs)
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/vocabulary-{uuid.uuid4().hex}"
     model.write().save(path)
@@ -132,19 +165,19 @@ def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, range_terms: int = RANG
     groups = groups.join(F.broadcast(langs), "lang")
     groups = materialize(groups.select(F.monotonically_increasing_id().alias("gid"), "number", "lang", "source"), "groups")
     texts = docs.where("text <> ''").join(F.broadcast(groups), ["lang", "source"]).select("gid", "number", "text")
-    some = texts.select("number", "text").mapInArrow(_some_distinct, "number int, term string")
-    found = SLICES * some.distinct().count()
-    ranges = 1 + found // range_terms
-
+    # distinct terms grow by a power of about 0.6 of the text, so the buckets do
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    buckets = max(LEAST_BUCKETS, math.ceil((n_bytes / BUCKET_BYTES) ** 0.6))
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/terms-{uuid.uuid4().hex}"
-    schema = "gid long, range int, terms string"
-    ranged = texts.mapInArrow(_ranged(ranges), schema)
-    ranged.write.partitionBy("range").option("compression", "zstd").parquet(path)
+    schema = "gid long, bucket int, terms string"
+    bucketed = texts.mapInArrow(_bucketed(buckets), schema)
+    bucketed.write.partitionBy("bucket").option("compression", "zstd").parquet(path)
     stored = spark.read.schema(schema).parquet(path)
+    slices = stored.where("bucket = -1").select("gid", F.explode(F.split("terms", " ")).alias("term")).distinct()
+    found = {r["gid"]: SLICES * r["count"] for r in slices.groupBy("gid").count().collect()}
+    found = {at: found.get(at, 1) for at in range(buckets)} if n_bytes else {}
     kept = [
-        materialize(_range_sums(stored.where(F.col("range") == i), min_docs), "term-sums")
-        for i in range(ranges)
-        if not stored.where(F.col("range") == i).isEmpty()
+        materialize(_range_sums(stored, *one, min_docs), "term-sums") for one in _ranges(found, range_terms)
     ]
     none = spark.range(0).selectExpr("int(id) number", "'' term", "id total", "array(struct(id as gid, id as n)) counts")
     sums = reduce(DataFrame.unionByName, kept) if kept else none
