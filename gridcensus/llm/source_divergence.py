@@ -32,8 +32,8 @@ TOP_TERMS = 200
 RANGE_TERMS = 1_500_000
 #: Distinct terms are counted in one of so many hash slices.
 SLICES = 16
-#: Buckets that terms are stored in: at least so many, and one for this many bytes of text to the power of 0.6.
-LEAST_BUCKETS, BUCKET_BYTES = 6, 50_000_000
+#: Buckets that terms are stored in: the bytes of text in units of this, to the power of 0.6.
+BUCKET_BYTES = 350_000_000
 STEP_BYTES = 4 << 20
 STEP_CELLS = 1 << 20
 
@@ -125,6 +125,24 @@ def _ranges(found: dict[int, int], range_terms: int) -> list[tuple[list[int], in
     return ranges
 
 
+def _vector_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gid, at, n): the sparse vectors of a batch summed by group and place."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at, n = (batch[k].flatten().to_numpy() for k in ("at", "n"))
+        if not len(at):
+            continue
+        groups, of = np.unique(batch["gid"].to_numpy(), return_inverse=True)
+        width = int(at.max()) + 1
+        key = np.repeat(of, np.diff(batch["at"].offsets.to_numpy())) * width + at
+        order = np.argsort(key)
+        key, n = key[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        arrays = [pa.array(groups[key[first] // width]), pa.array((key[first] % width).astype(np.int32)), pa.array(np.add.reduceat(n, first))]
+        yield pa.RecordBatch.from_arrays(arrays, ["gid", "at", "n"])
+
+
 def _range_sums(stored: DataFrame, buckets: list[int], part: int, parts: int, min_docs: int) -> DataFrame:
     """(number, term, total, sums by group) of the kept terms of one range."""
     spark = stored.sparkSession
@@ -138,9 +156,9 @@ def _range_sums(stored: DataFrame, buckets: list[int], part: int, parts: int, mi
     model.write().save(path)
     vocabulary = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("at", "tag"))
     vector = F.unwrap_udt("vector")
-    entry = F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("e")
-    counted = model.transform(docs).select("gid", entry)
-    sums = counted.groupBy(F.col("e.at").alias("at"), "gid").agg(F.sum(F.col("e.n").cast("long")).alias("n"))
+    sparse = model.transform(docs).select("gid", vector["indices"].alias("at"), vector["values"].alias("n"))
+    partial = sparse.mapInArrow(_vector_sums, "gid long, at int, n long")
+    sums = partial.groupBy("at", "gid").agg(F.sum("n").alias("n"))
     by_term = sums.groupBy("at").agg(
         F.sum("n").alias("total"), F.collect_list(F.struct("gid", "n")).alias("counts")
     )
@@ -167,7 +185,7 @@ def term_sums(docs: DataFrame, min_docs: int = MIN_DOCS, range_terms: int = RANG
     texts = docs.where("text <> ''").join(F.broadcast(groups), ["lang", "source"]).select("gid", "number", "text")
     # distinct terms grow by a power of about 0.6 of the text, so the buckets do
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    buckets = max(LEAST_BUCKETS, math.ceil((n_bytes / BUCKET_BYTES) ** 0.6))
+    buckets = max(1, math.ceil((n_bytes / BUCKET_BYTES) ** 0.6))
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/terms-{uuid.uuid4().hex}"
     schema = "gid long, bucket int, terms string"
     bucketed = texts.mapInArrow(_bucketed(buckets), schema)
