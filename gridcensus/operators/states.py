@@ -7,16 +7,17 @@ digest is another one are read again; the states of all others stay.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
-from gridcensus.operators.histograms import merge_bins
+from gridcensus.operators.histograms import (
+    bins_array, flat_bins, fold_runs, grouped_bins, list_sizes, merge_bins, merge_in_turn, merge_many,
+)
 from gridcensus.operators.joins import join_packed
 
 TILE_OF_SOURCE = ["src", "tile_col", "tile_row"]
@@ -27,6 +28,8 @@ STATE = (
 NUMBERS = ["population", "n_cells", "zmin", "zmax", "centre", "squares"]
 # Values a sketch starts from; more distinct ones are first brought together in groups of one size.
 FINE_BINS = 1024
+# Cells of joined tiles that a task holds side by side.
+STEP_CELLS = 1 << 20
 
 
 def tile_digest(cells: Column) -> Column:
@@ -34,26 +37,46 @@ def tile_digest(cells: Column) -> Column:
     return F.xxhash64(cells)
 
 
+def _fine_bins(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and their numbers, brought together in groups of one size where there are many."""
+    if len(x) <= FINE_BINS:
+        return x, y
+    cut = np.searchsorted(np.cumsum(y), np.arange(FINE_BINS) * y.sum() / FINE_BINS, side="right")
+    cut = np.unique(cut)
+    total = np.add.reduceat(y, cut)
+    return np.add.reduceat(x * y, cut) / total, total
+
+
 def sketch_of(values: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     """At most ``bins`` bins of data values."""
     x, y = np.unique(values, return_counts=True)
-    y = y.astype(float)
-    if len(x) > FINE_BINS:
-        cut = np.searchsorted(np.cumsum(y), np.arange(FINE_BINS) * y.sum() / FINE_BINS, side="right")
-        cut = np.unique(cut)
-        total = np.add.reduceat(y, cut)
-        x, y = np.add.reduceat(x * y, cut) / total, total
-    return merge_bins(x, y, bins)
-
-
-def _runs_mask(runs: pa.Scalar, size: int) -> np.ndarray:
-    """Which cells of a tile the runs cover, and how often."""
-    flat = runs.values
-    start, length = (flat.field(k).to_numpy() for k in (0, 1))
-    steps = np.zeros(size + 1, dtype=np.int32)
-    np.add.at(steps, start - 1, 1)
-    np.add.at(steps, start - 1 + length, -1)
-    return np.cumsum(steps[:-1])
+    return merge_bins(*_fine_bins(x, y.astype(float)), bins)
+
+
+def sketch_many(owner: np.ndarray, values: np.ndarray, times: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bins (owner, x, y) of each owner's values, as ``sketch_of`` makes them."""
+    owner, x, y = grouped_bins(owner, values, times.astype(float))
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(owner)])
+    size = np.diff(np.r_[first, len(owner)])
+    if np.any(size > FINE_BINS):
+        fine = [_fine_bins(x[a : a + n], y[a : a + n]) for a, n in zip(first, size, strict=True)]
+        owner = np.repeat(owner[first], [len(f[0]) for f in fine])
+        x, y = (np.concatenate([f[k] for f in fine]) for k in (0, 1))
+    return merge_many(owner, x, y, bins)
+
+
+def _covered(runs: pa.ListArray, size: np.ndarray) -> np.ndarray:
+    """How often the runs cover each cell of tiles that lie end to end, with one place more after each tile."""
+    start = np.cumsum(size + 1) - size - 1
+    length = list_sizes(runs)
+    of = np.repeat(start, length)
+    flat = runs.flatten()
+    first = of + flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64) - 1
+    last = first + flat.field(1).to_numpy(zero_copy_only=False).astype(np.int64)
+    whole = runs.is_null().to_numpy(zero_copy_only=False)
+    first, last = np.r_[first, start[whole]], np.r_[last, (start + size)[whole]]
+    n = int((size + 1).sum())
+    return np.cumsum(np.bincount(first, minlength=n) - np.bincount(last, minlength=n))
 
 
 def tile_states(tiles: DataFrame, packed: DataFrame, grid: GridSpec, bins: int = 64, **limits) -> DataFrame:
@@ -66,36 +89,39 @@ def tile_states(tiles: DataFrame, packed: DataFrame, grid: GridSpec, bins: int =
     joined = join_packed(tiles, packed, grid, **limits)
     keys = [c for c in joined.columns if c not in ("cells", "runs")]
 
-    def state(values: np.ndarray) -> tuple:
-        x, y = sketch_of(values, bins) if bins else (np.empty(0), np.empty(0))
-        mean = float(values.mean())
-        return (
-            float(values.sum()), len(values), float(values.min()), float(values.max()), mean,
-            float(np.square(values - mean).sum()), [{"x": float(a), "y": float(b)} for a, b in zip(x, y, strict=True)],
-        )
-
     names = [*NUMBERS, "distribution"]
-    types = [pa.float64(), pa.int64(), *[pa.float64()] * 4, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))]
+
+    def states(step: pa.RecordBatch) -> pa.RecordBatch:
+        size = list_sizes(step["cells"])
+        # a place without data after each tile ends its runs
+        place = np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)
+        times = _covered(step["runs"], size)[place]
+        values = step["cells"].flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+        data = np.flatnonzero(np.isfinite(values) & (times > 0))
+        owner = np.repeat(np.arange(len(size)), size)[data]
+        values, times = values[data], times[data]
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(owner)])
+        of = owner[first]
+        owner = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(owner)]))
+        add = lambda numbers: np.add.reduceat(numbers, first) if len(first) else numbers
+        total, n = add(values * times), add(times)
+        mean = total / n
+        x_y = sketch_many(owner, values, times, bins) if bins else (owner[:0], values[:0], values[:0])
+        arrays = [
+            pa.array(total), pa.array(n, pa.int64()),
+            pa.array(np.minimum.reduceat(values, first) if len(first) else values),
+            pa.array(np.maximum.reduceat(values, first) if len(first) else values),
+            pa.array(mean), pa.array(add(times * np.square(values - mean[owner]))), bins_array(*x_y, len(first)),
+        ]
+        rows = pa.array(of, pa.int64())
+        return pa.RecordBatch.from_arrays([*[step[k].take(rows) for k in keys], *arrays], [*keys, *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells, runs = batch["cells"], batch["runs"]
-            kept, made = [], []
-            for i in range(batch.num_rows):
-                values = cells[i].values.to_numpy(zero_copy_only=False).astype(float, copy=False)
-                if runs[i].is_valid:
-                    times = _runs_mask(runs[i], len(values))
-                    data = np.isfinite(values) & (times > 0)
-                    values = np.repeat(values[data], times[data])
-                else:
-                    values = values[np.isfinite(values)]
-                if len(values):
-                    kept.append(i)
-                    made.append(state(values))
-            columns = list(zip(*made, strict=True)) if made else [[] for _ in names]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            of = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch[k].take(of) for k in keys], *arrays], [*keys, *names])
+            # tiles are of one size
+            rows = max(1, STEP_CELLS // max(1, int(list_sizes(batch["cells"]).max(initial=0))))
+            for at in range(0, batch.num_rows, rows):
+                yield states(batch.slice(at, rows))
 
     schema = ", ".join(f"`{k}` {joined.schema[k].dataType.simpleString()}" for k in keys)
     return joined.select(*keys, "cells", "runs").mapInArrow(run, f"{schema}, {STATE}")
@@ -128,60 +154,34 @@ def merge_moments(states: DataFrame, keys: Sequence[str] = ("region_id",)) -> Da
     return moments.withColumns(added).drop("_inside", "_first", "_second")
 
 
-def _merged(a: tuple, b: tuple, bins: int) -> tuple:
-    """Two states as one: (population, n, zmin, zmax, centre, squares, x, y)."""
-    n = a[1] + b[1]
-    apart = b[4] - a[4]
-    x, y = np.concatenate([a[6], b[6]]), np.concatenate([a[7], b[7]])
-    return (
-        a[0] + b[0], n, min(a[2], b[2]), max(a[3], b[3]), a[4] + apart * b[1] / n,
-        a[5] + b[5] + apart * apart * a[1] * b[1] / n, *merge_bins(x, y, bins),
-    )
-
-
-def _fold(key: str, bins: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Merges runs of equal keys in rows sorted by key; one running state is all it keeps."""
-    names = [key, *NUMBERS, "x", "y"]
-
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        running: tuple | None = None
-        for frame in frames:
-            done = []
-            for k, *numbers, x, y in zip(*[frame[c] for c in names], strict=True):
-                state = (*numbers, np.asarray(x, dtype=float), np.asarray(y, dtype=float))
-                if running is not None and (running[0] == k or (pd.isna(k) and pd.isna(running[0]))):
-                    running = (k, _merged(running[1], state, bins))
-                    continue
-                if running is not None:
-                    done.append((running[0], *running[1]))
-                running = (k, (*state[:6], *merge_bins(state[6], state[7], bins)))
-            if done:
-                yield pd.DataFrame(done, columns=names)
-        if running is not None:
-            yield pd.DataFrame([(running[0], *running[1])], columns=names)
-
-    return fold
-
-
 def merge_states(states: DataFrame, key: str = "region_id", bins: int = 64) -> DataFrame:
     """(key, population, n_cells, zmin, zmax, mean, stddev, distribution) of each key, in one pass.
 
     Every task first merges the states that it made, so the shuffle carries one state per task and key,
-    however many states a key has. The final tasks do the same with theirs, a state at a time.
+    however many states a key has. The final tasks do the same with theirs, a batch at a time.
     """
-    kind = states.schema[key].dataType.simpleString()
-    numbers = ", ".join(f"{name} {'long' if name == 'n_cells' else 'double'}" for name in NUMBERS)
-    schema = f"`{key}` {kind}, {numbers}, x array<double>, y array<double>"
-    flat = states.select(key, *NUMBERS, F.col("distribution.x").alias("x"), F.col("distribution.y").alias("y"))
-    merge = _fold(key, bins)
-    local = flat.sortWithinPartitions(key).mapInPandas(merge, schema)
-    merged = local.repartition(key).sortWithinPartitions(key).mapInPandas(merge, schema)
-    distribution = F.zip_with("x", "y", lambda a, b: F.struct(a.alias("x"), b.alias("y")))
+
+    def fold(batch: pa.RecordBatch, owner: np.ndarray) -> list[pa.Array]:
+        population, n, low, high, centre, squares = (batch[c].to_numpy(zero_copy_only=False) for c in NUMBERS)
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        cells = np.add.reduceat(n, first)
+        mean = np.add.reduceat(n * centre, first) / cells
+        inside = np.add.reduceat(squares + n * np.square(centre - mean[owner]), first)
+        sketch = batch["distribution"]
+        merged = merge_in_turn(owner, list_sizes(sketch), *flat_bins(sketch), bins)
+        numbers = [np.add.reduceat(population, first), cells, np.minimum.reduceat(low, first), np.maximum.reduceat(high, first), mean, inside]
+        return [*map(pa.array, numbers), bins_array(*merged, len(first))]
+
+    schema = f"`{key}` {states.schema[key].dataType.simpleString()}, {STATE}"
+    flat = states.select(key, *NUMBERS, "distribution")
+    merge = fold_runs(key, fold)
+    local = flat.sortWithinPartitions(key).mapInArrow(merge, schema)
+    merged = local.repartition(key).sortWithinPartitions(key).mapInArrow(merge, schema)
     return merged.select(
         key, "population", "n_cells", "zmin", "zmax",
         (F.col("population") / F.col("n_cells")).alias("mean"),
         F.sqrt(F.col("squares") / F.col("n_cells")).alias("stddev"),
-        distribution.alias("distribution"),
+        "distribution",
     )
 
 

@@ -15,6 +15,7 @@ from gridcensus.operators import (
     curve,
     families,
     hierarchy,
+    histograms,
     joins,
     mask,
     prefix,
@@ -417,3 +418,37 @@ def test_region_ids_come_from_content(spark):
     parsed = geojson.parse_features(lines, geojson.ADMIN0_PROPERTIES)
     ids = [sorted(r["region_id"] for r in geojson.number_regions(parsed.repartition(n)).collect()) for n in (1, 5)]
     assert ids[0] == ids[1] and len(set(ids[0])) == 9
+
+
+def test_bins_of_many_owners_merge_as_those_of_each_alone():
+    draw = np.random.default_rng(5)
+    sizes = draw.integers(0, 200, 60)
+    owner = np.repeat(np.arange(60), sizes)
+    x, y = draw.integers(0, 900, len(owner)).astype(float), draw.integers(1, 4, len(owner)).astype(float)
+    of, got_x, got_y = histograms.merge_many(owner, x, y, 16)
+    for k in range(60):
+        want_x, want_y = histograms.merge_bins(x[owner == k], y[owner == k], 16)
+        assert np.array_equal(got_x[of == k], want_x) and np.array_equal(got_y[of == k], want_y)
+
+
+def test_states_of_many_keys_fold_across_batches(spark):
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = spark.range(300, numPartitions=2).selectExpr(
+            "if(id % 5 = 4, null, id % 5) as k", "cast(2 * id + 1 as double) as population", "2L as n_cells",
+            "cast(id as double) as zmin", "cast(id + 1 as double) as zmax", "id + 0.5D as centre", "0.5D as squares",
+            "array(named_struct('x', cast(id as double), 'y', 1D), named_struct('x', cast(id + 1 as double), 'y', 1D)) as distribution",
+        )
+        merged = {r["k"]: r for r in states.merge_states(rows, "k", bins=8).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert set(merged) == {0, 1, 2, 3, None}
+    for k, found in merged.items():
+        values = np.array([v for i in range(4 if k is None else k, 300, 5) for v in (i, i + 1)], float)
+        assert (found["n_cells"], found["population"]) == (len(values), values.sum())
+        assert (found["zmin"], found["zmax"]) == (values.min(), values.max())
+        assert abs(found["stddev"] - values.std()) < 1e-9
+        bins = found["distribution"]
+        assert len(bins) <= 8 and sum(b["y"] for b in bins) == len(values)
+        assert abs(sum(b["x"] * b["y"] for b in bins) - values.sum()) < 1e-6
