@@ -31,7 +31,7 @@ from gridcensus.operators import (
     tiles as tile_ops,
     zonal,
 )
-from gridcensus.operators.joins import cut_lineage, shared_folder
+from gridcensus.operators.joins import BROADCAST_ROWS, cut_lineage, shared_folder
 from gridcensus.plans import admin_population, region_population as named, render_pyramid as render, render_refresh as again
 from gridcensus.schemas import ADMIN1_PROPERTIES
 from gridcensus.sinks.map_tiles import shade_tiles
@@ -605,18 +605,21 @@ def sketch_stats(spark, sf):
     A quantile's rank may be off by half the values of the two bins around it, so by the share of the
     fullest bin at most; the sketch's deviation is at most the exact one.
     """
-    packed = hierarchy.mask_hierarchy(_parts(spark, sf), GRID)
+    packed = cut_lineage(hierarchy.mask_hierarchy(_parts(spark, sf), GRID))
     merged = states.merge_states(states.tile_states(fx.tiles(spark, sf), packed, GRID))
     read = sketches.sketch_statistics(merged.drop("mean", "stddev"), SKETCH_BREAKS)
     points = F.concat(F.array("median"), "breaks")
-    read = read.select("*", points.alias("points"))
+    read = cut_lineage(read.select("*", points.alias("points")))
     ranks = [(below, i) for i in range(SKETCH_BREAKS + 1) for below in (True, False)]
     value = F.col("value")
     counts = [
         F.count(F.when(value < F.get("points", F.lit(i)) if below else value <= F.get("points", F.lit(i)), 1)).alias(f"{'lt' if below else 'le'}{i}")
         for below, i in ranks
     ]
-    masked = _masked_parts(spark, sf).join(read.select("region_id", "points"), "region_id")
+    # the points go with the spans, so no row of a cell is moved to them; such a row is some four times as wide
+    spans = mask.clip_spans(mask.part_spans(_parts(spark, sf), GRID), GRID).drop("tile_row")
+    pointed = spans.join(read.select("region_id", "points"), "region_id")
+    masked = mask.mask_cells(fx.cells(spark, sf), pointed, GRID, broadcast_rows=BROADCAST_ROWS // 4)
     exact = masked.groupBy("region_id").agg(F.avg(value).alias("avg"), F.stddev_pop(value).alias("dev"), *counts)
     tolerance = F.array_max(F.transform("distribution", lambda b: b["y"])) + 1e-6
     wanted = [0.5, *[(i + 1) / SKETCH_BREAKS for i in range(SKETCH_BREAKS)]]
