@@ -646,9 +646,11 @@ def _older(tiles: DataFrame) -> DataFrame:
 @query
 def zonal_refresh(spark, sf):
     """States of older tiles brought up to date by the tiles of the changed sources alone."""
-    packed = hierarchy.mask_hierarchy(_parts(spark, sf), GRID)
+    packed = cut_lineage(hierarchy.mask_hierarchy(_parts(spark, sf), GRID))
     tiles = fx.tiles(spark, sf)
-    stored = states.stored_states(_older(tiles), packed, GRID)
+    path = _new_folder(spark, "states")
+    states.stored_states(_older(tiles), packed, GRID).write.parquet(path)
+    stored = spark.read.parquet(path)
     fresh = states.refresh_states(stored, tiles.where("src % 3 = 0"), packed, GRID)
     merged = states.merge_states(fresh)
     exact = merged.select("region_id", "population", "zmin", "zmax", r("stddev", 6).alias("stddev"))
