@@ -21,7 +21,8 @@ def whole_tiles(parts: DataFrame, grid: GridSpec) -> DataFrame:
     """(region_id, part, tile_col, tile_row) of tiles inside a part that no edge meets, not even at a corner."""
     edges = part_edges(parts)
     keys = ["region_id", "part", *TILE]
-    return corner_tiles(edges, grid).join(edge_tiles(edges, grid).distinct(), keys, "left_anti")
+    # Spark takes both for as small as the regions' files, so the join is named
+    return corner_tiles(edges, grid).join(edge_tiles(edges, grid).distinct().hint("merge"), keys, "left_anti")
 
 
 def border_pieces(parts: DataFrame, grid: GridSpec, spans: DataFrame, *keep: str) -> DataFrame:
@@ -36,7 +37,7 @@ def border_pieces(parts: DataFrame, grid: GridSpec, spans: DataFrame, *keep: str
     keyed = spans.withColumn("tile_row", grid.tile_of(F.col("row")))
     first, last = grid.tile_of(F.col("c0")), grid.tile_of(F.col("c1"))
     crossed = F.filter("border", lambda t: t.between(first, last))
-    cut = keyed.join(met, row_of_tiles).select("*", F.explode(crossed).alias("tile_col"))
+    cut = keyed.join(met.hint("merge"), row_of_tiles).select("*", F.explode(crossed).alias("tile_col"))
     return cut.select(
         "region_id", "part", *TILE, "row", *keep,
         F.greatest(F.col("c0"), F.col("tile_col") * size).alias("c0"),
@@ -68,7 +69,7 @@ def mask_hierarchy(parts: DataFrame, grid: GridSpec, merge_parts: bool = False)
     if merge_parts:
         keys = ["region_id", *TILE]
         whole = whole.select(*keys).distinct()
-        pieces = _merged(pieces.join(whole, keys, "left_anti"))
+        pieces = _merged(pieces.join(whole.hint("merge"), keys, "left_anti"))
     run = F.struct(
         (grid.cell_index(F.col("c0"), F.col("row")) + 1).cast("int").alias("start"),
         (F.col("c1") - F.col("c0") + 1).cast("int").alias("length"),

@@ -96,6 +96,8 @@ def join_masks(
         joined = raster.join(F.broadcast(masks), list(keys))
         return joined if condition is None else joined.where(condition)
 
+    # sizes that Spark derives from the regions' files know nothing of exploded rows and would allow a broadcast
+    masks = masks.hint("merge")
     hot = hot_keys(raster, keys, rows_per_slice)
     if hot.isEmpty():
         joined = raster.join(masks, list(keys))
@@ -114,13 +116,15 @@ def join_masks(
         .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("slices")
     )
-    joined = sliced_raster.join(sliced_masks, [*keys, "slice"]).drop("slice")
+    joined = sliced_raster.join(sliced_masks.hint("merge"), [*keys, "slice"]).drop("slice")
     return joined if condition is None else joined.where(condition)
 
 
-def packed_bytes() -> Column:
-    """Room that a row of packed masks takes in a broadcast."""
-    return 64 + 8 * F.coalesce(F.size("runs"), F.lit(0))
+def packed_bytes(packed: DataFrame) -> Column:
+    """Room that a row of packed masks takes in a broadcast, where every run is a row of its own numbers."""
+    numbers = len(packed.schema["runs"].dataType.elementType.fields)
+    # an array's entry, the null bits and the numbers of a run; keys, array and place in the table of a row
+    return F.lit(96) + (17 + 8 * numbers) * F.greatest(F.size("runs"), F.lit(0)).cast("long")
 
 
 def join_packed(
@@ -139,6 +143,6 @@ def join_packed(
         spread=["src"],
         broadcast_rows=broadcast_rows,
         rows_per_slice=max(1, rows_per_slice // (grid.tile_size * grid.tile_size)),
-        row_bytes=packed_bytes(),
+        row_bytes=packed_bytes(packed),
         mask_bytes=mask_bytes,
     )

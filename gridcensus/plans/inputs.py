@@ -65,7 +65,7 @@ def packed_masks(
     else:
         packed = mask.pack_masks(cell_spans(parts, grid, source, merge_parts), source)
     ends = {f"{end.__name__}_{c}": end(f"tile_{c}") for c in ("col", "row") for end in (F.min, F.max)}
-    stored, seen = measured_checkpoint(packed, n_bytes=F.sum(packed_bytes()), **ends)
+    stored, seen = measured_checkpoint(packed, n_bytes=F.sum(packed_bytes(packed)), **ends)
     if seen["n_bytes"] is None:
         return raster.where("false"), stored, 0
     window = (seen["min_col"], seen["min_row"], seen["max_col"], seen["max_row"])

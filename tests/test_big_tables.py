@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
+from gridcensus.operators import joins
 
 
 @pytest.fixture()
@@ -36,3 +37,29 @@ def test_stored_states_are_read_and_not_made_again(spark, tables, monkeypatch):
     assert rows.join(want.drop("n_cells"), "region_id").where(F.col("population") != F.col("exact")).count() == 0
     assert rows.count() == want.count() > 0
     assert len(seen) == 1 and "MapInArrow" not in seen[0]
+
+
+@pytest.mark.parametrize("fields", ["start int, length int", "start int, length int, share double"])
+def test_masks_are_sized_as_the_rows_that_a_broadcast_holds(spark, fields):
+    runs = f"transform(sequence(1, 1000), i -> named_struct({', '.join(f'{f.split()[0]!r}, cast(i as {f.split()[1]})' for f in fields.split(', '))}))"
+    packed = spark.range(2).selectExpr("id as region_id", f"if(id = 0, {runs}, null) as runs")
+    sizes = [r[0] for r in packed.select(joins.packed_bytes(packed)).collect()]
+    held = packed.coalesce(1)._jdf.queryExecution().toRdd().collect()
+    assert all(size >= row.getSizeInBytes() for size, row in zip(sizes, held, strict=True))
+    assert sizes[0] < 1.1 * held[0].getSizeInBytes()
+
+
+def test_large_masks_of_small_files_are_not_broadcast(spark, tables):
+    parts = queries._parts(spark, tables)
+    running = queries.prefix.prefix_tiles(queries.fx.tiles(spark, tables), queries.GRID.tile_size)
+    masks = queries.shares.mask_shares(parts, queries.GRID)
+    sums = queries.shares.zonal_sum_shares(running, masks, queries.GRID, broadcast_rows=1)
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for table in (masks, sums):
+            plan = table.select("*")._jdf.queryExecution().executedPlan().toString()
+            joins_made = [line for line in plan.splitlines() if "Join" in line and "s_suppkey" not in line]
+            assert joins_made and all("SortMergeJoin" in line for line in joins_made), plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
