@@ -19,15 +19,13 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcensus.llm.common import materialize, pieces
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
-#: Examples the trees are fitted and calibrated on: at most so many of each kind and label.
-EXAMPLES = 1500
 #: Least share of true spans among held-out examples at or above a threshold.
 PRECISION = 0.99
 TREES, DEPTH, SEED = 12, 4, 7
@@ -290,8 +288,8 @@ def _scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- model -----------------------------------------------------------------------------------
 
 
-def _chosen_examples(scanned: DataFrame, most: int) -> DataFrame:
-    """(kind, label, f, held_out): the first ``most`` of each kind and label in hash order.
+def _all_examples(scanned: DataFrame) -> DataFrame:
+    """(kind, label, f, held_out, weight): every example of every row, equal ones as one with their number.
 
     A candidate that no rule accepts is a false one, unless it is of a kind with a strict test and passes
     that in its plain form: such a candidate may well be true and teaches nothing.
@@ -299,29 +297,28 @@ def _chosen_examples(scanned: DataFrame, most: int) -> DataFrame:
     made = scanned.select("row", F.explode("examples").alias("e")).select("row", "e.kind", "e.label", "e.f")
     none = scanned.select("row", F.explode("free").alias("e")).select("row", "e.kind", F.lit(0).alias("label"), "e.f")
     none = none.where((F.col("kind") == PHONE) | (F.get("f", F.lit(FEATURES.index("valid"))) == 0))
-    place = F.row_number().over(Window.partitionBy("kind", "label").orderBy(F.xxhash64("row", "f"), "row"))
-    chosen = made.unionByName(none).select("*", place.alias("place")).where(F.col("place") <= most)
     held_out = F.pmod(F.xxhash64(F.lit(SEED), "row"), F.lit(5)) == 0
-    return chosen.select("kind", "label", "f", held_out.alias("held_out"))
+    found = made.unionByName(none).select("kind", "label", "f", held_out.alias("held_out"))
+    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
-def fit_trees(scanned: DataFrame, most: int = EXAMPLES, precision: float = PRECISION):
-    """Boosted trees and the least score to accept for each kind; None where there is too little to learn from.
+def fit_trees(scanned: DataFrame, precision: float = PRECISION):
+    """Boosted trees on all examples and the least score to accept for each kind; None where there is too little to learn from.
 
     From some score on ``precision`` of a kind's held-out examples are true spans. The threshold lies
     halfway between the least such score and the next lower one that an example has, at 0.5 at least. A
     kind that never gets there, or of which none is held out, accepts nothing.
     """
-    chosen = materialize(_chosen_examples(scanned, most), "pii-examples")
-    vectors = chosen.select("kind", F.col("label").cast("double").alias("label"), array_to_vector("f").alias("features"), "held_out")
+    chosen = materialize(_all_examples(scanned), "pii-examples")
+    vectors = chosen.select("kind", F.col("label").cast("double").alias("label"), array_to_vector("f").alias("features"), "held_out", "weight")
     fit = vectors.where("not held_out")
     if fit.select("label").distinct().count() < 2:
         return None, {}
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(fit)
-    scored = model.transform(vectors.where("held_out")).select("kind", "label", _score().alias("score"))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight").fit(fit)
+    scored = model.transform(vectors.where("held_out")).select("kind", "label", "weight", _score().alias("score"))
     # 1000 steps of the score by kind, so what comes to the driver does not grow
     steps = scored.groupBy("kind", F.floor(F.col("score") * 1000).alias("step"))
-    counts = steps.agg(F.sum("label").alias("true"), F.count(F.lit(1)).alias("n")).collect()
+    counts = steps.agg(F.sum(F.col("label") * F.col("weight")).alias("true"), F.sum("weight").alias("n")).collect()
     thresholds = {}
     for kind in range(len(KINDS)):
         true = n = 0.0
@@ -364,7 +361,6 @@ SPANS = "array<struct<kind string, start long, end long, by_rule boolean, score
 
 def personal_spans(
     docs: DataFrame,
-    most_examples: int = EXAMPLES,
     precision: float = PRECISION,
     keep_text: bool = False,
     doc_id: str = "doc_id",
@@ -374,8 +370,8 @@ def personal_spans(
 
     Spans are in code points, the end exclusive, by kind and start. Rule spans always stay; accepted
     candidates never overlap them or each other. Texts are read once, whole; what goes on are spans and
-    features, and only candidates are shuffled, by row. The trees are fitted on at most ``most_examples``
-    of each kind and label, drawn in hash order from all rows. A null text counts as empty; an id may be
+    features, and only candidates are shuffled, by row. The trees are fitted on all examples of
+    all rows, equal ones as one of their weight. A null text counts as empty; an id may be
     null or repeated, as rows have numbers of their own; repeated rows give repeated results; other
     columns are ignored; where nothing can be learned only the rules speak.
     """
@@ -386,7 +382,7 @@ def personal_spans(
     scanned = materialize(
         read.select(F.monotonically_increasing_id().alias("row"), *carried, "rules", "free", "examples"), "pii"
     )
-    model, thresholds = fit_trees(scanned, most_examples, precision)
+    model, thresholds = fit_trees(scanned, precision)
     rows = scanned.select("row", *carried, "rules")
     accepted_type = "array<struct<kind int, start long, end long, score double>>"
     if model is None or not thresholds:

@@ -273,3 +273,14 @@ def test_reruns_agree_and_digests_are_of_rule_spans(spark):
         assert hashlib.sha256(lines.encode()).hexdigest() == digest
         assert counts == [sum(k == i for k, _, _ in spans) for i in range(4)]
         assert set(filter(None, lines.split(","))) <= set(listed.split(","))
+
+
+def test_span_trees_learn_from_every_example(spark):
+    from gridcensus.llm import personal_spans as spans_of
+
+    example = "array(named_struct('kind', 0, 'label', 1, 'f', array(cast(id % 3 as double), 1D)))"
+    free = "array(named_struct('kind', 3, 'start', 0L, 'end', 1L, 'f', array(cast(id % 2 as double), 0D)))"
+    scanned = spark.range(4000).selectExpr("id as row", f"{example} as examples", f"{free} as free")
+    found = spans_of._all_examples(scanned).groupBy("kind", "label").agg({"weight": "sum", "f": "count"}).collect()
+    assert {(r["kind"], r["label"]): r["sum(weight)"] for r in found} == {(0, 1): 4000.0, (3, 0): 4000.0}
+    assert sum(r["count(f)"] for r in found) <= 2 * (3 + 2)
