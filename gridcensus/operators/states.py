@@ -37,11 +37,11 @@ def tile_digest(cells: Column) -> Column:
     return F.xxhash64(cells)
 
 
-def _fine_bins(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _fine_bins(x: np.ndarray, y: np.ndarray, most: int = FINE_BINS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values and their numbers, brought together in groups of one size where there are many."""
-    if len(x) <= FINE_BINS:
+    if len(x) <= most:
         return x, y
-    cut = np.searchsorted(np.cumsum(y), np.arange(FINE_BINS) * y.sum() / FINE_BINS, side="right")
+    cut = np.searchsorted(np.cumsum(y), np.arange(most) * y.sum() / most, side="right")
     cut = np.unique(cut)
     total = np.add.reduceat(y, cut)
     return np.add.reduceat(x * y, cut) / total, total
@@ -50,7 +50,7 @@ def _fine_bins(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def sketch_of(values: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     """At most ``bins`` bins of data values."""
     x, y = np.unique(values, return_counts=True)
-    return merge_bins(*_fine_bins(x, y.astype(float)), bins)
+    return merge_bins(*_fine_bins(x, y.astype(float), max(FINE_BINS, 4 * bins)), bins)
 
 
 def sketch_many(owner: np.ndarray, values: np.ndarray, times: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,8 +58,9 @@ def sketch_many(owner: np.ndarray, values: np.ndarray, times: np.ndarray, bins:
     owner, x, y = grouped_bins(owner, values, times.astype(float))
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(owner)])
     size = np.diff(np.r_[first, len(owner)])
-    if np.any(size > FINE_BINS):
-        fine = [_fine_bins(x[a : a + n], y[a : a + n]) for a, n in zip(first, size, strict=True)]
+    most = max(FINE_BINS, 4 * bins)
+    if np.any(size > most):
+        fine = [_fine_bins(x[a : a + n], y[a : a + n], most) for a, n in zip(first, size, strict=True)]
         owner = np.repeat(owner[first], [len(f[0]) for f in fine])
         x, y = (np.concatenate([f[k] for f in fine]) for k in (0, 1))
     return merge_many(owner, x, y, bins)
@@ -174,7 +175,7 @@ def merge_states(states: DataFrame, key: str = "region_id", bins: int = 64) -> D
 
     schema = f"`{key}` {states.schema[key].dataType.simpleString()}, {STATE}"
     flat = states.select(key, *NUMBERS, "distribution")
-    merge = fold_runs(key, fold)
+    merge = fold_runs([key], fold)
     local = flat.sortWithinPartitions(key).mapInArrow(merge, schema)
     merged = local.repartition(key).sortWithinPartitions(key).mapInArrow(merge, schema)
     return merged.select(

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcensus.operators import states
+from gridcensus.operators.histograms import bins_array, flat_bins, fold_runs, key_codes, list_sizes, merge_in_turn
+
 DISTRIBUTION_BINS = 64
 MEDIAN_ACCURACY = 10_000
 BREAK_ACCURACY = 100_000
+# Masked cells that a task sums up at a time.
+STEP_ROWS = 1 << 20
 
 
 def zonal_sum(masked: DataFrame, keys: Sequence[str] = ("region_id",)) -> DataFrame:
@@ -21,10 +28,55 @@ def zonal_sum(masked: DataFrame, keys: Sequence[str] = ("region_id",)) -> DataFr
 def zonal_summary(
     masked: DataFrame, keys: Sequence[str] = ("region_id",), bins: int = DISTRIBUTION_BINS
 ) -> DataFrame:
-    """Population and its mergeable distribution sketch, in one pass."""
-    return masked.groupBy(*keys).agg(
-        F.sum("value").alias("population"),
-        F.histogram_numeric("value", F.lit(bins)).alias("distribution"),
+    """Population and its mergeable distribution sketch, in one pass.
+
+    A task sums up some rows at a time by key, whatever the number of keys, and only these sums and
+    sketches are shuffled and merged; values are neither sorted nor moved.
+    """
+    keys = list(keys)
+    made = masked.select(*keys, F.col("value").cast("double").alias("value"))
+
+    def summary(rows: pa.RecordBatch) -> pa.RecordBatch:
+        code = key_codes(rows, keys)
+        first = np.zeros(int(code.max()) + 1, dtype=np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        value = rows["value"]
+        valid = value.is_valid().to_numpy(zero_copy_only=False)
+        values, owner = value.to_numpy(zero_copy_only=False)[valid], code[valid]
+        total = np.bincount(owner, weights=values, minlength=len(first))
+        empty = np.bincount(owner, minlength=len(first)) == 0
+        bins_of = bins_array(*states.sketch_many(owner, values, np.ones(len(owner)), bins), len(first))
+        of = pa.array(first)
+        return pa.RecordBatch.from_arrays([*[rows[k].take(of) for k in keys], pa.array(total, mask=empty), bins_of], names)
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= STEP_ROWS:
+                yield summary(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                held, n = [], 0
+        if held:
+            yield summary(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    def fold(batch: pa.RecordBatch, owner: np.ndarray) -> list[pa.Array]:
+        total, sketch, n = batch["population"], batch["distribution"], int(owner[-1]) + 1
+        valid = total.is_valid().to_numpy(zero_copy_only=False)
+        summed = np.bincount(owner[valid], weights=total.to_numpy(zero_copy_only=False)[valid], minlength=n)
+        empty = np.bincount(owner[valid], minlength=n) == 0
+        return [pa.array(summed, mask=empty), bins_array(*merge_in_turn(owner, list_sizes(sketch), *flat_bins(sketch), bins), n)]
+
+    names = [*keys, "population", "distribution"]
+    types = ", ".join(f"`{k}` {made.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{types}, population double, distribution array<struct<x double, y double>>"
+    partial = made.mapInArrow(some, schema).repartition(*keys).sortWithinPartitions(*keys)
+    merged = partial.mapInArrow(fold_runs(keys, fold), schema)
+    kind = masked.agg(F.sum("value").alias("s")).schema["s"].dataType
+    return merged.select(
+        *keys, F.col("population").cast(kind).alias("population"),
+        F.when(F.size("distribution") > 0, F.col("distribution")).alias("distribution"),
     )
 
 

@@ -63,3 +63,21 @@ def test_large_masks_of_small_files_are_not_broadcast(spark, tables):
             assert joins_made and all("SortMergeJoin" in line for line in joins_made), plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", kept)
+
+
+def test_values_are_summed_up_before_they_are_moved(spark):
+    rows = spark.range(40_000, numPartitions=2).selectExpr(
+        "if(id % 400 = 7, null, id % 400) as a", "concat('s', id % 2) as b", "cast(id % 400 = 5 as int) as c",
+        "if(id % 400 = 9, null, cast(id as double)) as value",
+    )
+    summary = queries.zonal.zonal_summary(rows, ["a", "b"], bins=8)
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert "histogram_numeric" not in plan
+    got = {(r["a"], r["b"]): r for r in summary.collect()}
+    want = {(r["a"], r["b"]): r for r in rows.groupBy("a", "b").agg(F.sum("value").alias("s"), F.count("value").alias("n")).collect()}
+    assert got.keys() == want.keys() and len(got) == 400
+    for key, w in want.items():
+        assert got[key]["population"] == w["s"]
+        bins = got[key]["distribution"]
+        assert (bins is None) == (w["n"] == 0)
+        assert bins is None or (len(bins) <= 8 and sum(b["y"] for b in bins) == w["n"])
