@@ -15,6 +15,9 @@ BROADCAST_ROWS = 2_000_000
 ROW_BYTES = 40
 # Raster rows of one key that a single task should meet in a shuffled join.
 ROWS_PER_SLICE = 4_000_000
+# Masks that a task of a shuffled join should hold. Each meets many cells, so the join's rows, and what is
+# kept to sum them up, are many times as large.
+TASK_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,10 +50,19 @@ def measured_checkpoint(df: DataFrame, **metrics: Column) -> tuple[DataFrame, di
     return stored, seen.get
 
 
+def held_bytes(df: DataFrame, row_bytes: Column | None = None) -> int:
+    """Room that a table takes, by default in rows of one run; summed where the rows are."""
+    return df.agg(F.sum(F.lit(ROW_BYTES) if row_bytes is None else row_bytes)).head()[0] or 0
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, row_bytes: Column | None = None) -> bool:
-    """Whether a table takes no more room than ``limit`` rows of one run; summed where the rows are."""
-    size = F.lit(ROW_BYTES) if row_bytes is None else row_bytes
-    return (df.agg(F.sum(size)).head()[0] or 0) <= limit * ROW_BYTES
+    """Whether a table takes no more room than ``limit`` rows of one run."""
+    return held_bytes(df, row_bytes) <= limit * ROW_BYTES
+
+
+def mask_tasks(spark: SparkSession, mask_bytes: int) -> int:
+    """Tasks of a shuffled join with masks of that size; the share of one does not grow with the masks."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mask_bytes // TASK_BYTES))
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
@@ -79,6 +91,7 @@ def join_masks(
     rows_per_slice: int = ROWS_PER_SLICE,
     row_bytes: Column | None = None,
     mask_bytes: int | None = None,
+    spread_tasks: bool = False,
 ) -> DataFrame:
     """Equi-join raster rows with mask rows on ``keys``.
 
@@ -86,21 +99,26 @@ def join_masks(
     ``mask_bytes``, are broadcast, so the raster is not moved. Larger ones meet it in a join on the keys
     alone, which a bucketed raster table answers in place. Only where some keys are hot do these get
     cut into slices by the ``spread`` columns, with the masks of just those keys repeated per slice. ``condition`` narrows the matches; mask columns other
-    than the keys must not share a name with raster columns.
+    than the keys must not share a name with raster columns. With ``spread_tasks`` a shuffled join gets
+    tasks by the size of its masks: Spark, which sizes tasks by what they read, would bring together
+    small inputs whose join is large. A bucketed raster is then moved.
     """
     if mask_bytes is None:
-        small = fits_broadcast(masks, broadcast_rows, row_bytes)
-    else:
-        small = mask_bytes <= broadcast_rows * ROW_BYTES
-    if small:
+        mask_bytes = held_bytes(masks, row_bytes)
+    if mask_bytes <= broadcast_rows * ROW_BYTES:
         joined = raster.join(F.broadcast(masks), list(keys))
         return joined if condition is None else joined.where(condition)
 
     # sizes that Spark derives from the regions' files know nothing of exploded rows and would allow a broadcast
     masks = masks.hint("merge")
+    tasks = mask_tasks(masks.sparkSession, mask_bytes) if spread_tasks else None
+
+    def dealt(df: DataFrame, *by: str) -> DataFrame:
+        return df.repartition(tasks, *by) if spread_tasks else df
+
     hot = hot_keys(raster, keys, rows_per_slice)
     if hot.isEmpty():
-        joined = raster.join(masks, list(keys))
+        joined = dealt(raster, *keys).join(dealt(masks, *keys).hint("merge"), list(keys))
         return joined if condition is None else joined.where(condition)
 
     # a table of hot keys too wide for a broadcast is joined like any other
@@ -116,7 +134,8 @@ def join_masks(
         .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("slices")
     )
-    joined = sliced_raster.join(sliced_masks.hint("merge"), [*keys, "slice"]).drop("slice")
+    by = [*keys, "slice"]
+    joined = dealt(sliced_raster, *by).join(dealt(sliced_masks, *by).hint("merge"), by).drop("slice")
     return joined if condition is None else joined.where(condition)
 
 

@@ -69,6 +69,7 @@ def mask_cells(
         condition=F.col("col").between(F.col("c0"), F.col("c1")),
         broadcast_rows=broadcast_rows,
         rows_per_slice=rows_per_slice,
+        spread_tasks=True,
     ).drop("c0", "c1")
 
 

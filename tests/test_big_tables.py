@@ -81,3 +81,17 @@ def test_values_are_summed_up_before_they_are_moved(spark):
         bins = got[key]["distribution"]
         assert (bins is None) == (w["n"] == 0)
         assert bins is None or (len(bins) <= 8 and sum(b["y"] for b in bins) == w["n"])
+
+
+def test_tasks_of_a_shuffled_mask_join_grow_in_number_with_its_masks(spark, tables, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_BYTES", 400, raising=False)
+    parts, cells = queries._parts(spark, tables), queries.fx.cells(spark, tables)
+    spans = queries.mask.clip_spans(queries.mask.part_spans(parts, queries.GRID), queries.GRID).drop("tile_row")
+    masked = queries.mask.mask_cells(cells, spans, queries.GRID, broadcast_rows=1)
+    # Spark brings the small inputs of this join together in a task or a few, however many rows come of it
+    by_task = masked.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    rows = sum(r["count"] for r in by_task)
+    assert len(by_task) > 50 and max(r["count"] for r in by_task) < rows / 20
+    small = queries.mask.mask_cells(cells, spans, queries.GRID)
+    columns = ["region_id", "part", "src", "col", "row", "value"]
+    assert rows == small.count() and masked.select(columns).exceptAll(small.select(columns)).isEmpty()
