@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
 from gridcensus.functions.values import density, truncate_long
-from gridcensus.operators import area, mask, regions as region_ops, sketches, states, tiles as tile_ops, zonal
-from gridcensus.operators.joins import cut_lineage
+from gridcensus.operators import area, counts, mask, regions as region_ops, sketches, states, tiles as tile_ops, zonal
+from gridcensus.operators.joins import cut_lineage, mask_tasks
 from gridcensus.plans.inputs import cell_spans, choose, is_packed, packed_masks
 from gridcensus.sinks import reports
 
@@ -39,8 +39,8 @@ def admin1_population(
     ``source_grid``, whose cell nearest to a job cell's centre then stands for it.
     sources: src, xmin, ymin, xmax, ymax. Every part of a region counts its own cells.
     Median and mode are read from the 64-bin sketch, and packed tiles are summed up as states per region
-    and tile, without a row per cell. ``exact_mode`` takes both from the values instead, with a row per
-    cell, a second pass over the raster and a shuffle by value.
+    and tile, without a row per cell. ``exact_mode`` takes both from the values instead: the raster is moved
+    to stack the sources of a tile, and counts of the distinct values of each region and tile are shuffled.
     """
     raster, sources = choose(raster, sources, include, exclude, partitions)
     regions = region_ops.merge_equal_keys(regions, KEYS)
@@ -77,27 +77,29 @@ def _summary(
 ) -> DataFrame:
     """(region_id, population, n_cells, statistics, distribution) of the parts' cells."""
     packed = is_packed(raster)
-    if packed:
+    if exact and not packed:
+        raster = raster.withColumns({"tile_col": on.tile_of(F.col("col")), "tile_row": on.tile_of(F.col("row"))})
+    if packed or exact:
         raster, masks, n_bytes = packed_masks(raster, parts, grid, on, merge_parts=False)
         masks, limits = masks.drop("part"), {**limits, "mask_bytes": n_bytes}
-    if packed and not exact:
+    if exact:
+        held = raster.schema["cells"].dataType.elementType if packed else raster.schema["value"].dataType
+        counted = counts.tile_counts(raster, masks, on, **limits)
+        summary = counts.count_statistics(counted, mask_tasks(raster.sparkSession, n_bytes))
+        summary = summary.withColumns({c: F.col(c).cast(held) for c in ("zmin", "zmax", "median", "mode")})
+        return summary.join(counts.count_distributions(counted, zonal.DISTRIBUTION_BINS), "region_id", "left")
+    if packed:
         merged = states.merge_states(states.tile_states(raster, masks, on, zonal.DISTRIBUTION_BINS, **limits))
         return sketches.sketch_statistics(merged, wanted=("median", "mode"))
-    if packed:
-        masked = mask.mask_packed(raster, masks, on, **limits)
-    else:
-        spans = cell_spans(parts, grid, on, merge_parts=False)
-        spans = cut_lineage(spans.select("region_id", "tile_col", "tile_row", "row", "c0", "c1"))
-        masked = mask.mask_cells(raster, spans, on, **limits)
-    masked = masked.select("region_id", "value")
+    spans = cell_spans(parts, grid, on, merge_parts=False)
+    spans = cut_lineage(spans.select("region_id", "tile_col", "tile_row", "row", "c0", "c1"))
+    masked = mask.mask_cells(raster, spans, on, **limits).select("region_id", "value")
     summary = masked.groupBy("region_id").agg(
         F.sum("value").alias("population"),
         F.count("value").alias("n_cells"),
         *zonal.statistics(),
         F.histogram_numeric("value", F.lit(zonal.DISTRIBUTION_BINS)).alias("distribution"),
     )
-    if exact:
-        return summary.join(zonal.zonal_mode(masked), "region_id", "left")
     return sketches.sketch_statistics(summary, wanted=("median", "mode"))
 
 

@@ -1,10 +1,18 @@
 """What keeps the zonal queries in bounds on large tables; every test builds its own rows."""
 
+import collections
+import math
+import random
+import statistics
+
+import micro
 import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
-from gridcensus.operators import joins
+from gridcensus.operators import counts, joins
+from gridcensus.operators.tiles import pack_tiles
+from gridcensus.plans.admin_population import admin1_population
 
 
 @pytest.fixture()
@@ -95,3 +103,54 @@ def test_tasks_of_a_shuffled_mask_join_grow_in_number_with_its_masks(spark, tabl
     small = queries.mask.mask_cells(cells, spans, queries.GRID)
     columns = ["region_id", "part", "src", "col", "row", "value"]
     assert rows == small.count() and masked.select(columns).exceptAll(small.select(columns)).isEmpty()
+
+
+def _job(spark, rows, named):
+    regions = micro.regions(spark, named).withColumn("adm1_code", F.col("location_name"))
+    extents = micro.sources(spark, *[(s, -180, -90, 180, 90) for s in {r[0] for r in rows}])
+    return regions, micro.cells(spark, rows), extents
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_exact_statistics_come_from_counts_of_values(spark, packed, monkeypatch):
+    rng = random.Random(7)
+    rows = [(s, c, r, float(rng.randrange(40)) / 2 - 3) for s in range(5) for c in range(170, 230) for r in range(60, 100)]
+    rows += [(0, 231, 70, None), (1, 231, 71, float("nan")), (2, 231, 72, float("inf"))]
+    squares = {f"r{i}": (-8 + 5 * i, -6 + 3 * i, 9 + 4 * (i % 6)) for i in range(9)}
+    named = {name: [[micro.square(*at)]] for name, at in squares.items()}
+    named["r0"] = [*named["r0"], [micro.square(-5, -4, 12)]]  # overlapping parts count their cells twice
+    regions, cells, extents = _job(spark, rows, named)
+    want = {}
+    for name, at in squares.items():
+        held = [v for x, y, side in [at, *([(-5, -4, 12)] if name == "r0" else [])] for s, c, r, v in rows
+                if v is not None and math.isfinite(v) and x < c - 179.5 < x + side and y < 89.5 - r < y + side]
+        held.sort()
+        times = collections.Counter(held)
+        want[name] = (len(held), held[0], held[-1], held[(len(held) - 1) // 2], min(times, key=lambda v: (-times[v], v)), sum(held), statistics.pstdev(held))
+    raster = pack_tiles(cells, 16) if packed else cells
+    for stack, masks, tasks in ((1 << 20, 256, 1 << 20), (300, 2, 400)):
+        monkeypatch.setattr(counts, "STACK_CELLS", stack)
+        monkeypatch.setattr(counts, "MASKS_PER_ROW", masks)
+        monkeypatch.setattr(joins, "TASK_BYTES", tasks)
+        result = admin1_population(regions, raster, extents, queries.GRID, exact_mode=True, broadcast_rows=1 if masks == 2 else 2_000_000)
+        got = {r["adm1_code"]: r for r in result.collect()}
+        assert got.keys() == want.keys()
+        for name, (n, low, high, median, mode, total, dev) in want.items():
+            r = got[name]
+            assert (r["n_cells"], r["zmin"], r["zmax"], r["median"], r["mode"], r["population"]) == (n, low, high, median, mode, int(total))
+            assert r["mean"] == pytest.approx(total / n) and r["stddev"] == pytest.approx(dev)
+            assert sum(b["y"] for b in r["distribution"]) == n
+
+
+def test_exact_mode_makes_no_row_per_cell_and_no_sketch_that_is_not_read(spark):
+    rng = random.Random(3)
+    values = rng.sample(range(10**6), 30_000)
+    rows = [(0, 100 + i % 200, 10 + i // 200, float(v)) for i, v in enumerate(values)]
+    regions, cells, extents = _job(spark, rows, {"all": [[micro.square(-80.25, -80.25, 165)]]})
+    result = admin1_population(regions, cells, extents, queries.GRID, exact_mode=True).drop("distribution")
+    plan = _plan(result)
+    assert "percentile_approx" not in plan and "histogram_numeric" not in plan and plan.count("MapInArrow") == 1
+    [row] = result.collect()
+    held = sorted(v for (_, c, r, v) in rows if -80.25 < c - 179.5 < 84.75 and -80.25 < 89.5 - r < 84.75)
+    # percentile_approx is off by some ranks among so many values
+    assert row["n_cells"] == len(held) > 20_000 and row["median"] == held[(len(held) - 1) // 2]
