@@ -606,7 +606,9 @@ def sketch_stats(spark, sf):
     fullest bin at most; the sketch's deviation is at most the exact one.
     """
     packed = cut_lineage(hierarchy.mask_hierarchy(_parts(spark, sf), GRID))
-    merged = states.merge_states(states.tile_states(fx.tiles(spark, sf), packed, GRID))
+    cells = cut_lineage(fx.cells(spark, sf))
+    tiles = tile_ops.pack_tiles(cells, GRID.tile_size)
+    merged = states.merge_states(states.tile_states(tiles, packed, GRID))
     read = sketches.sketch_statistics(merged.drop("mean", "stddev"), SKETCH_BREAKS)
     points = F.concat(F.array("median"), "breaks")
     read = cut_lineage(read.select("*", points.alias("points")))
@@ -617,9 +619,10 @@ def sketch_stats(spark, sf):
         for below, i in ranks
     ]
     # the points go with the spans, so no row of a cell is moved to them; such a row is some four times as wide
-    spans = mask.clip_spans(mask.part_spans(_parts(spark, sf), GRID), GRID).drop("tile_row")
-    pointed = spans.join(read.select("region_id", "points"), "region_id")
-    masked = mask.mask_cells(fx.cells(spark, sf), pointed, GRID, broadcast_rows=BROADCAST_ROWS // 4)
+    # Spark takes the spans for as small as the regions' file and would broadcast them, so the join is named
+    pointed = mask.part_spans(_parts(spark, sf), GRID).join(read.select("region_id", "points").hint("merge"), "region_id")
+    spans = mask.clip_spans(pointed, GRID).drop("tile_row")
+    masked = mask.mask_cells(cells, spans, GRID, broadcast_rows=BROADCAST_ROWS // 4)
     exact = masked.groupBy("region_id").agg(F.avg(value).alias("avg"), F.stddev_pop(value).alias("dev"), *counts)
     tolerance = F.array_max(F.transform("distribution", lambda b: b["y"])) + 1e-6
     wanted = [0.5, *[(i + 1) / SKETCH_BREAKS for i in range(SKETCH_BREAKS)]]

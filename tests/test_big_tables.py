@@ -37,6 +37,15 @@ def test_points_of_sketches_reach_cells_with_the_spans(spark, tables, monkeypatc
     assert seen and all("points" in columns for columns in seen)
 
 
+def test_spans_of_sketches_meet_their_points_without_a_broadcast(spark, tables, monkeypatch):
+    seen, mask_cells = [], queries.mask.mask_cells
+    monkeypatch.setattr(queries.mask, "mask_cells", lambda cells, spans, *a, **k: seen.append(spans) or mask_cells(cells, spans, *a, **k))
+    queries.QUERIES["sketch_stats"](spark, tables)
+    [spans] = seen
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_stored_states_are_read_and_not_made_again(spark, tables, monkeypatch):
     seen, refresh = [], queries.states.refresh_states
     monkeypatch.setattr(queries.states, "refresh_states", lambda states, *a, **k: seen.append(_plan(states)) or refresh(states, *a, **k))
