@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Sketches of one key that are merged at a time, and bins that a step brings together side by side.
 FAN_IN = 8
 STEP_BINS = 1 << 17
+# Rows of any keys that are held at a time to bring equal keys together.
+FOLD_ROWS = 1 << 15
 
 
 def merge_bins(x: np.ndarray, y: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +77,11 @@ def _close_bins(x: np.ndarray, y: np.ndarray, size: np.ndarray, bins: int) -> No
 
 def merge_many(owner: np.ndarray, x: np.ndarray, y: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What ``merge_bins`` makes of the bins of each owner, for many owners at once: (owner, x, y)."""
-    owner, x, y = grouped_bins(owner, x, y)
+    return merge_grouped(*grouped_bins(owner, x, y), bins)
+
+
+def merge_grouped(owner: np.ndarray, x: np.ndarray, y: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of bins that ``grouped_bins`` made, which it changes."""
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(x)])
     size = np.diff(np.r_[first, len(x)])
     wide = np.flatnonzero(size > bins)
@@ -167,6 +173,39 @@ def fold_runs(keys: Sequence[str], fold: Callable[[pa.RecordBatch, np.ndarray],
     return run
 
 
+def fold_some(keys: Sequence[str], fold: Callable[[pa.RecordBatch, np.ndarray], list[pa.Array]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Merges equal keys among some rows at a time, which need no order; rows with few equal keys stay as they are.
+
+    Done before rows are sorted, so that fewer of them are; ``fold`` is that of ``fold_runs``.
+    """
+
+    def some(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        code = key_codes(batch, keys)
+        if 2 * (int(code.max()) + 1) > len(code):
+            return batch
+        order = np.argsort(code, kind="stable")
+        owner, batch = code[order], batch.take(pa.array(order))
+        rows = pa.array(np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]))
+        folded = pa.RecordBatch.from_arrays([*[batch[k].take(rows) for k in keys], *fold(batch, owner)], batch.schema.names)
+        # rows that stay as they are go out beside these
+        return folded.cast(batch.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= FOLD_ROWS:
+                yield some(held)
+                held, n = [], 0
+        if held:
+            yield some(held)
+
+    return run
+
+
 def _fold(bins: int) -> Callable[[pa.RecordBatch, np.ndarray], list[pa.Array]]:
     def fold(batch: pa.RecordBatch, owner: np.ndarray) -> list[pa.Array]:
         column = batch.column(1)

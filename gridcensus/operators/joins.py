@@ -92,6 +92,7 @@ def join_masks(
     row_bytes: Column | None = None,
     mask_bytes: int | None = None,
     spread_tasks: bool = False,
+    stream_masks: bool = False,
 ) -> DataFrame:
     """Equi-join raster rows with mask rows on ``keys``.
 
@@ -101,7 +102,8 @@ def join_masks(
     cut into slices by the ``spread`` columns, with the masks of just those keys repeated per slice. ``condition`` narrows the matches; mask columns other
     than the keys must not share a name with raster columns. With ``spread_tasks`` a shuffled join gets
     tasks by the size of its masks: Spark, which sizes tasks by what they read, would bring together
-    small inputs whose join is large. A bucketed raster is then moved.
+    small inputs whose join is large. A bucketed raster is then moved. With ``stream_masks`` a shuffled
+    join gives all raster rows of a mask in a row, where it otherwise gives all masks of a raster row.
     """
     if mask_bytes is None:
         mask_bytes = held_bytes(masks, row_bytes)
@@ -116,9 +118,16 @@ def join_masks(
     def dealt(df: DataFrame, *by: str) -> DataFrame:
         return df.repartition(tasks, *by) if spread_tasks else df
 
+    def merged(raster: DataFrame, masks: DataFrame, *by: str) -> DataFrame:
+        raster, masks = dealt(raster, *by), dealt(masks, *by)
+        if not stream_masks:
+            return raster.join(masks.hint("merge"), list(by))
+        rest = [c for df in (raster, masks) for c in df.columns if c not in by]
+        return masks.join(raster.hint("merge"), list(by)).select(*by, *rest)
+
     hot = hot_keys(raster, keys, rows_per_slice)
     if hot.isEmpty():
-        joined = dealt(raster, *keys).join(dealt(masks, *keys).hint("merge"), list(keys))
+        joined = merged(raster, masks, *keys)
         return joined if condition is None else joined.where(condition)
 
     # a table of hot keys too wide for a broadcast is joined like any other
@@ -134,8 +143,7 @@ def join_masks(
         .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("slices")
     )
-    by = [*keys, "slice"]
-    joined = dealt(sliced_raster, *by).join(dealt(sliced_masks, *by).hint("merge"), by).drop("slice")
+    joined = merged(sliced_raster, sliced_masks, *keys, "slice").drop("slice")
     return joined if condition is None else joined.where(condition)
 
 
@@ -153,6 +161,7 @@ def join_packed(
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
     mask_bytes: int | None = None,
+    stream_masks: bool = False,
 ) -> DataFrame:
     """Tiles next to the packed masks (``runs``, NULL for a whole tile) of their keys."""
     return join_masks(
@@ -164,4 +173,5 @@ def join_packed(
         rows_per_slice=max(1, rows_per_slice // (grid.tile_size * grid.tile_size)),
         row_bytes=packed_bytes(packed),
         mask_bytes=mask_bytes,
+        stream_masks=stream_masks,
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridcensus.functions.grid import GridSpec
 from gridcensus.operators.histograms import (
-    bins_array, flat_bins, fold_runs, grouped_bins, list_sizes, merge_bins, merge_in_turn, merge_many,
+    bins_array, flat_bins, fold_runs, fold_some, grouped_bins, list_sizes, merge_bins, merge_grouped, merge_in_turn, merge_many,
 )
 from gridcensus.operators.joins import join_packed
 
@@ -63,21 +63,31 @@ def sketch_many(owner: np.ndarray, values: np.ndarray, times: np.ndarray, bins:
         fine = [_fine_bins(x[a : a + n], y[a : a + n], most) for a, n in zip(first, size, strict=True)]
         owner = np.repeat(owner[first], [len(f[0]) for f in fine])
         x, y = (np.concatenate([f[k] for f in fine]) for k in (0, 1))
-    return merge_many(owner, x, y, bins)
+        return merge_many(owner, x, y, bins)
+    return merge_grouped(owner, x, y, bins)
 
 
-def _covered(runs: pa.ListArray, size: np.ndarray) -> np.ndarray:
-    """How often the runs cover each cell of tiles that lie end to end, with one place more after each tile."""
-    start = np.cumsum(size + 1) - size - 1
-    length = list_sizes(runs)
-    of = np.repeat(start, length)
-    flat = runs.flatten()
-    first = of + flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64) - 1
-    last = first + flat.field(1).to_numpy(zero_copy_only=False).astype(np.int64)
+def _covered(runs: pa.ListArray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tile, place, times) of the cells that runs cover, in tiles that lie end to end, by ascending tile.
+
+    Where runs cover few of the cells, these are listed run by run, so a cell in several runs comes as
+    often; otherwise all cells are counted through.
+    """
     whole = runs.is_null().to_numpy(zero_copy_only=False)
-    first, last = np.r_[first, start[whole]], np.r_[last, (start + size)[whole]]
-    n = int((size + 1).sum())
-    return np.cumsum(np.bincount(first, minlength=n) - np.bincount(last, minlength=n))
+    start = np.cumsum(size) - size
+    tile = np.repeat(np.arange(len(size)), np.where(whole, 1, list_sizes(runs)))
+    first, length, cut = start[tile], size[tile], ~whole[tile]
+    flat = runs.flatten()
+    first[cut] += flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64) - 1
+    length[cut] = flat.field(1).to_numpy(zero_copy_only=False)
+    n = int(size.sum())
+    if 2 * length.sum() < n:
+        place = np.arange(int(length.sum())) + np.repeat(first - (np.cumsum(length) - length), length)
+        return np.repeat(tile, length), place, np.ones(len(place), dtype=np.int64)
+    # runs stay within their tile, so the place after the last tile is all that more is needed
+    times = np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(first + length, minlength=n + 1))
+    place = np.flatnonzero(times[:n] > 0)
+    return np.repeat(np.arange(len(size)), size)[place], place, times[place]
 
 
 def tile_states(tiles: DataFrame, packed: DataFrame, grid: GridSpec, bins: int = 64, **limits) -> DataFrame:
@@ -87,20 +97,18 @@ def tile_states(tiles: DataFrame, packed: DataFrame, grid: GridSpec, bins: int =
     sketch is empty. Masks may cover a cell several times, which then counts as often. Arrays are read
     a tile at a time, in batches bounded by their bytes.
     """
-    joined = join_packed(tiles, packed, grid, **limits)
+    # the sources of a tile come side by side for each mask, so their states can be merged as they come
+    joined = join_packed(tiles, packed, grid, stream_masks=True, **limits)
     keys = [c for c in joined.columns if c not in ("cells", "runs")]
 
     names = [*NUMBERS, "distribution"]
 
     def states(step: pa.RecordBatch) -> pa.RecordBatch:
         size = list_sizes(step["cells"])
-        # a place without data after each tile ends its runs
-        place = np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)
-        times = _covered(step["runs"], size)[place]
-        values = step["cells"].flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
-        data = np.flatnonzero(np.isfinite(values) & (times > 0))
-        owner = np.repeat(np.arange(len(size)), size)[data]
-        values, times = values[data], times[data]
+        owner, place, times = _covered(step["runs"], size)
+        values = step["cells"].flatten().to_numpy(zero_copy_only=False)[place].astype(float, copy=False)
+        data = np.flatnonzero(np.isfinite(values))
+        owner, values, times = owner[data], values[data], times[data]
         first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(owner)])
         of = owner[first]
         owner = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(owner)]))
@@ -158,8 +166,9 @@ def merge_moments(states: DataFrame, keys: Sequence[str] = ("region_id",)) -> Da
 def merge_states(states: DataFrame, key: str = "region_id", bins: int = 64) -> DataFrame:
     """(key, population, n_cells, zmin, zmax, mean, stddev, distribution) of each key, in one pass.
 
-    Every task first merges the states that it made, so the shuffle carries one state per task and key,
-    however many states a key has. The final tasks do the same with theirs, a batch at a time.
+    Every task first merges the states that it made, some at a time as they come and then by sorting what
+    is left, so the shuffle carries one state per task and key, however many states a key has. The final
+    tasks do the same with theirs, a batch at a time.
     """
 
     def fold(batch: pa.RecordBatch, owner: np.ndarray) -> list[pa.Array]:
@@ -176,7 +185,8 @@ def merge_states(states: DataFrame, key: str = "region_id", bins: int = 64) -> D
     schema = f"`{key}` {states.schema[key].dataType.simpleString()}, {STATE}"
     flat = states.select(key, *NUMBERS, "distribution")
     merge = fold_runs([key], fold)
-    local = flat.sortWithinPartitions(key).mapInArrow(merge, schema)
+    some = flat.mapInArrow(fold_some([key], fold), schema)
+    local = some.sortWithinPartitions(key).mapInArrow(merge, schema)
     merged = local.repartition(key).sortWithinPartitions(key).mapInArrow(merge, schema)
     return merged.select(
         key, "population", "n_cells", "zmin", "zmax",

@@ -6,11 +6,13 @@ import random
 import statistics
 
 import micro
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
-from gridcensus.operators import counts, joins
+from gridcensus.operators import counts, histograms, joins, states
 from gridcensus.operators.tiles import pack_tiles
 from gridcensus.plans.admin_population import admin1_population
 
@@ -46,6 +48,57 @@ def test_spans_of_sketches_meet_their_points_without_a_broadcast(spark, tables,
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_states_of_a_mask_come_side_by_side_and_merge_before_they_are_sorted(spark, tables):
+    packed = queries.hierarchy.mask_hierarchy(queries._parts(spark, tables), queries.GRID)
+    made = states.tile_states(queries.fx.tiles(spark, tables), packed, queries.GRID, broadcast_rows=1)
+    small = states.tile_states(queries.fx.tiles(spark, tables), packed, queries.GRID)
+    assert made.columns == small.columns
+    numbers = [c for c in made.columns if c not in ("centre", "squares", "distribution")]
+    assert made.select(numbers).exceptAll(small.select(numbers)).isEmpty() and made.count() == small.count()
+    keys = ["region_id", "part", "tile_col", "tile_row"]
+    rows = [tuple(r) for r in made.select(F.spark_partition_id(), *keys).collect()]
+    runs = 1 + sum(a != b for a, b in zip(rows, rows[1:]))
+    assert runs == len(set(rows)) < len(rows)
+    plan = states.merge_states(made)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 4
+
+
+@pytest.mark.parametrize("distinct", [3, 900])
+def test_rows_merge_in_any_order_where_keys_repeat(monkeypatch, distinct):
+    monkeypatch.setattr(histograms, "FOLD_ROWS", 500)
+    rng = np.random.default_rng(5)
+    keys = rng.permutation(1200) % distinct
+    batches = [pa.RecordBatch.from_arrays([pa.array([None if k == 2 else int(k) for k in keys[at : at + 100]]), pa.array([1] * 100)], ["k", "n"]) for at in range(0, 1200, 100)]
+
+    def fold(batch, owner):
+        return [pa.array(np.bincount(owner, weights=batch["n"].to_numpy()).astype(np.int64))]
+
+    out = [*histograms.fold_some(["k"], fold)(iter([*batches[:1], batches[0].slice(0, 0), *batches[1:]]))]
+    assert sum(b.num_rows for b in out) == (9 if distinct == 3 else 1200)
+    got = collections.Counter()
+    for b in out:
+        for k, n in zip(b["k"].to_pylist(), b["n"].to_pylist()):
+            got[k] += n
+    assert got == collections.Counter(None if k == 2 else int(k) for k in keys)
+
+
+@pytest.mark.parametrize("runs_of_a_tile", [1, 3, 40])
+def test_covered_cells_of_few_and_of_many_runs(runs_of_a_tile):
+    rng = random.Random(runs_of_a_tile)
+    size = [64] * 30
+    drawn = [None if runs_of_a_tile == 3 and i % 9 == 4 else [{"start": rng.randrange(1, 60), "length": rng.randrange(1, 5)} for _ in range(runs_of_a_tile)] for i in range(30)]
+    want = collections.Counter()
+    for i, runs in enumerate(drawn):
+        for run in [{"start": 1, "length": 64}] if runs is None else runs:
+            want.update((i, 64 * i + run["start"] - 1 + k) for k in range(run["length"]))
+    runs = pa.array(drawn, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))
+    tile, place, times = states._covered(runs, np.array(size))
+    got = collections.Counter()
+    for t, p, n in zip(tile.tolist(), place.tolist(), times.tolist()):
+        got[t, p] += n
+    assert got == want and sorted(tile) == tile.tolist()
+
+
 def test_stored_states_are_read_and_not_made_again(spark, tables, monkeypatch):
     seen, refresh = [], queries.states.refresh_states
     monkeypatch.setattr(queries.states, "refresh_states", lambda states, *a, **k: seen.append(_plan(states)) or refresh(states, *a, **k))
